@@ -20,8 +20,8 @@ def cyclic(x: Column, period: int) -> tuple[Column, Column]:
 
 def elapsed_days(later: Column, earlier: Column) -> Column:
     """Whole elapsed days, rounded down (not calendar days)."""
-    seconds = F.unix_timestamp(later.cast("timestamp")) - F.unix_timestamp(earlier.cast("timestamp"))
-    return F.floor(seconds / F.lit(86_400)).cast("long")
+    micros = F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))
+    return F.floor(micros / F.lit(86_400_000_000)).cast("long")
 
 
 def calendar_columns(name: str) -> dict[str, Column]:
