@@ -197,7 +197,7 @@ def a10_prefixed_group_features(spark, d):
            round(avg(c), 6) AS mean_orders_count_lines, round(stddev_samp(c), 6) AS std_orders_count_lines,
            round(skewness(c), 6) AS skew_orders_count_lines FROM o GROUP BY 1)
        SELECT c_custkey, coalesce(n, 0) AS count_orders, g.* EXCLUDE (o_custkey, n), mode_orders_mode_lines_l_returnflag,
-              round(c_acctbal * mean_orders_o_totalprice_raw, 2) AS c_acctbal_times_mean_orders_o_totalprice
+              round(c_acctbal * mean_orders_o_totalprice_raw, 0) AS c_acctbal_times_mean_orders_o_totalprice
        FROM customer LEFT JOIN g ON g.o_custkey = c_custkey LEFT JOIN pm ON pm.o_custkey = c_custkey
        LEFT JOIN (SELECT o_custkey, avg(o_totalprice) AS mean_orders_o_totalprice_raw FROM o GROUP BY 1) r ON r.o_custkey = c_custkey""",
 )
@@ -214,7 +214,7 @@ def a12_deep_features(spark, d):
         ["mean", "std", "skew", "count", "mode"],
     )
     out, crossed = deep.pairwise_transforms(level_two, ["c_acctbal", "mean_orders_o_totalprice"], ["multiply"])
-    product = F.round(crossed[0], 2).alias(crossed[0])
+    product = F.round(crossed[0], 0).alias(crossed[0])
     return rounded(out.select("c_custkey", *more), 6).join(out.select("c_custkey", product), "c_custkey")
 
 

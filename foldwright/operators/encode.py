@@ -23,6 +23,7 @@ from foldwright.plans.ranks import ordered_index
 
 ALL = "__all__"
 _ROWS = "__fw_n"
+_CATEGORY = "__fw_category"
 
 
 def _pairs(cols: Sequence[str], with_all: bool = True) -> Column:
@@ -43,12 +44,12 @@ def _pair_counts(df: DataFrame, cols: Sequence[str], target: str, extra: Sequenc
 
 def _join_column(df: DataFrame, state: DataFrame, col: str, extra: Sequence[str] = ()) -> DataFrame:
     """Attach one column's slice of a long state table."""
-    mine = state.filter(F.col("column") == col).drop("column")
-    sizes = mine.select("category", *extra, _ROWS) if _ROWS in mine.columns else None
+    mine = state.filter(F.col("column") == col).drop("column").withColumnRenamed("category", _CATEGORY)
+    sizes = mine.select(_CATEGORY, *extra, _ROWS) if _ROWS in mine.columns else None
     if sizes is not None:
         mine = mine.drop(_ROWS)
-    keyed = df.withColumn("category", F.col(col).cast("string"))
-    return attach(keyed, mine, ["category", *extra], sizes=sizes).drop("category")
+    keyed = df.withColumn(_CATEGORY, F.col(col).cast("string"))
+    return attach(keyed, mine, [_CATEGORY, *extra], sizes=sizes).drop(_CATEGORY)
 
 
 def _present(df: DataFrame, cols: Sequence[str], fitted: Sequence[str], handle_unknown: str) -> list[str]:
@@ -247,10 +248,11 @@ def fit_fold_average(
 
 def apply_fold_average(df: DataFrame, state: DataFrame, folds: DataFrame, col: str) -> DataFrame:
     """Add ``oof_{c}`` for rows outside the training table; unseen gets the mean prior."""
-    keyed = df.withColumn("category", F.col(col).cast("string"))
-    out = attach(keyed, state, ["category"]).crossJoin(F.broadcast(folds))
-    value = F.coalesce(F.col("__fw_v"), F.col("all_g") / F.col("k"))
-    return out.withColumn(f"oof_{col}", value).drop("category", "__fw_v", "all_g", "k")
+    keyed = df.withColumn(_CATEGORY, F.col(col).cast("string"))
+    prior = folds.select((F.col("all_g") / F.col("k")).alias("__fw_prior"))
+    out = attach(keyed, state.withColumnRenamed("category", _CATEGORY), [_CATEGORY])
+    out = out.crossJoin(F.broadcast(prior)).withColumn(f"oof_{col}", F.coalesce("__fw_v", "__fw_prior"))
+    return out.drop(_CATEGORY, "__fw_v", "__fw_prior")
 
 
 def group_target(
@@ -274,9 +276,12 @@ def group_target(
     y = F.col(target).cast("double")
     if fold is None:
         overall = df.agg(F.avg(y).alias("__fw_g"))
-        table = known.groupBy(*keys).agg(F.sum(y).alias("t"), F.count(y).alias("m"), F.count(F.lit(1)).alias(_ROWS))
+        table = known.groupBy(*keys).agg(
+            F.sum(y).alias("__fw_t"), F.count(y).alias("__fw_m"), F.count(F.lit(1)).alias(_ROWS)
+        )
         table = table.crossJoin(F.broadcast(overall))
-        value = F.try_divide(F.coalesce("t", F.lit(0.0)) + smoothing * F.col("__fw_g"), F.col("m") + F.lit(float(smoothing)))
+        gain = F.coalesce("__fw_t", F.lit(0.0)) + smoothing * F.col("__fw_g")
+        value = F.try_divide(gain, F.col("__fw_m") + F.lit(float(smoothing)))
         out = attach(
             df.crossJoin(F.broadcast(overall)),
             table.select(*keys, value.alias("__fw_v")),
@@ -339,7 +344,7 @@ def apply_counts(
 
 def frequency_ranks(df: DataFrame, col: str, ascending: bool = False) -> DataFrame:
     """``(category, n, rank)``: 1 is the most (or least) frequent, ties by category."""
-    known = df.filter(F.col(col).isNotNull()).withColumn("category", F.col(col).cast("string"))
+    known = df.filter(F.col(col).isNotNull()).select(F.col(col).cast("string").alias("category"))
     counts = known.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
     ranked = ordered_index(counts, "n", "category", descending=not ascending, name="__fw_at")
     return ranked.select("category", "n", (F.col("__fw_at") + 1).alias("rank"))

@@ -185,11 +185,11 @@ def group_mode(df: DataFrame, keys: Sequence[str], col: str, name: str | None =
 
 def majority_class(df: DataFrame, group: str, label: str) -> DataFrame:
     """Per group: rows, number of classes and majority class (the lowest on ties)."""
-    counts = df.filter(F.col(group).isNotNull()).groupBy(group, label).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.filter(F.col(group).isNotNull()).groupBy(group, label).agg(F.count(F.lit(1)).alias(_SIZE))
     return counts.groupBy(group).agg(
-        F.sum("n").alias("n_rows"),
+        F.sum(_SIZE).alias("n_rows"),
         F.count(label).alias("n_classes"),
-        F.max_by(label, F.struct("n", (-F.col(label)).alias("low"))).alias("majority"),
+        F.max_by(label, F.struct(_SIZE, (-F.col(label)).alias("low"))).alias("majority"),
     )
 
 

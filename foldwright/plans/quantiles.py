@@ -55,43 +55,43 @@ def _select_one(df: DataFrame, keys: list[str], col: str, shares: list[float]) -
     values = df.select(*keys, col).filter(F.col(col).isNotNull())
     rows = order_buckets(values, col, rows_per_bucket=ROWS_PER_BUCKET).place(values)
     group = keys or [F.lit(0)]
-    cells = rows.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("n"))
+    cells = rows.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("__fw_n"))
     by_group = Window.partitionBy(*group)
     cells = cells.select(
         "*",
         F.coalesce(
-            F.sum("n").over(by_group.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("before"),
-        F.sum("n").over(by_group).alias("total"),
+            F.sum("__fw_n").over(by_group.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        ).alias("__fw_before"),
+        F.sum("__fw_n").over(by_group).alias("__fw_total"),
     )
     asked = F.array(
         *[
-            F.struct(F.lit(i).alias("i"), F.lit(high).alias("high"), (F.lit(s) * (F.col("total") - 1)).alias("at"))
+            F.struct(F.lit(i).alias("i"), F.lit(high).alias("high"), (F.lit(s) * (F.col("__fw_total") - 1)).alias("at"))
             for i, s in enumerate(shares)
             for high in (False, True)
         ]
     )
-    wanted = cells.select(*keys, BUCKET, "before", "n", F.explode(asked).alias("q"))
-    wanted = wanted.withColumn("rank", F.when(F.col("q.high"), F.ceil("q.at")).otherwise(F.floor("q.at")))
-    wanted = wanted.filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
-    wanted = wanted.select(*keys, BUCKET, "before", "q", "rank")
+    wanted = cells.select(*keys, BUCKET, "__fw_before", "__fw_n", F.explode(asked).alias("__fw_q"))
+    wanted = wanted.withColumn("__fw_rank", F.when(F.col("__fw_q.high"), F.ceil("__fw_q.at")).otherwise(F.floor("__fw_q.at")))
+    wanted = wanted.filter((F.col("__fw_rank") >= F.col("__fw_before")) & (F.col("__fw_rank") < F.col("__fw_before") + F.col("__fw_n")))
+    wanted = wanted.select(*keys, BUCKET, "__fw_before", "__fw_q", "__fw_rank")
     # at most 2 * len(shares) rows per hot key, and hot keys are bounded
     needed = wanted.select(*keys, BUCKET).distinct()
     inside = rows.join(F.broadcast(needed), [*keys, BUCKET], "left_semi")
-    inside = inside.groupBy(*keys, BUCKET, col).agg(F.count(F.lit(1)).alias("m"))
+    inside = inside.groupBy(*keys, BUCKET, col).agg(F.count(F.lit(1)).alias("__fw_m"))
     running = Window.partitionBy(*keys, BUCKET).orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
-    inside = inside.withColumn("skip", F.coalesce(F.sum("m").over(running), F.lit(0)))
-    first = F.col("before") + F.col("skip")
+    inside = inside.withColumn("__fw_skip", F.coalesce(F.sum("__fw_m").over(running), F.lit(0)))
+    first = F.col("__fw_before") + F.col("__fw_skip")
     hits = inside.join(F.broadcast(wanted), [*keys, BUCKET]).filter(
-        (F.col("rank") >= first) & (F.col("rank") < first + F.col("m"))
+        (F.col("__fw_rank") >= first) & (F.col("__fw_rank") < first + F.col("__fw_m"))
     )
 
     def pick(i: int, what: str, high: bool):
-        return F.max(F.when((F.col("q.i") == i) & (F.col("q.high") == F.lit(high)), F.col(what)))
+        return F.max(F.when((F.col("__fw_q.i") == i) & (F.col("__fw_q.high") == F.lit(high)), F.col(what)))
 
     quantiles = []
     for i in range(len(shares)):
-        low, high, at = pick(i, col, False), pick(i, col, True), pick(i, "q.at", False)
+        low, high, at = pick(i, col, False), pick(i, col, True), pick(i, "__fw_q.at", False)
         quantiles.append(low + (high - low) * (at - F.floor(at)))
     grouped = hits.groupBy(*keys) if keys else hits.groupBy()
     return grouped.agg(F.array(*quantiles).alias(col))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foldwright.plans.buckets import BUCKET, ROWS_PER_BUCKET, SUB, order_buckets
+from foldwright.plans.buckets import BUCKET, ROWS_PER_BUCKET, SUB, Buckets, order_buckets
 from foldwright.plans.size import shuffle_width
 
 _NULL_KEY = "\u0000"
@@ -59,12 +59,14 @@ def prefix_sums(
     tie: str | None = None,
     descending: bool = False,
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    limits: Buckets | None = None,
 ) -> DataFrame:
     """Add, per measure, the sum over all rows strictly before in ``(order, tie)``.
 
     ``(partition, order, tie)`` should identify a row. Nulls in ``order`` come last.
+    ``limits`` may come from a cheaper table over the same values.
     """
-    limits = order_buckets(df, order, tie, descending, rows_per_bucket)
+    limits = limits or order_buckets(df, order, tie, descending, rows_per_bucket)
     placed, keys = _partition_keys(limits.place(df), partition)
     return _add_offsets(placed, keys, [BUCKET, SUB], limits.sort_columns(), measures)
 
