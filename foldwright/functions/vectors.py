@@ -5,23 +5,35 @@ All of it is Spark's higher-order functions, so it stays in the JVM.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once per row.
+
+    Inside a higher-order function an outer expression would be evaluated anew
+    for every element.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
 
 
 def normalised(values: Column) -> Column:
-    return F.transform(values, lambda x: F.try_divide(x, total(values)))
+    return bind(values, lambda v: bind(total(v), lambda t: F.transform(v, lambda x: F.try_divide(x, t))))
 
 
 def softmax(logits: Column) -> Column:
-    return normalised(F.transform(logits, lambda x: F.exp(x - F.array_max(logits))))
+    return bind(
+        logits,
+        lambda z: normalised(bind(F.array_max(z), lambda top: F.transform(z, lambda x: F.exp(x - top)))),
+    )
 
 
 def temperature_scale(vector: Column, temperature: float, kind: str = "probability") -> Column:
@@ -63,7 +75,7 @@ def binary_confidence(p: Column) -> Column:
 
 def argmax(probabilities: Column) -> Column:
     """0-based position of the first maximum."""
-    return (F.array_position(probabilities, F.array_max(probabilities)) - 1).cast("int")
+    return bind(probabilities, lambda p: (F.array_position(p, F.array_max(p)) - 1).cast("int"))
 
 
 def argmax_label(probabilities: Column, labels: Sequence) -> Column:
@@ -118,5 +130,9 @@ def mean_of_arrays(arrays: Sequence[Column], weights: Sequence[float] | None = N
     whole = float(sum(weights))
     if whole == 0:
         raise ValueError("weights sum to zero")
-    scaled = [F.transform(a, lambda x, w=w: x * F.lit(w / whole)) for a, w in zip(arrays, weights)]
+
+    def share(array: Column, weight: float) -> Column:
+        return F.transform(array, lambda x: x * F.lit(weight / whole))
+
+    scaled = [share(a, w) for a, w in zip(arrays, weights)]
     return reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), scaled)

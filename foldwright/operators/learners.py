@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from foldwright.functions.vectors import argmax_label, one_hot
 from foldwright.plans.hot import attach
+from foldwright.session import cut
 
 _X, _Y, _W, _VALID = "__fw_x", "__fw_y", "__fw_w", "__fw_valid"
 
@@ -96,7 +97,7 @@ class SparkModel:
         model = self.fitted.copy()
         for out in ("predictionCol", "probabilityCol", "rawPredictionCol"):
             if model.hasParam(out):
-                model = model.set(model.getParam(out), f"__fw_{out}" if out == column else "")
+                model.set(model.getParam(out), f"__fw_{out}" if out == column else "")
         return model.transform(self.learner.vectorised(df)).drop(_X)
 
     def probabilities(self, df: DataFrame, name: str) -> DataFrame:
@@ -126,27 +127,27 @@ class GroupMeanLearner:
     def fit(self, df: DataFrame, valid: Column | None = None) -> GroupMeanModel:
         rows = df if valid is None else df.filter(~valid)
         y = F.col(self.label).cast("double")
-        overall = rows.agg(F.avg(y).alias("__fw_g"))
+        overall = rows.agg(F.avg(y)).first()[0]
         known = rows
         for key in self.keys:
             known = known.filter(F.col(key).isNotNull())
         sums = known.groupBy(*self.keys).agg(F.sum(y).alias("__fw_t"), F.count(y).alias("__fw_m"))
         s = F.lit(float(self.smoothing))
-        value = F.try_divide(F.coalesce("__fw_t", F.lit(0.0)) + s * F.col("__fw_g"), F.col("__fw_m") + s)
-        state = sums.crossJoin(F.broadcast(overall)).select(*self.keys, value.alias("__fw_v"))
-        return GroupMeanModel(self, state, overall)
+        value = F.try_divide(F.coalesce("__fw_t", F.lit(0.0)) + s * F.lit(overall), F.col("__fw_m") + s)
+        # fitting is eager, like any model's: later scoring must not repeat it
+        return GroupMeanModel(self, cut(sums.select(*self.keys, value.alias("__fw_v"))), overall)
 
 
 @dataclass(frozen=True)
 class GroupMeanModel:
     learner: GroupMeanLearner
     state: DataFrame
-    overall: DataFrame
+    overall: float | None
     importances: list[float] | None = field(default=None)
 
     def score(self, df: DataFrame, name: str) -> DataFrame:
-        out = attach(df, self.state, self.learner.keys).crossJoin(F.broadcast(self.overall))
-        return out.withColumn(name, F.coalesce("__fw_v", "__fw_g")).drop("__fw_v", "__fw_g")
+        out = attach(df, self.state, self.learner.keys)
+        return out.withColumn(name, F.coalesce("__fw_v", F.lit(self.overall).cast("double"))).drop("__fw_v")
 
     def probabilities(self, df: DataFrame, name: str) -> DataFrame:
         return self.score(df, name).withColumn(name, F.array(1.0 - F.col(name), F.col(name)))

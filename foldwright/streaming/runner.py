@@ -12,13 +12,11 @@ from foldwright.session import scratch_path
 
 
 def parquet_stream(
-    spark: SparkSession, folder: str, schema: T.StructType, files: str = "*.parquet", files_per_trigger: int | None = None
+    spark: SparkSession, folder: str, schema: T.StructType, files: str = "*.parquet", files_per_trigger: int = 64
 ) -> DataFrame:
-    """New Parquet files of a folder as a stream; the trigger size bounds a micro-batch."""
+    """New Parquet files of a folder as a stream; ``files_per_trigger`` bounds a micro-batch."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", files)
-    if files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    return reader.option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
 
 
 def event_time(df: DataFrame, time: str) -> DataFrame:
