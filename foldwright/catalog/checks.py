@@ -253,10 +253,16 @@ def f10_impute_median(spark, d):
     return _filled(spark, d, "median")
 
 
-@query("f10_impute_median_selected", _fill_sql("quantile_cont({c}, 0.5)"))
+@query(
+    "f10_impute_median_selected",
+    """WITH t AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_totalprice END AS o_totalprice FROM orders)
+       SELECT o_orderkey, round(coalesce(o_totalprice, (SELECT quantile_cont(o_totalprice, 0.5) FROM t)), 6) AS o_totalprice FROM t""",
+)
 def f10_impute_median_selected(spark, d):
-    """The same by distributed rank selection, as a large table would be."""
-    return _filled(spark, d, "median", hot_rows=1000)
+    """A column of nearly distinct values, where one buffer would not do."""
+    price = F.when(F.col("o_orderstatus") != "F", F.col("o_totalprice")).alias("o_totalprice")
+    rows = table(spark, d, "orders").select("o_orderkey", price)
+    return rounded(prep.impute(rows, prep.fit_impute(rows, ["o_totalprice"])))
 
 
 @query("f10_impute_mean", _fill_sql("avg({c})"))
@@ -295,7 +301,7 @@ def f11_outlier_flag(spark, d):
 )
 def f11_outlier_clip(spark, d):
     rows = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    bounds = prep.fit_outlier_bounds(rows, ["o_totalprice"], threshold=0.2, hot_rows=1000)
+    bounds = prep.fit_outlier_bounds(rows, ["o_totalprice"], threshold=0.2)
     return rounded(prep.handle_outliers(rows, bounds, ["o_totalprice"], "clip"))
 
 
@@ -405,9 +411,8 @@ _D3 = """WITH t AS (SELECT value AS l, abs(value / 500 - CAST(event_type = 'erro
   SELECT *{extra} FROM r"""
 
 
-def _report(spark, d, **options):
-    log = prediction_log(spark, d)
-    return monitor.quality_report(log, cutoff=F.lit("2024-01-20").cast("timestamp_ntz"), **options)
+def _report(spark, d):
+    return monitor.quality_report(prediction_log(spark, d), cutoff=F.lit("2024-01-20").cast("timestamp_ntz"))
 
 
 @query("d3_quality_report", _D3.format(extra=""))
@@ -415,10 +420,10 @@ def d3_quality_report(spark, d):
     return rounded(_report(spark, d))
 
 
-@query("d3_quality_report_selected", _D3.format(extra=""))
+@query("d3_quality_report_selected", _D3.format(extra="").replace("WHERE ts > TIMESTAMP '2024-01-20'", ""))
 def d3_quality_report_selected(spark, d):
-    """Percentiles by distributed rank selection, as a large log would be."""
-    return rounded(_report(spark, d, hot_rows=500))
+    """The whole log."""
+    return rounded(monitor.quality_report(prediction_log(spark, d)))
 
 
 @query(

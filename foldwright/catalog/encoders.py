@@ -207,8 +207,8 @@ def e9_weight_of_evidence(spark, d):
 def e10_fold_average_transform(spark, d):
     rows = folded(spark, d)
     train = F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz")
-    state, folds = encode.fit_fold_average(rows.filter(train), "o_custkey", "y")
-    out = encode.apply_fold_average(rows.filter(~train).select(_KEY, "o_custkey"), state, folds, "o_custkey")
+    state, prior = encode.fit_fold_average(rows.filter(train), "o_custkey", "y")
+    out = encode.apply_fold_average(rows.filter(~train).select(_KEY, "o_custkey"), state, prior, "o_custkey")
     return rounded(out.select(_KEY, "oof_o_custkey"))
 
 

@@ -54,11 +54,11 @@ ORDERS = "base AS (SELECT *, CAST(o_orderstatus = 'F' AS INTEGER) AS y FROM orde
 
 
 def dealt(by: str, ids: str, source: str, seed: int = 42, k: int = 5) -> str:
-    """SQL for the fold contract: hash order (within ``by``), dealt round-robin."""
+    """SQL for the fold contract: equal blocks of the hash order (within ``by``)."""
     part = f"PARTITION BY {by} " if by else ""
     return (
-        f"SELECT *, CAST((row_number() OVER ({part}ORDER BY md5(concat_ws('_', '{seed}', CAST({ids} AS VARCHAR))), {ids})"
-        f" - 1) % {k} AS INTEGER) AS fold FROM {source}"
+        f"SELECT *, CAST(ntile({k}) OVER ({part}ORDER BY md5(concat_ws('_', '{seed}', CAST({ids} AS VARCHAR))), {ids})"
+        f" - 1 AS INTEGER) AS fold FROM {source}"
     )
 
 

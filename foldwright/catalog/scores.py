@@ -145,8 +145,8 @@ def k5_auc_error(spark, d):
     return rounded(metrics.auc_error(metrics.auc(scored(spark, d), "y", "m_quantity", ["flag"])), 8)
 
 
-_FOLDS = """f AS (SELECT o_orderkey, CAST((row_number() OVER (ORDER BY md5(concat_ws('_', '42', CAST(o_orderkey AS VARCHAR))),
-  o_orderkey) - 1) % 5 AS INTEGER) AS fold FROM orders), tf AS (SELECT t.*, fold FROM t JOIN f ON l_orderkey = o_orderkey)"""
+_FOLDS = """f AS (SELECT o_orderkey, CAST(ntile(5) OVER (ORDER BY md5(concat_ws('_', '42', CAST(o_orderkey AS VARCHAR))),
+  o_orderkey) - 1 AS INTEGER) AS fold FROM orders), tf AS (SELECT t.*, fold FROM t JOIN f ON l_orderkey = o_orderkey)"""
 
 
 def _folded_scores(spark, d):

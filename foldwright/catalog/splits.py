@@ -57,13 +57,13 @@ _POSITION = "SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1
     "c4_time_split",
     f"""WITH p AS ({_POSITION}), s AS (SELECT unnest(range(5)) AS split),
         e AS (SELECT o_orderkey, index, split, n - (5 - split) * (n // 6) AS start, n // 6 AS size FROM p, s)
-        SELECT o_orderkey, index, CAST(split AS INTEGER) AS split,
+        SELECT o_orderkey, CAST(split AS INTEGER) AS split,
                CASE WHEN index < start THEN 'train' ELSE 'test' END AS role
         FROM e WHERE index < start + size""",
 )
 def c4_time_split(spark, d):
     rows = table(spark, d, "orders").select(_KEY, "o_orderdate")
-    return splits.time_split(rows, "o_orderdate", _KEY).select(_KEY, "index", "split", "role")
+    return splits.time_split(rows, "o_orderdate", _KEY).select(_KEY, "split", "role")
 
 
 @query(
@@ -72,14 +72,14 @@ def c4_time_split(spark, d):
         b AS (SELECT o_orderkey, index, split, n, split * (n // 5) AS a,
                      CASE WHEN split = 4 THEN n ELSE (split + 1) * (n // 5) END AS z FROM p, s),
         e AS (SELECT *, CAST(floor((z - a) * 0.01) AS BIGINT) AS emb FROM b)
-        SELECT o_orderkey, index, CAST(split AS INTEGER) AS split,
+        SELECT o_orderkey, CAST(split AS INTEGER) AS split,
                CASE WHEN index >= a AND index < z THEN 'test' ELSE 'train' END AS role
         FROM e WHERE (index >= a AND index < z) OR index < a - 20 OR index >= z + 20 + emb""",
 )
 def c5_purged_split(spark, d):
     rows = table(spark, d, "orders").select(_KEY, "o_orderdate")
     out = splits.purged_split(rows, "o_orderdate", _KEY, purge_gap=20, embargo_pct=0.01)
-    return out.select(_KEY, "index", "split", "role")
+    return out.select(_KEY, "split", "role")
 
 
 @query(
@@ -87,14 +87,14 @@ def c5_purged_split(spark, d):
     f"""WITH p AS ({_POSITION}), s AS (SELECT unnest(range(5)) AS split),
         b AS (SELECT o_orderkey, index, n, split,
                      split * (n // 5) + CAST(floor((n // 5) * 0.01) AS BIGINT) AS a, (split + 1) * (n // 5) AS z FROM p, s)
-        SELECT o_orderkey, index, CAST(split AS INTEGER) AS split,
+        SELECT o_orderkey, CAST(split AS INTEGER) AS split,
                CASE WHEN index >= a AND index < z THEN 'test' ELSE 'train' END AS role
         FROM b WHERE (index >= a AND index < z) OR index < a - 20 OR index >= z + 20""",
 )
 def c5_purged_split_legacy(spark, d):
     rows = table(spark, d, "orders").select(_KEY, "o_orderdate")
     out = splits.purged_split(rows, "o_orderdate", _KEY, purge_gap=20, embargo_pct=0.01, legacy=True)
-    return out.select(_KEY, "index", "split", "role")
+    return out.select(_KEY, "split", "role")
 
 
 @query(
@@ -103,13 +103,13 @@ def c5_purged_split_legacy(spark, d):
         b AS (SELECT o_orderkey, index, n, split, (split + 1) * (n // 6) AS a,
                      CASE WHEN split = 4 THEN n ELSE (split + 2) * (n // 6) END AS z FROM p, s),
         e AS (SELECT *, z - CAST(floor((z - a) * 0.01) AS BIGINT) AS z2 FROM b)
-        SELECT o_orderkey, index, CAST(split AS INTEGER) AS split,
+        SELECT o_orderkey, CAST(split AS INTEGER) AS split,
                CASE WHEN index >= a THEN 'test' ELSE 'train' END AS role
         FROM e WHERE (index >= a AND index < z2) OR index < a - 20""",
 )
 def c6_purged_forward_split(spark, d):
     rows = table(spark, d, "orders").select(_KEY, "o_orderdate")
-    return splits.purged_forward_split(rows, "o_orderdate", _KEY, purge_gap=20).select(_KEY, "index", "split", "role")
+    return splits.purged_forward_split(rows, "o_orderdate", _KEY, purge_gap=20).select(_KEY, "split", "role")
 
 
 @query(

@@ -11,8 +11,8 @@ from foldwright.functions import vectors
 from foldwright.operators import metrics
 from foldwright.operators.learners import Learner, Model, predicted_label
 from foldwright.operators.prep import fit_scaler, standardise
+from foldwright.plans.cuts import order_cuts
 from foldwright.plans.hot import attach
-from foldwright.plans.ranks import ordered_index
 from foldwright.session import cut
 
 DIFFICULTY = "difficulty"
@@ -60,8 +60,7 @@ def stage_sizes(n: int, n_stages: int, ratio: float) -> list[int]:
 
 def easiest(df: DataFrame, id_col: str, size: int, difficulty: str = DIFFICULTY) -> DataFrame:
     """The ``size`` easiest rows, ties by id."""
-    ranked = ordered_index(df, difficulty, id_col, name="__fw_at")
-    return ranked.filter(F.col("__fw_at") < size).drop("__fw_at")
+    return df.filter(order_cuts(df, difficulty, id_col, lambda n: [size]).before(size))
 
 
 def train_curriculum(

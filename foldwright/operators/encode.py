@@ -20,6 +20,7 @@ from foldwright.functions.scalars import normal_from_hash
 from foldwright.operators.splits import FOLD
 from foldwright.plans.hot import attach
 from foldwright.plans.ranks import ordered_index
+from foldwright.session import stage
 
 ALL = "__all__"
 _ROWS = "__fw_n"
@@ -77,23 +78,24 @@ def fit_target(
 ) -> DataFrame:
     """State ``(column, category, n, value)``; the ``__all__`` row holds the global mean.
 
-    ``value = (n * mean + smoothing * global) / (n + smoothing)``.
+    ``value = (n * mean + smoothing * global) / (n + smoothing)``. Fitting is
+    eager: one aggregate, written to the shared folder for the joins to read.
     """
     cols = as_list(cols)
     require(df, [*cols, target])
-    counts = _pair_counts(df, cols, target)
-    overall = counts.filter(F.col("column") == ALL).select(F.try_divide("total", F.col("n")).alias("__fw_g"))
-    both = counts.crossJoin(F.broadcast(overall))
-    value = (F.coalesce("total", F.lit(0.0)) + smoothing * F.col("__fw_g")) / F.nullif(
+    counts = stage(_pair_counts(df, cols, target), "target-counts", "column")
+    overall = _all_row(counts).select(F.try_divide("total", F.col("n"))).first()[0]
+    prior = F.lit(overall).cast("double")
+    value = (F.coalesce("total", F.lit(0.0)) + smoothing * prior) / F.nullif(
         F.col("n") + F.lit(float(smoothing)), F.lit(0.0)
     )
     enough = (F.col("n") >= min_samples_leaf) & (F.col("n") > 0)
-    value = F.when((F.col("column") == ALL) | ~enough, F.col("__fw_g")).otherwise(value)
-    return both.select("column", "category", "n", value.alias("value"))
+    value = F.when((F.col("column") == ALL) | ~enough, prior).otherwise(value)
+    return counts.select("column", "category", "n", value.alias("value"))
 
 
-def global_value(state: DataFrame) -> DataFrame:
-    return state.filter(F.col("column") == ALL).select(F.col("value").alias("__fw_g"))
+def _all_row(counts: DataFrame) -> DataFrame:
+    return counts.filter(F.col("column") == ALL)
 
 
 def apply_target(
@@ -111,15 +113,55 @@ def apply_target(
     """
     cols = as_list(cols)
     cols = _present(df, cols, cols if fitted is None else fitted, handle_unknown)
-    out = df.crossJoin(F.broadcast(global_value(state)))
+    prior = F.lit(_all_row(state).select("value").first()[0]).cast("double")
+    out = df
     for col in cols:
         slice_ = state.select("column", "category", F.col("value").alias("__fw_v"))
         out = _join_column(out, slice_, col)
-        out = out.withColumn(names.TARGET_ENC.format(col=col), F.coalesce("__fw_v", "__fw_g")).drop("__fw_v")
-    out = out.drop("__fw_g")
+        out = out.withColumn(names.TARGET_ENC.format(col=col), F.coalesce("__fw_v", prior)).drop("__fw_v")
     return out if keep is None else out.select(*keep, *[names.TARGET_ENC.format(col=c) for c in cols])
 
 
+def _fold_counts(df: DataFrame, cols: Sequence[str], target: str, fold: str) -> DataFrame:
+    """``(column, category, fold, total, n)``, the only pass over the rows that fitting needs."""
+    return stage(_pair_counts(df, cols, target, [fold]), "fold-counts", "column")
+
+
+def _fold_totals(counts: DataFrame, fold: str) -> dict[object, tuple[float, int]]:
+    """Target sum and count per fold: k numbers, used as literals."""
+    return {r[0]: (r[1] or 0.0, r[2]) for r in _all_row(counts).select(fold, "total", "n").collect()}
+
+
+def _priors(totals: dict[object, tuple[float, int]], prior: str) -> dict[object, float | None]:
+    """Per fold the mean of the other folds (or of all rows)."""
+    if prior not in ("fold", "all"):
+        raise ValueError(f"prior must be 'fold' or 'all', not {prior!r}")
+    t, m = sum(v[0] for v in totals.values()), sum(v[1] for v in totals.values())
+    found = {}
+    for fold, (own_t, own_m) in totals.items():
+        rest_t, rest_m = (t - own_t, m - own_m) if prior == "fold" else (t, m)
+        found[fold] = rest_t / rest_m if rest_m else None
+    return found
+
+
+def _per_fold(fold: str, values: dict[object, float | None]) -> Column:
+    out = F.lit(None).cast("double")
+    for k, v in values.items():
+        out = F.when(F.col(fold) == F.lit(k), F.lit(v).cast("double")).otherwise(out)
+    return out
+
+
+def _rest_of_folds(counts: DataFrame) -> DataFrame:
+    """Add what the other folds know of a category; a category has at most k rows here."""
+    per_category = Window.partitionBy("column", "category")
+    total = F.coalesce("total", F.lit(0.0))
+    return counts.filter(F.col("column") != ALL).select(
+        "*",
+        (F.sum(total).over(per_category) - total).alias("rest_t"),
+        (F.sum("n").over(per_category) - F.col("n")).alias("rest_n"),
+    )
+
+
 def oof_target_state(
     df: DataFrame,
     cols: Sequence[str],
@@ -128,43 +170,18 @@ def oof_target_state(
     smoothing: float = 10.0,
     min_samples_leaf: int = 1,
     prior: str = "fold",
-) -> tuple[DataFrame, DataFrame]:
-    """``(column, category, fold) -> value`` and ``fold -> prior``, from one aggregate.
+) -> tuple[DataFrame, Column]:
+    """``(column, category, fold) -> value`` and the prior of a row's fold.
 
     ``prior='fold'`` uses the mean of the training folds; ``'all'`` uses the
     mean of every row, which leaks the held-out targets a little.
     """
-    counts = _pair_counts(df, cols, target, [fold])
-    overall = counts.filter(F.col("column") == ALL).groupBy(fold).agg(
-        F.sum("total").alias("t"), F.sum("n").alias("m")
-    )
-    # one row per fold: the window below sees k rows
-    whole = Window.partitionBy(F.lit(0))
-    out_t, out_m = F.sum("t").over(whole), F.sum("m").over(whole)
-    if prior == "fold":
-        mine = F.try_divide(out_t - F.coalesce("t", F.lit(0.0)), out_m - F.col("m"))
-    elif prior == "all":
-        mine = F.try_divide(out_t, out_m)
-    else:
-        raise ValueError(f"prior must be 'fold' or 'all', not {prior!r}")
-    priors = overall.select(fold, mine.alias("__fw_g"))
-    # at most k rows per category
-    per_category = Window.partitionBy("column", "category")
-    total = F.coalesce("total", F.lit(0.0))
-    rest_t = F.sum(total).over(per_category) - total
-    rest_n = F.sum("n").over(per_category) - F.col("n")
-    seen = counts.filter(F.col("column") != ALL).select(
-        "column", "category", fold, _ROWS, rest_t.alias("rest_t"), rest_n.alias("rest_n")
-    )
-    seen = seen.join(F.broadcast(priors), fold)
+    counts = _fold_counts(df, cols, target, fold)
+    base = _per_fold(fold, _priors(_fold_totals(counts, fold), prior))
     enough = (F.col("rest_n") >= min_samples_leaf) & (F.col("rest_n") > 0)
-    smooth = (F.col("rest_t") + smoothing * F.col("__fw_g")) / F.nullif(
-        F.col("rest_n") + F.lit(float(smoothing)), F.lit(0.0)
-    )
-    state = seen.select(
-        "column", "category", fold, _ROWS, F.when(enough, smooth).otherwise(F.col("__fw_g")).alias("__fw_v")
-    )
-    return state, priors
+    smooth = (F.col("rest_t") + smoothing * base) / F.nullif(F.col("rest_n") + F.lit(float(smoothing)), F.lit(0.0))
+    value = F.when(enough, smooth).otherwise(base)
+    return _rest_of_folds(counts).select("column", "category", fold, _ROWS, value.alias("__fw_v")), base
 
 
 def oof_target_encode(
@@ -188,12 +205,11 @@ def oof_target_encode(
     """
     cols = as_list(cols)
     require(df, [*cols, target, fold])
-    state, priors = oof_target_state(df, cols, target, fold, smoothing, min_samples_leaf, prior)
-    out = df.join(F.broadcast(priors), fold, "left")
-    made = []
+    state, base = oof_target_state(df, cols, target, fold, smoothing, min_samples_leaf, prior)
+    out, made = df, []
     for col in cols:
         out = _join_column(out, state, col, [fold])
-        value = F.coalesce("__fw_v", "__fw_g")
+        value = F.coalesce("__fw_v", base)
         if noise > 0:
             value = value + F.lit(noise) * normal_from_hash(seed, col, *[F.col(c) for c in as_list(id_cols)])
         name = col if replace else names.TARGET_ENC.format(col=col)
@@ -206,53 +222,42 @@ def oof_target_encode(
 
 def fit_fold_average(
     df: DataFrame, col: str, target: str, fold: str = FOLD, smoothing: float = 10.0
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, float | None]:
     """``category -> value``: the mean of the k encoders that each left one fold out.
 
-    Folds in which the category does not occur all use its full total, so their
-    sum has a closed form and one row per category is enough.
+    Also returns the mean prior, for unseen categories. Folds in which the
+    category does not occur all use its full total, so their sum has a closed
+    form and one row per category is enough.
     """
     require(df, [col, target, fold])
     s = F.lit(float(smoothing))
-    counts = _pair_counts(df, [col], target, [fold])
-    _, priors = oof_target_state(df, [col], target, fold, smoothing)
-    folds = priors.agg(F.sum("__fw_g").alias("all_g"), F.count(F.lit(1)).alias("k"))
-    per_category = Window.partitionBy("category")
-    total = F.coalesce("total", F.lit(0.0))
-    mine = counts.filter(F.col("column") == col).join(F.broadcast(priors), fold).select(
-        "category",
-        F.col("__fw_g").alias("g"),
-        F.sum(total).over(per_category).alias("all_t"),
-        F.sum("n").over(per_category).alias("all_n"),
-        total.alias("own_t"),
-        F.col("n").alias("own_n"),
-    )
-    rest_n = F.col("all_n") - F.col("own_n")
+    counts = _fold_counts(df, [col], target, fold)
+    priors = _priors(_fold_totals(counts, fold), "fold")
+    k, all_g = len(priors), sum(v or 0.0 for v in priors.values())
+    base = _per_fold(fold, priors)
     left_out = F.when(
-        rest_n > 0, F.try_divide(F.col("all_t") - F.col("own_t") + s * F.col("g"), rest_n + s)
-    ).otherwise(F.col("g"))
-    table = mine.groupBy("category").agg(
+        F.col("rest_n") > 0, F.try_divide(F.col("rest_t") + s * base, F.col("rest_n") + s)
+    ).otherwise(base)
+    table = _rest_of_folds(counts).groupBy("category").agg(
         F.sum(left_out).alias("present"),
         F.count(F.lit(1)).alias("n_present"),
-        F.sum("g").alias("present_g"),
-        F.first("all_t").alias("all_t"),
-        F.first("all_n").alias("all_n"),
+        F.sum(base).alias("present_g"),
+        F.sum(F.coalesce("total", F.lit(0.0))).alias("all_t"),
+        F.sum("n").alias("all_n"),
     )
-    table = table.crossJoin(F.broadcast(folds))
     absent = F.try_divide(
-        (F.col("k") - F.col("n_present")) * F.col("all_t") + s * (F.col("all_g") - F.col("present_g")),
-        F.col("all_n") + s,
+        (F.lit(k) - F.col("n_present")) * F.col("all_t") + s * (F.lit(all_g) - F.col("present_g")), F.col("all_n") + s
     )
-    return table.select("category", ((F.col("present") + absent) / F.col("k")).alias("__fw_v")), folds
+    value = (F.col("present") + F.coalesce(absent, F.lit(0.0))) / F.lit(float(k))
+    return table.select("category", value.alias("__fw_v")), all_g / k if k else None
 
 
-def apply_fold_average(df: DataFrame, state: DataFrame, folds: DataFrame, col: str) -> DataFrame:
+def apply_fold_average(df: DataFrame, state: DataFrame, prior: float | None, col: str) -> DataFrame:
     """Add ``oof_{c}`` for rows outside the training table; unseen gets the mean prior."""
     keyed = df.withColumn(_CATEGORY, F.col(col).cast("string"))
-    prior = folds.select((F.col("all_g") / F.col("k")).alias("__fw_prior"))
     out = attach(keyed, state.withColumnRenamed("category", _CATEGORY), [_CATEGORY])
-    out = out.crossJoin(F.broadcast(prior)).withColumn(f"oof_{col}", F.coalesce("__fw_v", "__fw_prior"))
-    return out.drop(_CATEGORY, "__fw_v", "__fw_prior")
+    value = F.coalesce("__fw_v", F.lit(prior).cast("double"))
+    return out.withColumn(f"oof_{col}", value).drop(_CATEGORY, "__fw_v")
 
 
 def group_target(
@@ -308,6 +313,7 @@ def fit_counts(
     require(df, cols)
     pairs = df.select(_pairs(cols, with_all=False)).select("pair.*").filter(F.col("category").isNotNull())
     counts = pairs.groupBy("column", "category").agg(F.count(F.lit(1)).alias("value"))
+    counts = stage(counts, "category-counts", "column")
     if normalize:
         whole = counts.groupBy("column").agg(F.sum("value").alias("all_n"))
         return counts.join(F.broadcast(whole), "column").select(
@@ -334,11 +340,10 @@ def apply_counts(
         out = _join_column(out, slice_, col)
         default = F.lit(0)
         if handle_unknown == "value":
-            lowest = state.filter(F.col("column") == col).agg(F.min("value").alias("__fw_low"))
-            out = out.crossJoin(F.broadcast(lowest))
-            default = F.coalesce("__fw_low", F.lit(0))
+            lowest = state.filter(F.col("column") == col).agg(F.min("value")).first()[0]
+            default = F.lit(lowest or 0)
         value = F.when(F.col(col).isNull(), F.lit(0)).otherwise(F.coalesce(F.col("__fw_v"), default))
-        out = out.withColumn(names.COUNT_ENC.format(col=col), value).drop("__fw_v", "__fw_low")
+        out = out.withColumn(names.COUNT_ENC.format(col=col), value).drop("__fw_v")
     return out
 
 
@@ -361,18 +366,17 @@ def fit_frequency(df: DataFrame, cols: str | Sequence[str], ascending: bool = Fa
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out
+    return stage(out, "frequency-ranks", "column")
 
 
 def apply_frequency(df: DataFrame, state: DataFrame, cols: str | Sequence[str]) -> DataFrame:
     """Add ``{c}_freq_enc`` as double; unseen and null get the largest rank plus one."""
     out = df
     for col in [c for c in as_list(cols) if c in df.columns]:
-        top = state.filter(F.col("column") == col).agg(F.coalesce(F.max("value"), F.lit(0)).alias("__fw_top"))
+        top = state.filter(F.col("column") == col).agg(F.max("value")).first()[0] or 0
         out = _join_column(out, state.select("column", "category", F.col("value").alias("__fw_v")), col)
-        out = out.crossJoin(F.broadcast(top))
-        value = F.coalesce(F.col("__fw_v"), F.col("__fw_top") + 1).cast("double")
-        out = out.withColumn(names.FREQ_ENC.format(col=col), value).drop("__fw_v", "__fw_top")
+        value = F.coalesce(F.col("__fw_v"), F.lit(top + 1)).cast("double")
+        out = out.withColumn(names.FREQ_ENC.format(col=col), value).drop("__fw_v")
     return out
 
 
@@ -385,27 +389,20 @@ def oof_weight_of_evidence(
     """
     cols = as_list(cols)
     require(df, [*cols, target, fold])
-    counts = _pair_counts(df, cols, target, [fold])
-    whole = Window.partitionBy(F.lit(0))
-    overall = counts.filter(F.col("column") == ALL).groupBy(fold).agg(F.sum("total").alias("t"), F.sum("n").alias("m"))
-    pos = F.sum("t").over(whole) - F.col("t")
-    neg = F.sum(F.col("m") - F.col("t")).over(whole) - (F.col("m") - F.col("t"))
-    overall = overall.select(fold, pos.alias("pos_all"), neg.alias("neg_all"))
-    seen = counts.filter(F.col("column") != ALL)
-    kinds = seen.groupBy("column").agg(F.count_distinct("category").alias("k"))
-    per_category = Window.partitionBy("column", "category")
-    total = F.coalesce("total", F.lit(0.0))
-    rest_t = F.sum(total).over(per_category) - total
-    rest_n = F.sum("n").over(per_category) - F.col("n")
-    seen = seen.select("column", "category", fold, _ROWS, rest_t.alias("p"), (rest_n - rest_t).alias("q"))
-    seen = seen.join(F.broadcast(overall), fold).join(F.broadcast(kinds), "column")
+    counts = _fold_counts(df, cols, target, fold)
+    totals = _fold_totals(counts, fold)
+    t, m = sum(v[0] for v in totals.values()), sum(v[1] for v in totals.values())
+    positives = _per_fold(fold, {f: t - own for f, (own, _) in totals.items()})
+    negatives = _per_fold(fold, {f: (m - t) - (n - own) for f, (own, n) in totals.items()})
+    kinds = counts.groupBy("column").agg(F.count_distinct("category").alias("k"))
+    width = F.lit(0)
+    for r in kinds.collect():
+        width = F.when(F.col("column") == r["column"], F.lit(r["k"])).otherwise(width)
     a = F.lit(float(alpha))
-    woe = F.ln(
-        ((F.col("p") + a) / (F.col("pos_all") + a * F.col("k")))
-        / ((F.col("q") + a) / (F.col("neg_all") + a * F.col("k")))
-    )
-    value = F.when(F.col("p") + F.col("q") > 0, woe).otherwise(0.0)
-    state = seen.select("column", "category", fold, _ROWS, value.alias("__fw_v"))
+    pos, neg = F.col("rest_t"), F.col("rest_n") - F.col("rest_t")
+    woe = F.ln(((pos + a) / (positives + a * width)) / ((neg + a) / (negatives + a * width)))
+    value = F.when(F.col("rest_n") > 0, woe).otherwise(0.0)
+    state = _rest_of_folds(counts).select("column", "category", fold, _ROWS, value.alias("__fw_v"))
     out = df
     for col in cols:
         out = _join_column(out, state, col, [fold])

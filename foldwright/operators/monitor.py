@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldwright.plans.quantiles import group_quantiles
+from foldwright.plans.quantiles import table_quantiles
 
 # Default alert limits.
 ALERTS = {"accuracy_drop": 0.05, "latency_p99": 100.0, "error_rate": 0.01, "data_drift": 0.1}
@@ -55,10 +55,10 @@ def bin_column(col: str, edges: Sequence[float]) -> Column:
     return place
 
 
-def bin_edges(reference: DataFrame, cols: Sequence[str], n_bins: int = 10, hot_rows: int | None = None) -> dict[str, list[float]]:
+def bin_edges(reference: DataFrame, cols: Sequence[str], n_bins: int = 10) -> dict[str, list[float]]:
     """Inner quantile edges of the reference; a few numbers per feature."""
-    row = group_quantiles(reference, [], cols, [i / n_bins for i in range(1, n_bins)], hot_rows).first()
-    return {c: sorted({e for e in row[c] if e is not None}) for c in cols}
+    found = table_quantiles(reference, cols, [i / n_bins for i in range(1, n_bins)])
+    return {c: sorted({e for e in found[c] if e is not None}) for c in cols}
 
 
 def bin_counts(df: DataFrame, edges: dict[str, Sequence[float]], by: Sequence[str] = ()) -> DataFrame:
@@ -110,10 +110,9 @@ def psi(
 
 def drift(
     reference: DataFrame, current: DataFrame, cols: Sequence[str], n_bins: int = 10, strict: bool = False,
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """PSI of raw columns: quantile bins of the reference, then shares on both sides."""
-    edges = bin_edges(reference, cols, n_bins, hot_rows)
+    edges = bin_edges(reference, cols, n_bins)
     return psi(bin_shares(bin_counts(reference, edges)), bin_shares(bin_counts(current, edges)), strict=strict)
 
 
@@ -123,7 +122,6 @@ def quality_report(
     latency: str = "latency_ms",
     error: str = "error",
     cutoff: Column | None = None,
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """Count, latency percentiles/mean/std, MAE and RMSE of rows after ``cutoff`` (exclusive)."""
     rows = log if cutoff is None else log.filter(F.col(time) > cutoff)
@@ -134,9 +132,9 @@ def quality_report(
         F.avg(error).alias("mae"),
         F.sqrt(F.avg(F.col(error) * F.col(error))).alias("rmse"),
     )
-    q = group_quantiles(rows, [], [latency], [0.5, 0.95, 0.99], hot_rows)
-    q = q.select(*[F.element_at(latency, i + 1).alias(n) for i, n in enumerate(("p50_ms", "p95_ms", "p99_ms"))])
-    return one.crossJoin(F.broadcast(q))
+    found = table_quantiles(rows, [latency], [0.5, 0.95, 0.99])[latency]
+    named = zip(("p50_ms", "p95_ms", "p99_ms"), found)
+    return one.withColumns({n: F.lit(v).cast("double") for n, v in named})
 
 
 def alerts(

@@ -21,7 +21,7 @@ def drop_columns(df: DataFrame, drop: Sequence[str]) -> DataFrame:
 
 
 def fit_impute(
-    df: DataFrame, cols: Sequence[str], strategy: str = "median", constant: float = -999.0, hot_rows: int | None = None
+    df: DataFrame, cols: Sequence[str], strategy: str = "median", constant: float = -999.0
 ) -> DataFrame:
     """A one-row table with the fill value of every column."""
     if strategy == "constant":
@@ -29,7 +29,7 @@ def fit_impute(
     if strategy == "mean":
         return df.agg(*[F.avg(c).alias(c) for c in cols])
     if strategy == "median":
-        middle = group_quantiles(df, [], cols, [0.5], hot_rows)
+        middle = group_quantiles(df, [], cols, [0.5])
         return middle.select(*[F.element_at(c, 1).alias(c) for c in cols])
     if strategy == "mode":
         out = None
@@ -49,11 +49,11 @@ def impute(df: DataFrame, fills: DataFrame) -> DataFrame:
 
 
 def fit_outlier_bounds(
-    df: DataFrame, cols: Sequence[str], method: str = "iqr", threshold: float = 1.5, hot_rows: int | None = None
+    df: DataFrame, cols: Sequence[str], method: str = "iqr", threshold: float = 1.5
 ) -> DataFrame:
     """A one-row table ``{c}_low``, ``{c}_high``."""
     if method == "iqr":
-        q = group_quantiles(df, [], cols, [0.25, 0.75], hot_rows)
+        q = group_quantiles(df, [], cols, [0.25, 0.75])
         bounds = []
         for c in cols:
             low, high = F.element_at(c, 1), F.element_at(c, 2)

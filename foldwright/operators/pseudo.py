@@ -13,7 +13,7 @@ from foldwright.functions.names import as_list
 from foldwright.operators import metrics
 from foldwright.operators.learners import Learner, Model, predicted_label
 from foldwright.operators.splits import exact_sample
-from foldwright.plans.ranks import ordered_index
+from foldwright.plans.cuts import order_cuts
 from foldwright.session import cut
 
 PROBS, CONFIDENCE, ORIGIN = "probabilities", "confidence", "origin"
@@ -25,8 +25,8 @@ def confident(df: DataFrame, threshold: float, confidence: str = CONFIDENCE) ->
 
 def top_confident(df: DataFrame, id_col: str, k: int, confidence: str = CONFIDENCE) -> DataFrame:
     """The k most confident rows, ties by id; k may be a share of a huge table."""
-    ranked = ordered_index(df, confidence, id_col, descending=True, name="__fw_at")
-    return ranked.filter(F.col("__fw_at") < k).drop("__fw_at")
+    cuts = order_cuts(df, confidence, id_col, lambda n: [k], descending=True)
+    return df.filter(cuts.before(k))
 
 
 def min_max_scaled(df: DataFrame, col: str, name: str | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foldwright.plans.quantiles import group_quantiles
+from foldwright.plans.quantiles import table_quantiles
 
 
 def anova_f(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
@@ -39,10 +39,10 @@ def anova_f(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     )
 
 
-def _binned(df: DataFrame, features: Sequence[str], label: str, n_bins: int, hot_rows: int | None) -> DataFrame:
+def _binned(df: DataFrame, features: Sequence[str], label: str, n_bins: int) -> DataFrame:
     """Counts ``(feature, bin, class, n)`` with exact quantile bins."""
     shares = [i / n_bins for i in range(1, n_bins)]
-    edges = group_quantiles(df, [], features, shares, hot_rows).first()
+    edges = table_quantiles(df, features, shares)
     cells = []
     for c in features:
         inner = sorted({e for e in edges[c] if e is not None})
@@ -56,10 +56,10 @@ def _binned(df: DataFrame, features: Sequence[str], label: str, n_bins: int, hot
 
 
 def mutual_information(
-    df: DataFrame, features: Sequence[str], label: str, n_bins: int = 10, hot_rows: int | None = None
+    df: DataFrame, features: Sequence[str], label: str, n_bins: int = 10
 ) -> DataFrame:
     """``(feature, score)`` in nats, from quantile bins."""
-    counts = _binned(df, features, label, n_bins, hot_rows)
+    counts = _binned(df, features, label, n_bins)
     f = Window.partitionBy("feature")
     n = F.col("n").cast("double")
     total = F.sum("n").over(f)

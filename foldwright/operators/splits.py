@@ -1,15 +1,18 @@
 """Folds, time splits and samples.
 
 Fold contract: rows are ordered by md5 of seed and id, within the class where
-folds are stratified, and dealt round-robin. The result depends on the data
-only, never on partitioning, and equals the same rule in any SQL engine.
+folds are stratified, and fold ``i`` is the i-th of ``k`` equal blocks, the
+first ``n % k`` of them one row longer (``ntile``). The result depends on the
+data only, never on partitioning, and equals the same rule in any SQL engine.
+Because a block is bounded by hashes, no row moves to get its fold, and rows
+with the same id are never separated.
 """
 
 from __future__ import annotations
 
 import math
 import warnings
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,12 +20,19 @@ from pyspark.sql import functions as F
 
 from foldwright.functions.names import as_list, require
 from foldwright.functions.scalars import uniform_from_hash
+from foldwright.plans.cuts import hash_cuts, order_cuts, with_block
 from foldwright.plans.hot import attach
-from foldwright.plans.ranks import hashed_index, ordered_index, seeded_hash
+from foldwright.plans.ranks import ordered_index, seeded_hash
 
 FOLD = "fold"
 
 
+def block_starts(n: int, k: int) -> list[int]:
+    """First positions of blocks 1..k-1 when n rows are cut into k blocks."""
+    small, extra = divmod(n, k)
+    return [i * small + min(i, extra) for i in range(1, k)]
+
+
 def kfold(
     df: DataFrame,
     id_cols: str | Sequence[str],
@@ -31,38 +41,31 @@ def kfold(
     exact: bool = True,
     shuffle: bool = True,
 ) -> DataFrame:
-    """Add ``fold``. Exact sizes cost one shuffle; ``exact=False`` costs none.
+    """Add ``fold``. ``exact=False`` needs no pass over the data at all.
 
-    Without shuffling, folds are consecutive blocks in id order, the first
-    ``n % n_folds`` one row longer.
+    Without shuffling, folds are consecutive blocks in id order.
     """
     ids = as_list(id_cols)
     require(df, ids)
     if not shuffle:
-        numbered = ordered_index(df, ids[0], ids[1] if len(ids) > 1 else None, name="__fw_at")
-        rows = df.count()
-        small, extra = divmod(rows, n_folds)
-        edge = extra * (small + 1)
-        at = F.col("__fw_at")
-        block = F.when(at < edge, F.floor(at / (small + 1))).otherwise(
-            extra + F.floor((at - edge) / max(small, 1))
-        )
-        return numbered.withColumn(FOLD, block.cast("int")).drop("__fw_at")
+        tie = ids[1] if len(ids) > 1 else ids[0]
+        cuts = order_cuts(df, ids[0], tie, lambda n: block_starts(n, n_folds))
+        passed = F.lit(0)
+        for start in block_starts(cuts.n, n_folds):
+            passed = passed + (~cuts.before(start)).cast("int")
+        return df.withColumn(FOLD, passed)
     if not exact:
         return df.withColumn(FOLD, hash_fold(ids, n_folds, seed))
-    return _deal(hashed_index(df, seed, ids, name="__fw_at"), n_folds)
+    cuts = hash_cuts(df, seed, ids, lambda n: block_starts(n, n_folds))
+    return with_block(df, cuts, seed, ids, FOLD)
 
 
 def hash_fold(ids: Sequence[str], n_folds: int, seed: int) -> Column:
-    """A fold from the hash alone: sizes are equal only in expectation, but no row moves."""
+    """A fold from the hash alone: sizes are equal only in expectation."""
     lead = F.conv(F.substring(seeded_hash(seed, *ids), 1, 8), 16, 10).cast("long")
     return F.pmod(lead, F.lit(n_folds)).cast("int")
 
 
-def _deal(df: DataFrame, n_folds: int) -> DataFrame:
-    return df.withColumn(FOLD, F.pmod(F.col("__fw_at"), F.lit(n_folds)).cast("int")).drop("__fw_at")
-
-
 def stratified_kfold(
     df: DataFrame, id_cols: str | Sequence[str], label: str | None, n_folds: int = 5, seed: int = 42
 ) -> DataFrame:
@@ -70,7 +73,9 @@ def stratified_kfold(
     if label is None or label not in df.columns:
         warnings.warn("no label to stratify by; using plain folds")
         return kfold(df, id_cols, n_folds, seed)
-    return _deal(hashed_index(df, seed, as_list(id_cols), [label], "__fw_at"), n_folds)
+    ids = as_list(id_cols)
+    cuts = hash_cuts(df, seed, ids, lambda n: block_starts(n, n_folds), label)
+    return with_block(df, cuts, seed, ids, FOLD, label)
 
 
 def group_kfold(df: DataFrame, group: str, n_folds: int = 5) -> DataFrame:
@@ -100,7 +105,7 @@ def stratified_group_kfold(df: DataFrame, group: str, label: str, n_folds: int =
     if n_folds > n_groups:
         raise ValueError(f"n_splits ({n_folds}) cannot be greater than number of groups ({n_groups})")
     ranked = ordered_index(majority.select(group, "majority"), "majority", group, name="__fw_at")
-    folds = _deal(ranked.drop("majority"), n_folds)
+    folds = ranked.select(group, F.pmod(F.col("__fw_at"), F.lit(n_folds)).cast("int").alias(FOLD))
     return attach(df, folds, [group])
 
 
@@ -161,30 +166,31 @@ def purged_forward_blocks(
     return blocks
 
 
-def split_roles(indexed: DataFrame, blocks: Sequence[Block], index: str = "index") -> DataFrame:
+def split_roles(df: DataFrame, time: str, tie: str, blocks: Callable[[int], Sequence[Block]]) -> DataFrame:
     """One row per (row, split) it takes part in, with ``split`` and ``role``.
 
-    A row can appear in every split, so the table is up to k times as long; the
-    list per row is built from the k blocks, without a join.
+    A row can appear in every split, so the table is up to k times as long. Rows
+    compare their (time, tie) key with the keys at the block limits.
     """
-    at = F.col(index)
+
+    def limits(n: int) -> list[int]:
+        return [p for b in blocks(n) for p in (b.test_start, b.test_end, b.train_end, b.train_restart) if p is not None]
+
+    cuts = order_cuts(df, time, tie, limits)
     takes = []
-    for b in blocks:
-        train = at < b.train_end
+    for b in blocks(cuts.n):
+        train = cuts.before(b.train_end)
         if b.train_restart is not None:
-            train = train | (at >= b.train_restart)
-        test = (at >= b.test_start) & (at < b.test_end)
-        takes.append(
-            F.struct(
-                F.lit(b.split).alias("split"), F.when(test, "test").when(train, "train").alias("role")
-            )
-        )
-    exploded = indexed.withColumn("__fw_r", F.explode(F.filter(F.array(*takes), lambda t: t["role"].isNotNull())))
-    return exploded.select("*", "__fw_r.split", "__fw_r.role").drop("__fw_r")
+            train = train | ~cuts.before(b.train_restart)
+        test = ~cuts.before(b.test_start) & cuts.before(b.test_end)
+        role = F.when(test, "test").when(train, "train")
+        takes.append(F.struct(F.lit(b.split).alias("split"), role.alias("role")))
+    taken = F.filter(F.array(*takes), lambda t: t["role"].isNotNull())
+    return df.withColumn("__fw_r", F.explode(taken)).select(*df.columns, "__fw_r.split", "__fw_r.role")
 
 
 def time_split(df: DataFrame, time: str, tie: str, n_folds: int = 5) -> DataFrame:
-    return split_roles(ordered_index(df, time, tie), time_blocks(df.count(), n_folds))
+    return split_roles(df, time, tie, lambda n: time_blocks(n, n_folds))
 
 
 def purged_split(
@@ -196,27 +202,26 @@ def purged_split(
     embargo_pct: float = 0.0,
     legacy: bool = False,
 ) -> DataFrame:
-    blocks = purged_blocks(df.count(), n_folds, purge_gap, embargo_pct, legacy)
-    return split_roles(ordered_index(df, time, tie), blocks)
+    return split_roles(df, time, tie, lambda n: purged_blocks(n, n_folds, purge_gap, embargo_pct, legacy))
 
 
 def purged_forward_split(
     df: DataFrame, time: str, tie: str, n_folds: int = 5, purge_gap: int = 0, embargo_pct: float = 0.01
 ) -> DataFrame:
-    blocks = purged_forward_blocks(df.count(), n_folds, purge_gap, embargo_pct)
-    return split_roles(ordered_index(df, time, tie), blocks)
+    return split_roles(df, time, tie, lambda n: purged_forward_blocks(n, n_folds, purge_gap, embargo_pct))
 
 
 # ------------------------------------------------------------------- sampling
 
 
 def exact_sample(df: DataFrame, id_cols: str | Sequence[str], share: float, seed: int = 42) -> DataFrame:
-    """Exactly ``int(n * share)`` rows, chosen by seeded hash order."""
+    """Exactly ``int(n * share)`` rows (ids being unique), first in seeded hash order: a plain filter."""
     if share >= 1.0:
         return df
-    wanted = int(df.count() * share)
-    picked = hashed_index(df, seed, as_list(id_cols), name="__fw_at")
-    return picked.filter(F.col("__fw_at") < wanted).drop("__fw_at")
+    ids = as_list(id_cols)
+    cuts = hash_cuts(df, seed, ids, lambda n: [int(n * share)])
+    limit = next(iter(cuts.cuts.values()), [None])[0]
+    return df if limit is None else df.filter(seeded_hash(seed, *ids) < F.lit(limit))
 
 
 def bootstrap(df: DataFrame, id_cols: str | Sequence[str], seed: int = 42, copies: str = "copies") -> DataFrame:
@@ -251,16 +256,11 @@ def holdout(
     stratify: bool = True,
 ) -> DataFrame:
     """Add ``role``: 'valid' for ``ceil(share * n)`` rows (of each class), else 'train'."""
-    by = [label] if stratify and label else []
-    placed = hashed_index(df, seed, as_list(id_cols), by, "__fw_at")
-    if by:
-        sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__fw_n"))
-        # one row per class; a label with many values is joined by key as usual
-        placed = attach(placed, sizes, by)
-    else:
-        placed = placed.crossJoin(F.broadcast(df.agg(F.count(F.lit(1)).alias("__fw_n"))))
-    valid = F.col("__fw_at") < F.ceil(F.col("__fw_n") * F.lit(share))
-    return placed.withColumn("role", F.when(valid, "valid").otherwise("train")).drop("__fw_at", "__fw_n")
+    by = label if stratify else None
+    ids = as_list(id_cols)
+    cuts = hash_cuts(df, seed, ids, lambda n: [math.ceil(share * n)], by)
+    placed = with_block(df, cuts, seed, ids, "__fw_block", by)
+    return placed.withColumn("role", F.when(F.col("__fw_block") == 0, "valid").otherwise("train")).drop("__fw_block")
 
 
 def choose_strategy(

@@ -115,6 +115,24 @@ def _thin(values: list[float], wanted: int) -> list[float]:
     return [values[min(len(values) - 1, int(step * i))] for i in range(1, wanted)]
 
 
+def _resolution(df: DataFrame) -> int:
+    return min(MAX_BUCKETS, max(64, 4 * shuffle_width(df.sparkSession)))
+
+
+def _limits(quantiles: list[float] | None, count: int) -> tuple[list[float], list[float]]:
+    """Splits for ``count`` buckets, and the values that fill several of them."""
+    cuts = _thin([v for v in (quantiles or []) if not math.isnan(v)], count)
+    repeats = Counter(cuts)
+    points: set[float] = set()
+    owners: list[float] = []
+    for value in sorted(repeats):
+        points.add(value)
+        if repeats[value] > 1 and abs(value) < EXACT_DOUBLE:
+            owners.append(value)
+            points.add(math.nextafter(value, math.inf))
+    return sorted(points), owners
+
+
 def order_buckets(
     df: DataFrame,
     order: str,
@@ -123,7 +141,7 @@ def order_buckets(
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> Buckets:
     """Limits for ``(order, tie)``: one aggregate over two columns, one row back."""
-    most = min(MAX_BUCKETS, max(64, 4 * shuffle_width(df.sparkSession)))
+    most = _resolution(df)
     shares = [i / most for i in range(1, most)]
     position = as_double(df, order)
     wanted = [
@@ -133,28 +151,33 @@ def order_buckets(
     numeric_tie = tie is not None and is_ordinal(df, tie)
     if numeric_tie:
         wanted.append(F.percentile_approx(as_double(df, tie), shares, 10_000).alias("t"))
-    limits = df.agg(*wanted).first()
-    rows = limits["n"]
+    found = df.agg(*wanted).first()
+    rows = found["n"]
     count = max(1, min(most, math.ceil(rows / rows_per_bucket)))
     if count == 1:
         return Buckets(order, tie, descending, rows)
-    cuts = _thin([v for v in (limits["o"] or []) if not math.isnan(v)], count)
-    repeats = Counter(cuts)
-    points: list[float] = []
-    owners: list[float] = []
-    for value in sorted(repeats):
-        points.append(value)
-        if repeats[value] > 1 and abs(value) < EXACT_DOUBLE:
-            owners.append(value)
-            points.append(math.nextafter(value, math.inf))
-    points = sorted(set(points))
-    found = Buckets(order, tie, descending, rows, points, [points.index(v) + 1 for v in owners])
+    points, owners = _limits(found["o"], count)
+    limits = Buckets(order, tie, descending, rows, points, [points.index(v) + 1 for v in owners])
     if tie is not None:
         if numeric_tie:
-            found.tie_splits = sorted(set(_thin(list(limits["t"] or []), count)))
+            limits.tie_splits = sorted(set(_thin(list(found["t"] or []), count)))
         elif owners:
-            found.tie_words = _word_limits(df, tie, rows)
-    return found
+            limits.tie_words = _word_limits(df, tie, rows)
+    return limits
+
+
+def column_buckets(df: DataFrame, cols: list[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> dict[str, Buckets]:
+    """Limits of several numeric columns, each ordered on its own, from one aggregate."""
+    most = _resolution(df)
+    shares = [i / most for i in range(1, most)]
+    wanted = [F.percentile_approx(as_double(df, c), shares, 10_000).alias(f"q{i}") for i, c in enumerate(cols)]
+    found = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)], *wanted).first()
+    limits = {}
+    for i, c in enumerate(cols):
+        count = max(1, min(most, math.ceil(found[f"n{i}"] / rows_per_bucket)))
+        points = _limits(found[f"q{i}"], count)[0] if count > 1 else []
+        limits[c] = Buckets(c, None, False, found[f"n{i}"], points)
+    return limits
 
 
 def _word_limits(df: DataFrame, tie: str, rows: int, wanted: int = 256) -> list[str]:

@@ -2,20 +2,20 @@
 
 Spark's ``percentile`` keeps every distinct value of a group in one buffer. That
 is right for ordinary groups and wrong for one that holds a third of the table,
-so hot groups are selected instead: count rows per value range, find the ranges
-that hold the wanted ranks, and look only inside those.
+so hot groups and whole tables are selected instead: count rows per value range,
+find the ranges that hold the wanted ranks, and look only inside those.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foldwright.plans.buckets import BUCKET, ROWS_PER_BUCKET, order_buckets
-from foldwright.plans.hot import HOT_ROWS, hot_keys
-from foldwright.plans.size import is_small
+from foldwright.plans.buckets import BUCKET, ROWS_PER_BUCKET, SUB, column_buckets, order_buckets
+from foldwright.plans.hot import hot_keys
 
 
 def group_quantiles(
@@ -30,11 +30,11 @@ def group_quantiles(
     slim = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols])
     plain = [F.percentile(c, F.array(*[F.lit(s) for s in shares])).alias(c) for c in cols]
     if not keys:
-        if hot_rows is None and is_small(slim):
-            return slim.agg(*plain)
-        if slim.count() <= (HOT_ROWS if hot_rows is None else hot_rows):
-            return slim.agg(*plain)
-        return _select(slim, [], cols, shares)
+        found = table_quantiles(slim, cols, shares)
+        made = [
+            F.array(*[F.lit(v).cast("double") for v in found[c]]).alias(c) for c in cols
+        ]
+        return df.sparkSession.range(1).select(*made)
     hot = hot_keys(slim, keys, hot_rows)
     if hot is None:
         return slim.groupBy(*keys).agg(*plain)
@@ -43,20 +43,84 @@ def group_quantiles(
     return cold.unionByName(heavy)
 
 
+def table_quantiles(df: DataFrame, cols: Sequence[str], shares: Sequence[float]) -> dict[str, list[float | None]]:
+    """Exact quantiles of whole columns, a few numbers each, in three jobs for all columns.
+
+    Limits of value ranges, rows per range, then only the rows of the ranges
+    that hold a wanted rank.
+    """
+    limits = column_buckets(df, list(cols))
+    placed, marks = df.select(*cols), {}
+    for i, c in enumerate(cols):
+        marks[c] = f"__fw_b{i}"
+        placed = limits[c].place(placed).withColumnRenamed(BUCKET, marks[c]).drop(SUB)
+    cells = F.array(
+        *[F.struct(F.lit(i).alias("c"), F.col(marks[c]).alias("b"), F.col(c).alias("v")) for i, c in enumerate(cols)]
+    )
+    long = placed.select(F.explode(cells).alias("e")).select("e.*").filter(F.col("v").isNotNull())
+    counts: dict[int, list[tuple[int, int]]] = {}
+    for r in long.groupBy("c", "b").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts.setdefault(r["c"], []).append((r["b"], r["n"]))
+    ranks: dict[int, list[tuple[int, int, float]]] = {}
+    places: dict[tuple[int, int], tuple[int, int]] = {}
+    for i, found in counts.items():
+        n = sum(m for _, m in found)
+        at = [s * (n - 1) for s in shares]
+        ranks[i] = [(math.floor(a), math.ceil(a), a - math.floor(a)) for a in at]
+        left = sorted({r for low, high, _ in ranks[i] for r in (low, high)})
+        before = 0
+        for b, m in sorted(found):
+            while left and left[0] < before + m:
+                rank = left.pop(0)
+                places[(i, rank)] = (b, rank - before)
+            before += m
+    hit = F.lit(False)
+    for i, b in sorted({(i, b) for (i, _), (b, _) in places.items()}):
+        hit = hit | ((F.col("c") == i) & (F.col("b") == b))
+    # equal values collapse first, so a frequent value is one row
+    few = long.filter(hit).groupBy("c", "b", "v").agg(F.count(F.lit(1)).alias("m"))
+    upto = F.sum("m").over(
+        Window.partitionBy("c", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    few = few.withColumn("upto", upto)
+    asked = F.lit(False)
+    for (i, _), (b, inner) in places.items():
+        asked = asked | (
+            (F.col("c") == i) & (F.col("b") == b) & (F.col("upto") > inner) & (F.col("upto") - F.col("m") <= inner)
+        )
+    seen: dict[tuple[int, int], list[tuple[int, float]]] = {}
+    for r in few.filter(asked).select("c", "b", "upto", "v").collect():
+        seen.setdefault((r["c"], r["b"]), []).append((r["upto"], r["v"]))
+
+    def value(i: int, rank: int) -> float:
+        b, inner = places[(i, rank)]
+        return min((u, v) for u, v in seen[(i, b)] if u > inner)[1]
+
+    out: dict[str, list[float | None]] = {}
+    for i, c in enumerate(cols):
+        if i not in ranks:
+            out[c] = [None] * len(shares)
+            continue
+        out[c] = []
+        for low, high, part in ranks[i]:
+            a, z = value(i, low), value(i, high)
+            out[c].append(a + (z - a) * part)
+    return out
+
+
 def _select(df: DataFrame, keys: list[str], cols: Sequence[str], shares: list[float]) -> DataFrame:
     tables = [_select_one(df, keys, c, shares) for c in cols]
     result = tables[0]
     for table in tables[1:]:
-        result = result.join(table, keys, "outer") if keys else result.crossJoin(F.broadcast(table))
+        result = result.join(table, keys, "outer")
     return result
 
 
 def _select_one(df: DataFrame, keys: list[str], col: str, shares: list[float]) -> DataFrame:
     values = df.select(*keys, col).filter(F.col(col).isNotNull())
     rows = order_buckets(values, col, rows_per_bucket=ROWS_PER_BUCKET).place(values)
-    group = keys or [F.lit(0)]
     cells = rows.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("__fw_n"))
-    by_group = Window.partitionBy(*group)
+    by_group = Window.partitionBy(*keys)
     cells = cells.select(
         "*",
         F.coalesce(
@@ -93,5 +157,4 @@ def _select_one(df: DataFrame, keys: list[str], col: str, shares: list[float]) -
     for i in range(len(shares)):
         low, high, at = pick(i, col, False), pick(i, col, True), pick(i, "__fw_q.at", False)
         quantiles.append(low + (high - low) * (at - F.floor(at)))
-    grouped = hits.groupBy(*keys) if keys else hits.groupBy()
-    return grouped.agg(F.array(*quantiles).alias(col))
+    return hits.groupBy(*keys).agg(F.array(*quantiles).alias(col))

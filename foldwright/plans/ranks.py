@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwright.plans.buckets import BUCKET, ROWS_PER_BUCKET, SUB, Buckets, order_buckets
-from foldwright.plans.size import shuffle_width
 
 _NULL_KEY = "\u0000"
 
@@ -82,18 +81,3 @@ def ordered_index(
 ) -> DataFrame:
     """Add the 0-based position of every row in ``(order, tie)`` order."""
     return prefix_sums(df, order, {name: F.lit(1).cast("long")}, partition, tie, descending, rows_per_bucket)
-
-
-def hashed_index(
-    df: DataFrame, seed: int, ids: Sequence[str], partition: Sequence[str] = (), name: str = "index"
-) -> DataFrame:
-    """Add the 0-based position of every row in a seeded shuffle.
-
-    The first hex digits of the md5 are uniform, so they bucket the rows evenly
-    with no pass over the data; wide clusters use one digit more.
-    """
-    digits = 2 if shuffle_width(df.sparkSession) <= 32 else 3 if shuffle_width(df.sparkSession) <= 512 else 4
-    placed, keys = _partition_keys(df.withColumn("__fw_h", seeded_hash(seed, *ids)), partition)
-    placed = placed.withColumn("__fw_hb", F.substring("__fw_h", 1, digits))
-    sort = [F.col("__fw_h"), *[F.col(c) for c in ids]]
-    return _add_offsets(placed, keys, ["__fw_hb"], sort, {name: F.lit(1).cast("long")}).drop("__fw_h")

@@ -57,3 +57,17 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably and drop its lineage (iterative operators)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+    """Write a fitted or intermediate table to the shared folder and read it back.
+
+    Used for tables that several parts of a plan read. A written table survives
+    the loss of executors, and its true size lets Spark choose the joins.
+    """
+    path = scratch_path(df.sparkSession, label)
+    writer = df.write
+    if partition_by is not None:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
