@@ -347,25 +347,27 @@ def apply_counts(
     return out
 
 
+def _ranked(counts: DataFrame, ascending: bool) -> DataFrame:
+    """Add ``rank`` to ``(category, n)``: by count, ties by category."""
+    at = ordered_index(counts, "n", "category", descending=not ascending, name="__fw_at")
+    return at.withColumn("rank", F.col("__fw_at") + 1).drop("__fw_at")
+
+
 def frequency_ranks(df: DataFrame, col: str, ascending: bool = False) -> DataFrame:
     """``(category, n, rank)``: 1 is the most (or least) frequent, ties by category."""
     known = df.filter(F.col(col).isNotNull()).select(F.col(col).cast("string").alias("category"))
-    counts = known.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
-    ranked = ordered_index(counts, "n", "category", descending=not ascending, name="__fw_at")
-    return ranked.select("category", "n", (F.col("__fw_at") + 1).alias("rank"))
+    counts = stage(known.groupBy("category").agg(F.count(F.lit(1)).alias("n")), "category-counts")
+    return _ranked(counts, ascending)
 
 
 def fit_frequency(df: DataFrame, cols: str | Sequence[str], ascending: bool = False) -> DataFrame:
-    """State ``(column, category, value)`` with the rank as value."""
-    cols = as_list(cols)
-    require(df, cols)
-    parts = [
-        frequency_ranks(df, c, ascending).select(F.lit(c).alias("column"), "category", F.col("rank").alias("value"))
-        for c in cols
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    """State ``(column, category, value)`` with the rank as value; one pass over the rows."""
+    counts = fit_counts(df, cols)
+    out = None
+    for c in as_list(cols):
+        mine = counts.filter(F.col("column") == c).select("category", F.col("value").alias("n"))
+        part = _ranked(mine, ascending).select(F.lit(c).alias("column"), "category", F.col("rank").alias("value"))
+        out = part if out is None else out.unionByName(part)
     return stage(out, "frequency-ranks", "column")
 
 

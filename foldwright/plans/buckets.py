@@ -19,10 +19,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldwright.plans.size import shuffle_width
+from foldwright.plans.size import is_small, shuffle_width
 
 ROWS_PER_BUCKET = 2_000
 MAX_BUCKETS = 4_096
+#: Bucket limits of a larger table are estimated from about this many of its rows.
+LIMIT_ROWS = 5_000_000
 EXACT_DOUBLE = 2.0**53
 BUCKET = "__fw_b"
 SUB = "__fw_s"
@@ -119,6 +121,18 @@ def _resolution(df: DataFrame) -> int:
     return min(MAX_BUCKETS, max(64, 4 * shuffle_width(df.sparkSession)))
 
 
+def _for_limits(df: DataFrame) -> tuple[DataFrame, int | None]:
+    """The rows to estimate limits from, and the row count if it had to be taken.
+
+    A small table is used whole, in the same job that counts it. Of a large one
+    a sample is enough: limits decide the balance only.
+    """
+    if is_small(df):
+        return df, None
+    rows = df.count()
+    return (df if rows <= LIMIT_ROWS else df.sample(LIMIT_ROWS / rows, 7)), rows
+
+
 def _limits(quantiles: list[float] | None, count: int) -> tuple[list[float], list[float]]:
     """Splits for ``count`` buckets, and the values that fill several of them."""
     cuts = _thin([v for v in (quantiles or []) if not math.isnan(v)], count)
@@ -151,8 +165,9 @@ def order_buckets(
     numeric_tie = tie is not None and is_ordinal(df, tie)
     if numeric_tie:
         wanted.append(F.percentile_approx(as_double(df, tie), shares, 10_000).alias("t"))
-    found = df.agg(*wanted).first()
-    rows = found["n"]
+    source, rows = _for_limits(df)
+    found = source.agg(*wanted).first()
+    rows = found["n"] if rows is None else rows
     count = max(1, min(most, math.ceil(rows / rows_per_bucket)))
     if count == 1:
         return Buckets(order, tie, descending, rows)
@@ -171,12 +186,14 @@ def column_buckets(df: DataFrame, cols: list[str], rows_per_bucket: int = ROWS_P
     most = _resolution(df)
     shares = [i / most for i in range(1, most)]
     wanted = [F.percentile_approx(as_double(df, c), shares, 10_000).alias(f"q{i}") for i, c in enumerate(cols)]
-    found = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)], *wanted).first()
+    source, rows = _for_limits(df)
+    found = source.agg(F.count(F.lit(1)).alias("n"), *wanted).first()
+    rows = found["n"] if rows is None else rows
+    count = max(1, min(most, math.ceil(rows / rows_per_bucket)))
     limits = {}
     for i, c in enumerate(cols):
-        count = max(1, min(most, math.ceil(found[f"n{i}"] / rows_per_bucket)))
         points = _limits(found[f"q{i}"], count)[0] if count > 1 else []
-        limits[c] = Buckets(c, None, False, found[f"n{i}"], points)
+        limits[c] = Buckets(c, None, False, rows, points)
     return limits
 
 

@@ -186,9 +186,9 @@ def order_cuts(
             position = left.pop(0)
             places[(cell[BUCKET], cell[SUB], position - before)] = position
         before += cell["n"]
-    hit = F.lit(False)
-    for b, s in sorted({(b, s) for b, s, _ in places}):
-        hit = hit | ((F.col(BUCKET) == b) & (F.col(SUB) == s))
+    # sub-buckets start at -1
+    cell = F.col(BUCKET).cast("long") * 1_000_000 + F.col(SUB)
+    hit = cell.isin(sorted({b * 1_000_000 + s for b, s, _ in places}))
     at = F.row_number().over(Window.partitionBy(BUCKET, SUB).orderBy(*limits.sort_columns())) - 1
     few = placed.filter(hit).withColumn("__fw_i", at)
     few = few.filter(F.col("__fw_i").isin(sorted({i for _, _, i in places})))

@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from foldwright.plans.buckets import BUCKET, ROWS_PER_BUCKET, SUB, column_buckets, order_buckets
 from foldwright.plans.hot import hot_keys
 
+_STRIDE = 1_000_000
+#: Up to this many rows one aggregation buffer is the faster way.
+PLAIN_ROWS = 20_000
+
 
 def group_quantiles(
     df: DataFrame,
@@ -43,12 +47,22 @@ def group_quantiles(
     return cold.unionByName(heavy)
 
 
-def table_quantiles(df: DataFrame, cols: Sequence[str], shares: Sequence[float]) -> dict[str, list[float | None]]:
+def _cell(column: int, bucket: int) -> int:
+    return column * _STRIDE + bucket
+
+
+def table_quantiles(
+    df: DataFrame, cols: Sequence[str], shares: Sequence[float], plain_rows: int = PLAIN_ROWS
+) -> dict[str, list[float | None]]:
     """Exact quantiles of whole columns, a few numbers each, in three jobs for all columns.
 
     Limits of value ranges, rows per range, then only the rows of the ranges
-    that hold a wanted rank.
+    that hold a wanted rank. A few rows are left to ``percentile``.
     """
+    if df.count() <= plain_rows:
+        asked = F.array(*[F.lit(float(s)) for s in shares])
+        row = df.agg(*[F.percentile(c, asked).alias(c) for c in cols]).first()
+        return {c: list(row[c]) if row[c] is not None else [None] * len(shares) for c in cols}
     limits = column_buckets(df, list(cols))
     placed, marks = df.select(*cols), {}
     for i, c in enumerate(cols):
@@ -74,22 +88,23 @@ def table_quantiles(df: DataFrame, cols: Sequence[str], shares: Sequence[float])
                 rank = left.pop(0)
                 places[(i, rank)] = (b, rank - before)
             before += m
-    hit = F.lit(False)
-    for i, b in sorted({(i, b) for (i, _), (b, _) in places.items()}):
-        hit = hit | ((F.col("c") == i) & (F.col("b") == b))
+    inner: dict[int, list[int]] = {}
+    for (i, _), (b, at) in places.items():
+        inner.setdefault(_cell(i, b), []).append(at)
+    if not inner:
+        return {c: [None] * len(shares) for c in cols}
     # equal values collapse first, so a frequent value is one row
-    few = long.filter(hit).groupBy("c", "b", "v").agg(F.count(F.lit(1)).alias("m"))
+    cell = F.col("c") * _STRIDE + F.col("b")
+    few = long.filter(cell.isin(sorted(inner))).groupBy("c", "b", "v").agg(F.count(F.lit(1)).alias("m"))
     upto = F.sum("m").over(
         Window.partitionBy("c", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     few = few.withColumn("upto", upto)
-    asked = F.lit(False)
-    for (i, _), (b, inner) in places.items():
-        asked = asked | (
-            (F.col("c") == i) & (F.col("b") == b) & (F.col("upto") > inner) & (F.col("upto") - F.col("m") <= inner)
-        )
+    asked = F.create_map(*[x for k, v in inner.items() for x in (F.lit(k), F.array(*[F.lit(r) for r in sorted(set(v))]))])
+    covers = F.exists(asked[cell], lambda r: (F.col("upto") > r) & (F.col("upto") - F.col("m") <= r))
+    few = few.filter(covers)
     seen: dict[tuple[int, int], list[tuple[int, float]]] = {}
-    for r in few.filter(asked).select("c", "b", "upto", "v").collect():
+    for r in few.select("c", "b", "upto", "v").collect():
         seen.setdefault((r["c"], r["b"]), []).append((r["upto"], r["v"]))
 
     def value(i: int, rank: int) -> float:
