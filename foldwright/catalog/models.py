@@ -582,3 +582,125 @@ def p1_encoded_only(spark, d):
 
     rows = orders(spark, d)
     return rounded(encode.apply_target(rows, encode.fit_target(rows, "o_orderpriority", "y"), "o_orderpriority", keep=[_KEY]))
+
+
+# ----------------------------- the same flows with a learner that SQL can express
+
+
+def _group_learner(*keys):
+    return GroupMeanLearner(keys, "y")
+
+
+def _labelled_groups(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source")
+    labels = table(spark, d, "labels").select("doc_id", F.col("quality").alias("y"))
+    return docs.join(labels, "doc_id"), docs.join(labels, "doc_id", "left_anti")
+
+
+_DOCS = """l AS (SELECT doc_id, lang, source, quality AS y FROM documents JOIN labels USING (doc_id)),
+  u AS (SELECT doc_id, lang, source FROM documents ANTI JOIN labels USING (doc_id)),
+  g AS (SELECT avg(y) AS g FROM l),
+  m AS (SELECT lang, source, (sum(y) + 10 * any_value(g)) / (count(*) + 10) AS v FROM l, g GROUP BY 1, 2),
+  p AS (SELECT doc_id, coalesce(v, g) AS p FROM u CROSS JOIN g LEFT JOIN m USING (lang, source)),
+  c AS (SELECT doc_id, p, greatest(1 - p, p) AS confidence, CAST(p > 1 - p AS INTEGER) AS y FROM p)"""
+
+
+@query(
+    "m4_stack_meta_table",
+    f"""WITH {FOLDED}, g AS (SELECT k AS fold, avg(y) AS g FROM folded, range(5) r(k) WHERE fold <> k GROUP BY k),
+    a AS (SELECT o_custkey, g.fold, (sum(y) + 10 * any_value(g)) / (count(*) + 10) AS v FROM folded f JOIN g ON f.fold <> g.fold GROUP BY 1, 2),
+    b AS (SELECT o_orderpriority, g.fold, (sum(y) + 10 * any_value(g)) / (count(*) + 10) AS v FROM folded f JOIN g ON f.fold <> g.fold GROUP BY 1, 2)
+    SELECT o_orderkey, fold, round(coalesce(a.v, g), 6) AS meta_customer, round(coalesce(b.v, g), 6) AS meta_priority
+    FROM folded JOIN g USING (fold) LEFT JOIN a USING (o_custkey, fold) LEFT JOIN b USING (o_orderpriority, fold)""",
+)
+def m4_stack_meta_table(spark, d):
+    base = {"customer": _group_learner("o_custkey"), "priority": _group_learner("o_orderpriority")}
+    stack = oof.Stack(base, lambda cols: _logistic(cols, "y"), "y")
+    return rounded(stack.fit(_order_folds(spark, d), _KEY).select(_KEY, "fold", "meta_customer", "meta_priority"))
+
+
+@query(
+    "m15_iterate_group_mean",
+    f"""WITH {_DOCS}, s AS (SELECT doc_id, y FROM c WHERE confidence >= 0.72 QUALIFY
+      row_number() OVER (ORDER BY md5(concat_ws('_', '42', CAST(doc_id AS VARCHAR)))) <= floor(count(*) OVER () * 0.5))
+    SELECT doc_id, y FROM l UNION ALL SELECT doc_id, y FROM s""",
+)
+def m15_iterate_group_mean(spark, d):
+    labelled, rest = _labelled_groups(spark, d)
+    _, _, final = pseudo.iterate(
+        labelled, rest, _group_learner("lang", "source"), "y", "doc_id", threshold=0.72, max_iterations=1
+    )
+    return final.select("doc_id", "y")
+
+
+@query(
+    "m17_soft_group_mean",
+    f"""WITH {_DOCS}, s AS (SELECT doc_id, p FROM p QUALIFY row_number() OVER
+      (ORDER BY md5(concat_ws('_', '42', CAST(doc_id AS VARCHAR)))) <= floor(count(*) OVER () * 0.5))
+    SELECT doc_id, y::DOUBLE AS p, 'train' AS origin FROM l
+    UNION ALL SELECT doc_id, round(sqrt(p + 1e-8) / (sqrt(p + 1e-8) + sqrt(1 - p + 1e-8)), 6), 'pseudo' FROM s""",
+)
+def m17_soft_group_mean(spark, d):
+    labelled, rest = _labelled_groups(spark, d)
+    model = _group_learner("lang", "source").fit(labelled)
+    out = pseudo.soft_pseudo_label(labelled, rest, model, "y", "doc_id", 2, ["doc_id"], 2.0, 0.5)
+    return rounded(out.select("doc_id", F.element_at("soft_label", 2).alias("p"), "origin"))
+
+
+@query(
+    "m18_top_group_mean",
+    f"""WITH {_DOCS}, s AS (SELECT doc_id, y FROM c WHERE confidence >= 0.6 ORDER BY round(confidence, 9) DESC, doc_id
+      LIMIT (SELECT CAST(floor(count(*) * 0.2) AS BIGINT) FROM u))
+    SELECT doc_id, y FROM l UNION ALL SELECT doc_id, y FROM s""",
+)
+def m18_top_group_mean(spark, d):
+    labelled, rest = _labelled_groups(spark, d)
+    _, _, final = pseudo.iterate_top(
+        labelled, rest, _group_learner("lang", "source"), "y", "doc_id", threshold=0.6, sample_ratio=0.2, max_iterations=1
+    )
+    return final.select("doc_id", "y")
+
+
+@query(
+    "m19_safe_group_mean",
+    f"""WITH {_DOCS}, n AS (SELECT y, count(*) AS n FROM c WHERE confidence >= 0.8 GROUP BY 1),
+    t AS (SELECT CASE WHEN count(*) = 2 AND max(n) / (min(n) + 1) > 3 THEN 0.8 * 0.8 ELSE 0.8 END AS t FROM n)
+    SELECT doc_id, y FROM l UNION ALL SELECT doc_id, y FROM c, t WHERE confidence >= t""",
+)
+def m19_safe_group_mean(spark, d):
+    labelled, rest = _labelled_groups(spark, d)
+    _, _, final = pseudo.iterate_safely(
+        labelled, rest, _group_learner("lang", "source"), "y", "doc_id", threshold=0.8, max_iterations=1
+    )
+    return final.select("doc_id", "y")
+
+
+@query(
+    "m24_evaluate_group_means",
+    f"""WITH {_DOCS}, k AS (SELECT lang, (sum(y) + 10 * any_value(g)) / (count(*) + 10) AS v FROM l, g GROUP BY 1),
+    f AS (SELECT y, round(m.v, 9) AS a, round(k.v, 9) AS b FROM l JOIN m USING (lang, source) JOIN k USING (lang))
+    SELECT 'teacher_both' AS model, round(auc, 6) AS score FROM {auc_sql('f', 'a')}
+    UNION ALL SELECT 'teacher_lang', round(auc, 6) FROM {auc_sql('f', 'b')}""",
+)
+def m24_evaluate_group_means(spark, d):
+    labelled, _ = _labelled_groups(spark, d)
+    teachers = {"both": _group_learner("lang", "source"), "lang": _group_learner("lang")}
+    run = distill.Distiller(teachers, _group_learner("lang"))
+    run.fit_teachers(labelled)
+    return rounded(run.evaluate(labelled, "y"))
+
+
+@query(
+    "m25_distillation_group_means",
+    f"""WITH {_DOCS}, k AS (SELECT lang, (sum(y) + 10 * any_value(g)) / (count(*) + 10) AS v FROM l, g GROUP BY 1),
+    z AS (SELECT doc_id, p AS a, coalesce(k.v, g) AS b FROM u JOIN p USING (doc_id) CROSS JOIN g LEFT JOIN k USING (lang)
+      QUALIFY row_number() OVER (ORDER BY md5(concat_ws('_', '42', CAST(doc_id AS VARCHAR)))) <= floor(count(*) OVER () * 0.5)),
+    w AS (SELECT doc_id, pow(a + 1e-8, 1 / 3.0) / (pow(a + 1e-8, 1 / 3.0) + pow(1 - a + 1e-8, 1 / 3.0)) AS a,
+                 pow(b + 1e-8, 1 / 3.0) / (pow(b + 1e-8, 1 / 3.0) + pow(1 - b + 1e-8, 1 / 3.0)) AS b FROM z)
+    SELECT doc_id, y::DOUBLE AS p, 'train' AS origin FROM l UNION ALL SELECT doc_id, round((a + b) / 2, 6), 'pseudo' FROM w""",
+)
+def m25_distillation_group_means(spark, d):
+    labelled, rest = _labelled_groups(spark, d)
+    teachers = [_group_learner("lang", "source").fit(labelled), _group_learner("lang").fit(labelled)]
+    out = distill.distillation_dataset(labelled, rest, teachers, "y", "doc_id", 2, ["doc_id"], 3.0, 0.5)
+    return rounded(out.select("doc_id", F.element_at("soft_label", 2).alias("p"), "origin"))

@@ -13,6 +13,8 @@ from foldwright.functions.names import as_list, require
 from foldwright.functions.scalars import numeric_columns, ratio
 from foldwright.plans.hot import attach
 from foldwright.plans.quantiles import group_quantiles
+from foldwright.plans.size import is_small
+from foldwright.session import stage
 
 DEFAULT_STATS = ("mean", "std", "min", "max", "median", "count", "nunique")
 PREFIX_STATS = ("mean", "std", "min", "max", "count", "median", "skew")
@@ -72,15 +74,19 @@ def group_stats(
             if make is not None:
                 made.append(make(col).alias(name(col, stat)))
     table = known.groupBy(*keys).agg(*made)
+    if hot_rows is not None or not is_small(df):
+        # read by the hot-key check and on both sides of the join: aggregate once
+        table = stage(table, "group-stats")
     if "median" in stats and not approximate:
-        medians = group_quantiles(known, keys, cols, [0.5], hot_rows)
+        medians = group_quantiles(known, keys, cols, [0.5], hot_rows, table.select(*keys, _SIZE))
         medians = medians.select(*keys, *[F.element_at(c, 1).alias(name(c, "median")) for c in cols])
         table = table.join(medians, keys, "left")
     return table.select(*keys, _SIZE, *[name(c, s) for c in cols for s in stats])
 
 
 def _back_to_rows(df: DataFrame, table: DataFrame, keys: Sequence[str], hot_rows: int | None) -> DataFrame:
-    return attach(df, table.drop(_SIZE), keys, sizes=table.select(*keys, _SIZE), hot_rows=hot_rows)
+    sizes = table.select(*keys, _SIZE)
+    return attach(df, table.drop(_SIZE), keys, sizes=sizes, hot_rows=hot_rows)
 
 
 def group_features(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwright.plans.quantiles import table_quantiles
+from foldwright.session import stage
 
 
 def anova_f(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
@@ -157,7 +158,8 @@ def score_table(scores: dict[str, DataFrame], kept: DataFrame | None = None) ->
         out = part if out is None else out.unionByName(part)
     if kept is not None:
         out = out.unionByName(kept.select(F.lit("kept").alias("method"), "feature", F.lit(1.0).alias("score")))
-    return out
+    # a few lines that cost a pass each: votes and reports read them several times
+    return stage(out, "feature-scores")
 
 
 def votes(table: DataFrame) -> DataFrame:

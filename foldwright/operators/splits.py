@@ -23,6 +23,7 @@ from foldwright.functions.scalars import uniform_from_hash
 from foldwright.plans.cuts import hash_cuts, order_cuts, with_block
 from foldwright.plans.hot import attach
 from foldwright.plans.ranks import ordered_index, seeded_hash
+from foldwright.session import stage
 
 FOLD = "fold"
 
@@ -86,7 +87,8 @@ def group_kfold(df: DataFrame, group: str, n_folds: int = 5) -> DataFrame:
     if group is None:
         raise ValueError("grouped folds need a group column")
     require(df, [group])
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("__fw_n"))
+    # one row per group, read for the limits, the ranks and the hot-key check
+    sizes = stage(df.groupBy(group).agg(F.count(F.lit(1)).alias("__fw_n")), "group-sizes")
     ranked = ordered_index(sizes, "__fw_n", group, descending=True, name="__fw_at")
     turn = F.col("__fw_at") % (2 * n_folds)
     folds = ranked.select(
@@ -100,13 +102,14 @@ def stratified_group_kfold(df: DataFrame, group: str, label: str, n_folds: int =
     from foldwright.operators.groupby import majority_class
 
     require(df, [group, label])
-    majority = majority_class(df, group, label)
+    majority = stage(majority_class(df, group, label), "group-majority")
     n_groups = majority.count()
     if n_folds > n_groups:
         raise ValueError(f"n_splits ({n_folds}) cannot be greater than number of groups ({n_groups})")
-    ranked = ordered_index(majority.select(group, "majority"), "majority", group, name="__fw_at")
+    ranked = ordered_index(majority, "majority", group, name="__fw_at")
     folds = ranked.select(group, F.pmod(F.col("__fw_at"), F.lit(n_folds)).cast("int").alias(FOLD))
-    return attach(df, folds, [group])
+    sizes = majority.select(group, F.col("n_rows").alias("__fw_n"))
+    return attach(df, folds, [group], sizes=sizes)
 
 
 # ---------------------------------------------------------------- time splits

@@ -28,6 +28,7 @@ def group_quantiles(
     cols: Sequence[str],
     shares: Sequence[float],
     hot_rows: int | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """One row per key with, per column, the array of its quantiles at ``shares``."""
     keys, shares = list(keys), [float(s) for s in shares]
@@ -39,7 +40,7 @@ def group_quantiles(
             F.array(*[F.lit(v).cast("double") for v in found[c]]).alias(c) for c in cols
         ]
         return df.sparkSession.range(1).select(*made)
-    hot = hot_keys(slim, keys, hot_rows)
+    hot = hot_keys(slim, keys, hot_rows, sizes)
     if hot is None:
         return slim.groupBy(*keys).agg(*plain)
     cold = slim.join(F.broadcast(hot), keys, "left_anti").groupBy(*keys).agg(*plain)
