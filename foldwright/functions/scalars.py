@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,18 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns(fixes) if fixes else df
 
 
+def numbers(values: Sequence[float]) -> Column:
+    """An array literal, parsed at once instead of built element by element."""
+    return F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")")
+
+
+def bin_number(col: str, edges: Sequence[float]) -> Column:
+    """How many of a few edges lie strictly below the value; null for null."""
+    name = "`" + col.replace("`", "``") + "`"
+    steps = " + ".join([f"if({name} > {float(e)!r}D, 1, 0)" for e in edges] or ["0"])
+    return F.expr(f"if({name} is null, null, {steps})")
+
+
 def ratio(value: Column, base: Column) -> Column:
     """``value / (base + 1e-8)``; null instead of an error when that is zero."""
     return F.try_divide(value, base + F.lit(RATIO_FLOOR))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foldwright.functions.scalars import bin_number
 from foldwright.plans.quantiles import table_quantiles
 
 # Default alert limits.
@@ -47,14 +48,6 @@ def log_rows(
     )
 
 
-def bin_column(col: str, edges: Sequence[float]) -> Column:
-    """0-based bin: how many edges lie strictly below the value."""
-    place = F.lit(0)
-    for e in edges:
-        place = place + (F.col(col) > F.lit(float(e))).cast("int")
-    return place
-
-
 def bin_edges(reference: DataFrame, cols: Sequence[str], n_bins: int = 10) -> dict[str, list[float]]:
     """Inner quantile edges of the reference; a few numbers per feature."""
     found = table_quantiles(reference, cols, [i / n_bins for i in range(1, n_bins)])
@@ -63,7 +56,7 @@ def bin_edges(reference: DataFrame, cols: Sequence[str], n_bins: int = 10) -> di
 
 def bin_counts(df: DataFrame, edges: dict[str, Sequence[float]], by: Sequence[str] = ()) -> DataFrame:
     """``(by, feature, bin, n)`` for every feature in one aggregate."""
-    cells = [F.struct(F.lit(c).alias("feature"), bin_column(c, e).alias("bin")) for c, e in edges.items()]
+    cells = [F.struct(F.lit(c).alias("feature"), bin_number(c, e).alias("bin")) for c, e in edges.items()]
     long = df.select(*by, F.explode(F.array(*cells)).alias("e")).filter(F.col("e.bin").isNotNull())
     return long.groupBy(*by, "e.feature", "e.bin").agg(F.count(F.lit(1)).alias("n"))
 

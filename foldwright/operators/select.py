@@ -9,6 +9,7 @@ from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from foldwright.functions.scalars import bin_number
 from foldwright.plans.quantiles import table_quantiles
 from foldwright.session import stage
 
@@ -47,10 +48,7 @@ def _binned(df: DataFrame, features: Sequence[str], label: str, n_bins: int) ->
     cells = []
     for c in features:
         inner = sorted({e for e in edges[c] if e is not None})
-        place = F.lit(0)
-        for e in inner:
-            place = place + (F.col(c) > F.lit(e)).cast("int")
-        cells.append(F.struct(F.lit(c).alias("feature"), place.alias("bin")))
+        cells.append(F.struct(F.lit(c).alias("feature"), bin_number(c, inner).alias("bin")))
     long = df.select(F.col(label).alias("class"), F.explode(F.array(*cells)).alias("e"))
     long = long.filter(F.col("class").isNotNull() & F.col("e.bin").isNotNull())
     return long.groupBy("e.feature", "e.bin", "class").agg(F.count(F.lit(1)).alias("n"))

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foldwright.functions.scalars import numbers
 from foldwright.plans.size import is_small, shuffle_width
 
 ROWS_PER_BUCKET = 2_000
@@ -118,7 +119,7 @@ def _thin(values: list[float], wanted: int) -> list[float]:
 
 
 def _resolution(df: DataFrame) -> int:
-    return min(MAX_BUCKETS, max(64, 4 * shuffle_width(df.sparkSession)))
+    return min(MAX_BUCKETS, max(256, 4 * shuffle_width(df.sparkSession)))
 
 
 def _for_limits(df: DataFrame) -> tuple[DataFrame, int | None]:
@@ -156,7 +157,7 @@ def order_buckets(
 ) -> Buckets:
     """Limits for ``(order, tie)``: one aggregate over two columns, one row back."""
     most = _resolution(df)
-    shares = [i / most for i in range(1, most)]
+    shares = numbers([i / most for i in range(1, most)])
     position = as_double(df, order)
     wanted = [
         F.count(F.lit(1)).alias("n"),
@@ -184,7 +185,7 @@ def order_buckets(
 def column_buckets(df: DataFrame, cols: list[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> dict[str, Buckets]:
     """Limits of several numeric columns, each ordered on its own, from one aggregate."""
     most = _resolution(df)
-    shares = [i / most for i in range(1, most)]
+    shares = numbers([i / most for i in range(1, most)])
     wanted = [F.percentile_approx(as_double(df, c), shares, 10_000).alias(f"q{i}") for i, c in enumerate(cols)]
     source, rows = _for_limits(df)
     found = source.agg(F.count(F.lit(1)).alias("n"), *wanted).first()

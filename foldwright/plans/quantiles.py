@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from foldwright.functions.scalars import numbers
 from foldwright.plans.buckets import BUCKET, ROWS_PER_BUCKET, SUB, column_buckets, order_buckets
 from foldwright.plans.hot import hot_keys
 
@@ -33,7 +34,7 @@ def group_quantiles(
     """One row per key with, per column, the array of its quantiles at ``shares``."""
     keys, shares = list(keys), [float(s) for s in shares]
     slim = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols])
-    plain = [F.percentile(c, F.array(*[F.lit(s) for s in shares])).alias(c) for c in cols]
+    plain = [F.percentile(c, numbers(shares)).alias(c) for c in cols]
     if not keys:
         found = table_quantiles(slim, cols, shares)
         made = [
@@ -61,8 +62,7 @@ def table_quantiles(
     that hold a wanted rank. A few rows are left to ``percentile``.
     """
     if df.count() <= plain_rows:
-        asked = F.array(*[F.lit(float(s)) for s in shares])
-        row = df.agg(*[F.percentile(c, asked).alias(c) for c in cols]).first()
+        row = df.agg(*[F.percentile(c, numbers(shares)).alias(c) for c in cols]).first()
         return {c: list(row[c]) if row[c] is not None else [None] * len(shares) for c in cols}
     limits = column_buckets(df, list(cols))
     placed, marks = df.select(*cols), {}
@@ -101,7 +101,8 @@ def table_quantiles(
         Window.partitionBy("c", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     few = few.withColumn("upto", upto)
-    asked = F.create_map(*[x for k, v in inner.items() for x in (F.lit(k), F.array(*[F.lit(r) for r in sorted(set(v))]))])
+    entries = ", ".join(f"{k}, array({', '.join(f'{r}L' for r in sorted(set(v)))})" for k, v in inner.items())
+    asked = F.expr(f"map({entries})")
     covers = F.exists(asked[cell], lambda r: (F.col("upto") > r) & (F.col("upto") - F.col("m") <= r))
     few = few.filter(covers)
     seen: dict[tuple[int, int], list[tuple[int, float]]] = {}

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foldwright.functions.scalars import bin_number
 from foldwright.operators import monitor
 
 
@@ -47,7 +48,7 @@ def windowed_bins(
     stream: DataFrame, time: str, edges: dict[str, Sequence[float]], window: str = "1 day", delay: str = "1 hour"
 ) -> DataFrame:
     """``(window_start, feature, bin, n)``: the reference is only a few numbers, inlined."""
-    cells = [F.struct(F.lit(c).alias("feature"), monitor.bin_column(c, e).alias("bin")) for c, e in edges.items()]
+    cells = [F.struct(F.lit(c).alias("feature"), bin_number(c, e).alias("bin")) for c, e in edges.items()]
     long = stream.withWatermark(time, delay).select(time, F.explode(F.array(*cells)).alias("e"))
     counts = long.filter(F.col("e.bin").isNotNull()).groupBy(
         F.window(time, window).alias("w"), F.col("e.feature").alias("feature"), F.col("e.bin").alias("bin")
