@@ -18,10 +18,15 @@ def cyclic(x: Column, period: int) -> tuple[Column, Column]:
     return F.sin(angle), F.cos(angle)
 
 
+def time_of_day(t: Column) -> Column:
+    """Seconds since midnight."""
+    return (F.hour(t) * 3600 + F.minute(t) * 60).cast("double") + F.date_part(F.lit("SECOND"), t).cast("double")
+
+
 def elapsed_days(later: Column, earlier: Column) -> Column:
-    """Whole elapsed days, rounded down (not calendar days)."""
-    micros = F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))
-    return F.floor(micros / F.lit(86_400_000_000)).cast("long")
+    """Whole elapsed days, rounded down (not calendar days), free of any time zone."""
+    short = F.when(time_of_day(later) < time_of_day(earlier), 1).otherwise(0)
+    return (F.date_diff(F.to_date(later), F.to_date(earlier)) - short).cast("long")
 
 
 def calendar_columns(name: str) -> dict[str, Column]:

@@ -20,6 +20,7 @@ from foldwright.functions.scalars import normal_from_hash
 from foldwright.operators.splits import FOLD
 from foldwright.plans.hot import attach
 from foldwright.plans.ranks import ordered_index
+from foldwright.plans.size import is_small
 from foldwright.session import stage
 
 ALL = "__all__"
@@ -43,14 +44,16 @@ def _pair_counts(df: DataFrame, cols: Sequence[str], target: str, extra: Sequenc
     )
 
 
-def _join_column(df: DataFrame, state: DataFrame, col: str, extra: Sequence[str] = ()) -> DataFrame:
+def _join_column(
+    df: DataFrame, state: DataFrame, col: str, extra: Sequence[str] = (), small: bool | None = None
+) -> DataFrame:
     """Attach one column's slice of a long state table."""
     mine = state.filter(F.col("column") == col).drop("column").withColumnRenamed("category", _CATEGORY)
     sizes = mine.select(_CATEGORY, *extra, _ROWS) if _ROWS in mine.columns else None
     if sizes is not None:
         mine = mine.drop(_ROWS)
     keyed = df.withColumn(_CATEGORY, F.col(col).cast("string"))
-    return attach(keyed, mine, [_CATEGORY, *extra], sizes=sizes).drop(_CATEGORY)
+    return attach(keyed, mine, [_CATEGORY, *extra], sizes=sizes, small=small).drop(_CATEGORY)
 
 
 def _present(df: DataFrame, cols: Sequence[str], fitted: Sequence[str], handle_unknown: str) -> list[str]:
@@ -114,10 +117,10 @@ def apply_target(
     cols = as_list(cols)
     cols = _present(df, cols, cols if fitted is None else fitted, handle_unknown)
     prior = F.lit(_all_row(state).select("value").first()[0]).cast("double")
-    out = df
+    out, small = df, is_small(df)
     for col in cols:
         slice_ = state.select("column", "category", F.col("value").alias("__fw_v"))
-        out = _join_column(out, slice_, col)
+        out = _join_column(out, slice_, col, small=small)
         out = out.withColumn(names.TARGET_ENC.format(col=col), F.coalesce("__fw_v", prior)).drop("__fw_v")
     return out if keep is None else out.select(*keep, *[names.TARGET_ENC.format(col=c) for c in cols])
 
@@ -206,9 +209,9 @@ def oof_target_encode(
     cols = as_list(cols)
     require(df, [*cols, target, fold])
     state, base = oof_target_state(df, cols, target, fold, smoothing, min_samples_leaf, prior)
-    out, made = df, []
+    out, made, small = df, [], is_small(df)
     for col in cols:
-        out = _join_column(out, state, col, [fold])
+        out = _join_column(out, state, col, [fold], small)
         value = F.coalesce("__fw_v", base)
         if noise > 0:
             value = value + F.lit(noise) * normal_from_hash(seed, col, *[F.col(c) for c in as_list(id_cols)])
@@ -328,7 +331,7 @@ def apply_counts(
     """Add ``{c}_count_enc``: null gives 0; unseen the smallest kept count, 0, or an error."""
     if handle_unknown not in ("value", "zero", "error"):
         raise ValueError(f"handle_unknown must be value, zero or error, not {handle_unknown!r}")
-    out = df
+    out, small = df, is_small(df)
     for col in [c for c in as_list(cols) if c in df.columns]:
         slice_ = state.select("column", "category", F.col("value").alias("__fw_v"))
         if handle_unknown == "error":
@@ -337,7 +340,7 @@ def apply_counts(
             stray = seen.distinct().join(known, "category", "left_anti").limit(1).collect()
             if stray:
                 raise ValueError(f"Unknown category: {stray[0][0]}")
-        out = _join_column(out, slice_, col)
+        out = _join_column(out, slice_, col, small=small)
         default = F.lit(0)
         if handle_unknown == "value":
             lowest = state.filter(F.col("column") == col).agg(F.min("value")).first()[0]
@@ -373,10 +376,10 @@ def fit_frequency(df: DataFrame, cols: str | Sequence[str], ascending: bool = Fa
 
 def apply_frequency(df: DataFrame, state: DataFrame, cols: str | Sequence[str]) -> DataFrame:
     """Add ``{c}_freq_enc`` as double; unseen and null get the largest rank plus one."""
-    out = df
+    out, small = df, is_small(df)
     for col in [c for c in as_list(cols) if c in df.columns]:
         top = state.filter(F.col("column") == col).agg(F.max("value")).first()[0] or 0
-        out = _join_column(out, state.select("column", "category", F.col("value").alias("__fw_v")), col)
+        out = _join_column(out, state.select("column", "category", F.col("value").alias("__fw_v")), col, small=small)
         value = F.coalesce(F.col("__fw_v"), F.lit(top + 1)).cast("double")
         out = out.withColumn(names.FREQ_ENC.format(col=col), value).drop("__fw_v")
     return out
@@ -405,9 +408,9 @@ def oof_weight_of_evidence(
     woe = F.ln(((pos + a) / (positives + a * width)) / ((neg + a) / (negatives + a * width)))
     value = F.when(F.col("rest_n") > 0, woe).otherwise(0.0)
     state = _rest_of_folds(counts).select("column", "category", fold, _ROWS, value.alias("__fw_v"))
-    out = df
+    out, small = df, is_small(df)
     for col in cols:
-        out = _join_column(out, state, col, [fold])
+        out = _join_column(out, state, col, [fold], small)
         out = out.withColumn(names.WOE_ENC.format(col=col), F.coalesce("__fw_v", F.lit(0.0))).drop("__fw_v")
     return out
 

@@ -11,6 +11,7 @@ from foldwright.functions.names import as_list, require
 from foldwright.functions.scalars import uniform_from_hash
 from foldwright.plans.chunks import last_known
 from foldwright.plans.hot import attach
+from foldwright.plans.size import is_small
 
 
 def overlap(train: DataFrame, test: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
@@ -53,10 +54,10 @@ def merge_vectors(
     ``offline`` and ``online`` have one row per entity; any of the three tables
     may lack some features.
     """
-    out = raw
+    out, small = raw, is_small(raw)
     for side, source in (("off", offline), ("on", online)):
         held = [f for f in features if f in source.columns]
-        out = attach(out, source.select(entity, *[F.col(f).alias(f"__fw_{side}_{f}") for f in held]), [entity])
+        out = attach(out, source.select(entity, *[F.col(f).alias(f"__fw_{side}_{f}") for f in held]), [entity], small=small)
     made = []
     for f in features:
         order = [f] * (f in raw.columns) + [f"__fw_off_{f}"] * (f in offline.columns) + [f"__fw_on_{f}"] * (f in online.columns)

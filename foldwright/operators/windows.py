@@ -12,6 +12,7 @@ from pyspark.sql.window import WindowSpec
 from foldwright.functions import names
 from foldwright.functions.dates import add_calendar, elapsed_days
 from foldwright.functions.names import as_list, require
+from foldwright.plans.buckets import as_double
 from foldwright.plans.chunks import global_halo_windows, halo_windows, running_stats
 from foldwright.plans.hot import hot_keys, spread
 
@@ -172,7 +173,7 @@ def calendar_rolling(
     stats = _known(stats, list(_STATS))
     day = 86_400_000_000
     # a monotone integer clock in microseconds
-    rows = df.withColumn("__fw_us", F.unix_micros(F.col(time).cast("timestamp")))
+    rows = df.withColumn("__fw_us", as_double(df, time).cast("long"))
     known = F.lit(True)
     for key in keys:
         known = known & F.col(key).isNotNull()

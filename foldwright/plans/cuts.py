@@ -15,6 +15,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foldwright.plans.buckets import BUCKET, ROWS_PER_BUCKET, SUB, order_buckets
 from foldwright.plans.ranks import seeded_hash
@@ -137,6 +138,19 @@ def with_block(df: DataFrame, cuts: HashCuts, seed: int, ids: Sequence[str], nam
 # --------------------------------------------------------------- ordered cuts
 
 
+def _portable(name: str, kind: T.DataType) -> Column:
+    """A form of the value that survives the driver, whatever its time zone."""
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(name)
+    return F.col(name).cast("string") if isinstance(kind, T.TimestampNTZType) else F.col(name)
+
+
+def _literal(value: Any, kind: T.DataType) -> Column:
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(F.lit(value))
+    return F.lit(value).cast(kind)
+
+
 @dataclass(frozen=True)
 class OrderCuts:
     """The ``(order, tie)`` key at each wanted position of ``n`` ordered rows."""
@@ -146,6 +160,7 @@ class OrderCuts:
     descending: bool
     n: int
     keys: dict[int, tuple[Any, Any]]
+    kinds: tuple[T.DataType, T.DataType]
 
     def before(self, position: int) -> Column:
         """Whether a row lies strictly before ``position``."""
@@ -154,12 +169,12 @@ class OrderCuts:
         if position >= self.n:
             return F.lit(True)
         value, tie = self.keys[position]
-        order = F.col(self.order)
+        order, earlier = F.col(self.order), F.col(self.tie) < _literal(tie, self.kinds[1])
         if value is None:
-            return order.isNotNull() | (F.col(self.tie) < F.lit(tie))
-        limit = F.lit(value)
+            return order.isNotNull() | earlier
+        limit = _literal(value, self.kinds[0])
         ahead = order > limit if self.descending else order < limit
-        return F.coalesce(ahead | ((order == limit) & (F.col(self.tie) < F.lit(tie))), F.lit(False))
+        return F.coalesce(ahead | ((order == limit) & earlier), F.lit(False))
 
 
 def order_cuts(
@@ -172,11 +187,12 @@ def order_cuts(
 ) -> OrderCuts:
     """Keys at ``positions(n)`` in ``(order, tie)`` order; jobs read these two columns only."""
     slim = df.select(order, tie)
+    kinds = (slim.schema[order].dataType, slim.schema[tie].dataType)
     limits = order_buckets(slim, order, tie, descending, rows_per_bucket)
     n = limits.rows
     wanted = sorted({p for p in positions(n) if 0 < p < n})
     if not wanted:
-        return OrderCuts(order, tie, descending, n, {})
+        return OrderCuts(order, tie, descending, n, {}, kinds)
     placed = limits.place(slim)
     cells = placed.groupBy(BUCKET, SUB).agg(F.count(F.lit(1)).alias("n")).collect()
     places: dict[tuple[int, int, int], int] = {}
@@ -193,7 +209,8 @@ def order_cuts(
     few = placed.filter(hit).withColumn("__fw_i", at)
     few = few.filter(F.col("__fw_i").isin(sorted({i for _, _, i in places})))
     keys = {}
-    for r in few.select(BUCKET, SUB, "__fw_i", order, tie).collect():
+    shown = [_portable(order, kinds[0]).alias("o"), _portable(tie, kinds[1]).alias("t")]
+    for r in few.select(BUCKET, SUB, "__fw_i", *shown).collect():
         if (r[0], r[1], r[2]) in places:
             keys[places[(r[0], r[1], r[2])]] = (r[3], r[4])
-    return OrderCuts(order, tie, descending, n, keys)
+    return OrderCuts(order, tie, descending, n, keys, kinds)

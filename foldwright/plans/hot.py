@@ -52,9 +52,15 @@ def attach(
     keys: Sequence[str],
     sizes: DataFrame | None = None,
     hot_rows: int | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """Left join of a table with one row per key, safe for hot and null keys.
 
+    ``small`` says that no key of ``df`` can hold enough rows to matter; by
+    default Catalyst's estimate decides. Callers that join several states pass
+    what they found before the first join, because such joins add no rows but
+    inflate the estimate.
+
     The plain join lets Spark broadcast ``state`` when its measured size allows.
     When ``df`` is large the rows may have to be shuffled by key, and a hot key
     would then land in one task; Spark's own skew split does not apply because
@@ -64,7 +70,7 @@ def attach(
     """
     keys = list(keys)
     values = [c for c in state.columns if c not in keys]
-    if df.isStreaming or (hot_rows is None and is_small(df)):
+    if df.isStreaming or (hot_rows is None and (is_small(df) if small is None else small)):
         # a micro-batch is as large as its trigger allows
         return df.join(state, keys, "left")
     hot = hot_keys(df, keys, hot_rows, sizes)

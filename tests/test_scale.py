@@ -222,3 +222,20 @@ def test_overlap_counts_pairs(spark):
     train = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "c")], "x int, y string")
     test = spark.createDataFrame([("a", 1), ("a", 1), ("a", 1), (None, 2)], "y string, x int")
     assert tuple(lookup.overlap(train, test).first()) == (7, 2, 3, 4)
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date"])
+def test_order_cuts_and_days_in_another_time_zone(spark, kind):
+    """Values near a clock change keep their order and distance."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        text = F.concat(F.lit("2024-03-"), F.lpad((F.col("id") % 25 + 1).cast("string"), 2, "0"), F.lit(" 12:30:00"))
+        df = spark.range(300).withColumn("t", text.cast(kind)).withColumn("g", F.col("id") % 3)
+        found = order_cuts(df, "t", "id", lambda n: [50, 131, 250], rows_per_bucket=20)
+        assert [df.filter(found.before(p)).count() for p in (50, 131, 250)] == [50, 131, 250]
+        if kind != "date":
+            days = windows.days_since_previous(df.filter("id < 25").withColumn("g", F.lit(1)), "g", "t", "id")
+            assert {r["days_since_previous"] for r in days.collect()} == {None, 1}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
