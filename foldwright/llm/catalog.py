@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foldwright.llm import near
+from foldwright.llm import near, repeats
 from foldwright.llm.registry import QUERIES, TWINS, query, table
 
 __all__ = ["QUERIES", "TWINS"]
 
 
+@query("op1_suffix_array_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), length=400).withColumnRenamed("id", "doc_id")
+
+
 @query("op10_minhash_near_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"), percent=85).withColumnRenamed("id", "doc_id")

@@ -18,7 +18,7 @@ U64 = np.uint64
 GAMMA = U64(0x9E3779B97F4A7C15)
 BASE = U64(0xD6E8FEB86659FD93)
 MULTIPLIER = U64(0xC2B2AE3D27D4EB4F)
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 21
 
 
 def salted(n: int) -> np.uint64:
@@ -44,21 +44,21 @@ TABLE = mix(np.arange(1, 257, dtype=U64) * GAMMA)
 INVERSE = _inverse(BASE)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, at least ``n`` of each, kept up to the block size."""
-    size = 1 << max(12, int(n - 1).bit_length())
-    if size not in _powers:
-        up, down = np.full(size, BASE, dtype=U64), np.full(size, INVERSE, dtype=U64)
-        up[0] = down[0] = U64(1)
-        tables = np.multiply.accumulate(up), np.multiply.accumulate(down)
-        if size > 2 * BLOCK_BYTES:
-            return tables
-        _powers.clear()
-        _powers[size] = tables
-    return _powers[size]
+_powers: list[np.ndarray] = []
+
+
+def _power_tables(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, at least ``n`` of each; the largest tables up to a block's need are kept."""
+    if _powers and len(_powers[0]) >= n:
+        return _powers
+    tables = []
+    for factor in (BASE, INVERSE):
+        power = np.full(1 << max(12, int(n - 1).bit_length()), factor, dtype=U64)
+        power[0] = U64(1)
+        tables.append(np.multiply.accumulate(power))
+    if n <= 2 * BLOCK_BYTES:
+        _powers[:] = tables
+    return tables
 
 
 class Rolling:
