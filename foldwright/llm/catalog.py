@@ -2,12 +2,53 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foldwright.llm import near, repeats
+from foldwright.llm import mixing, near, pack, repeats, rules
 from foldwright.llm.registry import QUERIES, TWINS, query, table
 
-__all__ = ["QUERIES", "TWINS"]
+__all__ = ["QUERIES", "TWINS", "TOKENIZER"]
+
+#: the public vocabulary file that production queries use
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+MIX_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS k,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+  FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, 2 * sum(size)::BIGINT AS cap,
+         row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+  FROM d GROUP BY source),
+w AS (SELECT *, [3, 1, 2][place % 3 + 1]::BIGINT AS weight FROM s),
+r AS (
+  SELECT *, (150 * sum(source_size) OVER ())::BIGINT AS wanted,
+         coalesce(sum(cap) OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS caps_before,
+         (sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS weights_on
+  FROM w),
+p AS (SELECT *, 100 * cap * weights_on <= weight * (wanted - 100 * caps_before) AS stops FROM r),
+q AS (
+  SELECT *, coalesce(sum(CASE WHEN stops THEN cap END) OVER (), 0)::BIGINT AS stopped,
+         (sum(CASE WHEN NOT stops THEN weight END) OVER ())::BIGINT AS opened
+  FROM p),
+t AS (
+  SELECT source, source_size,
+         CASE WHEN stops THEN cap::DOUBLE
+              ELSE (weight * (wanted - 100 * stopped))::DOUBLE / (100 * opened)::DOUBLE END AS target
+  FROM q),
+b AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target)::BIGINT // source_size ELSE 0 END AS epochs FROM t),
+o AS (
+  SELECT d.doc_id, d.size, b.source_size, b.target, b.epochs,
+         floor(b.target)::BIGINT - b.epochs * b.source_size AS rest,
+         (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k))::BIGINT - d.size AS before
+  FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, size, source_size, target,
+       (epochs * size + greatest(0, least(size, rest - before)))::BIGINT AS taken
+FROM o
+"""
 
 
 @query("op1_suffix_array_dedup")
@@ -15,6 +56,22 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), length=400).withColumnRenamed("id", "doc_id")
 
 
+@query("op2_quality_rules")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
+
+
+@query("op3_mix_sources", MIX_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), percent=150, epochs=2)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op7_minimum_bin_slack")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.pack(table(spark, sf_dir, "documents"), TOKENIZER, capacity=2048, end_id=1).withColumnRenamed("id", "doc_id")
+
+
 @query("op10_minhash_near_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"), percent=85).withColumnRenamed("id", "doc_id")
