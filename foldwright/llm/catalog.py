@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foldwright.llm import mixing, near, pack, repeats, rules
+from foldwright.llm import boost, html, licenses, mixing, near, nearest, pack, repeats, rules, secrets
 from foldwright.llm.registry import QUERIES, TWINS, query, table
 
 __all__ = ["QUERIES", "TWINS", "TOKENIZER"]
@@ -67,11 +67,37 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op4_collision_counting_ann")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = nearest.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", every=20, k=20)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+@query("op5_secret_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op6_site_style_tree")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 @query("op7_minimum_bin_slack")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(table(spark, sf_dir, "documents"), TOKENIZER, capacity=2048, end_id=1).withColumnRenamed("id", "doc_id")
 
 
+@query("op8_quality_classifier")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boost.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
+
+
+@query("op9_license_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query("op10_minhash_near_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"), percent=85).withColumnRenamed("id", "doc_id")
