@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def day_of_week(t: Column) -> Column:
@@ -18,15 +19,21 @@ def cyclic(x: Column, period: int) -> tuple[Column, Column]:
     return F.sin(angle), F.cos(angle)
 
 
-def time_of_day(t: Column) -> Column:
-    """Seconds since midnight."""
-    return (F.hour(t) * 3600 + F.minute(t) * 60).cast("double") + F.date_part(F.lit("SECOND"), t).cast("double")
+def micros(df: DataFrame, name: str) -> Column:
+    """A long in the order of a time column: the instant, or the wall clock where there is no time zone."""
+    kind, t = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(t)
+    day = F.unix_date(F.to_date(t)).cast("long") * 86_400_000_000
+    if isinstance(kind, T.DateType):
+        return day
+    clock = (F.hour(t) * 3600 + F.minute(t) * 60).cast("long") * 1_000_000
+    return day + clock + F.round(F.date_part(F.lit("SECOND"), t).cast("double") * 1_000_000.0).cast("long")
 
 
 def elapsed_days(later: Column, earlier: Column) -> Column:
-    """Whole elapsed days, rounded down (not calendar days), free of any time zone."""
-    short = F.when(time_of_day(later) < time_of_day(earlier), 1).otherwise(0)
-    return (F.date_diff(F.to_date(later), F.to_date(earlier)) - short).cast("long")
+    """Whole days between two ``micros``, rounded down (not calendar days)."""
+    return F.floor((later - earlier) / F.lit(86_400_000_000)).cast("long")
 
 
 def calendar_columns(name: str) -> dict[str, Column]:

@@ -165,9 +165,9 @@ def sweep_weights(
     return {m: round(w, precision) for m, w in zip(models, weights.tolist())}, sign * best
 
 
-def size_curve(df: DataFrame, label: str, models: Sequence[str], max_size: int = 20) -> DataFrame:
-    """AUC of the mean of the first k models, for every k, in one job."""
-    models = list(models)[:max_size]
+def size_curve(df: DataFrame, label: str, models: Sequence[str]) -> DataFrame:
+    """AUC of the mean of the first k models, for every k up to all given models, in one job."""
+    models = list(models)
     means = [vectors.row_mean([F.col(m) for m in models[:k]]) for k in range(1, len(models) + 1)]
     long = df.select(label, F.posexplode(F.array(*means)).alias("position", "blend"))
     names = F.array(*[F.lit(m) for m in models])

@@ -32,18 +32,18 @@ def roll_up(
     numeric: Sequence[str] = (),
     categorical: Sequence[str] = (),
     aggregates: Sequence[str] = AGGREGATES,
-    most: int = 200,
+    most: int | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """Add aggregates of the child rows to each parent row; returns the new columns too.
 
-    Columns are named ``{stat}_{child}_{col}``; more than ``most`` of them is refused.
+    Columns are named ``{stat}_{child}_{col}``; a caller may refuse more than ``most`` of them.
     """
     wanted = [(s, c) for c in numeric for s in aggregates if s in _MAKE]
     modes = [c for c in categorical if "mode" in aggregates]
     new = [f"{s}_{name}_{c}" for s, c in wanted] + [f"mode_{name}_{c}" for c in modes]
     if "count" in aggregates:
         new.append(f"count_{name}")
-    if len(new) > most:
+    if most is not None and len(new) > most:
         raise ValueError(f"{len(new)} features exceed the limit of {most}")
     keyed = child.filter(F.col(child_key).isNotNull()).withColumnRenamed(child_key, parent_key)
     made = [_MAKE[s](c).alias(f"{s}_{name}_{c}") for s, c in wanted]
@@ -60,7 +60,7 @@ def roll_up(
 
 
 def pairwise_transforms(
-    df: DataFrame, cols: Sequence[str], transforms: Sequence[str] = TRANSFORMS, most: int = 200
+    df: DataFrame, cols: Sequence[str], transforms: Sequence[str] = TRANSFORMS, most: int | None = None
 ) -> tuple[DataFrame, list[str]]:
     """Add ``absolute``, ``add`` and ``multiply`` of columns and column pairs."""
     made = {}
@@ -71,7 +71,7 @@ def pairwise_transforms(
         made.update({f"{a}_plus_{b}": F.col(a) + F.col(b) for a, b in pairs})
     if "multiply" in transforms:
         made.update({f"{a}_times_{b}": F.col(a) * F.col(b) for a, b in pairs})
-    if len(made) > most:
+    if most is not None and len(made) > most:
         raise ValueError(f"{len(made)} features exceed the limit of {most}")
     return df.withColumns(made), list(made)
 

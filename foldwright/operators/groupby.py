@@ -192,10 +192,10 @@ def group_mode(df: DataFrame, keys: Sequence[str], col: str, name: str | None =
 def majority_class(df: DataFrame, group: str, label: str) -> DataFrame:
     """Per group: rows, number of classes and majority class (the lowest on ties)."""
     counts = df.filter(F.col(group).isNotNull()).groupBy(group, label).agg(F.count(F.lit(1)).alias(_SIZE))
+    # labels of any type: most rows first, then the lowest label, null after all others
+    order = F.struct((-F.col(_SIZE)).alias("n"), F.col(label).isNull().alias("none"), F.col(label).alias("label"))
     return counts.groupBy(group).agg(
-        F.sum(_SIZE).alias("n_rows"),
-        F.count(label).alias("n_classes"),
-        F.max_by(label, F.struct(_SIZE, (-F.col(label)).alias("low"))).alias("majority"),
+        F.sum(_SIZE).alias("n_rows"), F.count(label).alias("n_classes"), F.min(order)["label"].alias("majority")
     )
 
 

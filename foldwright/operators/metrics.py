@@ -246,26 +246,48 @@ def correlation_p(r: float | None, n: int) -> float | None:
         return 1.0
     df = n - 2
     t2 = r * r * df / (1.0 - r * r)
-    return _beta_share(df / 2.0, 0.5, df / (df + t2))
+    if df > 1e7:
+        # the normal limit with its first correction; the fraction's terms cancel to nothing there
+        t = math.sqrt(t2)
+        return math.erfc(t * (1.0 - (t2 + 1.0) / (4.0 * df)) / math.sqrt(2.0)) if t2 < df else 0.0
+    return _beta_share(df / 2.0, 0.5, df / (df + t2), t2 / (df + t2))
 
 
-def _beta_share(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta function by its continued fraction."""
-    if x <= 0.0 or x >= 1.0:
-        return min(max(x, 0.0), 1.0)
+def _beta_share(a: float, b: float, x: float, y: float) -> float:
+    """Regularised incomplete beta function by its continued fraction (Lentz's method, run to convergence).
+
+    ``y`` is ``1 - x``, given apart because either may be too small to tell from the other.
+    """
+    if x <= 0.0 or y <= 0.0:
+        return 0.0 if x <= 0.0 else 1.0
     if x > (a + 1.0) / (a + b + 2.0):
-        return 1.0 - _beta_share(b, a, 1.0 - x)
-    front = math.exp(
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    ) / a
-    value = 0.0
-    terms = [1.0]
-    for m in range(1, 400):
-        k = m // 2
-        if m % 2 == 0:
-            terms.append(k * (b - k) * x / ((a + 2 * k - 1) * (a + 2 * k)))
-        else:
-            terms.append(-(a + k) * (a + b + k) * x / ((a + 2 * k) * (a + 2 * k + 1)))
-    for c in reversed(terms[1:]):
-        value = c / (1.0 + value)
-    return front / (1.0 + value)
+        return 1.0 - _beta_share(b, a, y, x)
+    log = lambda p, q: math.log1p(-q) if q < 0.5 else math.log(p)
+    front = math.exp(_log_beta_ratio(a, b) + a * log(x, y) + b * log(y, x)) / a
+    # modified Lentz: convergents of 1 / (1 + t1 / (1 + t2 / ...)), two terms a step
+    tiny = 1e-300
+    held = lambda v: v if abs(v) > tiny else tiny
+    c, d = 1.0, 1.0 / held(1.0 - (a + b) * x / (a + 1.0))
+    value, m = d, 0
+    while True:
+        m += 1
+        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        d, c = 1.0 / held(1.0 + even * d), held(1.0 + even / c)
+        value *= d * c
+        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        d, c = 1.0 / held(1.0 + odd * d), held(1.0 + odd / c)
+        value *= d * c
+        if abs(d * c - 1.0) < 1e-15:
+            return front * value
+
+
+def _log_beta_ratio(a: float, b: float) -> float:
+    """``log(gamma(a + b) / (gamma(a) gamma(b)))`` without the difference of two huge logarithms."""
+    large, small = max(a, b), min(a, b)
+    if large < 1e4:
+        return math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+    # Stirling's series for gamma(large + small) / gamma(large)
+    series = lambda z: 1 / (12 * z) - 1 / (360 * z**3)
+    total = large + small
+    ratio = small * math.log(total) + (large - 0.5) * math.log1p(small / large) - small + series(total) - series(large)
+    return ratio - math.lgamma(small)

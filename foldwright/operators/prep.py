@@ -105,12 +105,17 @@ def standardise(df: DataFrame, scaler: DataFrame, cols: Sequence[str]) -> DataFr
     return out.withColumns(scaled).drop(*scaler.columns)
 
 
-def fit_categories(df: DataFrame, cols: Sequence[str], most: int = 1_000) -> dict[str, list]:
-    """The sorted categories per column. One-hot width is a column count, so it is limited."""
+def fit_categories(df: DataFrame, cols: Sequence[str], most: int | None = None) -> dict[str, list]:
+    """The sorted categories per column; a caller may refuse more than ``most``.
+
+    Every category becomes a column, so they are known to the driver anyway;
+    ``one_hot_vector`` takes any number without that.
+    """
     found = {}
     for c in cols:
-        values = df.select(c).filter(F.col(c).isNotNull()).distinct().limit(most + 1).collect()
-        if len(values) > most:
+        distinct = df.select(c).filter(F.col(c).isNotNull()).distinct()
+        values = (distinct if most is None else distinct.limit(most + 1)).collect()
+        if most is not None and len(values) > most:
             raise ValueError(f"column '{c}' has more than {most} categories")
         found[c] = sorted(v[0] for v in values)
     return found
@@ -125,11 +130,26 @@ def one_hot_columns(df: DataFrame, categories: dict[str, list], drop: bool = Tru
     return out.drop(*categories) if drop else out
 
 
-def products(df: DataFrame, cols: Sequence[str], interaction_only: bool = True, most: int = 500) -> DataFrame:
+def one_hot_vector(df: DataFrame, cols: Sequence[str], name: str = "one_hot") -> DataFrame:
+    """Add one sparse vector of all categories of ``cols``, any number of them; unknown and null ones are all 0."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+
+    indexed, coded = [f"__fw_{c}_i" for c in cols], [f"__fw_{c}_v" for c in cols]
+    text = df.withColumns({f"__fw_{c}_s": F.col(c).cast("string") for c in cols})
+    stages = [
+        StringIndexer(inputCols=[f"__fw_{c}_s" for c in cols], outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
+        OneHotEncoder(inputCols=indexed, outputCols=coded, dropLast=True),
+        VectorAssembler(inputCols=coded, outputCol=name),
+    ]
+    return Pipeline(stages=stages).fit(text).transform(text).select(*df.columns, name)
+
+
+def products(df: DataFrame, cols: Sequence[str], interaction_only: bool = True, most: int | None = None) -> DataFrame:
     """Add ``{a}_x_{b}`` for every pair, and squares unless ``interaction_only``."""
     start = 1 if interaction_only else 0
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + start :]]
-    if len(pairs) > most:
+    if most is not None and len(pairs) > most:
         raise ValueError(f"{len(pairs)} products exceed the limit of {most}")
     return df.withColumns({f"{a}_x_{b}": F.col(a) * F.col(b) for a, b in pairs})
 

@@ -15,13 +15,13 @@ import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwright.functions.names import as_list, require
 from foldwright.functions.scalars import uniform_from_hash
 from foldwright.plans.cuts import hash_cuts, order_cuts, with_block
-from foldwright.plans.hot import attach
+from foldwright.plans.hot import attach, spread
 from foldwright.plans.ranks import ordered_index, seeded_hash
 from foldwright.session import stage
 
@@ -34,6 +34,11 @@ def block_starts(n: int, k: int) -> list[int]:
     return [i * small + min(i, extra) for i in range(1, k)]
 
 
+def _starts(k: int):
+    """``block_starts`` as a column."""
+    return lambda n: F.transform(F.sequence(F.lit(1), F.lit(k - 1)), lambda i: i * F.floor(n / k) + F.least(i, n % k)) if k > 1 else F.array().cast("array<bigint>")
+
+
 def kfold(
     df: DataFrame,
     id_cols: str | Sequence[str],
@@ -57,7 +62,7 @@ def kfold(
         return df.withColumn(FOLD, passed)
     if not exact:
         return df.withColumn(FOLD, hash_fold(ids, n_folds, seed))
-    cuts = hash_cuts(df, seed, ids, lambda n: block_starts(n, n_folds))
+    cuts = hash_cuts(df, seed, ids, _starts(n_folds))
     return with_block(df, cuts, seed, ids, FOLD)
 
 
@@ -75,41 +80,59 @@ def stratified_kfold(
         warnings.warn("no label to stratify by; using plain folds")
         return kfold(df, id_cols, n_folds, seed)
     ids = as_list(id_cols)
-    cuts = hash_cuts(df, seed, ids, lambda n: block_starts(n, n_folds), label)
+    cuts = hash_cuts(df, seed, ids, _starts(n_folds), label)
     return with_block(df, cuts, seed, ids, FOLD, label)
 
 
-def group_kfold(df: DataFrame, group: str, n_folds: int = 5) -> DataFrame:
+def group_kfold(df: DataFrame, group: str, n_folds: int = 5, id_cols: str | Sequence[str] | None = None, seed: int = 42) -> DataFrame:
     """Add ``fold`` so that no group is in two folds and fold sizes are close.
 
-    Groups are ranked by size and dealt back and forth (0..k-1, k-1..0).
+    Groups are ranked by size and dealt back and forth (0..k-1, k-1..0). A row
+    without a group is a group of its own and gets a fold from the hash of its
+    ids, or of all its columns where none are named.
     """
     if group is None:
         raise ValueError("grouped folds need a group column")
     require(df, [group])
     # one row per group, read for the limits, the ranks and the hot-key check
-    sizes = stage(df.groupBy(group).agg(F.count(F.lit(1)).alias("__fw_n")), "group-sizes")
+    sizes = df.filter(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("__fw_n"))
+    sizes = stage(sizes, "group-sizes")
     ranked = ordered_index(sizes, "__fw_n", group, descending=True, name="__fw_at")
     turn = F.col("__fw_at") % (2 * n_folds)
     folds = ranked.select(
         group, F.when(turn < n_folds, turn).otherwise(2 * n_folds - 1 - turn).cast("int").alias(FOLD)
     )
-    return attach(df, folds, [group], sizes=sizes)
+    return _fill_folds(attach(df, folds, [group], sizes=sizes), group, n_folds, id_cols, seed)
+
+
+def _fill_folds(df: DataFrame, group: str, n_folds: int, id_cols: str | Sequence[str] | None, seed: int) -> DataFrame:
+    """Folds of rows whose group is null."""
+    own = hash_fold(as_list(id_cols), n_folds, seed) if id_cols is not None else spread(df.drop(FOLD), n_folds) - 1
+    return df.withColumn(FOLD, F.when(F.col(group).isNull(), own).otherwise(F.col(FOLD)))
 
 
-def stratified_group_kfold(df: DataFrame, group: str, label: str, n_folds: int = 5) -> DataFrame:
-    """Whole groups per fold, groups with the same majority class dealt round-robin."""
+def stratified_group_kfold(
+    df: DataFrame, group: str, label: str, n_folds: int = 5, id_cols: str | Sequence[str] | None = None, seed: int = 42
+) -> DataFrame:
+    """Whole groups per fold, groups with the same majority class dealt round-robin.
+
+    Labels may be of any type. Rows without a group get folds as in ``group_kfold``.
+    """
     from foldwright.operators.groupby import majority_class
 
     require(df, [group, label])
     majority = stage(majority_class(df, group, label), "group-majority")
     n_groups = majority.count()
     if n_folds > n_groups:
-        raise ValueError(f"n_splits ({n_folds}) cannot be greater than number of groups ({n_groups})")
-    ranked = ordered_index(majority, "majority", group, name="__fw_at")
+        raise ValueError(f"{n_folds} folds need as many groups; there are {n_groups}")
+    # classes by rank, as strings have no numeric order; there are few of them beside the groups
+    classes = majority.select("majority").distinct()
+    ranks = classes.withColumn("__fw_rank", F.row_number().over(Window.orderBy(F.col("majority").asc_nulls_last())))
+    known = majority.join(ranks.withColumnRenamed("majority", "__fw_m"), F.col("majority").eqNullSafe(F.col("__fw_m")))
+    ranked = ordered_index(known.select(group, "__fw_rank"), "__fw_rank", group, name="__fw_at")
     folds = ranked.select(group, F.pmod(F.col("__fw_at"), F.lit(n_folds)).cast("int").alias(FOLD))
     sizes = majority.select(group, F.col("n_rows").alias("__fw_n"))
-    return attach(df, folds, [group], sizes=sizes)
+    return _fill_folds(attach(df, folds, [group], sizes=sizes), group, n_folds, id_cols, seed)
 
 
 # ---------------------------------------------------------------- time splits
@@ -222,8 +245,8 @@ def exact_sample(df: DataFrame, id_cols: str | Sequence[str], share: float, seed
     if share >= 1.0:
         return df
     ids = as_list(id_cols)
-    cuts = hash_cuts(df, seed, ids, lambda n: [int(n * share)])
-    limit = next(iter(cuts.cuts.values()), [None])[0]
+    first = hash_cuts(df, seed, ids, lambda n: F.array(F.floor(n * F.lit(share)).cast("long"))).first()
+    limit = first["cuts"][0] if first else None
     return df if limit is None else df.filter(seeded_hash(seed, *ids) < F.lit(limit))
 
 
@@ -231,13 +254,15 @@ def bootstrap(df: DataFrame, id_cols: str | Sequence[str], seed: int = 42, copie
     """Poisson(1) bootstrap: ``copies`` is how often the row occurs in the bag.
 
     The hash-based draw needs no shuffle, and the bag is the same on every retry.
+    Terms go on until what is left is below one step of the 52-bit uniform.
     """
     u = uniform_from_hash(seed, "bag", *[F.col(c) for c in as_list(id_cols)])
-    drawn, cumulative, weight = F.lit(0), 0.0, math.exp(-1.0)
-    for k in range(12):
+    drawn, cumulative, weight, k = F.lit(0), 0.0, math.exp(-1.0), 0
+    while weight >= 2.0**-53:
         cumulative += weight
         drawn = drawn + F.when(u > cumulative, 1).otherwise(0)
-        weight /= k + 1
+        k += 1
+        weight /= k
     return df.withColumn(copies, drawn.cast("int")).filter(F.col(copies) > 0)
 
 
@@ -261,7 +286,7 @@ def holdout(
     """Add ``role``: 'valid' for ``ceil(share * n)`` rows (of each class), else 'train'."""
     by = label if stratify else None
     ids = as_list(id_cols)
-    cuts = hash_cuts(df, seed, ids, lambda n: [math.ceil(share * n)], by)
+    cuts = hash_cuts(df, seed, ids, lambda n: F.array(F.ceil(F.lit(share) * n).cast("long")), by)
     placed = with_block(df, cuts, seed, ids, "__fw_block", by)
     return placed.withColumn("role", F.when(F.col("__fw_block") == 0, "valid").otherwise("train")).drop("__fw_block")
 
@@ -295,4 +320,4 @@ def assign_folds(
         return group_kfold(df, group, n_folds)
     if strategy == "stratified_grouped":
         return stratified_group_kfold(df, group, label, n_folds)
-    raise ValueError(f"Unknown strategy: {strategy}")
+    raise ValueError(f"no such split strategy: {strategy}")

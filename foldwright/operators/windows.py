@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from foldwright.functions import names
-from foldwright.functions.dates import add_calendar, elapsed_days
+from foldwright.functions.dates import add_calendar, elapsed_days, micros
 from foldwright.functions.names import as_list, require
 from foldwright.plans.buckets import as_double
 from foldwright.plans.chunks import global_halo_windows, halo_windows, running_stats
@@ -136,8 +136,10 @@ def recency_features(
     keys = as_list(key)
     roll = _rolling([col], windows, ["mean", "std", "max"], 1, lambda c, w, s: names.DAYS_ROLLING.format(col=c, window=w, stat=s))
 
+    clock = micros(df, time)
+
     def build(window: WindowSpec) -> dict[str, Column]:
-        since = elapsed_days(F.col(time), F.lag(time, 1).over(window))
+        since = elapsed_days(clock, F.lag(clock, 1).over(window))
         return {**roll(window), names.DAYS_SINCE.format(col=col): since}
 
     return halo_windows(df, keys, time, tie, build, back=max(windows), hot_rows=hot_rows)
@@ -148,9 +150,10 @@ def days_since_previous(
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Whole elapsed days (rounded down) since the previous row of the key."""
+    clock = micros(df, time)
 
     def build(window: WindowSpec) -> dict[str, Column]:
-        return {name: elapsed_days(F.col(time), F.lag(time, 1).over(window))}
+        return {name: elapsed_days(clock, F.lag(clock, 1).over(window))}
 
     return halo_windows(df, as_list(keys), time, tie, build, back=1, hot_rows=hot_rows)
 
@@ -173,7 +176,7 @@ def calendar_rolling(
     stats = _known(stats, list(_STATS))
     day = 86_400_000_000
     # a monotone integer clock in microseconds
-    rows = df.withColumn("__fw_us", as_double(df, time).cast("long"))
+    rows = df.withColumn("__fw_us", micros(df, time))
     known = F.lit(True)
     for key in keys:
         known = known & F.col(key).isNotNull()

@@ -19,8 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foldwright.functions.dates import micros
 from foldwright.functions.scalars import numbers
-from foldwright.plans.size import is_small, shuffle_width
+from foldwright.plans.size import shuffle_width
 
 ROWS_PER_BUCKET = 2_000
 MAX_BUCKETS = 4_096
@@ -38,10 +39,7 @@ def as_double(df: DataFrame, name: str) -> Column:
     kind = df.schema[name].dataType
     col = F.col(name)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        day = F.unix_date(F.to_date(col)).cast("double") * 86_400_000_000.0
-        clock = (F.hour(col) * 3600 + F.minute(col) * 60).cast("double") * 1_000_000.0
-        seconds = F.date_part(F.lit("SECOND"), col).cast("double") * 1_000_000.0
-        return day + clock + F.round(seconds)
+        return micros(df, name).cast("double")
     if isinstance(kind, T.DateType):
         return F.unix_date(col).cast("double")
     if isinstance(kind, (T.NumericType, T.BooleanType)):
@@ -125,11 +123,8 @@ def _resolution(df: DataFrame) -> int:
 def _for_limits(df: DataFrame) -> tuple[DataFrame, int | None]:
     """The rows to estimate limits from, and the row count if it had to be taken.
 
-    A small table is used whole, in the same job that counts it. Of a large one
-    a sample is enough: limits decide the balance only.
+    Of a large table a sample is enough: limits decide the balance only.
     """
-    if is_small(df):
-        return df, None
     rows = df.count()
     return (df if rows <= LIMIT_ROWS else df.sample(LIMIT_ROWS / rows, 7)), rows
 

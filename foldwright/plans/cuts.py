@@ -9,6 +9,7 @@ and the placement is a plain expression that Spark can push down or repeat.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -17,122 +18,73 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldwright.plans.buckets import BUCKET, ROWS_PER_BUCKET, SUB, order_buckets
+from foldwright.plans.buckets import BUCKET, ROWS_PER_BUCKET, SUB, Buckets, order_buckets
 from foldwright.plans.ranks import seeded_hash
+from foldwright.session import stage
 
-#: Buckets are refined until the wanted ones hold no more rows than one task sorts with ease.
+#: A cell that holds a wanted position is refined or dealt out so that one task sorts no more rows than this.
 BUCKET_ROWS = 1_000_000
 _HASH, _CLASS = "__fw_h", "__fw_class"
-_DIGITS = 3
+HASH_DIGITS = 32
 
 Positions = Callable[[int], Sequence[int]]
+#: Positions within a class as an array, from the column that holds the class's rows.
+ClassPositions = Callable[[Column], Column]
 
 
-@dataclass(frozen=True)
-class HashCuts:
-    """Per class: its rows, and the hash at each wanted position (None past the end)."""
-
-    sizes: dict[Any, int]
-    cuts: dict[Any, list[str | None]]
-
-
-def hash_cuts(
-    df: DataFrame, seed: int, ids: Sequence[str], positions: Positions, by: str | None = None, most_classes: int = 1_000
-) -> HashCuts:
-    """The seeded hash of the rows at ``positions(n)`` of the shuffle, within each class.
+def hash_cuts(df: DataFrame, seed: int, ids: Sequence[str], positions: ClassPositions, by: str | None = None) -> DataFrame:
+    """``(__fw_class, n, cuts)``: each class's rows and the hash at its ``positions(n)``, null past the end.
 
-    Jobs read the id and class columns only. The counts brought back are 4096
-    per class and refinement; more than ``most_classes`` classes are refused.
+    One row for each class, any number of classes. Jobs read the id and class
+    columns only. Rows are counted by hash prefix, long enough that a prefix
+    holds no more rows than one task sorts with ease; rows of equal hash (ids
+    that repeat or are null) are counted and not sorted.
     """
     label = F.col(by) if by is not None else F.lit(None).cast("string")
     rows = df.select(seeded_hash(seed, *ids).alias(_HASH), label.alias(_CLASS))
-    if by is not None:
-        found = rows.select(_CLASS).distinct().limit(most_classes + 1).collect()
-        if len(found) > most_classes:
-            raise ValueError(f"column '{by}' has more than {most_classes} classes")
-    digits = _DIGITS
-    counts = _prefix_counts(rows, digits)
-    sizes: dict[Any, int] = {}
-    for (c, _), n in counts.items():
-        sizes[c] = sizes.get(c, 0) + n
-    # (class, position) -> prefix of the bucket, position inside it
-    places: dict[tuple[Any, int], tuple[str, int]] = {}
-    wanted = {c: [p for p in positions(n)] for c, n in sizes.items()}
-    for c, n in sizes.items():
-        inside = sorted({p for p in wanted[c] if 0 <= p < n})
-        places.update(_locate(c, [(p, p) for p in inside], counts, ""))
-    while places and max(counts[(c, prefix)] for (c, _), (prefix, _) in places.items()) > BUCKET_ROWS:
-        targets = {(c, prefix) for (c, _), (prefix, _) in places.items()}
-        known = _in_buckets(rows, targets, digits)
-        digits += _DIGITS
-        counts = _prefix_counts(known, digits)
-        finer: dict[tuple[Any, int], tuple[str, int]] = {}
-        for c, prefix in targets:
-            asked = [(p, inner) for (k, p), (q, inner) in places.items() if k == c and q == prefix]
-            finer.update(_locate(c, asked, counts, prefix))
-        places = finer
-    hashes = _pick(rows, places, digits)
-    return HashCuts(sizes, {c: [hashes.get((c, p)) for p in wanted[c]] for c in sizes})
-
-
-def _prefix_counts(rows: DataFrame, digits: int) -> dict[tuple[Any, str], int]:
-    cells = rows.groupBy(_CLASS, F.substring(_HASH, 1, digits).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    return {(r[0], r[1]): r[2] for r in cells.collect()}
-
-
-def _locate(
-    c: Any, asked: Sequence[tuple[int, int]], counts: dict[tuple[Any, str], int], inside: str
-) -> dict[tuple[Any, int], tuple[str, int]]:
-    """Where positions fall: ``asked`` pairs the global position with the one inside the parent bucket."""
-    found, before = {}, 0
-    left = sorted(asked, key=lambda a: a[1])
-    for prefix in sorted(p for k, p in counts if k == c and p.startswith(inside)):
-        n = counts[(c, prefix)]
-        while left and left[0][1] < before + n:
-            position, at = left.pop(0)
-            found[(c, position)] = (prefix, at - before)
-        before += n
-    return found
-
-
-def _in_buckets(rows: DataFrame, targets: set[tuple[Any, str]], digits: int) -> DataFrame:
-    hit = F.lit(False)
-    for c in {k for k, _ in targets}:
-        prefixes = sorted(p for k, p in targets if k == c)
-        hit = hit | (F.col(_CLASS).eqNullSafe(F.lit(c)) & F.substring(_HASH, 1, digits).isin(prefixes))
-    return rows.filter(hit)
-
-
-def _pick(rows: DataFrame, places: dict[tuple[Any, int], tuple[str, int]], digits: int) -> dict[tuple[Any, int], str]:
-    if not places:
-        return {}
-    targets = {(c, prefix) for (c, _), (prefix, _) in places.items()}
-    few = _in_buckets(rows, targets, digits).withColumn("p", F.substring(_HASH, 1, digits))
-    at = F.row_number().over(Window.partitionBy(_CLASS, "p").orderBy(_HASH)) - 1
-    inner = sorted({i for _, i in places.values()})
-    lines = few.withColumn("i", at).filter(F.col("i").isin(inner)).select(_CLASS, "p", "i", _HASH).collect()
-    seen = {(r[0], r[1], r[2]): r[3] for r in lines}
-    return {(c, p): seen[(c, prefix, i)] for (c, p), (prefix, i) in places.items()}
-
-
-def with_block(df: DataFrame, cuts: HashCuts, seed: int, ids: Sequence[str], name: str, by: str | None = None) -> DataFrame:
-    """Add how many of its class's cuts a row's hash has reached: a block number."""
-
-    def passed(limits: Sequence[str | None]) -> Column:
+    sizes = rows.groupBy(_CLASS).agg(F.count(F.lit(1)).alias("n"))
+    sizes = stage(sizes.withColumn("wanted", positions(F.col("n"))), "class-sizes")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    # a sixteenth of the limit, as hashes are even only on average
+    digits = min(HASH_DIGITS, max(1, math.ceil(math.log(max(1, 16 * total / BUCKET_ROWS), 16))))
+    prefix = F.substring(_HASH, 1, digits).alias("p")
+    cells = rows.groupBy(_CLASS, prefix).agg(F.count(F.lit(1)).alias("m"))
+    before = Window.partitionBy(_CLASS).orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("before", F.coalesce(F.sum("m").over(before), F.lit(0)))
+    held = cells.join(sizes.withColumnRenamed(_CLASS, "c"), F.col(_CLASS).eqNullSafe(F.col("c")))
+    inside = F.filter("wanted", lambda w: (w >= F.col("before")) & (w < F.col("before") + F.col("m")))
+    held = held.select("c", F.col("p").alias("q"), "before", inside.alias("inside")).filter(F.size("inside") > 0)
+    few = rows.withColumn("p", prefix).join(held, F.col(_CLASS).eqNullSafe(F.col("c")) & (F.col("p") == F.col("q")))
+    equal = few.groupBy("c", "q", "before", "inside", _HASH).agg(F.count(F.lit(1)).alias("m"))
+    through = Window.partitionBy("c", "q").orderBy(_HASH)
+    equal = equal.withColumn("through", F.col("before") + F.sum("m").over(through))
+    at = F.filter("inside", lambda w: (w >= F.col("through") - F.col("m")) & (w < F.col("through")))
+    picked = equal.select("c", _HASH, F.explode(at).alias("w")).groupBy("c").agg(
+        F.map_from_entries(F.collect_set(F.struct("w", _HASH))).alias("found")
+    )
+    joined = sizes.join(picked, F.col(_CLASS).eqNullSafe(F.col("c")), "left")
+    cuts = F.transform("wanted", lambda w: F.try_element_at("found", w))
+    return stage(joined.select(_CLASS, "n", cuts.alias("cuts")), "class-cuts")
+
+
+def with_block(df: DataFrame, cuts: DataFrame, seed: int, ids: Sequence[str], name: str, by: str | None = None) -> DataFrame:
+    """Add how many of its class's cuts a row's hash has reached: a block number.
+
+    Without classes the cuts become literals. With classes they are joined as a
+    table, which Spark broadcasts when it is small.
+    """
+    if by is None:
+        limits = (cuts.first() or {"cuts": []})["cuts"]
         number = F.lit(0)
         for limit in limits:
             if limit is not None:
                 number = number + (F.col(_HASH) >= F.lit(limit)).cast("int")
-        return number
-
-    if by is None:
-        block = passed(next(iter(cuts.cuts.values()), []))
-    else:
-        block = F.lit(None).cast("int")
-        for c, limits in cuts.cuts.items():
-            block = F.when(F.col(by).eqNullSafe(F.lit(c)), passed(limits)).otherwise(block)
-    # a column of its own, so that the hash is computed once per row
-    return df.withColumn(_HASH, seeded_hash(seed, *ids)).withColumn(name, block).drop(_HASH)
+        # a column of its own, so that the hash is computed once per row
+        return df.withColumn(_HASH, seeded_hash(seed, *ids)).withColumn(name, number).drop(_HASH)
+    hashed = df.withColumn(_HASH, seeded_hash(seed, *ids))
+    passed = F.size(F.filter("cuts", lambda c: F.coalesce(c <= F.col(_HASH), F.lit(False))))
+    joined = hashed.join(cuts.select(F.col(_CLASS), "cuts"), F.col(by).eqNullSafe(F.col(_CLASS)), "left")
+    return joined.select(*df.columns, passed.cast("int").alias(name))
 
 
 # --------------------------------------------------------------- ordered cuts
@@ -190,27 +142,42 @@ def order_cuts(
     kinds = (slim.schema[order].dataType, slim.schema[tie].dataType)
     limits = order_buckets(slim, order, tie, descending, rows_per_bucket)
     n = limits.rows
-    wanted = sorted({p for p in positions(n) if 0 < p < n})
-    if not wanted:
-        return OrderCuts(order, tie, descending, n, {}, kinds)
+    wanted = {p: p for p in positions(n) if 0 < p < n}
+    keys = _keys_at(slim, limits, wanted, kinds, rows_per_bucket) if wanted else {}
+    return OrderCuts(order, tie, descending, n, keys, kinds)
+
+
+def _keys_at(
+    slim: DataFrame, limits: Buckets, wanted: dict[int, int], kinds: tuple[T.DataType, T.DataType], rows_per_bucket: int
+) -> dict[int, tuple[Any, Any]]:
+    """The keys of ``wanted``, which maps positions inside ``slim`` to the names they go by.
+
+    A cell of too many rows is cut again on its own, down to cells that one task
+    can sort or that cannot be told apart.
+    """
     placed = limits.place(slim)
-    cells = placed.groupBy(BUCKET, SUB).agg(F.count(F.lit(1)).alias("n")).collect()
-    places: dict[tuple[int, int, int], int] = {}
-    before, left = 0, list(wanted)
-    for cell in sorted(cells, key=lambda c: (c[BUCKET], c[SUB])):
-        while left and left[0] < before + cell["n"]:
-            position = left.pop(0)
-            places[(cell[BUCKET], cell[SUB], position - before)] = position
-        before += cell["n"]
     # sub-buckets start at -1
     cell = F.col(BUCKET).cast("long") * 1_000_000 + F.col(SUB)
-    hit = cell.isin(sorted({b * 1_000_000 + s for b, s, _ in places}))
-    at = F.row_number().over(Window.partitionBy(BUCKET, SUB).orderBy(*limits.sort_columns())) - 1
-    few = placed.filter(hit).withColumn("__fw_i", at)
-    few = few.filter(F.col("__fw_i").isin(sorted({i for _, _, i in places})))
-    keys = {}
-    shown = [_portable(order, kinds[0]).alias("o"), _portable(tie, kinds[1]).alias("t")]
-    for r in few.select(BUCKET, SUB, "__fw_i", *shown).collect():
-        if (r[0], r[1], r[2]) in places:
-            keys[places[(r[0], r[1], r[2])]] = (r[3], r[4])
-    return OrderCuts(order, tie, descending, n, keys, kinds)
+    cells = placed.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    asked = F.array(*[F.lit(p).cast("long") for p in sorted(wanted)])
+    inside = F.filter(asked, lambda w: (w >= F.col("before")) & (w < F.col("before") + F.col("n")))
+    held = cells.withColumn("inside", inside).filter(F.size("inside") > 0).collect()
+    keys: dict[int, tuple[Any, Any]] = {}
+    small = [c for c in held if c["n"] <= BUCKET_ROWS or c["n"] == limits.rows]
+    for c in held:
+        if c not in small:
+            part = placed.filter(cell == c["cell"]).select(*slim.columns)
+            finer = order_buckets(part, limits.order, limits.tie, limits.descending, rows_per_bucket)
+            keys |= _keys_at(part, finer, {p - c["before"]: wanted[p] for p in c["inside"]}, kinds, rows_per_bucket)
+    if small:
+        names = {(c["cell"], p - c["before"]): wanted[p] for c in small for p in c["inside"]}
+        few = placed.withColumn("__fw_cell", cell).filter(F.col("__fw_cell").isin([c["cell"] for c in small]))
+        at = F.row_number().over(Window.partitionBy("__fw_cell").orderBy(*limits.sort_columns())) - 1
+        few = few.withColumn("__fw_i", at).filter(F.col("__fw_i").isin(sorted({i for _, i in names})))
+        shown = [_portable(limits.order, kinds[0]).alias("o"), _portable(limits.tie, kinds[1]).alias("t")]
+        for r in few.select("__fw_cell", "__fw_i", *shown).collect():
+            if (r[0], r[1]) in names:
+                keys[names[r[0], r[1]]] = (r[2], r[3])
+    return keys

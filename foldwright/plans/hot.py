@@ -7,12 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldwright.plans.size import is_small
+from foldwright.plans.size import HOT_ROWS, is_small
 
-#: A group of up to this many rows is comfortable work for one task.
-HOT_ROWS = 2_000_000
-#: At most this many keys can be hot, because each holds more than 1/MAX_HOT of all rows.
-MAX_HOT = 65_536
 SPREAD = 1_024
 
 
@@ -25,25 +21,22 @@ def spread(df: DataFrame, ways: int = SPREAD) -> Column:
 def hot_keys(
     df: DataFrame, keys: Sequence[str], hot_rows: int | None = None, sizes: DataFrame | None = None
 ) -> DataFrame | None:
-    """Keys above the hot limit as a table of at most ``MAX_HOT`` rows; None if there are none.
+    """Keys of more than ``hot_rows`` rows, one in so many rows at most; None if there are none.
 
-    A table that is small by Catalyst's estimate is never counted. Otherwise one
-    aggregate over the key columns returns the total and the largest group.
+    The limit does not depend on the size of the table. A table of fewer rows
+    is never grouped; otherwise one aggregate over the key columns finds the
+    largest group.
     """
-    if hot_rows is None:
-        if is_small(df):
-            return None
-        hot_rows = HOT_ROWS
     if sizes is None:
+        if hot_rows is None and is_small(df):
+            return None
         sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__fw_n"))
+    limit = HOT_ROWS if hot_rows is None else hot_rows
     known = sizes
     for key in keys:
         known = known.filter(F.col(key).isNotNull())
-    top = known.agg(F.sum("__fw_n").alias("total"), F.max("__fw_n").alias("largest")).first()
-    limit = max(hot_rows, (top["total"] or 0) // MAX_HOT)
-    if top["largest"] is None or top["largest"] <= limit:
-        return None
-    return known.filter(F.col("__fw_n") > limit).select(*keys)
+    known = known.filter(F.col("__fw_n") > limit).select(*keys)
+    return None if known.isEmpty() else known
 
 
 def attach(
@@ -57,39 +50,34 @@ def attach(
     """Left join of a table with one row per key, safe for hot and null keys.
 
     ``small`` says that no key of ``df`` can hold enough rows to matter; by
-    default Catalyst's estimate decides. Callers that join several states pass
-    what they found before the first join, because such joins add no rows but
-    inflate the estimate.
+    default a row count decides. Callers that join several states pass what
+    they found before the first join.
 
     The plain join lets Spark broadcast ``state`` when its measured size allows.
     When ``df`` is large the rows may have to be shuffled by key, and a hot key
     would then land in one task; Spark's own skew split does not apply because
-    the state side is an aggregate. So the state of the hot keys (bounded by
-    ``MAX_HOT``) is broadcast, and hot and null-key rows are salted out of the
-    shuffled join, where they have nothing to find.
+    the state side is an aggregate. So rows of hot keys are dealt over
+    ``SPREAD`` salts and their state is repeated for each, which adds one state
+    row for every few thousand rows at most, whatever the width of the state.
+    Rows with a null key have nothing to find and are dealt out as well.
     """
     keys = list(keys)
     values = [c for c in state.columns if c not in keys]
-    if df.isStreaming or (hot_rows is None and (is_small(df) if small is None else small)):
+    if df.isStreaming or (hot_rows is None and sizes is None and (is_small(df) if small is None else small)) or small:
         # a micro-batch is as large as its trigger allows
         return df.join(state, keys, "left")
     hot = hot_keys(df, keys, hot_rows, sizes)
     has_key = F.lit(True)
     for key in keys:
         has_key = has_key & F.col(key).isNotNull()
-    salt = "__fw_salt"
+    salt, mark = "__fw_salt", "__fw_hot"
     if hot is None:
-        rows = df.withColumn(salt, F.when(has_key, 0).otherwise(spread(df)))
+        rows = df.withColumn(salt, F.when(has_key, 0).otherwise(-spread(df)))
         return rows.join(state.withColumn(salt, F.lit(0)), [*keys, salt], "left").drop(salt)
-    hot_state = state.join(F.broadcast(hot), keys, "left_semi").select(
-        *keys, F.struct(F.lit(True).alias("hit"), *values).alias("__fw_hot")
-    )
-    marked = df.join(F.broadcast(hot_state), keys, "left")
-    marked = marked.withColumn(
-        salt, F.when(has_key & F.col("__fw_hot").isNull(), 0).otherwise(spread(df))
-    )
-    joined = marked.join(state.withColumn(salt, F.lit(0)), [*keys, salt], "left")
-    merged = [
-        F.when(F.col("__fw_hot").isNotNull(), F.col("__fw_hot")[v]).otherwise(F.col(v)).alias(v) for v in values
-    ]
-    return joined.select(*df.columns, *merged)
+    # the hot keys alone, at most one for HOT_ROWS rows
+    rows = df.join(F.broadcast(hot.withColumn(mark, F.lit(True))), keys, "left")
+    rows = rows.withColumn(salt, F.when(~has_key, -spread(df)).when(F.col(mark), spread(df)).otherwise(0)).drop(mark)
+    salts = F.sequence(F.lit(1), F.lit(SPREAD))
+    repeated = state.join(F.broadcast(hot), keys, "left_semi").withColumn(salt, F.explode(salts))
+    both = state.withColumn(salt, F.lit(0)).unionByName(repeated)
+    return rows.join(both, [*keys, salt], "left").select(*df.columns, *values)

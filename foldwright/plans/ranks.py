@@ -17,8 +17,14 @@ _NULL_KEY = "\u0000"
 
 
 def seeded_hash(seed: int, *ids: str) -> Column:
-    """The row's place in a seeded shuffle: md5 of seed and id, equal in every engine."""
-    return F.md5(F.concat_ws("_", F.lit(str(seed)), *[F.col(c).cast("string") for c in ids]))
+    """The row's place in a seeded shuffle: md5 of seed and id, equal in every engine.
+
+    Several ids are told apart by their lengths, and null from every text.
+    """
+    parts = [F.col(c).cast("string") for c in ids]
+    if len(parts) > 1:
+        parts = [F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("null")) for p in parts]
+    return F.md5(F.concat_ws("_", F.lit(str(seed)), *parts))
 
 
 def _partition_keys(df: DataFrame, partition: Sequence[str]) -> tuple[DataFrame, list[str]]:

@@ -1,24 +1,16 @@
-"""Plan-time size checks from Catalyst's statistics."""
+"""Size checks: a measured row count, never an estimate."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Below this many estimated bytes no key can hold enough rows to hurt one task.
-SKEW_FREE_BYTES = 256 * 1024 * 1024
+#: A group of up to this many rows is comfortable work for one task.
+HOT_ROWS = 2_000_000
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's (upper) estimate of the size of ``df``; None if unavailable."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
-
-
-def is_small(df: DataFrame, limit: int = SKEW_FREE_BYTES) -> bool:
-    size = estimated_bytes(df)
-    return size is not None and size <= limit
+def is_small(df: DataFrame, rows: int = HOT_ROWS) -> bool:
+    """Whether the whole table has at most ``rows`` rows, so that no key of it can have more (one count)."""
+    return df.count() <= rows
 
 
 def shuffle_width(spark: SparkSession) -> int:

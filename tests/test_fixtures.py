@@ -257,7 +257,7 @@ def test_forward_bounds_by_hand():
 
 def test_more_folds_than_groups(spark):
     df = spark.createDataFrame([(1, 0), (1, 1), (2, 0)], "g int, y int")
-    with pytest.raises(ValueError, match="cannot be greater"):
+    with pytest.raises(ValueError, match="need as many groups"):
         splits.stratified_group_kfold(df, "g", "y", 3)
 
 
@@ -289,6 +289,13 @@ def test_correlation_needs_three_rows(spark):
         metrics.correlation_report(spark.createDataFrame([(1.0, 2.0), (2.0, 3.0)], "x double, y double"), "x", "y")
 
 
+def test_correlation_p_values_of_many_rows():
+    for n in (10**7 - 10, 10**7 + 10, 10**12):
+        for t in (0.001, 1.0, 2.0, 6.0):
+            r = t / math.sqrt(n - 2 + t * t)
+            assert metrics.correlation_p(r, n) == pytest.approx(math.erfc(t / math.sqrt(2)), rel=2e-4 if n < 10**8 else 1e-6)
+
+
 def test_correlation_p_values():
     # two-sided p of r = 0.8, n = 10: t = 3.771, 8 degrees of freedom
     assert metrics.correlation_p(0.8, 10) == pytest.approx(0.005456, abs=2e-6)

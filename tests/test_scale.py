@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import collections
 import math
 import random
 
@@ -11,6 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from foldwright.operators import encode, groupby, lookup, metrics, splits, windows
+from foldwright.operators.groupby import majority_class
 from foldwright.plans import cuts as cut_module
 from foldwright.plans.buckets import order_buckets
 from foldwright.plans.cuts import hash_cuts, order_cuts
@@ -82,15 +84,66 @@ def test_order_cuts_with_null_order(skewed):
     assert [skewed.filter(found.before(p)).count() for p in (100, 2900)] == [100, 2900]
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 1])
+@pytest.mark.parametrize("limit", [1_000_000, 100, 1])
 def test_hash_cuts_are_exact(skewed, monkeypatch, limit):
-    """A tiny bucket limit forces the refinement by further digits."""
+    """A tiny bucket limit counts by longer prefixes."""
     monkeypatch.setattr(cut_module, "BUCKET_ROWS", limit)
     hashes = sorted(r[0] for r in skewed.select(seeded_hash(3, "id")).collect())
     wanted = [0, 10, 1500, 2999, 3000]
-    found = hash_cuts(skewed, 3, ["id"], lambda n: wanted)
-    assert found.sizes == {None: 3000}
-    assert found.cuts[None] == [*(hashes[p] for p in wanted[:-1]), None]
+    found = hash_cuts(skewed, 3, ["id"], lambda n: F.array(*[F.lit(w).cast("long") for w in wanted])).collect()
+    assert [(r["n"], r["cuts"]) for r in found] == [(3000, [*(hashes[p] for p in wanted[:-1]), None])]
+
+
+def test_positions_over_both_clock_changes(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for start in (1710050400, 1730606400):  # hours around the changes of March and November 2024
+            df = spark.range(600).select("id", F.timestamp_seconds(F.lit(start) + F.col("id") * 60).alias("t"))
+            placed = ordered_index(df, "t", "id", rows_per_bucket=20)
+            assert placed.filter("index <> id").count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 100])
+def test_hash_cuts_with_repeated_and_null_ids(spark, monkeypatch, limit):
+    monkeypatch.setattr(cut_module, "BUCKET_ROWS", limit)
+    wanted = lambda n: F.array(*[F.lit(w).cast("long") for w in (0, 500, 1999)])
+    for df in (spark.range(2000).selectExpr("7 as id"), spark.range(2000).selectExpr("cast(null as long) as id")):
+        hashed = df.select(seeded_hash(3, "id")).first()[0]
+        assert hash_cuts(df, 3, ["id"], wanted).first()["cuts"] == [hashed] * 3
+        assert splits.kfold(df, "id", 5).count() == 2000
+    apart = spark.createDataFrame([("a_b", "c"), ("a", "b_c"), ("a", None), (None, "a")], "x string, y string")
+    assert apart.select(seeded_hash(1, "x", "y").alias("h")).distinct().count() == 4
+
+
+def test_many_classes(spark):
+    df = spark.range(15_000).selectExpr("id", "concat('c', id % 3000) as y")
+    folds = splits.stratified_kfold(df, "id", "y", n_folds=5).groupBy("y").agg(F.count_distinct("fold").alias("n"), F.max("fold").alias("m"))
+    assert folds.agg(F.min("n"), F.max("m")).first() == (5, 4)
+
+
+def test_order_cuts_refine(skewed, monkeypatch):
+    monkeypatch.setattr(cut_module, "BUCKET_ROWS", 20)
+    ordered = [(r[0], r[1]) for r in skewed.select("v", "id").filter("v is not null").orderBy("v", "id").collect()]
+    wanted = [1, 500, 1499, 2000]
+    found = order_cuts(skewed.filter("v is not null"), "v", "id", lambda n: wanted, rows_per_bucket=400)
+    assert [found.keys[p] for p in wanted if p < len(ordered)] == [ordered[p] for p in wanted if p < len(ordered)]
+
+
+def test_null_groups_and_string_labels(spark):
+    rows = [(i, None if i % 10 == 0 else f"g{i % 37}", f"label{i % 3}") for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, g string, y string")
+    for out in (splits.group_kfold(df, "g", 4, "id"), splits.stratified_group_kfold(df, "g", "y", 4, "id"), splits.group_kfold(df, "g", 4)):
+        folds = out.collect()
+        assert len(folds) == 400 and all(r["fold"] in range(4) for r in folds)
+        assert len({(r["g"], r["fold"]) for r in folds if r["g"]}) == len({r["g"] for r in folds if r["g"]})
+        assert len({r["fold"] for r in folds if r["g"] is None}) > 1
+    majority = {r["g"]: r["majority"] for r in majority_class(df, "g", "y").collect()}
+    for g in majority:
+        counts = collections.Counter(y for _, h, y in rows if h == g)
+        assert majority[g] == min(counts, key=lambda y: (-counts[y], y))
 
 
 def test_attach_hot_and_null_keys(skewed):
@@ -236,6 +289,7 @@ def test_order_cuts_and_days_in_another_time_zone(spark, kind):
         assert [df.filter(found.before(p)).count() for p in (50, 131, 250)] == [50, 131, 250]
         if kind != "date":
             days = windows.days_since_previous(df.filter("id < 25").withColumn("g", F.lit(1)), "g", "t", "id")
-            assert {r["days_since_previous"] for r in days.collect()} == {None, 1}
+            # the clock change leaves 23 hours between two instants
+            assert {r["days_since_previous"] for r in days.collect()} == ({None, 0, 1} if kind == "timestamp" else {None, 1})
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
