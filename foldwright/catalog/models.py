@@ -9,7 +9,7 @@ from foldwright.catalog.registry import FOLDED, ORDERS, orders, query, rounded
 from foldwright.catalog.scores import MODELS, SCORED, auc_sql, scored
 from foldwright.functions import scalars, vectors
 from foldwright.operators import curriculum, distill, metrics, oof, pipeline, pseudo, splits
-from foldwright.operators.learners import GroupMeanLearner, SparkLearner
+from foldwright.operators.learners import GroupMeanLearner, RowMeanLearner, SparkLearner
 from foldwright.session import scratch_path
 from foldwright.sources import sinks
 from foldwright.sources.tables import read_csv, read_parquet, table
@@ -149,14 +149,24 @@ def e11_feature_vectors(spark, d):
 
 # ------------------------------------------------------------- vector columns
 
-#: Ten class probabilities per embedding: softmax of its first ten elements times 8.
-_PROBS = """s AS (SELECT vec_id, label, CAST(i AS INTEGER) AS i, exp(CAST(embedding[i + 1] AS DOUBLE) * 8) AS e FROM embeddings, range(10) r(i)),
+#: Ten logits per embedding: 8 times the sum of every tenth element, the first of them at ``offset``.
+def _logits_sql(offset: int = 0) -> str:
+    return f"(SELECT vec_id, label, CAST(i AS INTEGER) AS i, 8 * sum(CAST(embedding[j + 1] AS DOUBLE) ORDER BY j) AS z FROM embeddings, range(10) r(i), range(64) q(j) WHERE j % 10 = (i + {offset}) % 10 GROUP BY ALL)"
+
+
+def _logits(offset: int = 0):
+    places = [[j for j in range(64) if j % 10 == (i + offset) % 10] for i in range(10)]
+    elements = lambda at: F.transform(F.array(*map(F.lit, at)), lambda j: F.get("embedding", j).cast("double"))
+    return F.array(*[8 * F.aggregate(elements(at), F.lit(0.0), lambda s, x: s + x) for at in places])
+
+
+#: Ten class probabilities per embedding.
+_PROBS = f"""s AS (SELECT vec_id, label, i, exp(z) AS e FROM {_logits_sql()}),
   p AS (SELECT vec_id, label, i, e / sum(e) OVER (PARTITION BY vec_id) AS p FROM s)"""
 
 
 def class_probs(spark, d):
-    logits = F.transform(F.slice("embedding", 1, 10), lambda x: x.cast("double") * 8)
-    return table(spark, d, "embeddings").select("vec_id", "label", logits.alias("logits"), vectors.softmax(logits).alias("p"))
+    return table(spark, d, "embeddings").select("vec_id", "label", _logits().alias("logits"), vectors.softmax(_logits()).alias("p"))
 
 
 def _long(df, col, name="p"):
@@ -415,18 +425,14 @@ def m21_self_paced(spark, d):
 
 
 def _two_teachers(spark, d):
-    second = F.transform(F.slice("embedding", 11, 10), lambda x: x.cast("double") * 8)
     return table(spark, d, "embeddings").select(
-        "vec_id", "label",
-        vectors.softmax(F.transform(F.slice("embedding", 1, 10), lambda x: x.cast("double") * 8)).alias("a"),
-        vectors.softmax(second).alias("b"),
+        "vec_id", "label", vectors.softmax(_logits()).alias("a"), vectors.softmax(_logits(3)).alias("b")
     )
 
 
 @query(
     "m22_teacher_mean",
-    """WITH s AS (SELECT vec_id, t, CAST(i AS INTEGER) AS i, exp(CAST(embedding[t * 10 + i + 1] AS DOUBLE) * 8) AS e
-          FROM embeddings, range(10) r(i), range(2) k(t)),
+    f"""WITH s AS (SELECT vec_id, 0 AS t, i, exp(z) AS e FROM {_logits_sql()} UNION ALL SELECT vec_id, 1, i, exp(z) FROM {_logits_sql(3)}),
     p AS (SELECT vec_id, t, i, ln(e / sum(e) OVER (PARTITION BY vec_id, t) + 1e-8) / 3 AS z FROM s),
     q AS (SELECT vec_id, t, i, exp(z) / sum(exp(z)) OVER (PARTITION BY vec_id, t) AS q FROM p)
     SELECT vec_id, i, round(sum(q * CASE WHEN t = 0 THEN 0.75 ELSE 0.25 END), 6) AS p FROM q GROUP BY 1, 2""",
@@ -485,8 +491,7 @@ def m26_temperature_analysis(spark, d):
 
 @query(
     "m27_distillation_loss",
-    """WITH s AS (SELECT vec_id, label, i, CAST(embedding[i + 1] AS DOUBLE) * 8 AS a, CAST(embedding[i + 11] AS DOUBLE) * 8 AS b
-          FROM embeddings, range(10) r(i)),
+    f"""WITH s AS (SELECT a.vec_id, a.label, a.i, a.z AS a, b.z AS b FROM {_logits_sql()} a JOIN {_logits_sql(3)} b USING (vec_id, i)),
     q AS (SELECT vec_id, label, i, exp(a) / sum(exp(a)) OVER w AS teacher, exp(b / 2) / sum(exp(b / 2)) OVER w AS soft,
                  exp(b) / sum(exp(b)) OVER w AS hard FROM s WINDOW w AS (PARTITION BY vec_id)),
     l AS (SELECT vec_id, label, 0.5 * 4 * sum(teacher * (ln(teacher) - ln(soft + 1e-12))) - 0.5 * sum(CASE WHEN i = label THEN ln(hard) ELSE 0 END) AS loss
@@ -494,10 +499,7 @@ def m26_temperature_analysis(spark, d):
     SELECT label, round(avg(loss), 6) AS loss FROM l GROUP BY 1""",
 )
 def m27_distillation_loss(spark, d):
-    def logits(start):
-        return F.transform(F.slice("embedding", start, 10), lambda x: x.cast("double") * 8)
-
-    loss = distill.distillation_loss(logits(11), vectors.softmax(logits(1)), 2.0, 0.5, F.col("label"))
+    loss = distill.distillation_loss(_logits(3), vectors.softmax(_logits()), 2.0, 0.5, F.col("label"))
     rows = table(spark, d, "embeddings").select("label", loss.alias("loss"))
     return rounded(rows.groupBy("label").agg(F.avg("loss").alias("loss")))
 
@@ -704,3 +706,71 @@ def m25_distillation_group_means(spark, d):
     teachers = [_group_learner("lang", "source").fit(labelled), _group_learner("lang").fit(labelled)]
     out = distill.distillation_dataset(labelled, rest, teachers, "y", "doc_id", 2, ["doc_id"], 3.0, 0.5)
     return rounded(out.select("doc_id", F.element_at("soft_label", 2).alias("p"), "origin"))
+
+
+@query(
+    "m5_stack_row_mean",
+    f"""WITH {FOLDED}, g AS (SELECT k AS fold, avg(y) AS g FROM folded, range(5) r(k) WHERE fold <> k GROUP BY k),
+    a AS (SELECT o_custkey, g.fold, (sum(y) + 10 * any_value(g)) / (count(*) + 10) AS v FROM folded f JOIN g ON f.fold <> g.fold GROUP BY 1, 2),
+    b AS (SELECT o_orderpriority, g.fold, (sum(y) + 10 * any_value(g)) / (count(*) + 10) AS v FROM folded f JOIN g ON f.fold <> g.fold GROUP BY 1, 2),
+    n AS (SELECT c_custkey, p.o_orderpriority FROM customer, (SELECT DISTINCT o_orderpriority FROM orders) p),
+    e AS (SELECT c_custkey, n.o_orderpriority, coalesce(a.v, g) AS x, coalesce(b.v, g) AS z FROM n CROSS JOIN g
+          LEFT JOIN a ON a.o_custkey = c_custkey AND a.fold = g.fold LEFT JOIN b ON b.o_orderpriority = n.o_orderpriority AND b.fold = g.fold)
+    SELECT c_custkey, o_orderpriority, round((avg(x) + avg(z)) / 2, 6) AS prediction FROM e GROUP BY 1, 2""",
+)
+def m5_stack_row_mean(spark, d):
+    """New rows through every fold model of every base learner and the meta learner."""
+    base = {"customer": _group_learner("o_custkey"), "priority": _group_learner("o_orderpriority")}
+    stack = oof.Stack(base, lambda cols: RowMeanLearner(tuple(cols)), "y")
+    stack.fit(_order_folds(spark, d), _KEY)
+    kinds = table(spark, d, "orders").select("o_orderpriority").distinct()
+    new = table(spark, d, "customer").select("c_custkey", F.col("c_custkey").alias("o_custkey")).crossJoin(F.broadcast(kinds))
+    return rounded(stack.predict(new).select("c_custkey", "o_orderpriority", "prediction"))
+
+
+@query(
+    "m14_pseudo_group_mean",
+    f"""WITH {_DOCS}, lf AS (SELECT *, ntile(3) OVER (PARTITION BY y ORDER BY md5(concat_ws('_', '42', CAST(doc_id AS VARCHAR)))) - 1 AS fold FROM l),
+    gk AS (SELECT k, avg(y) AS g FROM lf, range(3) r(k) WHERE fold <> k GROUP BY k),
+    mk AS (SELECT lang, source, k, (sum(y) + 10 * any_value(g)) / (count(*) + 10) AS v FROM lf JOIN gk ON fold <> k GROUP BY 1, 2, 3),
+    pp AS (SELECT doc_id, avg(coalesce(v, g)) AS p FROM u CROSS JOIN gk LEFT JOIN mk USING (lang, source, k) GROUP BY 1),
+    cc AS (SELECT doc_id, greatest(1 - p, p) AS confidence, CAST(p > 1 - p AS INTEGER) AS y FROM pp),
+    ss AS (SELECT doc_id, y FROM cc WHERE confidence >= 0.72 QUALIFY
+      row_number() OVER (ORDER BY md5(concat_ws('_', '42', CAST(doc_id AS VARCHAR)))) <= floor(count(*) OVER () * 0.5))
+    SELECT doc_id, y, 'train' AS origin FROM l UNION ALL SELECT doc_id, y, 'pseudo' FROM ss""",
+)
+def m14_pseudo_group_mean(spark, d):
+    labelled, rest = _labelled_groups(spark, d)
+    run = oof.OutOfFold(_group_learner("lang", "source"), "y", n_folds=3)
+    run.fit_predict(splits.stratified_kfold(labelled, "doc_id", "y", 3), "doc_id")
+    return pseudo.pseudo_label(labelled, rest, run.models, "y", "doc_id", threshold=0.72).select("doc_id", "y", "origin")
+
+
+@query(
+    "m21_self_paced_group_mean",
+    f"""WITH {_DOCS}, e AS (SELECT count(*) AS n FROM l JOIN m USING (lang, source) WHERE 1 - greatest(1 - v, v) <= 0.3)
+    SELECT 0 AS stage, 0.25::DOUBLE AS threshold, count(*) AS n_rows FROM l UNION ALL SELECT 1, 0.3::DOUBLE, n FROM e""",
+)
+def m21_self_paced_group_mean(spark, d):
+    labelled, _ = _labelled_groups(spark, d)
+    _, stages = curriculum.train_self_paced(labelled, _group_learner("lang", "source"), "y", threshold=0.25, n_stages=2)
+    rows = [(i, round(t, 9), n) for i, (t, n) in enumerate(stages)]
+    return spark.createDataFrame(rows, "stage int, threshold double, n_rows long")
+
+
+@query(
+    "m28_adversarial_group_mean",
+    f"""WITH b AS (SELECT o_orderpriority, CAST(o_orderdate >= TIMESTAMP '1997-01-01' AS INTEGER) AS y, o_orderkey FROM orders),
+    f AS (SELECT *, ntile(3) OVER (ORDER BY md5(concat_ws('_', '42', CAST(y AS VARCHAR), CAST(o_orderkey AS VARCHAR)))) - 1 AS fold FROM b),
+    g AS (SELECT k, avg(y) AS g FROM f, range(3) r(k) WHERE fold <> k GROUP BY k),
+    m AS (SELECT o_orderpriority, k, (sum(y) + 10 * any_value(g)) / (count(*) + 10) AS v FROM f JOIN g ON fold <> k GROUP BY 1, 2),
+    o AS (SELECT y, coalesce(v, g) AS p FROM f JOIN g ON fold = g.k LEFT JOIN m ON m.k = g.k AND m.o_orderpriority = f.o_orderpriority)
+    SELECT round(auc, 6) AS auc, n_pos, n_neg, auc > 0.5 AS shifted FROM {auc_sql('o', 'p')}""",
+)
+def m28_adversarial_group_mean(spark, d):
+    rows = table(spark, d, "orders").select(_KEY, "o_orderpriority", "o_orderdate")
+    early = F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz")
+    found, _ = oof.adversarial_validation(
+        rows.filter(early), rows.filter(~early), ["o_orderpriority"], _KEY, lambda label: GroupMeanLearner(("o_orderpriority",), label)
+    )
+    return rounded(found)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldwright.functions.vectors import argmax_label, one_hot
+from foldwright.functions.vectors import argmax_label, one_hot, row_mean
 from foldwright.plans.hot import attach
 from foldwright.session import cut
 
@@ -153,6 +153,23 @@ class GroupMeanModel:
         return self.score(df, name).withColumn(name, F.array(1.0 - F.col(name), F.col(name)))
 
 
+@dataclass(frozen=True)
+class RowMeanLearner:
+    """Predicts the mean of its features: a meta learner with nothing to fit."""
+
+    features: tuple[str, ...]
+    importances: list[float] | None = field(default=None)
+
+    def fit(self, df: DataFrame, valid: Column | None = None) -> RowMeanLearner:
+        return self
+
+    def score(self, df: DataFrame, name: str) -> DataFrame:
+        return df.withColumn(name, row_mean([F.col(f) for f in self.features]))
+
+    def probabilities(self, df: DataFrame, name: str) -> DataFrame:
+        return self.score(df, name).withColumn(name, F.array(1.0 - F.col(name), F.col(name)))
+
+
 def predicted_label(name: str, labels: Sequence) -> Column:
     """The label value a probability array stands for."""
     return argmax_label(F.col(name), labels)
