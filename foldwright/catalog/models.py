@@ -774,3 +774,88 @@ def m28_adversarial_group_mean(spark, d):
         rows.filter(early), rows.filter(~early), ["o_orderpriority"], _KEY, lambda label: GroupMeanLearner(("o_orderpriority",), label)
     )
     return rounded(found)
+
+
+_ROLE_MEANS = """g AS (SELECT split, avg(y) AS g FROM r WHERE role = 'train' GROUP BY 1),
+  m AS (SELECT o_custkey, split, (sum(y) + 10 * any_value(g)) / (count(*) + 10) AS v FROM r JOIN g USING (split) WHERE role = 'train' GROUP BY 1, 2)
+  SELECT o_orderkey, y, split, round(coalesce(v, g), 6) AS oof FROM r JOIN g USING (split) LEFT JOIN m USING (o_custkey, split) WHERE role = 'test'"""
+
+
+def _over_roles(spark, d, strategy, **options):
+    rows = orders(spark, d).select(_KEY, "o_custkey", "o_orderdate", "y")
+    parts = splits.assign_folds(rows, _KEY, strategy, 5, time="o_orderdate", **options)
+    run = oof.OutOfFold(GroupMeanLearner(("o_custkey",), "y"), "y", fold="split", role="role")
+    return rounded(run.fit_predict(parts, _KEY))
+
+
+@query(
+    "m1_oof_time",
+    f"""WITH {ORDERS}, p AS (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS index, count(*) OVER () AS n FROM base),
+    e AS (SELECT *, n - (5 - split) * (n // 6) AS start, n // 6 AS size FROM p, (SELECT CAST(unnest(range(5)) AS INTEGER) AS split)),
+    r AS (SELECT *, CASE WHEN index < start THEN 'train' ELSE 'test' END AS role FROM e WHERE index < start + size), {_ROLE_MEANS}""",
+)
+def m1_oof_time(spark, d):
+    return _over_roles(spark, d, "time")
+
+
+@query(
+    "m1_oof_purged",
+    f"""WITH {ORDERS}, p AS (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS index, count(*) OVER () AS n FROM base),
+    b AS (SELECT *, split * (n // 5) AS a, CASE WHEN split = 4 THEN n ELSE (split + 1) * (n // 5) END AS z
+          FROM p, (SELECT CAST(unnest(range(5)) AS INTEGER) AS split)),
+    e AS (SELECT *, CAST(floor((z - a) * 0.01) AS BIGINT) AS emb FROM b),
+    r AS (SELECT *, CASE WHEN index >= a AND index < z THEN 'test' ELSE 'train' END AS role FROM e
+          WHERE (index >= a AND index < z) OR index < a - 20 OR index >= z + 20 + emb), {_ROLE_MEANS}""",
+)
+def m1_oof_purged(spark, d):
+    return _over_roles(spark, d, "purged", purge_gap=20, embargo_pct=0.01)
+
+
+@query(
+    "k6_multiclass",
+    f"""WITH {_PROBS}, e AS (SELECT vec_id, vec_id % 5 AS fold, avg((p - CAST(label = i AS INTEGER)) * (p - CAST(label = i AS INTEGER))) AS b FROM p GROUP BY 1, 2)
+    SELECT fold, round(-avg(b), 6) AS score FROM e GROUP BY 1""",
+)
+def k6_multiclass(spark, d):
+    """The default score of class-probability arrays."""
+    rows = class_probs(spark, d).withColumn("fold", F.col("vec_id") % 5)
+    return rounded(metrics.fold_scores(rows, "label", "p")[0])
+
+
+@query(
+    "c3_null_groups",
+    """WITH e AS (SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN user_id END AS g FROM events),
+       s AS (SELECT g, count(*) AS n FROM e WHERE g IS NOT NULL GROUP BY 1),
+       r AS (SELECT g, (row_number() OVER (ORDER BY n DESC, g) - 1) % 10 AS t FROM s)
+       SELECT event_id, CAST(CASE WHEN e.g IS NULL THEN CAST('0x' || substr(md5('42_' || CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 5
+              WHEN t < 5 THEN t ELSE 9 - t END AS INTEGER) AS fold
+       FROM e LEFT JOIN r ON r.g = e.g""",
+)
+def c3_null_groups(spark, d):
+    g = F.when(F.col("event_id") % 10 != 0, F.col("user_id"))
+    rows = table(spark, d, "events").select("event_id", g.alias("g"))
+    return splits.group_kfold(rows, "g", 5, "event_id").select("event_id", "fold")
+
+
+@query(
+    "a14_majority_of_strings",
+    """WITH c AS (SELECT o_custkey, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2)
+       SELECT o_custkey, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_classes, first(o_orderpriority ORDER BY n DESC, o_orderpriority) AS majority
+       FROM c GROUP BY 1""",
+)
+def a14_majority_of_strings(spark, d):
+    from foldwright.operators.groupby import majority_class
+
+    return majority_class(table(spark, d, "orders"), "o_custkey", "o_orderpriority")
+
+
+@query(
+    "c7_string_labels",
+    """WITH c AS (SELECT o_custkey, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2),
+       m AS (SELECT o_custkey, first(o_orderpriority ORDER BY n DESC, o_orderpriority) AS majority FROM c GROUP BY 1),
+       r AS (SELECT o_custkey, CAST((row_number() OVER (ORDER BY majority, o_custkey) - 1) % 5 AS INTEGER) AS fold FROM m)
+       SELECT o_orderkey, fold FROM orders JOIN r USING (o_custkey)""",
+)
+def c7_string_labels(spark, d):
+    rows = table(spark, d, "orders").select(_KEY, "o_custkey", "o_orderpriority")
+    return splits.stratified_group_kfold(rows, "o_custkey", "o_orderpriority").select(_KEY, "fold")

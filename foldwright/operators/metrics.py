@@ -173,14 +173,23 @@ def regression_report(df: DataFrame, label: str, guess: str, by: Sequence[str] =
     return rows.groupBy(*by).agg(*made) if by else rows.agg(*made)
 
 
+def brier(y: Column, p: Column) -> Column:
+    """Mean squared distance of a row's class probabilities from its one-hot label."""
+    squares = F.transform(p, lambda v, k: (v - (k == y).cast("double")) * (v - (k == y).cast("double")))
+    return F.aggregate(squares, F.lit(0.0), lambda a, b: a + b) / F.size(p)
+
+
 def fold_scores(
     df: DataFrame, label: str, guess: str, fold: str = "fold", metric: str | Aggregate | None = None,
     n_classes: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Scores per fold, and their mean and population standard deviation.
 
-    Without a metric: AUC for up to two classes, negative MSE beyond.
+    Without a metric: AUC for up to two classes, negative MSE beyond. Arrays of
+    class probabilities (labels 0, 1, ...) are compared with the one-hot label.
     """
+    if metric is None and df.schema[guess].dataType.typeName() == "array":
+        metric = lambda y, p: -F.avg(brier(y, p))
     if metric is None:
         if n_classes is None:
             n_classes = df.select(label).distinct().limit(3).count()

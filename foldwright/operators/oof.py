@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldwright.functions import vectors
@@ -45,7 +45,7 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 def average_models(df: DataFrame, models: Sequence[Model], name: str, averaging: str = "mean") -> DataFrame:
     """Score with every model in one pass over the rows and combine the scores."""
     if averaging not in _AVERAGES:
-        raise ValueError(f"Unknown averaging method: {averaging}")
+        raise ValueError(f"no such way to average: {averaging}")
     out, scores = df, []
     for i, model in enumerate(models):
         scores.append(f"__fw_s{i}")
@@ -59,13 +59,26 @@ def average_models(df: DataFrame, models: Sequence[Model], name: str, averaging:
     return out.withColumn(name, value).drop(*scores)
 
 
+def _sides(fold: str, role: str | None, k: int) -> tuple[Column, Column]:
+    """Training and held-out rows of fold ``k``: all other folds, or what the roles of a split say."""
+    held = F.col(fold) == k
+    if role is None:
+        return F.col(fold) != k, held
+    return held & (F.col(role) == "train"), held & (F.col(role) == "test")
+
+
 @dataclass
 class OutOfFold:
-    """Fold models of one learner, their out-of-fold predictions and scores."""
+    """Fold models of one learner, their out-of-fold predictions and scores.
+
+    With ``role``, rows are the long ``(split, role)`` table of a time or purged
+    split: ``fold`` names the split column and a row trains only where it says so.
+    """
 
     learner: Learner
     label: str
     fold: str = FOLD
+    role: str | None = None
     n_folds: int = 5
     metric: str | Callable | None = None
     early_stopping: bool = True
@@ -76,16 +89,16 @@ class OutOfFold:
     def fit_predict(self, df: DataFrame, id_cols: str | Sequence[str], name: str = "oof") -> DataFrame:
         """Fit on the other folds, predict the held-out one: ``(ids, label, fold, oof)``."""
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        held = F.col(self.fold)
+        sides = [_sides(self.fold, self.role, k) for k in range(self.n_folds)]
         try:
-            def job(k: int) -> Callable[[], Model]:
+            def job(train: Column, test: Column) -> Callable[[], Model]:
                 if self.early_stopping:
-                    return lambda: self.learner.fit(df, valid=held == k)
-                return lambda: self.learner.fit(df.filter(held != k))
+                    return lambda: self.learner.fit(df.filter(train | test), valid=test)
+                return lambda: self.learner.fit(df.filter(train))
 
             # a fresh list: fitting again never mixes with earlier models
-            self.models = _fit_all([job(k) for k in range(self.n_folds)], self.parallelism)
-            parts = [m.score(df.filter(held == k), name) for k, m in enumerate(self.models)]
+            self.models = _fit_all([job(*s) for s in sides], self.parallelism)
+            parts = [m.score(df.filter(test), name) for m, (_, test) in zip(self.models, sides)]
             slim = [p.select(*as_list(id_cols), self.label, self.fold, name) for p in parts]
             self.predictions = cut(_union(slim))
         finally:
@@ -116,13 +129,14 @@ class Stack:
     """Base learners, out-of-fold meta features ``meta_{model}``, and a meta learner.
 
     ``meta`` builds the meta learner from its feature names, so the same stack
-    works with or without ``passthrough`` columns.
+    works with or without ``passthrough`` columns. ``role`` is as in ``OutOfFold``.
     """
 
     base: dict[str, Learner]
     meta: Callable[[list[str]], Learner]
     label: str
     fold: str = FOLD
+    role: str | None = None
     n_folds: int = 5
     n_classes: int = 2
     passthrough: tuple[str, ...] = ()
@@ -151,10 +165,10 @@ class Stack:
         in ``fold`` are honoured because every learner uses the same column.
         """
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        held = F.col(self.fold)
+        sides = [_sides(self.fold, self.role, k) for k in range(self.n_folds)]
         try:
             jobs = [
-                (lambda learner=learner, k=k: learner.fit(df.filter(held != k)))
+                (lambda learner=learner, k=k: learner.fit(df.filter(sides[k][0])))
                 for learner in self.base.values()
                 for k in range(self.n_folds)
             ]
@@ -164,7 +178,7 @@ class Stack:
             names = [f"meta_{n}" for n in self.base]
             parts = []
             for f in range(k):
-                part = df.filter(held == f)
+                part = df.filter(sides[f][1])
                 for n, meta in zip(self.base, names):
                     part = self.base_models[n][f].score(part, meta)
                 parts.append(part)

@@ -310,14 +310,25 @@ def assign_folds(
     seed: int = 42,
     label: str | None = None,
     group: str | None = None,
+    time: str | None = None,
+    **options,
 ) -> DataFrame:
-    """Add ``fold`` by the named strategy (the row-preserving ones)."""
+    """Add ``fold`` by the named strategy.
+
+    ``time``, ``purged`` and ``purged_forward`` return the long ``(split, role)``
+    table instead, ordered by ``time`` and the first id; ``options`` are theirs.
+    """
     if strategy == "kfold":
         return kfold(df, id_cols, n_folds, seed)
     if strategy == "stratified":
         return stratified_kfold(df, id_cols, label, n_folds, seed)
     if strategy == "grouped":
-        return group_kfold(df, group, n_folds)
+        return group_kfold(df, group, n_folds, id_cols, seed)
     if strategy == "stratified_grouped":
-        return stratified_group_kfold(df, group, label, n_folds)
-    raise ValueError(f"no such split strategy: {strategy}")
+        return stratified_group_kfold(df, group, label, n_folds, id_cols, seed)
+    ordered = {"time": time_split, "purged": purged_split, "purged_forward": purged_forward_split}
+    if strategy not in ordered:
+        raise ValueError(f"no such split strategy: {strategy}")
+    if time is None:
+        raise ValueError(f"the {strategy} strategy needs a time column")
+    return ordered[strategy](df, time, as_list(id_cols)[0], n_folds, **options)
