@@ -9,7 +9,9 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +22,24 @@ from pyspark.sql import functions as F
 from foldwright.llm import texts
 from foldwright.session import stage
 
-CACHED_WORDS = 300_000
+CACHED_RUNS = 600_000
 BUCKET_ROWS = 10_000
 #: controls that str.split() takes for white space and the tokenizer does not
 CONTROLS = re.compile("[\x1c-\x1f]")
+#: Latin letters whose lower case does not depend on their neighbours, and ASCII marks but the apostrophe
+LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+class Pieces(dict):
+    """Ids of runs without white space, found on first use."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, run: str) -> bytes:
+        ids = self[run] = self.find(run)
+        return ids
 
 
 class WordEncoder:
@@ -31,38 +47,51 @@ class WordEncoder:
 
     The tokenizer normalises code points, drops white space and merges inside
     runs without white space, so encoding such runs one by one gives the ids of
-    the whole text.
+    the whole text. It lowers case and parts letters from marks, so a run of
+    letters with marks behind it has the ids of its letters in lower case and
+    then those of the marks.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        tokenizer = Tokenizer.from_file(path)
+        self.parts = Pieces(lambda run: array("I", tokenizer.encode(run, add_special_tokens=False).ids).tobytes())
+        self.runs = Pieces(self._run)
+
+    def _run(self, run: str) -> bytes:
+        plain = LETTERS.fullmatch(run)
+        if plain is None:
+            return self.parts[run]
+        marks = plain[2]
+        return self.parts[plain[1].lower()] + (self.parts[marks] if marks else b"")
+
+    def encode(self, text: str) -> bytes:
+        for kept in (self.runs, self.parts):
+            if len(kept) > CACHED_RUNS:
+                kept.clear()
+        runs = re.split("[ \t-\r]+", text.strip(" \t\n\v\f\r")) if CONTROLS.search(text) else text.split()
+        return b"".join(map(self.runs.__getitem__, runs))
+
 
-    def encode(self, batch: list[str]) -> list[bytes]:
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        parts = [re.split("[ \t-\r]+", x) if CONTROLS.search(x) else x.split() for x in batch]
-        new = list(set().union(*parts).difference(self.known))
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, p)) for p in parts]
+@lru_cache(maxsize=1)
+def encoder_for(path: str) -> WordEncoder:
+    """One encoder for each Python worker, so that what it knows serves all tasks of the worker."""
+    return WordEncoder(path)
 
 
 def token_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
     """``(id, start, length, ids_crc32, doc_tokens)``: full pieces of ``capacity`` ids and what is left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = encoder_for(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for a, b, _, _ in texts.blocks(batch.column(1), 1 << 20):
                 rows, out = [], []
-                encoded = encoder.encode([x or "" for x in batch.column(1).slice(a, b - a).to_pylist()])
-                for i, ids in enumerate(encoded):
-                    ids += end
+                for i, text in enumerate(batch.column(1).slice(a, b - a).to_pylist()):
+                    ids = encoder.encode(text or "") + end
                     n = len(ids) // 4
                     for start in range(0, n, capacity):
                         length = min(capacity, n - start)
