@@ -9,7 +9,7 @@ from foldwright.catalog.registry import FOLDED, ORDERS, orders, query, rounded
 from foldwright.catalog.scores import MODELS, SCORED, auc_sql, scored
 from foldwright.functions import scalars, vectors
 from foldwright.operators import curriculum, distill, metrics, oof, pipeline, pseudo, splits
-from foldwright.operators.learners import GroupMeanLearner, RowMeanLearner, SparkLearner
+from foldwright.operators.learners import GroupMeanLearner, GroupShareLearner, RowMeanLearner, SparkLearner
 from foldwright.session import scratch_path
 from foldwright.sources import sinks
 from foldwright.sources.tables import read_csv, read_parquet, table
@@ -859,3 +859,45 @@ def a14_majority_of_strings(spark, d):
 def c7_string_labels(spark, d):
     rows = table(spark, d, "orders").select(_KEY, "o_custkey", "o_orderpriority")
     return splits.stratified_group_kfold(rows, "o_custkey", "o_orderpriority").select(_KEY, "fold")
+
+
+_FOLD_FITS = f"""{FOLDED}, g AS (SELECT k AS fold, avg(y) AS g, count(*)::DOUBLE AS n FROM folded, range(5) r(k) WHERE fold <> k GROUP BY k),
+  a AS (SELECT o_custkey, g.fold, (sum(y) + 10 * any_value(g)) / (count(*) + 10) AS v FROM folded f JOIN g ON f.fold <> g.fold GROUP BY 1, 2),
+  b AS (SELECT o_custkey, g.fold, count(*) / any_value(n) AS s FROM folded f JOIN g ON f.fold <> g.fold GROUP BY 1, 2)"""
+
+
+def _fold_features():
+    return oof.FoldFeatures({"target": _group_learner("o_custkey"), "share": GroupShareLearner(("o_custkey",))})
+
+
+@query(
+    "e10_transformer_list",
+    f"""WITH {_FOLD_FITS} SELECT o_orderkey, fold, round(coalesce(v, g), 6) AS oof_target, round(coalesce(s, 0), 9) AS oof_share
+    FROM folded JOIN g USING (fold) LEFT JOIN a USING (o_custkey, fold) LEFT JOIN b USING (o_custkey, fold)""",
+)
+def e10_transformer_list(spark, d):
+    out = _fold_features().fit_transform(_order_folds(spark, d))
+    return out.select(_KEY, "fold", F.round("oof_target", 6).alias("oof_target"), F.round("oof_share", 9).alias("oof_share"))
+
+
+@query(
+    "e10_transformer_list_new_rows",
+    f"""WITH {_FOLD_FITS} SELECT c_custkey, round(avg(coalesce(v, g)), 6) AS oof_target, round(avg(coalesce(s, 0)) * 1000, 6) AS share_1000
+    FROM customer CROSS JOIN g LEFT JOIN a ON a.o_custkey = c_custkey AND a.fold = g.fold
+    LEFT JOIN b ON b.o_custkey = c_custkey AND b.fold = g.fold GROUP BY 1""",
+)
+def e10_transformer_list_new_rows(spark, d):
+    run = _fold_features()
+    run.fit_transform(_order_folds(spark, d))
+    out = run.transform(table(spark, d, "customer").select("c_custkey", F.col("c_custkey").alias("o_custkey")))
+    return rounded(out.select("c_custkey", "oof_target", (F.col("oof_share") * 1000).alias("share_1000")))
+
+
+@query(
+    "f5_binary_temperature",
+    f"""WITH {SCORED} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(1 - 1 / (1 + exp(-ln(m_quantity + 1e-8) / 2)), 6) AS p0,
+        round(1 / (1 + exp(-ln(m_quantity + 1e-8) / 2)), 6) AS p1 FROM t""",
+)
+def f5_binary_temperature(spark, d):
+    p = vectors.binary_temperature_scale(F.col("m_quantity"), 2.0)
+    return rounded(scored(spark, d).select(*_IDS, F.get(p, 0).alias("p0"), F.get(p, 1).alias("p1")))

@@ -7,7 +7,7 @@ Parsing. Rolling hashes of all ``trigger``-byte windows are taken; the trigger
 of the string that starts at ``i`` is its window with the least hash (the first
 of equals). Every string therefore holds its trigger, equal strings have equal
 triggers at equal places, and neighbouring starts share a trigger, so a text
-falls into phrases of starts with one trigger, 150 bytes on average.
+falls into phrases of starts with one trigger, 120 bytes on average.
 
 Dictionary and parse. A phrase is known by its trigger's hash and by the hash of
 all bytes that its strings cover (the phrase with its right context, cut at the
@@ -15,7 +15,8 @@ string length). Counting phrases by trigger settles nearly everything: a
 trigger that occurs once has no repeated string; a trigger whose occurrences
 all have one phrase has only repeated ones. What is left are phrases at the
 ends of repeats. One copy of each such dictionary phrase is expanded into its
-suffixes, and the suffixes of phrases with one trigger are put in order.
+suffixes, and the suffixes of all phrases of one trigger are put in order; a
+trigger with very many phrases has its suffixes counted row by row instead.
 
 Order. Suffixes are ordered by (trigger, distance to the trigger, fingerprint of
 the string): all suffixes that agree on their first ``length`` bytes are
@@ -32,11 +33,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foldwright.llm import texts
 from foldwright.llm.texts import MULTIPLIER, U64, mix, salted
 from foldwright.session import stage
 
+#: up to so many rows are named to the readers of texts; more are joined by a shuffle of all texts
+NAMED_ROWS = 1_000_000
+#: phrases of one trigger that one task orders; more are counted suffix by suffix
+CONTEXTS = 4_096
 #: starts that one step looks at; longer texts are looked at in pieces that overlap by the string length
 STEP = 1 << 20
 
@@ -109,36 +115,90 @@ def parse(docs: DataFrame, length: int, trigger: int) -> DataFrame:
                         names=["r1", "r2", "start", "n", "gap", "key", "whole"],
                     )
 
-    return docs.select("r1", "r2", "text").mapInArrow(run, "r1 long, r2 long, start long, n int, gap int, key long, whole long")
+    return docs.select("r1", "r2", "text").mapInArrow(run, "r1 long, r2 int, start long, n int, gap int, key long, whole long")
 
 
-def _suffixes(phrase_texts: DataFrame, length: int) -> DataFrame:
-    """``(key, whole, once, place, ahead, print)`` for every string of the listed phrases.
+def _with_text(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows(r1, r2, ...)`` joined with their texts; few rows are named to the readers so that only their texts move."""
+    if rows.count() <= NAMED_ROWS:
+        docs = docs.join(F.broadcast(rows.select("r1", "r2")), ["r1", "r2"], "left_semi")
+    return docs.join(rows, ["r1", "r2"])
 
-    ``place`` counts from the phrase's start, ``ahead`` is the way to the trigger.
-    """
+
+def _suffixes(phrase_texts: DataFrame, length: int) -> DataFrame:
+    """``(key, r1, r2, start, once, gap, prints)``: the fingerprints of all strings of each listed phrase, in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, at = texts.utf8(batch.column(0))
-            for i, spans in enumerate(batch.column(1).to_pylist()):
-                text = data[at[i] : at[i + 1]]
+            data, at = texts.utf8(batch.column(2))
+            r1, r2 = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for i, spans in enumerate(batch.column(3).to_pylist()):
+                text, prints = data[at[i] : at[i + 1]], []
                 for s in spans:
                     place = np.arange(s["n"])
-                    prints = mix(texts.Rolling(text[s["start"] : s["start"] + s["n"] - 1 + length]).spans(place, place + length))
-                    yield pa.RecordBatch.from_arrays(
-                        [*(pa.array(np.full(s["n"], s[k])) for k in ("key", "whole", "once")), pa.array(place.astype(np.int32)), pa.array((s["gap"] - place).astype(np.int32)), pa.array(prints.view(np.int64))],
-                        names=["key", "whole", "once", "place", "ahead", "print"],
-                    )
+                    prints.append(mix(texts.Rolling(text[s["start"] : s["start"] + s["n"] - 1 + length]).spans(place, place + length)).tobytes())
+                columns = [pa.array([s[k] for s in spans], t) for k, t in (("key", pa.int64()), ("start", pa.int64()), ("once", pa.bool_()), ("gap", pa.int32()))]
+                named = [pa.array([r1[i]] * len(spans), pa.int64()), pa.array([r2[i]] * len(spans), pa.int32())]
+                yield pa.RecordBatch.from_arrays([columns[0], *named, *columns[1:], pa.array(prints, pa.binary())], names=["key", "r1", "r2", "start", "once", "gap", "prints"])
+
+    return phrase_texts.select("r1", "r2", "text", "spans").mapInArrow(run, "key long, r1 long, r2 int, start long, once boolean, gap int, prints binary")
+
+
+def _in_order(groups: DataFrame) -> DataFrame:
+    """``(r1, r2, start, n)``: repeated runs among the phrases of each trigger, whose suffixes are put in order."""
 
-    return phrase_texts.mapInArrow(run, "key long, whole long, once boolean, place int, ahead int, print long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[int, int, int, int]] = []
+            for group in batch.column(0).to_pylist():
+                prints = [np.frombuffer(x["prints"], U64) for x in group]
+                sizes = np.array([len(x) for x in prints])
+                ahead = np.concatenate([x["gap"] - np.arange(n) for x, n in zip(group, sizes, strict=True)])
+                every = np.concatenate(prints)
+                order = np.lexsort((every, ahead))
+                same = (every[order][1:] == every[order][:-1]) & (ahead[order][1:] == ahead[order][:-1])
+                met = np.zeros(len(every) + 2, bool)
+                met[order[1:] + 1] |= same
+                met[order[:-1] + 1] |= same
+                limits = np.concatenate(([0], np.cumsum(sizes)))
+                for x, a, b in zip(group, limits[:-1], limits[1:], strict=True):
+                    if x["once"]:
+                        flags = np.concatenate(([False], met[a + 1 : b + 1], [False])).astype(np.int8)
+                        edges = np.diff(flags)
+                        for i, j in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1), strict=True):
+                            out.append((x["r1"], x["r2"], x["start"] + int(i), int(j - i)))
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names=["r1", "r2", "start", "n"])
+
+    return groups.mapInArrow(run, "r1 long, r2 int, start long, n long")
+
+
+def _exploded(suffixes: DataFrame) -> DataFrame:
+    """As ``_in_order`` for triggers with too many phrases for one task: a row for each suffix, counted by fingerprint."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, r1, r2, start, once, gap, prints in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = np.frombuffer(prints, np.int64)
+                place = np.arange(len(found))
+                same = [pa.array(np.full(len(found), x)) for x in (key, r1, np.int32(r2), start, once)]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(place), pa.array(gap - place), pa.array(found)], names=["key", "r1", "r2", "start", "once", "place", "ahead", "print"])
+
+    rows = stage(suffixes.mapInArrow(run, "key long, r1 long, r2 int, start long, once boolean, place long, ahead long, print long"), "suffixes")
+    order = ["key", "ahead", "print"]
+    met = rows.groupBy(*order).agg(F.count("*").alias("copies")).filter("copies > 1").select(*order)
+    found = rows.filter("once").join(met, order, "left_semi")
+    found = found.groupBy("r1", "r2", "start").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    runs = found.select("r1", "r2", "start", F.explode(_runs("places")).alias("r"))
+    return runs.select("r1", "r2", (F.col("start") + F.col("r.at")).alias("start"), F.col("r.n").alias("n"))
 
 
 def repeated_spans(docs: DataFrame, length: int, trigger: int) -> DataFrame:
     """``(r1, r2, start, n)``: runs of starts in ``docs(r1, r2, text)`` whose strings start elsewhere too."""
-    parsed = stage(parse(docs, length, trigger), "phrases")
+    # parsing twice takes less than keeping the phrases of all texts
+    parsed = parse(docs, length, trigger)
     triggers = parsed.groupBy("key").agg(F.count("*").alias("times"), F.min("whole").alias("low"), F.max("whole").alias("high"))
-    triggers = triggers.filter("times > 1").select("key", (F.col("low") != F.col("high")).alias("mixed"))
+    triggers = stage(triggers.filter("times > 1").select("key", (F.col("low") != F.col("high")).alias("mixed")), "triggers")
     candidates = stage(parsed.join(triggers, "key"), "candidates")
     ends = candidates.filter("mixed")
     # one copy of each dictionary phrase
@@ -146,14 +206,18 @@ def repeated_spans(docs: DataFrame, length: int, trigger: int) -> DataFrame:
     chosen = stage(chosen.select("key", "whole", "n", "gap", (F.col("times") == 1).alias("once"), "one.*"), "dictionary")
     many = ends.join(chosen.filter("not once").select("key", "whole"), ["key", "whole"], "left_semi")
     settled = candidates.filter("not mixed").union(many.select(*candidates.columns)).select("r1", "r2", "start", F.col("n").cast("long").alias("n"))
-    listed = chosen.groupBy("r1", "r2").agg(F.collect_list(F.struct("start", "n", "gap", "key", "whole", "once")).alias("spans"))
-    suffixes = stage(_suffixes(docs.join(listed, ["r1", "r2"]).select("text", "spans"), length), "suffixes")
-    order = ["key", "ahead", "print"]
-    met = suffixes.groupBy(*order).agg(F.count("*").alias("copies")).filter("copies > 1").select(*order)
-    found = suffixes.filter("once").join(met, order, "left_semi")
-    found = found.groupBy("key", "whole").agg(F.sort_array(F.collect_list("place")).alias("places"))
-    runs = chosen.filter("once").join(found, ["key", "whole"]).select("r1", "r2", "start", F.explode(_runs("places")).alias("r"))
-    return settled.union(runs.select("r1", "r2", (F.col("start") + F.col("r.at")).alias("start"), F.col("r.n").cast("long").alias("n")))
+    # triggers whose phrases all occur often have nothing left to settle
+    contexts = chosen.groupBy("key").agg(F.count("*").alias("contexts"), F.bool_or("once").alias("open")).filter("open")
+    rows = stage(chosen.join(contexts.select("key", (F.col("contexts") > CONTEXTS).alias("hot")), "key"), "open")
+    span = F.struct("start", "n", "gap", "key", "once")
+    listed = stage(rows.filter("not hot").groupBy("r1", "r2").agg(F.collect_list(span).alias("spans")), "listed")
+    suffixes = _suffixes(_with_text(docs, listed), length)
+    phrase = F.struct("r1", "r2", "start", "once", "gap", "prints")
+    found = _in_order(suffixes.groupBy("key").agg(F.collect_list(phrase).alias("phrases")).select("phrases"))
+    hot = stage(rows.filter("hot").groupBy("r1", "r2").agg(F.collect_list(span).alias("spans")), "listed")
+    if not hot.isEmpty():
+        found = found.union(_exploded(_suffixes(_with_text(docs, hot), length)))
+    return settled.union(found)
 
 
 def _runs(places: str):
@@ -175,18 +239,27 @@ def _merged(spans: list, length: int, size: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, trigger: int = 100, keep_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, trigger: int = 160, keep_text: bool = False) -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept_sha256)`` for each row of ``docs``, and the text left with ``keep_text``.
 
-    A null text counts as empty. Rows are known by the hashes of their id and
+    A null text counts as empty. Rows are known by their id and a hash of their
     text, so rows that repeat an id are rows of their own, and a repeated row is
     a copy like any other.
     """
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    named = source.select(F.xxhash64("id").alias("r1"), F.xxhash64("text").alias("r2"), "id", "text")
+    whole = isinstance(docs.schema[id_col].dataType, T.IntegralType)
+    first = F.coalesce(F.col("id").cast("long"), F.lit(0)) if whole else F.xxhash64("id")
+    named = source.select(first.alias("r1"), F.hash("text").alias("r2"), "id", "text")
     spans = repeated_spans(named, length, trigger)
-    listed = spans.groupBy("r1", "r2").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
-    joined = named.join(listed, ["r1", "r2"], "left").select("id", "text", "spans")
+    listed = stage(spans.groupBy("r1", "r2").agg(F.collect_list(F.struct("start", "n")).alias("spans")), "spans")
+    if listed.count() <= NAMED_ROWS:
+        # texts without repeats stay where they are read
+        marked = named.join(F.broadcast(listed.select("r1", "r2", F.lit(True).alias("mark"))), ["r1", "r2"], "left")
+        hit = marked.filter("mark").select("r1", "r2", "id", "text").join(listed, ["r1", "r2"]).select("id", "text", "spans")
+        clean = marked.filter("mark is null").select("id", "text", F.lit(None).cast(listed.schema["spans"].dataType).alias("spans"))
+        joined = [clean, hit]
+    else:
+        joined = [named.join(listed, ["r1", "r2"], "left").select("id", "text", "spans")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,4 +284,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if keep_text else "")
-    return joined.mapInArrow(run, schema)
+    parts = [part.mapInArrow(run, schema) for part in joined]
+    return parts[0] if len(parts) == 1 else parts[0].union(parts[1])

@@ -140,7 +140,7 @@ class GroupMeanLearner:
 
 @dataclass(frozen=True)
 class GroupMeanModel:
-    learner: GroupMeanLearner
+    learner: GroupMeanLearner | GroupShareLearner
     state: DataFrame
     overall: float | None
     importances: list[float] | None = field(default=None)
@@ -153,6 +153,20 @@ class GroupMeanModel:
         return self.score(df, name).withColumn(name, F.array(1.0 - F.col(name), F.col(name)))
 
 
+@dataclass(frozen=True)
+class GroupShareLearner:
+    """The share of all rows that have the row's key: a transformer that needs no label."""
+
+    keys: tuple[str, ...]
+    importances: list[float] | None = field(default=None)
+
+    def fit(self, df: DataFrame, valid: Column | None = None) -> GroupMeanModel:
+        rows = df if valid is None else df.filter(~valid)
+        n = rows.count()
+        known = rows.dropna(subset=list(self.keys)).groupBy(*self.keys).agg(F.count(F.lit(1)).alias("__fw_c"))
+        return GroupMeanModel(self, cut(known.select(*self.keys, (F.col("__fw_c") / F.lit(float(n))).alias("__fw_v"))), 0.0)
+
+
 @dataclass(frozen=True)
 class RowMeanLearner:
     """Predicts the mean of its features: a meta learner with nothing to fit."""

@@ -208,6 +208,48 @@ class Stack:
         return None if found is None else list(zip(self.meta_features, found))
 
 
+@dataclass
+class FoldFeatures:
+    """Named transformers fitted out of fold (E10): a column ``oof_{name}`` each.
+
+    A transformer is anything with ``fit`` and ``score``, whether it looks at the
+    label or not. Training rows see what was fitted on the other folds, new rows
+    the average of all fold fits.
+    """
+
+    transformers: dict[str, Learner]
+    fold: str = FOLD
+    n_folds: int = 5
+    parallelism: int = 4
+    fitted: dict[str, list[Model]] = field(default_factory=dict)
+
+    def fit_transform(self, df: DataFrame) -> DataFrame:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        held, k = F.col(self.fold), self.n_folds
+        try:
+            jobs = [
+                (lambda t=t, i=i: t.fit(df.filter(held != i))) for t in self.transformers.values() for i in range(k)
+            ]
+            models = _fit_all(jobs, self.parallelism)
+            self.fitted = {n: models[i * k : (i + 1) * k] for i, n in enumerate(self.transformers)}
+            parts = []
+            for i in range(k):
+                part = df.filter(held == i)
+                for name, found in self.fitted.items():
+                    part = found[i].score(part, f"oof_{name}")
+                parts.append(part)
+            return cut(_union(parts))
+        finally:
+            df.unpersist()
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        if not self.fitted:
+            raise RuntimeError("call fit_transform first")
+        for name, models in self.fitted.items():
+            df = average_models(df, models, f"oof_{name}")
+        return df
+
+
 def adversarial_validation(
     train: DataFrame,
     test: DataFrame,
