@@ -39,4 +39,4 @@ def require(df, cols: Sequence[str]) -> None:
     """Raise ``ValueError`` for the first column that does not exist."""
     for col in cols:
         if col not in df.columns:
-            raise ValueError(f"Column '{col}' not found in DataFrame")
+            raise ValueError(f"no column '{col}'; there are {', '.join(df.columns)}")

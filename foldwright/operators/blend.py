@@ -26,7 +26,7 @@ def blend_column(models: Sequence[str], weights: dict[str, float] | None = None,
         return vectors.row_geometric_mean(cols)
     if method == "weighted":
         return vectors.weighted_mean(cols, [1.0 if weights is None else weights.get(m, 0.0) for m in models])
-    raise ValueError(f"Unknown blending method: {method}")
+    raise ValueError(f"no such way to blend: {method}")
 
 
 def blend(
@@ -220,7 +220,6 @@ def select_diverse(df: DataFrame, models: Sequence[str], n_select: int = 5, thre
             links = [corr[frozenset((m, c))] for c in chosen]
             if max(links) < threshold:
                 options.append((1.0 - sum(links) / len(links), m))
-        options = [o for o in options if o[0] > -1]
         if not options:
             break
         best = max(o[0] for o in options)

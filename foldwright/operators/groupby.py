@@ -110,7 +110,7 @@ def group_features(
     require(df, keys)
     cols = numeric_columns(df, keys) if cols is None else [c for c in cols if c in df.columns]
     if not cols:
-        warnings.warn("No numerical columns found for aggregation")
+        warnings.warn("nothing to aggregate: none of the columns is numeric")
         return df
     stats = list(DEFAULT_STATS if stats is None else stats)
     by = names.group_name(keys, prefix, suffix)

@@ -173,7 +173,7 @@ def order_buckets(
         if numeric_tie:
             limits.tie_splits = sorted(set(_thin(list(found["t"] or []), count)))
         elif owners:
-            limits.tie_words = _word_limits(df, tie, rows)
+            limits.tie_words = word_limits(df, tie, rows)
     return limits
 
 
@@ -193,7 +193,7 @@ def column_buckets(df: DataFrame, cols: list[str], rows_per_bucket: int = ROWS_P
     return limits
 
 
-def _word_limits(df: DataFrame, tie: str, rows: int, wanted: int = 256) -> list[str]:
+def word_limits(df: DataFrame, tie: str, rows: int, wanted: int = 256) -> list[str]:
     """About ``wanted`` string limits from a bounded sample (balance only)."""
     share = min(1.0, 16.0 * wanted / max(rows, 1))
     seen = sorted(r[0] for r in df.select(tie).sample(share, 7).limit(32 * wanted).collect() if r[0] is not None)

@@ -19,8 +19,6 @@ from foldwright.plans.buckets import BUCKET, ROWS_PER_BUCKET, SUB, column_bucket
 from foldwright.plans.hot import hot_keys
 
 _STRIDE = 1_000_000
-#: Up to this many rows one aggregation buffer is the faster way.
-PLAIN_ROWS = 20_000
 
 
 def group_quantiles(
@@ -53,17 +51,12 @@ def _cell(column: int, bucket: int) -> int:
     return column * _STRIDE + bucket
 
 
-def table_quantiles(
-    df: DataFrame, cols: Sequence[str], shares: Sequence[float], plain_rows: int = PLAIN_ROWS
-) -> dict[str, list[float | None]]:
-    """Exact quantiles of whole columns, a few numbers each, in three jobs for all columns.
+def table_quantiles(df: DataFrame, cols: Sequence[str], shares: Sequence[float]) -> dict[str, list[float | None]]:
+    """Exact quantiles of whole columns, a few numbers each, for all columns at once and the same way at every size.
 
     Limits of value ranges, rows per range, then only the rows of the ranges
-    that hold a wanted rank. A few rows are left to ``percentile``.
+    that hold a wanted rank.
     """
-    if df.count() <= plain_rows:
-        row = df.agg(*[F.percentile(c, numbers(shares)).alias(c) for c in cols]).first()
-        return {c: list(row[c]) if row[c] is not None else [None] * len(shares) for c in cols}
     limits = column_buckets(df, list(cols))
     placed, marks = df.select(*cols), {}
     for i, c in enumerate(cols):

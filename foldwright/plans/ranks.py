@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foldwright.plans.buckets import BUCKET, ROWS_PER_BUCKET, SUB, Buckets, order_buckets
+from foldwright.plans.buckets import BUCKET, ROWS_PER_BUCKET, SUB, Buckets, is_ordinal, order_buckets, word_limits
 
 _NULL_KEY = "\u0000"
 
@@ -85,5 +85,14 @@ def ordered_index(
     name: str = "index",
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Add the 0-based position of every row in ``(order, tie)`` order."""
+    """Add the 0-based position of every row in ``(order, tie)`` order; ``order`` may be a string."""
+    if not is_ordinal(df, order):
+        rows = df.count()
+        limits = word_limits(df, order, rows, max(1, min(4_096, rows // rows_per_bucket)))
+        words = F.array(*[F.lit(w) for w in limits]).cast("array<string>")
+        bucket = F.when(F.col(order).isNull(), len(limits) + 1).otherwise(F.size(F.filter(words, lambda w: w <= F.col(order))))
+        placed, keys = _partition_keys(df.withColumn(BUCKET, -bucket if descending else bucket), partition)
+        first = F.col(order).desc_nulls_first() if descending else F.col(order).asc_nulls_last()
+        sort = [first] if tie is None else [first, F.col(tie).asc()]
+        return _add_offsets(placed, keys, [BUCKET], sort, {name: F.lit(1).cast("long")})
     return prefix_sums(df, order, {name: F.lit(1).cast("long")}, partition, tie, descending, rows_per_bucket)

@@ -132,6 +132,18 @@ def test_order_cuts_refine(skewed, monkeypatch):
     assert [found.keys[p] for p in wanted if p < len(ordered)] == [ordered[p] for p in wanted if p < len(ordered)]
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_positions_of_strings(spark, descending):
+    rows = [(f"id{(i * 7919) % 3000}" if i % 50 else None, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "s string, t int")
+    placed = {r["t"]: r["index"] for r in ordered_index(df, "s", "t", descending=descending, rows_per_bucket=50).collect()}
+    known = sorted((r for r in rows if r[0]), key=lambda r: r[1])
+    known = sorted(known, key=lambda r: r[0], reverse=descending)
+    none = [r for r in rows if not r[0]]
+    wanted = [*none, *known] if descending else [*known, *none]
+    assert placed == {r[1]: i for i, r in enumerate(wanted)}
+
+
 def test_null_groups_and_string_labels(spark):
     rows = [(i, None if i % 10 == 0 else f"g{i % 37}", f"label{i % 3}") for i in range(400)]
     df = spark.createDataFrame(rows, "id long, g string, y string")
@@ -169,12 +181,11 @@ def test_group_quantiles_hot_equals_plain(skewed):
 def test_table_quantiles_equal_numpy(skewed):
     shares = [0.0, 0.1, 0.5, 0.99, 1.0]
     pdf = skewed.toPandas()
-    for plain_rows in (0, 10_000):
-        got = table_quantiles(skewed, ["v", "s", "t"], shares, plain_rows)
-        for c in ("v", "s", "t"):
-            assert got[c] == pytest.approx(np.quantile(pdf[c].dropna(), shares))
+    got = table_quantiles(skewed, ["v", "s", "t"], shares)
+    for c in ("v", "s", "t"):
+        assert got[c] == pytest.approx(np.quantile(pdf[c].dropna(), shares))
     empty = skewed.filter("id < 0")
-    assert table_quantiles(empty, ["v"], [0.5], 0) == {"v": [None]}
+    assert table_quantiles(empty, ["v"], [0.5]) == {"v": [None]}
 
 
 def test_windows_hot_equals_plain(skewed):
