@@ -264,6 +264,31 @@ def m9_weight_sweep(spark, d):
     return spark.createDataFrame([(m, w, best) for m, w in weights.items()], "model string, weight double, score double")
 
 
+def _sweep_sql(a: str, b: str, step: float, smallest: float) -> str:
+    """The sweep of two weights unrolled as a recursion: the score of any weights is a closed form of second moments."""
+    error = "(x * x * aa + 2 * x * (1 - x) * ab + (1 - x) * (1 - x) * bb - 2 * x * ay - 2 * (1 - x) * zy + yy)"
+    moves = [f"(w {d} step)" for d in "-+"]
+    shares = [f"greatest({m}, 0) / (greatest({m}, 0) + 1 - w)" for m in moves]
+    shares += [f"w / (w + greatest(1 - w {d} step, 0))" for d in "-+"]
+    scored_moves = ", ".join("{'e': " + error.replace("x", f"({x})") + f", 'w': {x}}}" for x in shares)
+    return f"""WITH RECURSIVE {SCORED}, m AS (SELECT avg({a} * {a}) AS aa, avg({a} * {b}) AS ab, avg({b} * {b}) AS bb,
+      avg({a} * y) AS ay, avg({b} * y) AS zy, avg(y * y) AS yy FROM t),
+    s AS (SELECT 0 AS k, 0.5::DOUBLE AS w, {step}::DOUBLE AS step, false AS done
+      UNION ALL
+      SELECT k + 1, CASE WHEN better THEN top.w ELSE w END, CASE WHEN better THEN step ELSE step / 2 END, NOT better AND step / 2 < {smallest}
+      FROM (SELECT *, top.e < {error.replace("x", "w")} AS better FROM
+        (SELECT s.*, m.*, list_min([{scored_moves}]) AS top FROM s, m WHERE NOT done AND k < 100) c) d),
+    z AS (SELECT w, sqrt({error.replace("x", "w")}) AS score FROM s, m ORDER BY k DESC LIMIT 1)
+    SELECT '{a}' AS model, round(w, 4) AS weight, round(score, 6) AS score FROM z
+    UNION ALL SELECT '{b}', round(1 - w, 4), round(score, 6) FROM z"""
+
+
+@query("m9_weight_sweep_rmse", _sweep_sql("m_quantity", "m_tax", 0.05, 0.01))
+def m9_weight_sweep_rmse(spark, d):
+    weights, best = blend.sweep_weights(scored(spark, d), "y", ["m_quantity", "m_tax"], "rmse", step=0.05, smallest_step=0.01)
+    return spark.createDataFrame([(m, w, round(best, 6)) for m, w in weights.items()], "model string, weight double, score double")
+
+
 @query(
     "m10_size_curve",
     f"WITH {SCORED} " + " UNION ALL ".join(

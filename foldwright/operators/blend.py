@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwright.functions import vectors
@@ -63,6 +63,54 @@ def score_weights(
     return [found[i] for i in range(len(candidates))]
 
 
+#: Ranges of equal width per unit of score in which bounds of an AUC are counted.
+AUC_RANGES = 65_536
+
+
+def auc_bounds(
+    df: DataFrame, label: str, models: Sequence[str], candidates: Sequence[Sequence[float]], ranges: int = AUC_RANGES
+) -> list[tuple[float, float]]:
+    """Limits between which each candidate's AUC lies.
+
+    Positives and negatives are counted by score range, map-side, so what moves
+    does not grow with the rows; pairs inside a range may go either way.
+    """
+    blends = [vectors.weighted_mean([F.col(m) for m in models], w) for w in candidates]
+    y = F.col(label).cast("long")
+    long = df.filter(F.col(label).isNotNull()).select(y.alias("y"), F.posexplode(F.array(*blends)).alias("candidate", "blend"))
+    cells = long.filter(F.col("blend").isNotNull()).groupBy("candidate", F.floor(F.col("blend") * ranges).alias("range"))
+    cells = cells.agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
+    before = Window.partitionBy("candidate").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("below", F.coalesce(F.sum("neg").over(before), F.lit(0)))
+    pairs = F.sum("pos").cast("double") * F.sum("neg")
+    made = [F.try_divide(F.sum(F.col("pos") * n), pairs) for n in (F.col("below"), F.col("below") + F.col("neg"))]
+    found = {r["candidate"]: (r["low"], r["high"]) for r in cells.groupBy("candidate").agg(made[0].alias("low"), made[1].alias("high")).collect()}
+    return [found[i] for i in range(len(candidates))]
+
+
+def best_weights(
+    df: DataFrame, label: str, models: Sequence[str], candidates: Sequence[Sequence[float]], metric: str, above: float
+) -> tuple[int, float] | None:
+    """The first of the best candidates and its exact score, signed so that larger is better; None if none beats ``above``.
+
+    For AUC only candidates whose bounds allow them to win are ranked exactly.
+    """
+    left = list(range(len(candidates)))
+    if metric == "auc":
+        bounds = auc_bounds(df, label, models, candidates)
+        if any(low is None for low, _ in bounds):
+            raise ValueError("the area under the curve needs both classes")
+        # a little room, as bounds are sums of doubles
+        least = max(above, max(low for low, _ in bounds)) - 1e-12
+        left = [i for i in left if bounds[i][1] >= least]
+        if not left:
+            return None
+    sign = 1.0 if metrics.larger_is_better(metric) else -1.0
+    scores = [sign * s for s in score_weights(df, label, models, [candidates[i] for i in left], metric)]
+    top = int(np.argmax(scores))
+    return (left[top], scores[top]) if scores[top] > above else None
+
+
 def _normalise(w: np.ndarray) -> np.ndarray | None:
     w = np.maximum(w, 0.0)
     return w / w.sum() if w.sum() > 0 else None
@@ -113,11 +161,10 @@ def hill_climb(
                     proposals.append(w)
             if not proposals:
                 break
-            scores = [sign * s for s in score_weights(slim, label, models, [w.tolist() for w in proposals], metric)]
+            found = best_weights(slim, label, models, [w.tolist() for w in proposals], metric, best)
             tried += len(proposals)
-            top = int(np.argmax(scores))
-            if scores[top] > best:
-                best, weights, idle = scores[top], proposals[top], 0
+            if found is not None:
+                weights, best, idle = proposals[found[0]], found[1], 0
             else:
                 idle += len(proposals)
     finally:
@@ -152,10 +199,9 @@ def sweep_weights(
             moves = _neighbours(weights, step)
             if not moves:
                 break
-            scores = [sign * s for s in score_weights(slim, label, models, [w.tolist() for w in moves], metric)]
-            top = int(np.argmax(scores))
-            if scores[top] > best:
-                best, weights = scores[top], moves[top]
+            found = best_weights(slim, label, models, [w.tolist() for w in moves], metric, best)
+            if found is not None:
+                weights, best = moves[found[0]], found[1]
             else:
                 step /= 2.0
                 if step < smallest_step:

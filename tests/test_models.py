@@ -161,6 +161,20 @@ def test_soft_rows_weigh_one_per_row(spark):
     assert sorted((r["class"], round(r["weight"], 9)) for r in out.collect()) == [(0, 0.6), (1, 0.4)]
 
 
+def test_best_weights_equal_all_scores(data):
+    """Bounds from few ranges are wide, from many narrow; the exact winner comes out of either."""
+    wide = data.select("id", "y", F.col("x").alias("a"), F.col("z").alias("b"))
+    wide = wide.withColumns({c: 1 / (1 + F.exp(-F.col(c))) for c in ("a", "b")})
+    candidates = [[w / 10, 1 - w / 10] for w in range(11)]
+    scores = blend.score_weights(wide, "y", ["a", "b"], candidates, "auc")
+    for ranges in (4, 65_536):
+        for score, (low, high) in zip(scores, blend.auc_bounds(wide, "y", ["a", "b"], candidates, ranges)):
+            assert low - 1e-12 <= score <= high + 1e-12
+    top = max(scores)
+    assert blend.best_weights(wide, "y", ["a", "b"], candidates, "auc", 0.0) == (scores.index(top), top)
+    assert blend.best_weights(wide, "y", ["a", "b"], candidates, "auc", top) is None
+
+
 def test_weight_search_improves(data):
     wide = data.select("id", "y", F.col("x").alias("good"), F.col("z").alias("bad"))
     wide = wide.withColumns({c: 1 / (1 + F.exp(-F.col(c))) for c in ("good", "bad")})
