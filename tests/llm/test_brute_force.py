@@ -143,6 +143,14 @@ def test_repeats_on_the_small_table(small):
     assert found == _repeats([(r.doc_id, r.text) for r in small.collect()], 400)
 
 
+@pytest.mark.parametrize("name", ["CONTEXTS", "NAMED_ROWS"])
+def test_repeats_beyond_the_limits(docs, small, monkeypatch, name):
+    monkeypatch.setattr(repeats, name, 0)
+    for table in (docs, small):
+        found = sorted((tuple(r) for r in repeats.remove_repeats(table).collect()), key=str)
+        assert found == _repeats([(r.doc_id, r.text) for r in table.collect()], 400)
+
+
 def test_repeats_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(repeats, "STEP", 5000)
     text = _prose(7, 4000)
