@@ -135,7 +135,7 @@ def test_noise_is_repeatable(sample):
 
 
 def test_missing_columns(sample):
-    with pytest.raises(ValueError, match="not found"):
+    with pytest.raises(ValueError, match="no column"):
         encode.fit_target(sample, "nope", "target")
     state = encode.fit_target(sample, "category", "target")
     with pytest.warns(UserWarning):
