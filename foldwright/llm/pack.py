@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from foldwright.llm import texts
 from foldwright.session import stage
 
-CACHED_RUNS = 600_000
+CACHED_RUNS = 200_000
 BUCKET_ROWS = 10_000
 #: controls that str.split() takes for white space and the tokenizer does not
 CONTROLS = re.compile("[\x1c-\x1f]")

@@ -18,7 +18,7 @@ U64 = np.uint64
 GAMMA = U64(0x9E3779B97F4A7C15)
 BASE = U64(0xD6E8FEB86659FD93)
 MULTIPLIER = U64(0xC2B2AE3D27D4EB4F)
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 
 
 def salted(n: int) -> np.uint64:
