@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from foldwright.llm import texts
 from foldwright.session import stage
 
-CACHED_RUNS = 200_000
+#: kept by a Python worker: runs as they stand, and the parts that cost an encoding
+KEPT_RUNS, KEPT_PARTS = 100_000, 600_000
 BUCKET_ROWS = 10_000
 #: controls that str.split() takes for white space and the tokenizer does not
 CONTROLS = re.compile("[\x1c-\x1f]")
@@ -68,8 +69,8 @@ class WordEncoder:
         return self.parts[plain[1].lower()] + (self.parts[marks] if marks else b"")
 
     def encode(self, text: str) -> bytes:
-        for kept in (self.runs, self.parts):
-            if len(kept) > CACHED_RUNS:
+        for kept, most in ((self.runs, KEPT_RUNS), (self.parts, KEPT_PARTS)):
+            if len(kept) > most:
                 kept.clear()
         runs = re.split("[ \t-\r]+", text.strip(" \t\n\v\f\r")) if CONTROLS.search(text) else text.split()
         return b"".join(map(self.runs.__getitem__, runs))
