@@ -104,6 +104,22 @@ def test_near_duplicates_in_a_large_group(spark, monkeypatch):
     assert found == _components([(i, _shingles(t)) for i, t in rows])
 
 
+def test_near_duplicates_with_an_outsider_of_a_tight_group(spark, monkeypatch):
+    """The outsider links to one member only, which is not the smallest of any bucket that both are in."""
+    monkeypatch.setattr(near, "COLD", 8)
+    base, r = _prose(1, 4000).split(), random.Random(1)
+    places = r.sample(range(10, 3990, 10), 148)
+    change = lambda at: " ".join(f"x{i}" if i in at else w for i, w in enumerate(base))
+    outside, own = places[:65], places[65:]
+    rows = [(i, change({p})) for i, p in enumerate(own)]
+    rows += [(500, change({outside[0]})), (900, change(set(outside)))]
+    sets = {i: _shingles(t) for i, t in rows}
+    linked = [i for i in sets if i != 900 and 100 * len(sets[i] & sets[900]) >= 85 * len(sets[i] | sets[900])]
+    assert linked == [500]
+    found = {x.id: x.component_id for x in near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(found.values()) == {0}
+
+
 def test_super_min_hash_estimates_and_is_a_permutation():
     r = np.random.default_rng(1)
     shared, a, b = r.integers(1, 1 << 60, 300), r.integers(1, 1 << 60, 50), r.integers(1, 1 << 60, 50)
