@@ -421,6 +421,36 @@ def test_licenses(spark, docs, empty):
     assert licenses.find_licenses(docs).count() == docs.count() and licenses.find_licenses(empty).count() == 0
 
 
+def test_licenses_wrapped_and_embedded(spark):
+    """Notices over several lines, in a line of other prose and in full, inside longer documents."""
+    whole = {n: max((t for m, t in licenses.TEMPLATES if m == n), key=len) for n in ("MIT", "Apache-2.0", "GPL-3.0", "BSD-2-Clause", "BSD-3-Clause")}
+    apache = next(t for n, t in licenses.TEMPLATES if n == "Apache-2.0" and "Unless" in t)
+    cases = [(n, "# " + "\n# ".join(re.findall(r".{1,60}(?:\s|$)", " ".join(t.split())))) for n, t in [*whole.items(), ("Apache-2.0", apache)]]
+    cases += [("MIT", "Released under the MIT License."), ("CC-BY-NC-4.0", "licensed under\nCC BY-NC 4.0"), ("GPL-2.0", "This work is licensed under the GNU\nGeneral Public License, version 2.")]
+    rows = [(i, f"{_prose(i, 2500)}\n\n{_prose(i, 5)} {t} {_prose(i + 50, 2500)}") for i, (_, t) in enumerate(cases)]
+    rows.append((len(cases), "Released under the MIT License.\n" * 3000))
+    found = {r.id: r for r in licenses.find_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (name, notice) in enumerate(cases):
+        assert found[i].license == name and found[i].score > 0.97, name
+        start, end = map(int, max(found[i].spans.split(","), key=lambda s: int(s.split(":")[2]) - int(s.split(":")[1])).split(":")[1:])
+        assert re.findall(r"\w+", rows[i][1][start:end]) == re.findall(r"\w+", notice)
+    assert found[len(cases)].license == "MIT" and found[len(cases)].n_matches == 3000 + 1
+
+
+def test_windows_are_the_best_of_all():
+    known = licenses.Templates([("A", "a b c d e f"), ("B", "a b x d e g h")], 0.7)
+    r = random.Random(3)
+    for _ in range(300):
+        words = [r.choice("abcdefghx") for _ in range(r.randint(2, 30))]
+        for _ in range(r.randint(0, 2)):
+            words[(k := r.randrange(len(words))) : k] = list("abcdef")[r.randint(0, 1) :]
+        every = [frozenset(zip(words[i:j], words[i + 1 : j], strict=False)) for i in range(len(words)) for j in range(i + 2, len(words) + 1)]
+        wanted = max((2 * len(p & t) / (len(p) + size) for p in every for size, _, _, t in known.rows), default=0)
+        found = licenses.windows(" ".join(words), known, known.held(words))
+        assert bool(found) == (wanted >= 0.7) and (not found or max(w[3] for w in found) == pytest.approx(wanted))
+    assert licenses.found_in("", known) == []
+
+
 def test_pipeline(spark, small):
     """Each stage does on its own input what its operator says, with the columns of documents."""
     table = small
