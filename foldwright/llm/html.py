@@ -3,15 +3,19 @@
 Pages of one host share templates. Their element paths form the host's style
 tree; a path's importance is the entropy of the child sequences seen there
 (presentation), or for text the share of content that other pages do not
-repeat. Paths whose whole branch is of low importance are noise. What markup
-itself declares (menus, footers, adverts, forms, comments) is noise on any page,
-and the branch that a page declares its article is never cut by statistics.
+repeat. Paths whose whole branch is of low importance are noise, and so are texts
+that nearly all pages repeat at one path. What markup itself declares (menus,
+footers, adverts, forms, comments) is noise on any page. Inside what a page
+declares its article, statistics cut only whole containers and repeated
+paragraphs, never headings or parts of tables and lists.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
@@ -50,12 +54,17 @@ NOISE_NAMES = re.compile(
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)")
 DEPTH = 40
+#: what statistics may cut inside an article
+LOOSE = frozenset("div section p ul ol".split())
+#: an undeclared container of so many times the text of any declared article is the article; another declared one of a path
+#: of its own and less than the inverse of ASIDE of the text stands beside it
+UNDECLARED, ASIDE = 2, 4
 
 
 class Element:
     __slots__ = ("tag", "path", "noise", "main", "children")
 
-    def __init__(self, tag: str, path: str, noise: bool, main: bool):
+    def __init__(self, tag: str, path: str, noise: bool, main: tuple[int, str] | None):
         self.tag, self.path, self.noise, self.main = tag, path, noise, main
         self.children: list[str] = []
 
@@ -65,6 +74,11 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
+def domain_of(host: str) -> str:
+    """The last two labels of a host name."""
+    return ".".join(host.split(".")[-2:])
+
+
 def _declared(tag: str, attributes: dict[str, str], inside: bool) -> bool:
     """Whether markup says that an element is not article text; headers inside an article belong to it."""
     if tag in NOISE_TAGS or (tag == "header" and not inside) or attributes.get("role", "").lower() in NOISE_ROLES:
@@ -80,13 +94,15 @@ def _declared(tag: str, attributes: dict[str, str], inside: bool) -> bool:
 def walk(page: str):
     """Blocks ``(path, noise, main, text)`` in page order and elements ``(path, child sequence, noise)``.
 
+    ``main`` is the number and path of the outermost declared article, if any.
+
     Unclosed and crossing tags are mended the way browsers do for the common
     cases: a block ends an open paragraph, list items and cells end their
     neighbours, an end tag without a start is passed over.
     """
-    blocks: list[tuple[str, bool, bool, str]] = []
+    blocks: list[tuple[str, bool, tuple[int, str] | None, str]] = []
     elements: list[tuple[str, str, bool]] = []
-    root = Element("", "", False, False)
+    root, declared = Element("", "", False, None), 0
     stack, pieces = [root], []
     last, end = 0, len(page)
 
@@ -143,12 +159,14 @@ def walk(page: str):
             flush()
             _end_open(stack, tag, pop)
         above = stack[-1]
-        noise = above.noise or _declared(tag, attributes, above.main)
-        main = not noise and (above.main or tag in ("article", "main") or attributes.get("role", "").lower() in ("main", "article"))
+        noise = above.noise or _declared(tag, attributes, above.main is not None)
+        main = None if noise else above.main
+        opens = not noise and not main and (tag in ("article", "main") or attributes.get("role", "").lower() in ("main", "article"))
+        declared += opens
         if tag not in BLOCK:
-            if noise != above.noise:
+            if noise != above.noise or opens:
                 flush()
-            stack.append(Element(tag, above.path, noise, main))
+            stack.append(Element(tag, above.path, noise, (declared, above.path) if opens else main))
             continue
         name = tag + "".join(f".{c}" for c in sorted(set(attributes.get("class", "").lower().split()))[:4])
         path = f"{above.path}/{name}" if len(stack) < DEPTH else above.path
@@ -156,7 +174,7 @@ def walk(page: str):
             if e.tag in BLOCK or e is root:
                 e.children.append(name)
                 break
-        stack.append(Element(tag, path, noise, main))
+        stack.append(Element(tag, path, noise, (declared, path) if opens else main))
     flush()
     while len(stack) > 1:
         pop()
@@ -184,76 +202,119 @@ def _end_open(stack: list[Element], tag: str, pop) -> None:
 
 
 def extract(page: str | None, noisy: frozenset[str] = frozenset()) -> str:
-    """The article's blocks joined by empty lines; ``noisy`` paths are cut outside what the page declares as its article."""
+    """The article's blocks joined by empty lines, without the branches and texts in ``noisy``."""
     if not page:
         return ""
     blocks = [b for b in walk(page)[0] if not b[1]]
-    chosen = [b[3] for b in blocks if b[2]]
-    if not chosen:
-        chosen = [b[3] for b in blocks if not _below(b[0], noisy)] or [b[3] for b in blocks]
-    return "\n\n".join(chosen)
-
-
-def _below(path: str, noisy: frozenset[str]) -> bool:
-    return bool(noisy) and any(path[:i] in noisy for i in range(1, len(path) + 1) if i == len(path) or path[i] == "/")
+    left = [b for b in blocks if not _below(b, noisy)] or blocks
+    return "\n\n".join(b[3] for b in _article(left))
+
+
+def _article(blocks: list[tuple[str, bool, tuple[int, str] | None, str]]) -> list[tuple[str, bool, tuple[int, str] | None, str]]:
+    """The blocks of the article: declared ones, or those of a container that holds much more text than any declared one."""
+    sizes: dict[tuple[int, str], int] = defaultdict(int)
+    containers: dict[str, int] = defaultdict(int)
+    for path, _, main, text in blocks:
+        if main:
+            sizes[main] += len(text)
+        else:
+            containers[path.rpartition("/")[0]] += len(text)
+    if not sizes:
+        return blocks
+    best = max(sizes, key=lambda m: (sizes[m], -m[0]))
+    top = max(containers, key=containers.get, default="")
+    if containers[top] > UNDECLARED * sizes[best] and top.count("/") > 2:
+        return [b for b in blocks if not b[2] and (b[0] + "/").startswith(top + "/")]
+    return [b for b in blocks if b[2] and (b[2][1] == best[1] or ASIDE * sizes[b[2]] >= sizes[best])]
+
+
+def _hash(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
+def _below(block: tuple[str, bool, tuple[int, str] | None, str], noisy: frozenset[str]) -> bool:
+    if not noisy:
+        return False
+    path, _, main, text = block
+    inside = len(main[1]) if main else len(path)
+    loose = lambda p: len(p) <= inside or p[p.rfind("/") + 1 :].split(".", 1)[0] in LOOSE
+    if any(path[:i] in noisy and loose(path[:i]) for i in range(1, len(path) + 1) if i == len(path) or path[i] == "/"):
+        return True
+    return loose(path) and f"{path}\t{_hash(text)}" in noisy
 
 
 def style_nodes(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """``(host, path, kind, feature)``: for each page, its paths, their child sequences (``s``) and their texts (``t``)."""
+    """``(host, path, kind, feature)``: for each page, its paths, their child sequences (``s``) and their texts (``t``), for its host and its domain."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: set[tuple[str, str, str, int]] = set()
             rows: list[tuple[str, str, str, int]] = []
+            kinds = (pa.string(), pa.string(), pa.string(), pa.int64())
             for i in range(batch.num_rows):
                 page, host = batch.column(1)[i].as_py(), host_of(batch.column(0)[i].as_py())
                 if not page or not host:
                     continue
                 blocks, elements = walk(page)
-                out = {(host, p, "s", sequence) for p, sequence, noise in elements if not noise}
-                out |= {(host, p, "t", text) for p, noise, _, text in blocks if not noise}
+                out = {(host, p, "s", _hash(sequence)) for p, sequence, noise in elements if not noise}
+                out |= {(host, p, "t", _hash(text)) for p, noise, _, text in blocks if not noise}
                 rows += out
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(4)], names=["host", "path", "kind", "feature"])
+                if (domain := domain_of(host)) != host:
+                    rows += [(f"*.{domain}", *r[1:]) for r in out]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["host", "path", "kind", "feature"])
 
-    seen = pages.select(F.col(url_col).cast("string"), F.col(html_col).cast("string")).mapInArrow(run, "host string, path string, kind string, feature string")
-    return seen.select("host", "path", "kind", F.xxhash64("feature").alias("feature"))
+    seen = pages.select(F.col(url_col).cast("string"), F.col(html_col).cast("string"))
+    return seen.mapInArrow(run, "host string, path string, kind string, feature long")
 
 
 def noisy_paths(nodes: DataFrame, pages_of_host: DataFrame, least_pages: int, limit: float) -> DataFrame:
-    """``(host, paths)``: outermost facts of a host's style tree, the paths whose branches hold nothing of importance.
+    """``(host, paths)``: what a host's style tree says, the paths whose branches hold nothing of importance and
+    ``path TAB hash`` of texts that nearly all pages repeat.
 
     A feature on ``n`` of a path's ``m`` pages has the entropy share ``log n /
     log m`` as content; child sequences have the entropy of their distribution
-    to the base ``m``. A branch is as important as its most important path.
+    to the base ``m``. A branch is as important as its most important path. On
+    sites of fewer than ``least_pages`` pages, but three, only what every page
+    repeats has no importance.
     """
     features = nodes.groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("n"))
     stats = features.groupBy("host", "path", "kind").agg(
         F.sum("n").alias("total"), F.sum(F.col("n") * F.log("n")).alias("nlogn"), F.avg(F.log("n")).alias("meanlog")
     )
-    stats = stats.join(pages_of_host.filter(F.col("pages") >= least_pages), "host").filter("total > 1")
+    sites = pages_of_host.filter("pages > 2").withColumn("limit", F.when(F.col("pages") >= least_pages, limit).otherwise(1e-9))
+    repeated = features.filter("kind = 't' and n > 2").join(sites, "host").filter(1 - F.log("n") / F.log("pages") < F.col("limit"))
+    repeated = repeated.select("host", F.concat_ws("\t", "path", F.col("feature").cast("string")).alias("path"))
+    # a single text is unique, a single child sequence says nothing
+    stats = stats.join(sites, "host").filter("total > 1 or kind = 't'")
     log_all = F.log("total")
     presentation = (log_all - F.col("nlogn") / F.col("total")) / log_all
     content = 1 - F.col("meanlog") / F.log("pages")
-    stats = stats.select("host", "path", F.when(F.col("kind") == "s", presentation).otherwise(content).alias("importance"))
+    stats = stats.select("host", "path", "limit", F.when(F.col("kind") == "s", presentation).otherwise(content).alias("importance"))
     parts = F.split("path", "/")
     above = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
-    branches = stats.filter(F.size(parts) > 1).select("host", F.explode(above).alias("path"), "importance").groupBy("host", "path").agg(F.max("importance").alias("importance"))
-    low = branches.filter((F.col("importance") < limit) & ~F.col("path").rlike("^/html[^/]*(/body[^/]*)?$"))
-    return low.groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    branches = stats.filter(F.size(parts) > 1).select("host", "limit", F.explode(above).alias("path"), "importance")
+    branches = branches.groupBy("host", "path").agg(F.max("importance").alias("importance"), F.first("limit").alias("limit"))
+    low = branches.filter((F.col("importance") < F.col("limit")) & ~F.col("path").rlike("^/html[^/]*(/body[^/]*)?$"))
+    return low.select("host", "path").union(repeated).groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("paths"))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_pages: int = 8, limit: float = 0.2) -> DataFrame:
     """``(id, url, text, n_chars)`` for each row of ``pages``.
 
     A null page gives an empty text; a null or odd address has no site, so only
-    declared noise is cut. Sites of fewer than ``least_pages`` pages say too
-    little and count as no site.
+    declared noise is cut. Sites of fewer than ``least_pages`` pages add what
+    the tree of their domain says, their host's last two labels.
     """
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST.pattern, 1))
     nodes = style_nodes(rows, "url", "html")
     sites = rows.groupBy(host.alias("host")).agg(F.count("*").alias("pages")).filter("host <> ''")
-    noisy = stage(noisy_paths(nodes, sites, least_pages, limit), "noisy")
+    sites = stage(sites.withColumn("domain", F.concat(F.lit("*."), F.substring_index("host", ".", -2))), "sites")
+    domains = sites.filter(F.col("domain") != F.concat(F.lit("*."), "host")).groupBy(F.col("domain").alias("host")).agg(F.sum("pages").alias("pages"))
+    noisy = stage(noisy_paths(nodes, sites.select("host", "pages").union(domains.filter(F.col("pages") >= least_pages)), least_pages, limit), "noisy")
+    coarse = sites.filter(F.col("pages") < least_pages).select("host", "domain").join(noisy.select(F.col("host").alias("domain"), F.col("paths").alias("wider")), "domain")
+    noisy = noisy.filter(~F.col("host").startswith("*.")).join(coarse.select("host", "wider"), "host", "full")
+    noisy = noisy.select("host", F.array_union(*(F.coalesce(c, F.array().cast("array<string>")) for c in ("paths", "wider"))).alias("paths"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[tuple[str, ...], frozenset[str]] = {}

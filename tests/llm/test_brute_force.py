@@ -327,6 +327,28 @@ def test_html(spark):
     assert all(r.n_chars == len(r.text) for r in found.values())
 
 
+def test_html_where_only_the_tree_decides(spark):
+    """Boilerplate inside articles, teasers beside an undeclared article, small hosts of one domain, copies of one page."""
+    box = "<div class='join-us'><h3>Join</h3><p>Get our letters</p></div>"
+    inside = "<html><body><article><h1>{}</h1><h2>Summary</h2><p>{}</p>" + box + "<p>Read more on this site</p></article></body></html>"
+    cards = "<html><body><div class='wrap'><div class='story'><p>{}</p><p>{}</p></div>" + "".join(f"<article class='card'><p>{_prose(k, 6)}</p></article>" for k in (900, 901)) + "</div></body></html>"
+    rows, wanted = [], {}
+    for i in range(20):
+        one, two = _prose(i, 4), _prose(i + 100, 60)
+        for k, url, page, text in (
+            (0, f"http://a.example/{i}", inside.format(one, two), f"{one}\n\nSummary\n\n{two}"),
+            (1, f"http://n{i}.b.example/", inside.format(one, two), f"{one}\n\nSummary\n\n{two}"),
+            (2, f"http://c{i}.example/", cards.format(two, two[:50]), f"{two}\n\n{two[:50]}"),
+            (3, "http://d.example/", inside.format("t", "x"), "t\n\nSummary\n\nx\n\nJoin\n\nGet our letters\n\nRead more on this site"),
+        ):
+            rows.append((4 * i + k, url, page))
+            wanted[4 * i + k] = text
+    found = {r.id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {i: t for i, t in found.items() if i % 4 != 3} == {i: t for i, t in wanted.items() if i % 4 != 3}
+    assert all("x" in found[i] for i in found if i % 4 == 3)  # copies hold nothing unique, and nothing is lost
+    assert found[3] == wanted[3]
+
+
 def test_pack(docs, empty, small):
     from tokenizers import Tokenizer
 
