@@ -51,8 +51,17 @@ NOISE_NAMES = re.compile(
     r"newsletter|subscribe|subscription|share|sharing|social|related|recommend\w*|comments?|disqus|replies|breadcrumbs?|pagination|pager|widget|login|signup|signin|search|toolbar|skip)(?:$|[\s_-])",
     re.I,
 )
+#: words that also name parts of an article; there they say nothing unless they name a piece of furniture
+OPEN_WORDS = r"header|notice|alert|share|sharing|social|related|recommend\w*|search|widget"
+OPEN_NAMES = re.compile(rf"(?:^|(?<=[\s_-]))(?:{OPEN_WORDS})(?=$|[\s_-])", re.I)
+FURNITURE = re.compile(
+    rf"(?:^|[\s_-])(?:{OPEN_WORDS})[_-](?:bars?|box(?:es)?|buttons?|btns?|links?|icons?|lists?|posts?|articles?|stories|form|input|widgets?)(?:$|[\s_-])|"
+    rf"(?:^|[\s_-])(?:post|entry|article|page|site)?[_-]?(?:share|sharing|social)[_-](?:share|sharing)(?:$|[\s_-])",
+    re.I,
+)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)")
+TAG = re.compile(r"[^.#]*")
 DEPTH = 40
 #: what statistics may cut inside an article
 LOOSE = frozenset("div section p ul ol".split())
@@ -80,7 +89,11 @@ def domain_of(host: str) -> str:
 
 
 def _declared(tag: str, attributes: dict[str, str], inside: bool) -> bool:
-    """Whether markup says that an element is not article text; headers inside an article belong to it."""
+    """Whether markup says that an element is not article text.
+
+    Headers inside an article belong to it, and so do elements with names such as
+    ``related-work``; what such names hold is noise only if the style tree says so.
+    """
     if tag in NOISE_TAGS or (tag == "header" and not inside) or attributes.get("role", "").lower() in NOISE_ROLES:
         return True
     if tag in ("html", "body", "main") or (tag == "article" and not inside and not re.search("comment|repl", attributes.get("class", "") + attributes.get("id", ""), re.I)):
@@ -88,6 +101,8 @@ def _declared(tag: str, attributes: dict[str, str], inside: bool) -> bool:
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or HIDDEN.search(attributes.get("style", "")):
         return True
     names = " ".join(attributes[k] for k in ("class", "id") if attributes.get(k))
+    if inside and names and not FURNITURE.search(names):
+        names = OPEN_NAMES.sub("", names)
     return bool(names and NOISE_NAMES.search(names))
 
 
@@ -169,6 +184,9 @@ def walk(page: str):
             stack.append(Element(tag, above.path, noise, (declared, above.path) if opens else main))
             continue
         name = tag + "".join(f".{c}" for c in sorted(set(attributes.get("class", "").lower().split()))[:4])
+        if above.main and OPEN_NAMES.search(attributes.get("id", "")):
+            # the tree rates it apart from its neighbours
+            name += "#" + re.sub(r"[\s/.]", "_", attributes["id"].lower())
         path = f"{above.path}/{name}" if len(stack) < DEPTH else above.path
         for e in reversed(stack):
             if e.tag in BLOCK or e is root:
@@ -237,7 +255,7 @@ def _below(block: tuple[str, bool, tuple[int, str] | None, str], noisy: frozense
         return False
     path, _, main, text = block
     inside = len(main[1]) if main else len(path)
-    loose = lambda p: len(p) <= inside or p[p.rfind("/") + 1 :].split(".", 1)[0] in LOOSE
+    loose = lambda p: len(p) <= inside or TAG.match(p, p.rfind("/") + 1)[0] in LOOSE
     if any(path[:i] in noisy and loose(path[:i]) for i in range(1, len(path) + 1) if i == len(path) or path[i] == "/"):
         return True
     return loose(path) and f"{path}\t{_hash(text)}" in noisy

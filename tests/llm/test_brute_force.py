@@ -349,6 +349,20 @@ def test_html_where_only_the_tree_decides(spark):
     assert found[3] == wanted[3]
 
 
+def test_html_names_inside_an_article(spark):
+    """Loose words in names cut nothing from an article unless the whole site repeats the branch."""
+    open_, cut = "<header class='entry-header'><h1>{}</h1></header><section id='related-work'><p>{}</p></section><div class='social-history'>{}</div><section id='search'><p>{}</p></section><p class='notice'>{}</p>", "<div class='share-bar'>no</div><div class='newsletter'>no</div><div class='social-share'>no</div>"
+    texts = lambda i: [_prose(10 * i + k, 12) for k in range(5)]
+    page = lambda i, more: f"<html><body><article>{open_.format(*texts(i))}{cut}{more}</article><div class='related'>no</div></body></html>"
+    assert html.extract(page(1, "")) == "\n\n".join(texts(1))
+    same = "<section id='related'><p>Our best stories</p></section><div class='widget'>Weather today</div>"
+    rows = [(i, f"http://s.example/{i}", page(i, same)) for i in range(10)]
+    rows.append((50, None, page(50, same)))
+    found = {r.id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(found[i] == "\n\n".join(texts(i)) for i in range(10))
+    assert found[50] == "\n\n".join([*texts(50), "Our best stories", "Weather today"])
+
+
 def test_pack(docs, empty, small):
     from tokenizers import Tokenizer
 
