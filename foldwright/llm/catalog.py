@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from foldwright.llm import boost, html, licenses, mixing, near, nearest, pack, repeats, rules, secrets
+from foldwright.llm import boost, html, licenses, mixing, near, nearest, pack, periods, pieces, repeats, rules, secrets, whiten
 from foldwright.llm.registry import QUERIES, TWINS, query, table
 
-__all__ = ["QUERIES", "TWINS", "TOKENIZER"]
+__all__ = ["QUERIES", "TWINS", "TOKENIZER", "PIECE_MODEL", "looped"]
 
-#: the public vocabulary file that production queries use
+#: the public vocabulary files that production queries use
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 MIX_SQL = r"""
 WITH d AS (
@@ -101,3 +103,53 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_minhash_near_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"), percent=85).withColumnRenamed("id", "doc_id")
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)`` in which every tenth document by a hash of its id repeats part of its words to its end.
+
+    With ``h`` the crc32 of the id as text and ``g = floor(h / 10)``, a document
+    of ``n`` words with ``h % 10 = 0`` has word ``a + (i - a) % p`` at every
+    ``i >= a``, where ``a = g % n`` and ``p = 1 + floor((n - a) / (3 + g % 8))``.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all("text", F.lit(mixing.WORD), F.lit(0))
+    picked = docs.select("doc_id", "text", F.coalesce(h % 10 == 0, F.lit(False)).alias("loops"), F.expr("crc32(cast(doc_id as string)) div 10").alias("g"))
+    picked = picked.withColumn("w", F.when(F.col("loops"), words)).withColumn("n", F.size("w"))
+    # -1 or 0 words leave the text as it is; their divisor is never used
+    picked = picked.withColumn("a", F.col("g") % F.when(F.col("n") > 0, F.col("n")))
+    picked = picked.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    places = F.sequence(F.lit(0), F.col("n") - 1)
+    index = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    text = F.array_join(F.transform(places, lambda i: F.get("w", index(i).cast("int"))), " ")
+    return picked.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(looped(table(spark, sf_dir, "documents")))
+    # the longest run, the first of equals, the shortest period then
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    digest = F.sha2(F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise(""), 256)
+    rows = found.select("id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), digest.alias("runs_sha256"), F.sha2("kept_text", 256).alias("collapsed_sha256"))
+    return rows.select(
+        F.col("id").alias("doc_id"), "n_runs", (-F.col("best.s")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.length div -best.p").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
+@query("op12_sentencepiece")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.encode(table(spark, sf_dir, "documents"), PIECE_MODEL)
+    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256)
+    covered = F.aggregate(F.arrays_zip("starts", "ends"), F.lit(0).cast("long"), lambda s, x: s + x["ends"] - x["starts"])
+    return found.select(
+        F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+        "n_bytes", covered.alias("covered_bytes"),
+    )
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
