@@ -13,7 +13,7 @@ from foldwright.functions import names
 from foldwright.functions.dates import add_calendar, elapsed_days, micros
 from foldwright.functions.names import as_list, require
 from foldwright.plans.buckets import as_double
-from foldwright.plans.chunks import global_halo_windows, halo_windows, running_stats
+from foldwright.plans.chunks import Running, chunk_windows, global_halo_windows, halo_windows, running_stats
 from foldwright.plans.hot import hot_keys, spread
 
 _STATS: dict[str, Callable[[Column], Column]] = {
@@ -228,10 +228,8 @@ def series_features(
         moved = {names.SERIES_LAG.format(col=target, lag=n): F.lag(target, n).over(window) for n in lags}
         return {**moved, **roll(window)}
 
-    out = halo_windows(df, [key], time, tie, build, back=max(*lags, *windows), hot_rows=hot_rows)
-    out = running_stats(
-        out, [key], time, tie, [target], lambda c, s: names.SERIES_EXPANDING.format(col=c), ["mean"], hot_rows
-    )
+    running = Running([target], ["mean"], lambda c, s: names.SERIES_EXPANDING.format(col=c))
+    out = chunk_windows(df, [key], time, tie, build, max(*lags, *windows), 0, running, hot_rows)
     return add_calendar(out, time) if calendar else out
 
 

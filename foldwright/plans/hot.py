@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldwright.plans.size import HOT_ROWS, is_small
+from foldwright.plans.size import HOT_ROWS
+from foldwright.session import stage
 
 SPREAD = 1_024
 
@@ -23,19 +24,20 @@ def hot_keys(
 ) -> DataFrame | None:
     """Keys of more than ``hot_rows`` rows, one in so many rows at most; None if there are none.
 
-    The limit does not depend on the size of the table. A table of fewer rows
-    is never grouped; otherwise one aggregate over the key columns finds the
-    largest group.
+    One pass over the key columns, the same for tables of every size: rows are
+    counted by key where they are read, and the keys above the limit are written
+    once, so that every later use reads a few rows and knows their bytes. A
+    stream has none, as its trigger bounds a micro-batch.
     """
+    if df.isStreaming:
+        return None
     if sizes is None:
-        if hot_rows is None and is_small(df):
-            return None
         sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__fw_n"))
     limit = HOT_ROWS if hot_rows is None else hot_rows
     known = sizes
     for key in keys:
         known = known.filter(F.col(key).isNotNull())
-    known = known.filter(F.col("__fw_n") > limit).select(*keys)
+    known = stage(known.filter(F.col("__fw_n") > limit).select(*keys), "hot-keys")
     return None if known.isEmpty() else known
 
 
@@ -49,9 +51,8 @@ def attach(
 ) -> DataFrame:
     """Left join of a table with one row per key, safe for hot and null keys.
 
-    ``small`` says that no key of ``df`` can hold enough rows to matter; by
-    default a row count decides. Callers that join several states pass what
-    they found before the first join.
+    ``small`` says that no key of ``df`` can hold enough rows to matter. Callers
+    that join several states pass what they found before the first join.
 
     The plain join lets Spark broadcast ``state`` when its measured size allows.
     When ``df`` is large the rows may have to be shuffled by key, and a hot key
@@ -63,8 +64,7 @@ def attach(
     """
     keys = list(keys)
     values = [c for c in state.columns if c not in keys]
-    if df.isStreaming or (hot_rows is None and sizes is None and (is_small(df) if small is None else small)) or small:
-        # a micro-batch is as large as its trigger allows
+    if small or df.isStreaming:
         return df.join(state, keys, "left")
     hot = hot_keys(df, keys, hot_rows, sizes)
     has_key = F.lit(True)
@@ -74,10 +74,10 @@ def attach(
     if hot is None:
         rows = df.withColumn(salt, F.when(has_key, 0).otherwise(-spread(df)))
         return rows.join(state.withColumn(salt, F.lit(0)), [*keys, salt], "left").drop(salt)
-    # the hot keys alone, at most one for HOT_ROWS rows
-    rows = df.join(F.broadcast(hot.withColumn(mark, F.lit(True))), keys, "left")
+    # the hot keys alone, at most one for HOT_ROWS rows; Spark broadcasts them by their written bytes
+    rows = df.join(hot.withColumn(mark, F.lit(True)), keys, "left")
     rows = rows.withColumn(salt, F.when(~has_key, -spread(df)).when(F.col(mark), spread(df)).otherwise(0)).drop(mark)
     salts = F.sequence(F.lit(1), F.lit(SPREAD))
-    repeated = state.join(F.broadcast(hot), keys, "left_semi").withColumn(salt, F.explode(salts))
+    repeated = state.join(hot, keys, "left_semi").withColumn(salt, F.explode(salts))
     both = state.withColumn(salt, F.lit(0)).unionByName(repeated)
     return rows.join(both, [*keys, salt], "left").select(*df.columns, *values)

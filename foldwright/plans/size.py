@@ -9,8 +9,11 @@ HOT_ROWS = 2_000_000
 
 
 def is_small(df: DataFrame, rows: int = HOT_ROWS) -> bool:
-    """Whether the whole table has at most ``rows`` rows, so that no key of it can have more (one count)."""
-    return df.count() <= rows
+    """Whether the whole table has at most ``rows`` rows, so that no key of it can have more (one count).
+
+    A stream is never counted; its micro-batches are as large as the trigger allows.
+    """
+    return df.isStreaming or df.count() <= rows
 
 
 def shuffle_width(spark: SparkSession) -> int:
