@@ -99,7 +99,7 @@ def r3_stream_target_encode(spark, d):
     "r4_previous_value",
     """SELECT user_id, event_id AS id, lag(value) OVER w AS previous,
        CAST(floor((epoch_us(ts) - epoch_us(lag(ts) OVER w)) / 86400000000) AS BIGINT) AS days_since
-       FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
+       FROM events WHERE date_trunc('millisecond', ts) < """ + _MARK + " WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)",
 )
 def r4_previous_value(spark, d):
     return run_available(previous_stream(_events(spark, d), "user_id", "ts", "event_id", "value"), "r4")

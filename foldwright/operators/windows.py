@@ -15,6 +15,9 @@ from foldwright.functions.names import as_list, require
 from foldwright.plans.buckets import as_double
 from foldwright.plans.chunks import Running, chunk_windows, global_halo_windows, halo_windows, running_stats
 from foldwright.plans.hot import hot_keys, spread
+from foldwright.plans.ranks import ordered_index
+from foldwright.plans.spans import CLOCK, DAY_US, spanned
+from foldwright.session import stage
 
 _STATS: dict[str, Callable[[Column], Column]] = {
     "mean": F.avg,
@@ -166,48 +169,38 @@ def calendar_rolling(
     days: Sequence[int] = (7, 30),
     stats: Sequence[str] = ("mean", "sum", "count"),
     hot_rows: int | None = None,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """Add ``{v}_{w}days_{stat}`` over the real time span ``(t - w days, t]``.
 
-    For hot keys, rows are cut into spans as long as the widest window and each
-    span also sees the one before.
+    Ordinary keys use a range frame. Hot keys use spans of chunks (``spans``),
+    whose work and tasks do not grow with the density of a key or the width of
+    a window.
     """
     keys = as_list(keys)
+    require(df, [*keys, time, *cols])
     stats = _known(stats, list(_STATS))
-    day = 86_400_000_000
-    # a monotone integer clock in microseconds
-    rows = df.withColumn("__fw_us", micros(df, time))
+    rows = df.withColumn(CLOCK, micros(df, time))
     known = F.lit(True)
     for key in keys:
         known = known & F.col(key).isNotNull()
-    rows = rows.withColumn("__fw_nk", F.when(known, 0).otherwise(spread(df)))
-
-    def add(frame_of: Callable[[int], WindowSpec], source: DataFrame) -> DataFrame:
-        made = [
-            F.when(known, _STATS[s](F.col(c)).over(frame_of(w))).alias(f"{c}_{w}days_{s}")
-            for c in cols
-            for w in days
-            for s in stats
-        ]
-        return source.select("*", *made)
+    name = lambda c, w, s: f"{c}_{w}days_{s}"
 
-    def plain(w: int) -> WindowSpec:
-        return Window.partitionBy(*keys, "__fw_nk").orderBy("__fw_us").rangeBetween(-(w * day - 1), 0)
+    def plain(source: DataFrame) -> DataFrame:
+        # rows without a key get no value, so they are spread instead of sorted together
+        source = source.withColumn("__fw_nk", F.when(known, 0).otherwise(spread(df)))
+        by = Window.partitionBy(*keys, "__fw_nk").orderBy(CLOCK)
+        frame = {w: by.rangeBetween(-(w * DAY_US - 1), 0) for w in days}
+        made = [F.when(known, _STATS[s](F.col(c)).over(frame[w])).alias(name(c, w, s)) for c in cols for w in days for s in stats]
+        return source.select(*df.columns, *made)
 
     hot = hot_keys(df, keys, hot_rows)
     if hot is None:
-        return add(plain, rows).drop("__fw_us", "__fw_nk")
-    span = max(days) * day
-    cold = add(plain, rows.join(F.broadcast(hot), keys, "left_anti"))
-    home = F.floor(F.col("__fw_us") / F.lit(span)).cast("long")
-    heavy = rows.join(F.broadcast(hot), keys, "left_semi").withColumn("__fw_home", home)
-    heavy = heavy.withColumn("__fw_c", F.explode(F.array(F.col("__fw_home"), F.col("__fw_home") + 1)))
-
-    def spanned(w: int) -> WindowSpec:
-        return Window.partitionBy(*keys, "__fw_c").orderBy("__fw_us").rangeBetween(-(w * day - 1), 0)
-
-    heavy = add(spanned, heavy).filter(F.col("__fw_c") == F.col("__fw_home")).drop("__fw_c", "__fw_home")
-    return cold.unionByName(heavy).drop("__fw_us", "__fw_nk")
+        return plain(rows)
+    cold = plain(rows.join(hot, keys, "left_anti"))
+    heavy = stage(rows.join(hot, keys, "left_semi"), "hot-rows")
+    extra = {} if chunk_rows is None else {"chunk_rows": chunk_rows}
+    return cold.unionByName(spanned(heavy, keys, cols, days, stats, name, **extra))
 
 
 def series_features(
@@ -249,9 +242,25 @@ def ahead_rolling_mean(
     return global_halo_windows(df, time, tie, build, back=width - 1 - shift, ahead=shift, **options)
 
 
-def sequence_in_group(df: DataFrame, keys: str | Sequence[str], time: str, tie: str, name: str = "position") -> DataFrame:
-    """1-based position by time within the key: the order every operator here sorts by."""
-    from foldwright.plans.ranks import ordered_index
+def sequence_in_group(
+    df: DataFrame, keys: str | Sequence[str], time: str, tie: str, name: str = "position", hot_rows: int | None = None
+) -> DataFrame:
+    """1-based position by time within the key: the order every operator here sorts by. Null keys form a group.
 
-    out = ordered_index(df, time, tie, as_list(keys), name="__fw_at")
-    return out.withColumn(name, F.col("__fw_at") + 1).drop("__fw_at")
+    Ordinary keys are numbered in one window; rows of hot keys, and those without a key, by ranges.
+    """
+    keys = as_list(keys)
+    hot = hot_keys(df, keys, hot_rows)
+    at = F.row_number().over(Window.partitionBy(*keys).orderBy(time, tie)).cast("long")
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    plain, others = df.filter(known), df.filter(~known)
+    if hot is not None:
+        plain, others = plain.join(hot, keys, "left_anti"), others.unionByName(plain.join(hot, keys, "left_semi"))
+    others = stage(others, "hot-rows")
+    plain = plain.withColumn(name, at)
+    if others.isEmpty():
+        return plain
+    ranged = ordered_index(others, time, tie, keys, name="__fw_at")
+    return plain.unionByName(ranged.withColumn(name, F.col("__fw_at") + 1).drop("__fw_at"))

@@ -5,7 +5,9 @@ dealt into consecutive value ranges. The limits are approximate quantiles
 computed in one pass; they decide the balance only, never the result. A value
 so frequent that it fills several ranges owns a bucket, and that bucket is cut
 again along the tie column. As each tie range also holds about 1/B of all rows,
-no bucket exceeds that share, whatever the distribution looks like.
+no bucket exceeds that share, whatever the distribution looks like. This is the
+first level: where that share is still more than a task should sort, callers cut
+buckets further (``ranks``, ``cuts``).
 """
 
 from __future__ import annotations

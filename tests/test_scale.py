@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from foldwright.operators import encode, groupby, lookup, metrics, splits, windows
 from foldwright.operators.groupby import majority_class
 from foldwright.plans import cuts as cut_module
+from foldwright.plans import ranks as ranks_module
 from foldwright.plans.buckets import order_buckets
 from foldwright.plans.cuts import hash_cuts, order_cuts
 from foldwright.plans.hot import attach, hot_keys
@@ -55,6 +56,50 @@ def test_ordered_index_equals_window(skewed, descending, partition):
     same(want, got)
 
 
+def _largest_cell(monkeypatch, **options):
+    """The rows of the largest cell that ``ordered_index`` sorts in one task, and its result."""
+    seen = []
+    add = ranks_module._add_offsets
+
+    def watch(placed, keys, places, *rest):
+        seen.append(placed.groupBy(*keys, *places).count().agg(F.max("count")).first()[0])
+        return add(placed, keys, places, *rest)
+
+    monkeypatch.setattr(ranks_module, "_add_offsets", watch)
+    return ordered_index(**options), seen[0]
+
+
+@pytest.mark.parametrize(
+    ("order", "tie", "partition", "descending"),
+    [("t", "id", [], True), ("v", "id", ["g"], False), ("s", "id", [], False), ("t", "c", [], False), ("c", "id", ["g"], True)],
+)
+def test_large_cells_are_cut_until_none_is_left(skewed, monkeypatch, order, tie, partition, descending):
+    """One first range only, so every limit comes from the deeper levels; values repeat, and null is one of them."""
+    df = skewed.withColumn("c", F.concat(F.lit("c"), F.md5(F.col("id").cast("string"))))
+    nulls_last = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_last()
+    if order == "c":
+        nulls_last = F.col(order).desc() if descending else F.col(order).asc()
+    window = (Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))).orderBy(nulls_last, tie)
+    want = df.select("id", (F.row_number().over(window) - 1).cast("long").alias("index"))
+    got, largest = _largest_cell(monkeypatch, df=df, order=order, tie=tie, partition=partition, descending=descending, rows_per_bucket=100_000, cell_rows=60)
+    assert largest <= 60
+    same(want, got.select("id", "index"))
+
+
+def test_rows_that_cannot_be_told_apart_end_the_cutting(spark, monkeypatch):
+    df = spark.range(500).select("id", F.lit(1).alias("n"), F.lit(2).alias("t"))
+    got, largest = _largest_cell(monkeypatch, df=df, order="n", tie="t", rows_per_bucket=100_000, cell_rows=50)
+    assert largest == 500
+    assert sorted(r["index"] for r in got.collect()) == list(range(500))
+
+
+def test_positions_within_hot_and_null_keys(skewed):
+    window = Window.partitionBy("g").orderBy("t", "id")
+    want = skewed.select("id", F.row_number().over(window).cast("long").alias("position"))
+    for hot_rows in (None, 500):
+        same(want, windows.sequence_in_group(skewed, "g", "t", "id", hot_rows=hot_rows).select("id", "position"))
+
+
 def test_string_ties_are_cut_as_well(spark):
     df = spark.createDataFrame([(1 if i % 4 else 2, f"c{i:05d}") for i in range(2000)], "n int, c string")
     limits = order_buckets(df, "n", "c", rows_per_bucket=50)
@@ -207,6 +252,60 @@ def test_windows_hot_equals_plain(skewed):
         )
 
 
+def _dense(spark, n: int = 4000):
+    """One key, one week, instants that repeat, nulls, and one instant that holds a tenth of the rows."""
+    rng = random.Random(8)
+    lines = []
+    for i in range(n):
+        second = 1_704_067_200 + (250_000 if i % 10 == 0 else rng.randrange(7 * 86_400) if i % 3 else rng.randrange(86_400))
+        lines.append((i, "one" if i % 50 else None if i % 100 else "two", second, None if i % 13 == 0 else rng.gauss(1e6, 3), float(i % 7)))
+    df = spark.createDataFrame(lines, "id long, g string, second long, v double, w double")
+    return df.withColumn("t", F.timestamp_seconds("second")).drop("second")
+
+
+def test_calendar_windows_of_a_dense_key(spark):
+    """All kinds of frames: inside a chunk, over one limit, over many chunks, from before the first row."""
+    df = _dense(spark).cache()
+    stats = ("mean", "std", "sum", "min", "max", "count")
+    for days, chunk in (((1, 3, 30), 16), ((2,), 10_000)):
+        plain = windows.calendar_rolling(df, "g", ["v", "w"], "t", days, stats).drop("t", "g")
+        same(plain, windows.calendar_rolling(df, "g", ["v", "w"], "t", days, stats, hot_rows=1000, chunk_rows=chunk).drop("t", "g"))
+
+
+def test_no_task_of_a_calendar_window_holds_more_than_a_chunk(spark, monkeypatch):
+    from foldwright.plans import spans
+
+    seen = []
+    numbered = spans._instants
+
+    def watch(rows, keys, sums, chunk_rows):
+        out = numbered(rows, keys, sums, chunk_rows)
+        seen.append(out.groupBy(*keys, "__fw_c").count().agg(F.max("count"), F.count("*")).first())
+        return out
+
+    monkeypatch.setattr(spans, "_instants", watch)
+    windows.calendar_rolling(_dense(spark), "g", ["v"], "t", (7,), ("sum",), hot_rows=1000, chunk_rows=32).collect()
+    assert seen[0][0] == 32 and seen[0][1] > 50
+
+
+def test_blocks_make_up_every_stretch_once(spark):
+    from foldwright.plans.spans import _blocks
+
+    pairs = [(a, b) for a in range(20) for b in range(a, 41)]
+    for r in spark.createDataFrame(pairs, "a long, b long").withColumn("x", _blocks(F.col("a"), F.col("b"), 6)).collect():
+        met = sorted(c for k in r.x for c in range(k.node << k.level, (k.node + 1) << k.level))
+        assert met == list(range(r.a, r.b)) and len(r.x) <= 12
+
+
+def test_series_features_take_one_shuffle_and_equal_the_separate_ones(skewed):
+    out = windows.series_features(skewed.withColumn("d", F.timestamp_seconds(F.col("t") * 86_400)), "g", "d", "id", "v")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    rows = skewed.withColumn("d", F.timestamp_seconds(F.col("t") * 86_400))
+    wide = [windows.series_features(rows, "g", "d", "id", "v", hot_rows=h).drop("d", "t", "s") for h in (None, 500)]
+    same(*wide)
+
+
 def test_as_of_against_brute_force(spark):
     rng = random.Random(9)
     facts = [(i, "hot" if i % 2 else f"e{i % 7}", rng.randrange(60)) for i in range(400)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,6 +71,29 @@ def test_previous_value_across_batches(spark, folder):
     assert got[8] == (10.0, 0)
 
 
+@pytest.mark.parametrize("n_files", [1, 4, 23])
+def test_previous_value_does_not_depend_on_the_split(spark, tmp_path, n_files):
+    """Rows come up to two hours out of order, within the delay; equal times fall into different files."""
+    rng = random.Random(4)
+    hours = [rng.choice([i / 3, float(i // 3)]) for i in range(300)]
+    rows = [(i, rng.choice("abc") if i % 40 else None, at(h), None if i % 9 == 0 else float(i)) for i, h in enumerate(hours)]
+    rows.sort(key=lambda r: (r[2] - START).total_seconds() / 3600 + 2 * rng.random())
+    rows.append((999, "z", at(500), 0.0))
+    size = -(-len(rows) // n_files)
+    for n in range(0, len(rows), size):
+        spark.createDataFrame(rows[n : n + size], SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path))
+    before = {c: v for c, v in spark.conf.getAll.items()}
+    out = run_available(previous_stream(stream(spark, str(tmp_path)), "user", "ts", "id", "value", delay="3 hours"), "t-r4")
+    assert {c: v for c, v in spark.conf.getAll.items()} == before
+    last, want = {}, {}
+    for i, user, ts, value in sorted(rows[:-1], key=lambda r: (r[2], r[0])):
+        seen = last.get(user)
+        want[i] = (None, None) if seen is None else (seen[1], (ts - seen[0]).days)
+        last[user] = (ts, value)
+    got = {r["id"]: (r["previous"], r["days_since"]) for r in out.collect()}
+    assert got == want
+
+
 def test_stream_encoding_equals_batch(spark, folder):
     base = spark.read.schema(SCHEMA).parquet(folder).withColumn("y", (F.col("value") > 4).cast("int"))
     state = encode.fit_target(base.filter("user <> 'z'"), "user", "y")
