@@ -344,14 +344,24 @@ def f9_products(spark, d):
     return rounded(out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *made))
 
 
-@query(
-    "f17_narrow_types",
-    """SELECT * FROM (VALUES ('l_orderkey', 'bigint', 'smallint'), ('l_partkey', 'bigint', 'smallint'), ('l_suppkey', 'bigint', 'tinyint'),
-       ('l_linenumber', 'int', 'tinyint'), ('l_quantity', 'double', 'float'), ('l_extendedprice', 'double', 'double'),
-       ('l_discount', 'double', 'double'), ('l_tax', 'double', 'double'), ('l_returnflag', 'string', 'string'),
-       ('l_linestatus', 'string', 'string'), ('l_shipdate', 'timestamp_ntz', 'timestamp_ntz')) t("column", before, after)
-       WHERE (SELECT max(l_orderkey) < 32768 AND max(l_partkey) < 32768 AND max(l_suppkey) < 128 FROM lineitem)""",
-)
+def _narrow_sql() -> str:
+    """The smallest type of each column, found from its values."""
+    whole = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int"}
+    limits = {"tinyint": 2**7, "smallint": 2**15, "int": 2**31}
+    after = {
+        c: "CASE " + " ".join(f"WHEN min({c}) >= -{n} AND max({c}) < {n} THEN '{t}'" for t, n in limits.items()) + " ELSE 'bigint' END"
+        for c in whole
+    }
+    for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"):
+        whole[c] = "double"
+        after[c] = f"CASE WHEN bool_and(coalesce(CAST(CAST({c} AS FLOAT) AS DOUBLE) = {c}, true)) THEN 'float' ELSE 'double' END"
+    for c, kind in (("l_returnflag", "string"), ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz")):
+        whole[c], after[c] = kind, f"'{kind}'"
+    rows = [f"""SELECT '{c}' AS "column", '{kind}' AS before, {after[c]} AS after FROM lineitem{'' if '(' in after[c] else ' LIMIT 1'}""" for c, kind in whole.items()]
+    return " UNION ALL ".join(f"SELECT * FROM ({r})" for r in rows)
+
+
+@query("f17_narrow_types", _narrow_sql())
 def f17_narrow_types(spark, d):
     return prep.narrow_types(table(spark, d, "lineitem"), floats=True)[1]
 

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: staged tables of this process that have not been removed
+_staged: list[str] = []
+
+
 def build_session(app: str = "foldwright", **conf: str) -> SparkSession:
     """A session with the settings the operators are written for.
 
@@ -72,4 +78,23 @@ def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFra
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
+    _staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+@contextmanager
+def staged_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end of the block, the tables that were staged inside it.
+
+    For jobs that write their result inside the block: what an operator returns
+    may still read its staged tables, so these cannot go any earlier.
+    """
+    first = len(_staged)
+    try:
+        yield
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in _staged[first:]:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+        del _staged[first:]

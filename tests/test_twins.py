@@ -16,8 +16,6 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, duck, name):
-    if name == "f17_narrow_types":
-        pytest.skip("its expected types are those of the larger tables")
     _, note, good = compare.check(spark, duck, name, entry.queries()[name], entry.oracle_sql().get(name), SMALL)
     assert good, note
 
