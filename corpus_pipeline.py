@@ -12,12 +12,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from foldwright.llm import mixing, near, pack, rules, secrets
 from foldwright.llm.catalog import TOKENIZER
 from foldwright.llm.registry import table
-from foldwright.session import stage
+from foldwright.session import scratch_path, staged_tables
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,9 +25,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates; null ids stay."""
-    gone = near.near_duplicates(docs, percent=85).filter(~F.col("kept")).select(F.col("id").alias("__gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    """One document of each group of near-duplicates: the smallest id, a null one last; of rows that share it the first read."""
+    return near.keep_first(docs, percent=85)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,5 +60,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's result is written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
+        with staged_tables(spark):
+            result = function(spark, docs, sf_dir)
+            path = scratch_path(spark, name.replace(" ", "-"))
+            result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
     return docs

@@ -116,15 +116,15 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", limit: float = 0.7, sample_rows: int = SAMPLE_ROWS, **options) -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label_col: str = "quality", limit: float = 0.7, sample_rows: int = SAMPLE_ROWS, **options) -> DataFrame:
     """``(id, held_out, score, predicted)`` for each row; a null text counts as empty, a null id is never held out.
 
     Learns from at most ``sample_rows`` labelled rows that are not held out;
     scores use statistics of the text and nothing else.
     """
     stats = stage(text_stats(docs, id_col, text_col), "stats")
-    known = labels.filter(~held_out(id_col))
-    rows = labelled_sample(stats, known, id_col, label_col, sample_rows)
+    known = labels.filter(~held_out(label_id))
+    rows = labelled_sample(docs, known, id_col, text_col, label_id, label_col, sample_rows)
     model = train(rows[FEATURES].to_numpy(float), rows["label"].to_numpy(float), **options)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,7 +3,9 @@
 Documents of a source stand in the order of a hash of their id; a source gives
 whole epochs and then the documents before a cut, so that its words equal the
 budget. A null text has size 0. Rows that repeat an id stand at one place and
-share what is taken there by size; rows with a null id come last.
+share what is taken there by size. Rows with a null id come last, in the order
+of a hash of their text; those of equal text share a place. Columns of the
+documents may have any names.
 """
 
 from __future__ import annotations
@@ -23,8 +25,9 @@ def size_of(text_col: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def key_of(id_col: str) -> Column:
-    return F.coalesce(F.md5(F.col(id_col).cast("string")), F.lit(LAST))
+def key_of(id_col: str, text_col: str) -> Column:
+    without = F.concat(F.lit(LAST), F.coalesce(F.md5(F.col(text_col).cast("string")), F.lit("")))
+    return F.coalesce(F.md5(F.col(id_col).cast("string")), without)
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...], percent: int, epochs: int) -> DataFrame:
@@ -73,9 +76,11 @@ def cuts(docs: DataFrame, weights: tuple[int, ...], percent: int, epochs: int) -
     plan = plan.withColumn("budget", F.floor("target")).withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("budget") / F.col("source_size"))).otherwise(0))
     plan = stage(plan.withColumn("left", F.col("budget") - F.col("whole") * F.col("source_size")), "targets")
     n_buckets = max(1, rows.count() // BUCKET_ROWS)
-    number = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
-    # the key of rows without id is no hexadecimal number; it belongs to the last range
-    bucket = F.when(F.col("key") == LAST, n_buckets).otherwise(F.floor(number * n_buckets / F.lit(1 << 32)))
+    # keys of rows without id follow all others, and one of them has no number
+    late = F.col("key").startswith(LAST)
+    digits = F.when(late, F.concat(F.substring("key", len(LAST) + 1, 8), F.lit("0"))).otherwise(F.concat(F.substring("key", 1, 8), F.lit("0")))
+    number = F.shiftright(F.conv(digits, 16, 10).cast("long"), 4)
+    bucket = F.floor(number * n_buckets / F.lit(1 << 32)) + F.when(late, n_buckets).otherwise(0)
     ranged = rows.withColumn("bucket", bucket)
     sums = ranged.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     run = W.partitionBy("source").orderBy("bucket")
@@ -90,29 +95,40 @@ def cuts(docs: DataFrame, weights: tuple[int, ...], percent: int, epochs: int) -
     return plan.join(cut, F.col("source").eqNullSafe(F.col("s")), "left").select("source", "source_size", "target", "whole", "cut_key", "cut_words", "unit_words")
 
 
+def _taken(docs: DataFrame, weights: tuple[int, ...], percent: int, epochs: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """``(row, size, source_size, target, taken)``; ``row`` holds all columns of ``docs``, whatever their names."""
+    size, key = size_of(text_col).alias("size"), key_of(id_col, text_col).alias("key")
+    small = docs.select(F.col(source_col).alias("source"), key, size)
+    plan = stage(cuts(stage(small, "sizes"), weights, percent, epochs), "cuts").withColumnRenamed("source", "s")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(source_col).alias("source"), size, key)
+    joined = rows.join(plan, F.col("source").eqNullSafe(F.col("s")))
+    more = F.when(F.col("key") < F.col("cut_key"), F.col("size")).when(F.col("key") == F.col("cut_key"), F.floor(F.col("size") * F.col("cut_words") / F.col("unit_words"))).otherwise(0)
+    return joined.select("row", "size", "source_size", "target", (F.col("whole") * F.col("size") + more).cast("long").alias("taken"))
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), percent: int = 150, epochs: int = 2, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target`` and ``taken``; extra columns stay.
 
     Columns of these names are replaced. Every source that has words meets the
-    whole-word part of its target exactly.
+    whole-word part of its target, exactly where no rows share a place.
     """
     new = ["size", "source_size", "target", "taken"]
-    kept = [c for c in docs.columns if c not in new]
-    small = docs.select(F.col(source_col).alias("source"), key_of(id_col).alias("key"), size_of(text_col).alias("size"))
-    plan = stage(cuts(stage(small, "sizes"), weights, percent, epochs), "cuts").withColumnRenamed("source", "__source")
-    rows = docs.select(*kept, size_of(text_col).alias("size"), key_of(id_col).alias("__key"))
-    joined = rows.join(plan, F.col(source_col).eqNullSafe(F.col("__source")))
-    more = F.when(F.col("__key") < F.col("cut_key"), F.col("size")).when(F.col("__key") == F.col("cut_key"), F.floor(F.col("size") * F.col("cut_words") / F.col("unit_words"))).otherwise(0)
-    return joined.select(*kept, "size", "source_size", "target", (F.col("whole") * F.col("size") + more).cast("long").alias("taken"))
-
-
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the mix with the columns of ``docs``: a row for each epoch, the last one cut at its word."""
-    columns = docs.columns
-    rows = mix(docs, **options)
-    rest = F.col("taken") % F.col("size")
+    rows = _taken(docs, weights, percent, epochs, id_col, text_col, source_col)
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c not in new], *new)
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), percent: int = 150, epochs: int = 2, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str = "n_chars") -> DataFrame:
+    """The documents of the mix with the columns of ``docs``: a row for each epoch, the last one cut at its word.
+
+    ``length_col``, if there is one, counts the text again; all other columns stay as they are.
+    """
+    rows = _taken(docs, weights, percent, epochs, id_col, text_col, source_col).filter("taken > 0")
+    text, rest = F.col("row").getField(text_col), F.col("taken") % F.col("size")
     # words up to the cut, with the white space between them as it is
-    head = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), 0), 1, rest.cast("int")), "")
-    copies = F.concat(F.array_repeat(F.col("text"), F.floor(F.col("taken") / F.col("size")).cast("int")), F.when(rest > 0, F.array(head)).otherwise(F.array().cast("array<string>")))
-    rows = rows.filter("taken > 0").withColumn("__copy", F.explode(copies))
-    return rows.withColumn("text", F.col("__copy")).withColumn("n_chars", F.length("text").cast("long")).select(*columns)
+    head = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), 0), 1, rest.cast("int")), "")
+    copies = F.concat(F.array_repeat(text, F.floor(F.col("taken") / F.col("size")).cast("int")), F.when(rest > 0, F.array(head)).otherwise(F.array().cast("array<string>")))
+    rows = rows.select("row", F.explode(copies).alias("copy"))
+    own = {text_col: F.col("copy")}
+    if length_col in docs.columns:
+        own[length_col] = F.length("copy").cast(docs.schema[length_col].dataType)
+    return rows.select(*[own.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

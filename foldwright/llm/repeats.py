@@ -33,7 +33,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from foldwright.llm import texts
 from foldwright.llm.texts import MULTIPLIER, U64, mix, salted
@@ -45,6 +44,8 @@ NAMED_ROWS = 1_000_000
 CONTEXTS = 4_096
 #: starts that one step looks at; longer texts are looked at in pieces that overlap by the string length
 STEP = 1 << 20
+#: bits of a place in a block or piece, which both stay under twice a step
+PLACE_BITS = 21
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -73,7 +74,8 @@ def phrases(data: np.ndarray, at: np.ndarray, length: int, trigger: int) -> tupl
     roll = texts.Rolling(data)
     places = np.arange(len(data) - trigger + 1)
     window = mix(roll.spans(places, places + trigger))
-    bits = U64(int(len(data)).bit_length())
+    # the same for every block, so that equal strings rank their windows alike
+    bits = U64(PLACE_BITS)
     ranked = ((window >> bits) << bits) | places.astype(U64)
     best = (_sliding_min(ranked, length - trigger + 1)[:n] & ((U64(1) << bits) - U64(1))).astype(np.int64)
     starts = np.arange(n)
@@ -115,7 +117,7 @@ def parse(docs: DataFrame, length: int, trigger: int) -> DataFrame:
                         names=["r1", "r2", "start", "n", "gap", "key", "whole"],
                     )
 
-    return docs.select("r1", "r2", "text").mapInArrow(run, "r1 long, r2 int, start long, n int, gap int, key long, whole long")
+    return docs.select("r1", "r2", "text").mapInArrow(run, "r1 long, r2 long, start long, n int, gap int, key long, whole long")
 
 
 def _with_text(docs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -138,10 +140,10 @@ def _suffixes(phrase_texts: DataFrame, length: int) -> DataFrame:
                     place = np.arange(s["n"])
                     prints.append(mix(texts.Rolling(text[s["start"] : s["start"] + s["n"] - 1 + length]).spans(place, place + length)).tobytes())
                 columns = [pa.array([s[k] for s in spans], t) for k, t in (("key", pa.int64()), ("start", pa.int64()), ("once", pa.bool_()), ("gap", pa.int32()))]
-                named = [pa.array([r1[i]] * len(spans), pa.int64()), pa.array([r2[i]] * len(spans), pa.int32())]
+                named = [pa.array([r1[i]] * len(spans), pa.int64()), pa.array([r2[i]] * len(spans), pa.int64())]
                 yield pa.RecordBatch.from_arrays([columns[0], *named, *columns[1:], pa.array(prints, pa.binary())], names=["key", "r1", "r2", "start", "once", "gap", "prints"])
 
-    return phrase_texts.select("r1", "r2", "text", "spans").mapInArrow(run, "key long, r1 long, r2 int, start long, once boolean, gap int, prints binary")
+    return phrase_texts.select("r1", "r2", "text", "spans").mapInArrow(run, "key long, r1 long, r2 long, start long, once boolean, gap int, prints binary")
 
 
 def _in_order(groups: DataFrame) -> DataFrame:
@@ -167,10 +169,10 @@ def _in_order(groups: DataFrame) -> DataFrame:
                         edges = np.diff(flags)
                         for i, j in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1), strict=True):
                             out.append((x["r1"], x["r2"], x["start"] + int(i), int(j - i)))
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
+            kinds = (pa.int64(),) * 4
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names=["r1", "r2", "start", "n"])
 
-    return groups.mapInArrow(run, "r1 long, r2 int, start long, n long")
+    return groups.mapInArrow(run, "r1 long, r2 long, start long, n long")
 
 
 def _exploded(suffixes: DataFrame) -> DataFrame:
@@ -181,10 +183,10 @@ def _exploded(suffixes: DataFrame) -> DataFrame:
             for key, r1, r2, start, once, gap, prints in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = np.frombuffer(prints, np.int64)
                 place = np.arange(len(found))
-                same = [pa.array(np.full(len(found), x)) for x in (key, r1, np.int32(r2), start, once)]
+                same = [pa.array(np.full(len(found), x)) for x in (key, r1, r2, start, once)]
                 yield pa.RecordBatch.from_arrays([*same, pa.array(place), pa.array(gap - place), pa.array(found)], names=["key", "r1", "r2", "start", "once", "place", "ahead", "print"])
 
-    rows = stage(suffixes.mapInArrow(run, "key long, r1 long, r2 int, start long, once boolean, place long, ahead long, print long"), "suffixes")
+    rows = stage(suffixes.mapInArrow(run, "key long, r1 long, r2 long, start long, once boolean, place long, ahead long, print long"), "suffixes")
     order = ["key", "ahead", "print"]
     met = rows.groupBy(*order).agg(F.count("*").alias("copies")).filter("copies > 1").select(*order)
     found = rows.filter("once").join(met, order, "left_semi")
@@ -242,14 +244,14 @@ def _merged(spans: list, length: int, size: int) -> list[tuple[int, int]]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, trigger: int = 160, keep_text: bool = False) -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept_sha256)`` for each row of ``docs``, and the text left with ``keep_text``.
 
-    A null text counts as empty. Rows are known by their id and a hash of their
-    text, so rows that repeat an id are rows of their own, and a repeated row is
-    a copy like any other.
+    A null text counts as empty. Rows are known by 128 bits over their id, whether
+    it is null, and their text, so rows that repeat an id, also a null one, are
+    rows of their own, and a repeated row is a copy like any other.
     """
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    whole = isinstance(docs.schema[id_col].dataType, T.IntegralType)
-    first = F.coalesce(F.col("id").cast("long"), F.lit(0)) if whole else F.xxhash64("id")
-    named = source.select(first.alias("r1"), F.hash("text").alias("r2"), "id", "text")
+    # two hashes in which text, id and the mark of a null id stand in different order
+    first, second = F.xxhash64("text", F.col("id").isNull(), "id"), F.xxhash64(F.lit(7), "id", F.col("id").isNull(), "text")
+    named = source.select(first.alias("r1"), second.alias("r2"), "id", "text")
     spans = repeated_spans(named, length, trigger)
     listed = stage(spans.groupBy("r1", "r2").agg(F.collect_list(F.struct("start", "n")).alias("spans")), "spans")
     if listed.count() <= NAMED_ROWS:

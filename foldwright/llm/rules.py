@@ -16,10 +16,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foldwright.llm import texts
 from foldwright.llm.stats import COUNTS, SHARES, labelled_sample, measure, text_stats
-from foldwright.session import stage
 
 SAMPLE_ROWS = 20_000
 CUT_POINTS = 32
@@ -34,8 +34,8 @@ class Condition:
     def holds(self, table: dict[str, np.ndarray]) -> np.ndarray:
         return table[self.column] > self.limit if self.above else table[self.column] <= self.limit
 
-    def expression(self) -> Column:
-        c = F.col(self.column)
+    def expression(self, prefix: str = "") -> Column:
+        c = F.col(prefix + self.column)
         return c > self.limit if self.above else c <= self.limit
 
 
@@ -123,48 +123,55 @@ def learn(table: dict[str, np.ndarray], bad: np.ndarray, columns: list[str], pre
     return rules
 
 
-def verdict(rules: list[list[Condition]]) -> Column:
+def verdict(rules: list[list[Condition]], prefix: str = "") -> Column:
     """The list as one ordered conditional: false at the first rule that holds, true at its end."""
     out = None
     for rule in rules:
-        test = rule[0].expression()
+        test = rule[0].expression(prefix)
         for c in rule[1:]:
-            test = test & c.expression()
+            test = test & c.expression(prefix)
         out = F.when(test, False) if out is None else out.when(test, False)
     return F.lit(True) if out is None else out.otherwise(True)
 
 
-def fit(stats: DataFrame, labels: DataFrame, label_id: str = "doc_id", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS, **options) -> list[list[Condition]]:
-    """Rules for label 0, learned on at most ``sample_rows`` labelled rows; none where a label is missing."""
-    rows = labelled_sample(stats, labels, label_id, label_col, sample_rows)
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS, **options) -> list[list[Condition]]:
+    """Rules for label 0, learned on at most ``sample_rows`` labelled documents; none where a label is missing.
+
+    A list has at most ``most_rules`` (24) rules of at most four conditions.
+    """
+    rows = labelled_sample(docs, labels, id_col, text_col, label_id, label_col, sample_rows)
     columns = ["n_words", *SHARES]
     return learn({c: rows[c].to_numpy(float) for c in columns}, rows["label"].to_numpy() == 0, columns, **options)
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``(id, counts, base_failed, kept)`` for each row; texts of under 50 words or half repeats fail, null texts too."""
-    stats = stage(text_stats(docs, id_col, text_col), "stats")
-    rules = fit(stats, labels, **options)
+    """``(id, counts, base_failed, kept)`` for each row; texts of under 50 words or half repeats fail, null texts too.
+
+    Texts are measured and judged where they are read; none is moved.
+    """
+    rules = fit(docs, labels, id_col, text_col, **options)
+    stats = text_stats(docs, id_col, text_col)
     return stats.select("id", *COUNTS, base_failed().alias("base_failed"), (~base_failed() & verdict(rules)).alias("kept"))
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+def base_failed(prefix: str = "") -> Column:
+    words, repeats = F.col(f"{prefix}n_words"), F.col(f"{prefix}n_repeat_words")
+    return (words < 50) | (100 * repeats > 50 * words)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps; texts are measured again where they are read, so none is shuffled."""
-    rules = fit(stage(text_stats(docs, id_col, text_col), "stats"), labels, **options)
-    names = [*COUNTS, *SHARES]
-    place = docs.columns.index(text_col)
+    """The rows of ``docs`` that ``judge`` keeps, by the same conditional; one pass over the texts, none of which is shuffled."""
+    rules = fit(docs, labels, id_col, text_col, **options)
+    place, mark = docs.columns.index(text_col), "__quality_"
+    names = [mark + c for c in (*COUNTS, *SHARES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, at in texts.blocks(batch.column(place), 1 << 20):
-                table = dict(zip(names, measure(data, at).T, strict=True))
-                good = (table["n_words"] >= 50) & (100 * table["n_repeat_words"] <= 50 * table["n_words"])
-                for rule in rules:
-                    good &= ~_covers(rule, table, b - a)
-                yield batch.slice(a, b - a).filter(pa.array(good))
+                values = measure(data, at)
+                rows = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*rows.columns, *(pa.array(values[:, i]) for i in range(len(names)))], names=[*batch.schema.names, *names])
 
-    return docs.mapInArrow(run, docs.schema)
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.DoubleType()) for n in names)])
+    measured = docs.mapInArrow(run, schema)
+    return measured.filter(~base_failed(mark) & verdict(rules, mark)).select(*docs.columns)

@@ -2,9 +2,11 @@
 
 Parts of credentials are found with their places: identifiers, secrets and
 endpoints. Strong parts (the base patterns) always count. Weak ones are common
-in clean text and count only together with complementary parts nearby in the
-same scope, a paragraph. Scopes lie inside one text, so the interval join runs
-where the text is read and moves nothing. A null text counts as empty.
+in clean text and count only together with complementary parts in the same
+scope, however far apart: a paragraph, or neighbouring paragraphs whose adjoining
+lines are both key and value, as in a configuration. Scopes lie inside one text,
+so the interval join runs where the text is read and moves nothing. A null text
+counts as empty.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ WEAK_NAMES = re.compile(r"""(?a)\b(?i:user(?:_?name)?|login|account|client_?id|a
 WEAK_SECRETS = re.compile(r"""(?a)\b(?i:pass(?:word|wd|phrase)?|pwd|secret|token|api_?key|private_?key|credentials?)["']?\x20*[:=]\x20*["']?([^\s"',;]{6,})""")
 ENDPOINTS = re.compile(r"""(?a)\b(?:(?:https?|ftp|ssh|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s"'<>]+|(?i:host(?:name)?|server|endpoint)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+(?::\d+)?)""")
 SCOPE = re.compile(r"\n[ \t\r]*\n")
-REACH = 400
-#: parts that a weak part of a kind needs nearby: any of one group, for each group
+KEY_LINE = re.compile(r"""[ \t]*[\w.\-\[\]"']+[ \t]*[:=][ \t]*\S.*""")
+#: parts that a weak part of a kind needs in its scope: any of one group, for each group
 NEEDS = {"weak_id": ({"secret"},), "weak_secret": ({"id", "endpoint"},), "endpoint": ({"id"}, {"secret"})}
 ROLE = {"assign": "secret", "hex": "secret", "access": "id", "weak_id": "id", "weak_secret": "secret", "endpoint": "endpoint"}
 
@@ -46,8 +48,19 @@ def _order(span: Span) -> tuple[int, int, str, int]:
     return span[0], KINDS.index(span[2]) if span[2] in KINDS else len(KINDS), span[2], span[1]
 
 
-def linked_spans(text: str, base: list[Span], reach: int = REACH) -> list[Span]:
-    """Weak parts that have what they need within ``reach`` characters in their scope; parts inside base spans are theirs."""
+def scope_breaks(text: str) -> list[int]:
+    """Where scopes end: blank lines but those between two lines of key and value."""
+    out = []
+    for m in SCOPE.finditer(text):
+        before = text[text.rfind("\n", 0, m.start()) + 1 : m.start()]
+        end = text.find("\n", m.end())
+        if not (KEY_LINE.fullmatch(before.rstrip("\r")) and KEY_LINE.fullmatch(text[m.end() : end if end >= 0 else len(text)].rstrip("\r"))):
+            out.append(m.start())
+    return out
+
+
+def linked_spans(text: str, base: list[Span]) -> list[Span]:
+    """Weak parts that have what they need in their scope; parts inside base spans are theirs."""
     weak = [(m.start(), m.end(), "weak_id") for m in WEAK_NAMES.finditer(text)]
     weak += [(m.start(), m.end(), "weak_secret") for m in WEAK_SECRETS.finditer(text)]
     if not weak and not any(k == "access" for _, _, k in base):
@@ -56,25 +69,13 @@ def linked_spans(text: str, base: list[Span], reach: int = REACH) -> list[Span]:
     weak = sorted(s for s in weak if not any(a <= s[0] < b or s[0] <= a < s[1] for a, b, k in _near(base, s) if k != "hex"))
     if not weak:
         return []
-    breaks = [m.start() for m in SCOPE.finditer(text)]
-    # intervals by scope and role, in order of their starts; a scope's intervals of a role are joined by their ends
-    roles: dict[tuple[int, str], list[tuple[int, int]]] = {}
-    for a, b, kind in sorted(base + weak):
-        roles.setdefault((bisect_left(breaks, a + 1), ROLE[kind]), []).append((a, b))
-    furthest = {k: _running_end(v) for k, v in roles.items()}
-
-    def meets(scope: int, role: str, span: Span) -> bool:
-        rows = roles.get((scope, role), [])
-        # the last interval that starts before the reach ends, and the furthest end up to it
-        i = bisect_left(rows, (span[1] + reach + 1, 0))
-        return i > 0 and furthest[scope, role][i - 1] >= span[0] - reach
-
-    out = []
-    for span in weak:
-        scope = bisect_left(breaks, span[0] + 1)
-        if all(any(meets(scope, role, span) for role in group) for group in NEEDS[span[2]]):
-            out.append(span)
-    return out
+    breaks = scope_breaks(text)
+    scope = lambda span: bisect_left(breaks, span[0] + 1)
+    # spans join scopes by the interval they start in
+    roles: dict[int, set[str]] = {}
+    for span in base + weak:
+        roles.setdefault(scope(span), set()).add(ROLE[span[2]])
+    return [s for s in weak if all(roles[scope(s)] & group for group in NEEDS[s[2]])]
 
 
 def _near(base: list[Span], span: Span) -> list[Span]:
@@ -84,14 +85,6 @@ def _near(base: list[Span], span: Span) -> list[Span]:
     return base[max(0, i - 3) : j]
 
 
-def _running_end(rows: list[tuple[int, int]]) -> list[int]:
-    out, far = [], -1
-    for _, b in rows:
-        far = max(far, b)
-        out.append(far)
-    return out
-
-
 def joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, b, k in spans)
 

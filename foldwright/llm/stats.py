@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from foldwright.llm import texts
 from foldwright.llm.texts import MULTIPLIER, U64, mix
+from foldwright.session import stage
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SHARES = [
@@ -114,10 +115,22 @@ def text_stats(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def labelled_sample(stats: DataFrame, labels: DataFrame, label_id: str, label_col: str, rows: int):
-    """At most ``rows`` labelled rows of statistics as pandas, chosen by a hash of the id: the same in every run."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id: str, label_col: str, rows: int):
+    """Statistics of at most ``rows`` labelled documents as pandas, chosen by a hash of the id: the same in every run.
+
+    Ids of documents and labels are joined before the limit, so labels of other
+    documents cost no place; only the chosen texts are measured. An id counts
+    once: labels that disagree give the lowest, and of documents that share an
+    id the one with the least statistics is learned from.
+    """
     marks = labels.select(F.col(label_id).alias("label_id"), F.col(label_col).cast("int").alias("label")).filter("label in (0, 1) and label_id is not null")
-    # one label for an id: the lowest, should labels disagree
-    marks = marks.groupBy("label_id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("label_id"), "label_id").limit(rows)
-    joined = stats.join(marks, F.col("id") == F.col("label_id")).select("id", "label", *COUNTS, *SHARES)
+    marks = marks.groupBy("label_id").agg(F.min("label").alias("label"))
+    known = docs.select(F.col(id_col).alias("label_id")).filter("label_id is not null").distinct()
+    marks = marks.join(known, "label_id").orderBy(F.xxhash64("label_id"), "label_id").limit(rows)
+    # at most ``rows`` ids
+    marks = stage(marks, "sample")
+    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(marks.select(F.col("label_id").alias("id"))), "id", "left_semi")
+    names = [*COUNTS, *SHARES]
+    stats = text_stats(chosen, "id", "text").groupBy("id").agg(F.min(F.struct(*names)).alias("s"))
+    joined = stats.join(F.broadcast(marks), F.col("id") == F.col("label_id")).select("id", "label", "s.*")
     return joined.toPandas().sort_values(["id", "label"], kind="stable")

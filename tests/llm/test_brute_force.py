@@ -13,6 +13,8 @@ import duckdb
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from foldwright.llm import boost, html, licenses, mixing, near, nearest, pack, repeats, rules, secrets
 from foldwright.llm.catalog import QUERIES, TOKENIZER, TWINS
@@ -282,7 +284,8 @@ def test_secrets(spark, docs, empty):
     cases = {
         "": "", f"{key} and AKIAQ": "access:0:20", "PassWord = 'abcdefghijkl'": "assign:0:24", "token=short": "", "token=secret:abcdefghijklmnop": "",
         "0123456789abcdef0123 abc": "hex:0:20", "ſecret=abcdefghijklmnop": "", "user=bob1 pwd=hunter22 at https://x.example/y": "weak_id:0:9,weak_secret:10:22,endpoint:26:45",
-        "pwd=hunter22": "", "pwd=hunter22\n\nuser=bob1": "", f"pwd=hunter22 {key}": "weak_secret:0:12,access:13:33",
+        "pwd=hunter22": "", "pwd=hunter22\n\nuser=bob1": "weak_secret:0:12,weak_id:14:23", "a pwd=hunter22\n\nuser=bob1": "", "pwd=hunter22\n\nsays user=bob1": "",
+        "user=bob1 " + "x" * 600 + " pwd=hunter22": "weak_id:0:9,weak_secret:611:623", f"pwd=hunter22 {key}": "weak_secret:0:12,access:13:33",
     }
     table = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
     found = {r.id: r for r in secrets.find_secrets(table).collect()}
@@ -306,8 +309,10 @@ def test_linking_equals_all_pairs():
         base = secrets.base_spans(text)
         weak = [(m.start(), m.end(), k) for k, p in (("weak_id", secrets.WEAK_NAMES), ("weak_secret", secrets.WEAK_SECRETS), ("endpoint", secrets.ENDPOINTS)) for m in p.finditer(text)]
         every = base + weak
-        scope = lambda s: len(re.findall(r"\n[ \t\r]*\n", text[: s[0] + 1]))
-        meets = lambda s, role: any(secrets.ROLE[o[2]] == role and scope(o) == scope(s) and o[0] <= s[1] + secrets.REACH and o[1] >= s[0] - secrets.REACH for o in every)
+        line = re.compile(r"\s*[\w.]+\s*[:=]\s*\S.*")
+        blank = [m for m in re.finditer(r"\n[ \t\r]*\n", text) if not (line.fullmatch(text[: m.start()].split("\n")[-1]) and line.fullmatch(text[m.end() :].split("\n")[0]))]
+        scope = lambda s: sum(m.start() < s[0] + 1 for m in blank)  # noqa: B023, E731
+        meets = lambda s, role: any(secrets.ROLE[o[2]] == role and scope(o) == scope(s) for o in every)
         wanted = sorted(s for s in weak if all(any(meets(s, role) for role in group) for group in secrets.NEEDS[s[2]]))
         assert sorted(secrets.linked_spans(text, base)) == wanted
 
@@ -508,3 +513,62 @@ def test_pipeline(spark, small):
         table = out
     assert {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"} <= set(table.columns)
     assert corpus_pipeline.run(spark, SMALL).count() == table.count()
+
+
+def test_pipeline_on_awkward_rows(spark, docs, empty, tmp_path_factory):
+    """Nulls, repeated ids and rows, and columns named as operators name theirs, through every stage; then no rows at all."""
+    folder = str(tmp_path_factory.mktemp("awkward"))
+    spark.createDataFrame([(i, i % 2, 0) for i in range(1, 20)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    names = ["whole", "cut_key", "row", "copy", "__gone", "s", "taken", "component_id", "name", "label", "n_words"]
+    wide = docs.withColumns({n: F.lit(-7) for n in names})
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, wide, folder).persist()
+        assert out.count() > 0
+        if name != "packing":
+            assert out.columns == wide.columns
+            assert {r[n] for r in out.select(*names).collect() for n in names} == {-7}
+        assert stage(spark, empty, folder).count() == 0
+        if name == "near-duplicates":
+            left = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+            rows = sorted(((r.doc_id, r.text) for r in docs.collect()), key=lambda r: (r[0] is None, r[0] or 0))
+            groups = _components(list(enumerate(_shingles(t) for _, t in rows)))
+            assert left == sorted((rows[i] for i, c in groups.items() if i == c), key=str)
+
+
+def test_repeats_of_rows_without_ids(spark):
+    """Texts without an id are told apart by more than 32 bits of hash."""
+    shared = _prose(31, 120)
+    one, two = _prose(32, 140), _prose(33, 140)
+    made = spark.range(150_000).select(F.concat(F.lit(one), F.col("id").cast("string")).alias("t"))
+    pair = made.groupBy(F.hash("t").alias("h")).agg(F.collect_list("t").alias("x")).filter("size(x) > 1").first()
+    assert pair is not None
+    a, b = pair["x"][:2]
+    rows = [(None, a + shared), (None, two), (3, shared + "q"), (0, two[:700])]
+    for table in (spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(None, a), (None, b)], "doc_id long, text string")):
+        found = sorted(tuple(r) for r in repeats.remove_repeats(table).select("n_bytes", "n_removed", "n_spans").collect())
+        assert found == sorted(_removed([r.text for r in table.collect()]))
+
+
+def _removed(rows: list[str]) -> list[tuple[int, int, int]]:
+    data = [t.encode() for t in rows]
+    count = collections.Counter(t[i : i + 400] for t in data for i in range(len(t) - 399))
+    out = []
+    for t in data:
+        gone = [False] * (len(t) + 1)
+        for i in range(len(t) - 399):
+            if count[t[i : i + 400]] > 1:
+                gone[i : i + 400] = [True] * 400
+        gone[len(t)] = False
+        out.append((len(t), sum(gone), sum(gone[i] and not (i and gone[i - 1]) for i in range(len(t)))))
+    return out
+
+
+def test_learning_sample_is_taken_after_the_join(spark):
+    """Labels of other documents cost no place, and an id counts once however often it is repeated."""
+    from foldwright.llm.stats import labelled_sample
+
+    table = spark.createDataFrame([(1 if i < 500 else i, f"w{i} " * 60) for i in range(520)] + [(None, "x")], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(-4000, 520) if i != 0], "doc_id long, quality int")
+    rows = labelled_sample(table, marks, "doc_id", "text", "doc_id", "quality", 20)
+    assert len(rows) == 20 and rows["id"].is_unique and set(rows["id"]) <= {1, *range(500, 520)}
+    assert set(labelled_sample(table, marks, "doc_id", "text", "doc_id", "quality", 100)["id"]) == {1, *range(500, 520)}
