@@ -53,7 +53,8 @@ class WordEncoder:
     then those of the marks.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: tuple[int, int] = (KEPT_RUNS, KEPT_PARTS)):
+        self.most = kept
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -69,7 +70,7 @@ class WordEncoder:
         return self.parts[plain[1].lower()] + (self.parts[marks] if marks else b"")
 
     def encode(self, text: str) -> bytes:
-        for kept, most in ((self.runs, KEPT_RUNS), (self.parts, KEPT_PARTS)):
+        for kept, most in zip((self.runs, self.parts), self.most, strict=True):
             if len(kept) > most:
                 kept.clear()
         runs = re.split("[ \t-\r]+", text.strip(" \t\n\v\f\r")) if CONTROLS.search(text) else text.split()
@@ -77,16 +78,16 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=1)
-def encoder_for(path: str) -> WordEncoder:
+def encoder_for(path: str, kept: tuple[int, int] = (KEPT_RUNS, KEPT_PARTS)) -> WordEncoder:
     """One encoder for each Python worker, so that what it knows serves all tasks of the worker."""
-    return WordEncoder(path)
+    return WordEncoder(path, kept)
 
 
-def token_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
+def token_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity: int, end_id: int, kept: tuple[int, int] = (KEPT_RUNS, KEPT_PARTS)) -> DataFrame:
     """``(id, start, length, ids_crc32, doc_tokens)``: full pieces of ``capacity`` ids and what is left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_for(tokenizer)
+        encoder = encoder_for(tokenizer, kept)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for a, b, _, _ in texts.blocks(batch.column(1), 1 << 20):
@@ -156,15 +157,16 @@ def patterns(counts: dict[int, int], capacity: int) -> list[tuple[int, dict[int,
     return out
 
 
-def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, end_id: int = 1) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, end_id: int = 1, kept: tuple[int, int] = (KEPT_RUNS, KEPT_PARTS)) -> DataFrame:
     """``(id, start, length, ids_crc32, doc_tokens, sequence_id, offset)``, one row for each piece.
 
     Documents are cut at multiples of ``capacity``; what is left stays whole.
     The driver sees the number of pieces by length only, at most ``capacity``
     rows. Pieces get their place in their length's order from counts by bucket,
-    so no length's pieces have to meet in one task.
+    so no length's pieces have to meet in one task. ``kept`` bounds the encoded
+    runs and parts that a worker keeps; it decides speed and memory only.
     """
-    pieces = stage(token_pieces(docs, id_col, text_col, tokenizer, capacity, end_id), "pieces")
+    pieces = stage(token_pieces(docs, id_col, text_col, tokenizer, capacity, end_id, kept), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots: dict[int, list[tuple[int, int, int, int]]] = {}
     used, sequence = dict.fromkeys(counts, 0), 0

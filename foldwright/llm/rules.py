@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foldwright.llm import texts
-from foldwright.llm.stats import COUNTS, SHARES, labelled_sample, measure, text_stats
+from foldwright.llm.stats import BLOCK_BYTES, COUNTS, SHARES, labelled_sample, measure, text_stats
 
 SAMPLE_ROWS = 20_000
 CUT_POINTS = 32
@@ -167,7 +167,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, data, at in texts.blocks(batch.column(place), 1 << 20):
+            for a, b, data, at in texts.blocks(batch.column(place), BLOCK_BYTES):
                 values = measure(data, at)
                 rows = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*rows.columns, *(pa.array(values[:, i]) for i in range(len(names)))], names=[*batch.schema.names, *names])
