@@ -25,9 +25,9 @@ def hot_keys(
     """Keys of more than ``hot_rows`` rows, one in so many rows at most; None if there are none.
 
     One pass over the key columns, the same for tables of every size: rows are
-    counted by key where they are read, and the keys above the limit are written
-    once, so that every later use reads a few rows and knows their bytes. A
-    stream has none, as its trigger bounds a micro-batch.
+    counted by key where they are read, and the keys above the limit, if there are
+    any, are written once, so that every later use reads a few rows and knows
+    their bytes. A stream has none, as its trigger bounds a micro-batch.
     """
     if df.isStreaming:
         return None
@@ -37,8 +37,11 @@ def hot_keys(
     known = sizes
     for key in keys:
         known = known.filter(F.col(key).isNotNull())
-    known = stage(known.filter(F.col("__fw_n") > limit).select(*keys), "hot-keys")
-    return None if known.isEmpty() else known
+    known = known.filter(F.col("__fw_n") > limit).select(*keys).persist()
+    try:
+        return None if known.isEmpty() else stage(known, "hot-keys")
+    finally:
+        known.unpersist()
 
 
 def attach(
