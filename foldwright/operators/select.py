@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwright.functions.scalars import bin_number
+from foldwright.operators.learners import Learner
 from foldwright.plans.quantiles import table_quantiles
 from foldwright.session import stage
 
@@ -57,15 +58,20 @@ def _binned(df: DataFrame, features: Sequence[str], label: str, n_bins: int) ->
 def mutual_information(
     df: DataFrame, features: Sequence[str], label: str, n_bins: int = 10
 ) -> DataFrame:
-    """``(feature, score)`` in nats, from quantile bins."""
+    """``(feature, score)`` in nats, from quantile bins.
+
+    Totals by class come from one group for each feature and class, which holds
+    a count for each bin, so a label of many values stays in bounded tasks.
+    Totals by bin are a few rows for each feature.
+    """
     counts = _binned(df, features, label, n_bins)
-    f = Window.partitionBy("feature")
-    n = F.col("n").cast("double")
-    total = F.sum("n").over(f)
-    by_bin = F.sum("n").over(Window.partitionBy("feature", "bin"))
-    by_class = F.sum("n").over(Window.partitionBy("feature", "class"))
-    terms = counts.select("feature", (n / total * F.ln(n * total / (by_bin * by_class))).alias("t"))
-    return terms.groupBy("feature").agg(F.sum("t").alias("score"))
+    bins = counts.groupBy("feature", "bin").agg(F.sum("n").cast("double").alias("by_bin"))
+    bins = bins.withColumn("total", F.sum("by_bin").over(Window.partitionBy("feature")))
+    classes = counts.groupBy("feature", "class").agg(F.sum("n").cast("double").alias("by_class"), F.collect_list(F.struct("bin", "n")).alias("cells"))
+    cells = classes.select("feature", "by_class", F.inline("cells")).join(F.broadcast(bins), ["feature", "bin"])
+    n, total = F.col("n").cast("double"), F.col("total")
+    term = n / total * F.ln(n * total / (F.col("by_bin") * F.col("by_class")))
+    return cells.groupBy("feature").agg(F.sum(term).alias("score"))
 
 
 def chi_square(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
@@ -134,11 +140,48 @@ def eliminate(
     ``step`` below 1 is a share of the remaining features, so the number of
     forests grows with the logarithm of the width only.
     """
+    def forest(rows: DataFrame, left: list[str]) -> dict[str, float]:
+        return _forest(rows, left, label, n_trees, depth, seed)
+
+    return _eliminated(df.select(label, *features), features, n_keep, step, forest)
+
+
+def learner_importance(df: DataFrame, features: Sequence[str], learner: Callable[[tuple[str, ...]], Learner]) -> DataFrame:
+    """``(feature, score)`` from the importances of one fit; ``learner`` builds the learner for some features."""
+    lines = sorted(_importances(df, features, learner).items())
+    return df.sparkSession.createDataFrame(lines, "feature string, score double")
+
+
+def eliminate_by(
+    df: DataFrame,
+    features: Sequence[str],
+    learner: Callable[[tuple[str, ...]], Learner],
+    n_keep: int,
+    step: int | float = 1,
+) -> list[str]:
+    """``eliminate`` with any learner whose models have importances; ``df`` holds what the learner reads."""
+    return _eliminated(df, features, n_keep, step, lambda rows, left: _importances(rows, left, learner))
+
+
+def _importances(df: DataFrame, features: Sequence[str], learner: Callable[[tuple[str, ...]], Learner]) -> dict[str, float]:
+    found = getattr(learner(tuple(features)).fit(df), "importances", None)
+    if found is None:
+        raise ValueError("the learner's models have no importances")
+    return dict(zip(features, found))
+
+
+def _eliminated(
+    slim: DataFrame,
+    features: Sequence[str],
+    n_keep: int,
+    step: int | float,
+    importances: Callable[[DataFrame, list[str]], dict[str, float]],
+) -> list[str]:
     left = list(features)
-    slim = df.select(label, *left).persist()
+    slim = slim.persist()
     try:
         while len(left) > n_keep:
-            importance = _forest(slim, left, label, n_trees, depth, seed)
+            importance = importances(slim, left)
             drop = max(1, int(step * len(left))) if step < 1 else int(step)
             drop = min(drop, len(left) - n_keep)
             worst = set(sorted(left, key=lambda f: (importance[f], f))[:drop])
