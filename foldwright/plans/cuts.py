@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,8 @@ from foldwright.session import stage
 BUCKET_ROWS = 1_000_000
 _HASH, _CLASS = "__fw_h", "__fw_class"
 HASH_DIGITS = 32
+#: hex digits of the hash that one level adds
+CELL_DIGITS = 3
 
 Positions = Callable[[int], Sequence[int]]
 #: Positions within a class as an array, from the column that holds the class's rows.
@@ -36,35 +38,62 @@ def hash_cuts(df: DataFrame, seed: int, ids: Sequence[str], positions: ClassPosi
     """``(__fw_class, n, cuts)``: each class's rows and the hash at its ``positions(n)``, null past the end.
 
     One row for each class, any number of classes. Jobs read the id and class
-    columns only. Rows are counted by hash prefix, long enough that a prefix
-    holds no more rows than one task sorts with ease; rows of equal hash (ids
-    that repeat or are null) are counted and not sorted.
+    columns only. A level counts the rows of a cell by three more digits of the
+    hash, at most 4,096 cells for one class or cell, and only cells that hold a
+    wanted position go on, until a cell has no more distinct hashes than one task
+    sorts with ease. Rows of equal hash (ids that repeat or are null) are counted
+    and not sorted.
     """
     label = F.col(by) if by is not None else F.lit(None).cast("string")
     rows = df.select(seeded_hash(seed, *ids).alias(_HASH), label.alias(_CLASS))
-    sizes = rows.groupBy(_CLASS).agg(F.count(F.lit(1)).alias("n"))
-    sizes = stage(sizes.withColumn("wanted", positions(F.col("n"))), "class-sizes")
-    total = sizes.agg(F.sum("n")).first()[0] or 0
+    cells = rows.groupBy(F.col(_CLASS).alias("c"), F.substring(_HASH, 1, CELL_DIGITS).alias("p")).agg(F.count(F.lit(1)).alias("m"))
+    whole = Window.partitionBy("c")
+    cells = cells.withColumn("n", F.sum("m").over(whole)).withColumn("before", _before(whole, "p"))
+    cells = cells.withColumn("inside", _within(positions(F.col("n"))))
+    # the first cell of a class brings its size
+    cells = cells.filter((F.size("inside") > 0) | (F.col("before") == 0))
+    seen = Observation()
+    cells = _kept(cells.observe(seen, F.sum(F.when(F.col("before") == 0, F.col("n"))).alias("total"), F.max("m").alias("most")), by)
     # a sixteenth of the limit, as hashes are even only on average
-    digits = min(HASH_DIGITS, max(1, math.ceil(math.log(max(1, 16 * total / BUCKET_ROWS), 16))))
-    prefix = F.substring(_HASH, 1, digits).alias("p")
-    cells = rows.groupBy(_CLASS, prefix).agg(F.count(F.lit(1)).alias("m"))
-    before = Window.partitionBy(_CLASS).orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.withColumn("before", F.coalesce(F.sum("m").over(before), F.lit(0)))
-    held = cells.join(sizes.withColumnRenamed(_CLASS, "c"), F.col(_CLASS).eqNullSafe(F.col("c")))
-    inside = F.filter("wanted", lambda w: (w >= F.col("before")) & (w < F.col("before") + F.col("m")))
-    held = held.select("c", F.col("p").alias("q"), "before", inside.alias("inside")).filter(F.size("inside") > 0)
-    few = rows.withColumn("p", prefix).join(held, F.col(_CLASS).eqNullSafe(F.col("c")) & (F.col("p") == F.col("q")))
-    equal = few.groupBy("c", "q", "before", "inside", _HASH).agg(F.count(F.lit(1)).alias("m"))
-    through = Window.partitionBy("c", "q").orderBy(_HASH)
-    equal = equal.withColumn("through", F.col("before") + F.sum("m").over(through))
-    at = F.filter("inside", lambda w: (w >= F.col("through") - F.col("m")) & (w < F.col("through")))
-    picked = equal.select("c", _HASH, F.explode(at).alias("w")).groupBy("c").agg(
-        F.map_from_entries(F.collect_set(F.struct("w", _HASH))).alias("found")
+    needed = math.ceil(math.log(max(1, 16 * (seen.get["total"] or 0) / BUCKET_ROWS), 16))
+    held, digits, most = cells.filter(F.size("inside") > 0), CELL_DIGITS, seen.get["most"] or 0
+    while digits < min(needed, HASH_DIGITS) and most > BUCKET_ROWS:
+        seen = Observation()
+        finer = _finer(rows, held, digits, digits + CELL_DIGITS)
+        held = _kept(finer.observe(seen, F.max("m").alias("most")), by)
+        digits, most = digits + CELL_DIGITS, seen.get["most"] or 0
+    found = _finer(rows, held, digits, HASH_DIGITS).select("c", F.lit(None).cast("long").alias("n"), F.explode("inside").alias("w"), "p")
+    sizes = cells.filter("before = 0").select("c", "n", F.lit(None).cast("long").alias("w"), F.lit(None).cast("string").alias("p"))
+    known = found.union(sizes).groupBy(F.col("c").alias(_CLASS)).agg(
+        F.max("n").alias("n"), F.map_from_entries(F.collect_set(F.when(F.col("w").isNotNull(), F.struct("w", "p")))).alias("found")
     )
-    joined = sizes.join(picked, F.col(_CLASS).eqNullSafe(F.col("c")), "left")
-    cuts = F.transform("wanted", lambda w: F.try_element_at("found", w))
-    return stage(joined.select(_CLASS, "n", cuts.alias("cuts")), "class-cuts")
+    known = known.select(_CLASS, "n", F.transform(positions(F.col("n")), lambda w: F.try_element_at("found", w)).alias("cuts"))
+    # without classes there is one row, which is read once
+    return known if by is None else stage(known, "class-cuts")
+
+
+def _kept(cells: DataFrame, by: str | None) -> DataFrame:
+    """Cells that hold wanted positions, written; without classes they are as few as the positions and stay with the driver."""
+    return cells.sparkSession.createDataFrame(cells.toArrow(), cells.schema) if by is None else stage(cells, "cells")
+
+
+def _before(cells: WindowSpec, order: str) -> Column:
+    """Rows in the cells before, of one parent."""
+    return F.coalesce(F.sum("m").over(cells.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
+def _within(wanted: Column) -> Column:
+    """The wanted positions that fall into a cell."""
+    return F.filter(wanted, lambda w: (w >= F.col("before")) & (w < F.col("before") + F.col("m")))
+
+
+def _finer(rows: DataFrame, held: DataFrame, digits: int, more: int) -> DataFrame:
+    """The cells of ``more`` digits inside those of ``digits`` that hold a wanted position."""
+    parents = held.select("c", F.col("p").alias("q"), F.col("before").alias("start"), F.col("inside").alias("asked"))
+    inner = rows.join(parents, F.col(_CLASS).eqNullSafe(F.col("c")) & (F.substring(_HASH, 1, digits) == F.col("q")))
+    cells = inner.groupBy("c", "q", "start", "asked", F.substring(_HASH, 1, more).alias("p")).agg(F.count(F.lit(1)).alias("m"))
+    cells = cells.withColumn("before", F.col("start") + _before(Window.partitionBy("c", "q"), "p"))
+    return cells.select("c", "p", "m", "before", _within(F.col("asked")).alias("inside")).filter(F.size("inside") > 0)
 
 
 def with_block(df: DataFrame, cuts: DataFrame, seed: int, ids: Sequence[str], name: str, by: str | None = None) -> DataFrame:

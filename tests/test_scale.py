@@ -139,6 +139,19 @@ def test_hash_cuts_are_exact(skewed, monkeypatch, limit):
     assert [(r["n"], r["cuts"]) for r in found] == [(3000, [*(hashes[p] for p in wanted[:-1]), None])]
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 20])
+def test_hash_cuts_by_class(spark, monkeypatch, limit):
+    """Classes of very different sizes, null among them, at one level of cells and at several."""
+    monkeypatch.setattr(cut_module, "BUCKET_ROWS", limit)
+    df = spark.range(3000).selectExpr("id", "case when id % 3 > 0 then 'a' when id % 30 = 0 then null else concat('c', id % 7) end as y")
+    hashes: dict = {}
+    for label, hashed in df.select("y", seeded_hash(3, "id")).collect():
+        hashes.setdefault(label, []).append(hashed)
+    found = hash_cuts(df, 3, ["id"], splits._starts(4), "y").collect()
+    want = {y: (len(h), [sorted(h)[i] for i in splits.block_starts(len(h), 4)]) for y, h in hashes.items()}
+    assert {r[0]: (r["n"], r["cuts"]) for r in found} == want
+
+
 def test_positions_over_both_clock_changes(spark):
     zone = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
