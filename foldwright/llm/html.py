@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foldwright.plans.hot import attach
 from foldwright.session import stage
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/a-zA-Z][^>]*>", re.S)
@@ -59,10 +60,20 @@ FURNITURE = re.compile(
     rf"(?:^|[\s_-])(?:post|entry|article|page|site)?[_-]?(?:share|sharing|social)[_-](?:share|sharing)(?:$|[\s_-])",
     re.I,
 )
+#: what stands beside a furniture word in names that mean nothing else, such as ``ad-slot-2`` or ``comments-list``
+FILLER = re.compile(
+    r"(?:area|article|bar|block|body|bottom|box|btn|button|card|center|col|column|container|content|count|cta|desktop|fixed|floating|form|frame|global|group|holder|icon|inline|inner|input|"
+    r"item|label|left|link|list|main|message|mobile|outer|page|panel|placeholder|post|primary|rail|region|right|row|secondary|section|site|slot|sticky|story|strip|text|thread|title|toggle|"
+    r"top|unit|wrap|wrapper|zone)s?|boxes|stories|entries|entry|js|\d+(?:x\d+)?",
+    re.I,
+)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)")
 TAG = re.compile(r"[^.#]*")
+#: deeper elements share the path of the one at this depth
 DEPTH = 40
+#: pages of one host that one task reads with ease
+HOT_PAGES = 4_000
 #: what statistics may cut inside an article
 LOOSE = frozenset("div section p ul ol".split())
 #: an undeclared container of so many times the text of any declared article is the article; another declared one of a path
@@ -92,7 +103,8 @@ def _declared(tag: str, attributes: dict[str, str], inside: bool) -> bool:
     """Whether markup says that an element is not article text.
 
     Headers inside an article belong to it, and so do elements with names such as
-    ``related-work``; what such names hold is noise only if the style tree says so.
+    ``related-work`` or ``modal-verbs``: there a name must consist of furniture
+    words alone. What other names hold is noise only if the style tree says so.
     """
     if tag in NOISE_TAGS or (tag == "header" and not inside) or attributes.get("role", "").lower() in NOISE_ROLES:
         return True
@@ -101,9 +113,16 @@ def _declared(tag: str, attributes: dict[str, str], inside: bool) -> bool:
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or HIDDEN.search(attributes.get("style", "")):
         return True
     names = " ".join(attributes[k] for k in ("class", "id") if attributes.get(k))
-    if inside and names and not FURNITURE.search(names):
-        names = OPEN_NAMES.sub("", names)
-    return bool(names and NOISE_NAMES.search(names))
+    if not inside:
+        return bool(names and NOISE_NAMES.search(names))
+    return bool(FURNITURE.search(names)) or any(_furniture(name) for name in OPEN_NAMES.sub("", names).split())
+
+
+def _furniture(name: str) -> bool:
+    """Whether all words of a name are those of page furniture, so that ``ad-slot`` is noise and ``menu-design`` is not."""
+    words = [w for w in re.split("[_-]+", name) if w]
+    noise = [bool(NOISE_NAMES.search(w)) for w in words]
+    return any(noise) and all(n or FILLER.fullmatch(w) for n, w in zip(noise, words, strict=True))
 
 
 def walk(page: str):
@@ -346,5 +365,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], names=["id", "url", "text", "n_chars"])
 
     kind = pages.schema[id_col].dataType.simpleString()
-    named = rows.withColumn("host", host).join(noisy, "host", "left").select("id", "url", "html", "paths")
+    # pages without a site have nothing to find; those of large sites are dealt out
+    placed = rows.withColumn("host", F.nullif(host, F.lit("")))
+    named = attach(placed, noisy, ["host"], sizes=sites.select("host", F.col("pages").alias("__fw_n")), hot_rows=HOT_PAGES).select("id", "url", "html", "paths")
     return named.mapInArrow(run, f"id {kind}, url string, text string, n_chars long")

@@ -279,6 +279,28 @@ def test_nearest(spark):
     assert nearest.nearest(table.limit(0), "vec_id", "embedding", every=20, k=20).count() == 0
 
 
+def test_nearest_over_blocks(spark, monkeypatch):
+    """Many blocks and several indexes a block find what one index finds, up to the recall; batches may cut a block."""
+    monkeypatch.setattr(nearest, "BLOCK_ROWS", 150)
+    monkeypatch.setattr(nearest, "QUERY_ROWS", 10)
+    r = np.random.default_rng(8)
+    vectors = (r.standard_normal((12, 8))[r.integers(0, 12, 900)] + 0.3 * r.standard_normal((900, 8))).round(3)
+    table = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        found = nearest.nearest(table, "vec_id", "embedding", every=20, k=10).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert collections.Counter(x.query_id for x in found) == dict.fromkeys(range(0, 900, 20), 10)
+    hits = 0
+    for i in range(0, 900, 20):
+        score = vectors @ vectors[i]
+        score[i] = -np.inf
+        hits += len(set(np.lexsort((np.arange(900), -score))[:10]) & {x.id for x in found if x.query_id == i})
+    assert hits / len(found) >= 0.9
+
+
 def test_secrets(spark, docs, empty):
     key = "AKIA" + "Q" * 16
     cases = {
@@ -354,6 +376,27 @@ def test_html_where_only_the_tree_decides(spark):
     assert found[3] == wanted[3]
 
 
+def test_html_names_of_furniture_words_alone(spark):
+    """Inside an article a name cuts only if all its words are those of furniture."""
+    text = "Seven herons stood in the shallow water all morning."
+    keeps = ['class="menu-design"', 'class="modal-verbs"', 'class="promo-code-study"', 'id="comments-on-x"', 'class="ad-hoc"']
+    cuts = ['class="ad-slot-2"', 'class="comments"', 'id="comment-list"', 'class="cookie-banner"', 'class="lead newsletter-box"']
+    for name, want in [*((x, text) for x in keeps), *((x, "") for x in cuts)]:
+        assert html.extract(f"<main><div {name}><p>{text}</p></div></main>") == want, name
+        assert html.extract(f"<div {name}><p>{text}</p></div>") == ""
+
+
+def test_html_of_a_large_site(spark, monkeypatch):
+    """Pages of hosts beyond the limit are dealt out and read as before; an empty table gives an empty result."""
+    body = "<body><div class='x'>Read our other pages</div><article><p>Words of page {i}, read once.</p></article></body>"
+    rows = [(i, "https://a.example/x" if i % 3 else None, f"<html>{body.format(i=i)}</html>") for i in range(60)]
+    pages = spark.createDataFrame([*rows, rows[1]], "page_id long, url string, html string")
+    plain = sorted(map(str, html.main_text(pages).collect()))
+    monkeypatch.setattr(html, "HOT_PAGES", 5)
+    assert sorted(map(str, html.main_text(pages).collect())) == plain and len(plain) == 61
+    assert html.main_text(pages.limit(0)).count() == 0
+
+
 def test_html_names_inside_an_article(spark):
     """Loose words in names cut nothing from an article unless the whole site repeats the branch."""
     open_, cut = "<header class='entry-header'><h1>{}</h1></header><section id='related-work'><p>{}</p></section><div class='social-history'>{}</div><section id='search'><p>{}</p></section><p class='notice'>{}</p>", "<div class='share-bar'>no</div><div class='newsletter'>no</div><div class='social-share'>no</div>"
