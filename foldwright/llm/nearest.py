@@ -15,6 +15,8 @@ repeat an id are candidates of other ids only.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,7 +25,10 @@ from pyspark.sql import functions as F
 
 from foldwright.session import stage
 
-BLOCK_ROWS, QUERY_ROWS = 65_536, 512
+#: vectors of one index
+BLOCK_ROWS = 65_536
+#: queries that are worth an index of their own, and how many copies of one block's index there are at most
+QUERY_ROWS, COPIES = 512, 8
 
 
 class CollisionIndex:
@@ -76,17 +81,28 @@ class CollisionIndex:
         return rows, scores
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    flat = column.combine_chunks()
-    flat = flat.flatten() if not isinstance(flat, pa.ChunkedArray) else pa.concat_arrays(flat.chunks).flatten()
-    return flat.to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1)
+def _matrix(column: pa.ListArray) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1)
+
+
+def _stretches(batch: pa.RecordBatch, keys: list[str]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Consecutive rows of equal ``keys``."""
+    found = np.stack([batch[k].to_numpy(zero_copy_only=False).astype(np.int64) for k in keys])
+    limits = [0, *(np.flatnonzero((found[:, 1:] != found[:, :-1]).any(axis=0)) + 1), batch.num_rows]
+    for a, b in zip(limits[:-1], limits[1:], strict=True):
+        if b > a:
+            yield tuple(found[:, a].tolist()), batch.slice(a, b - a)
 
 
 def nearest(vectors: DataFrame, id_col: str, vector_col: str, every: int, k: int, lines: int = 96, growth: float = 1.12, need: float = 0.618, seed: int = 7) -> DataFrame:
     """``(query_id, rank, id, score)``: for ids divisible by ``every`` the ``k`` rows of largest inner product.
 
-    Vectors are dealt into blocks and queries into chunks; each pair of block
-    and chunk is one group of bounded size that returns its best ``k``.
+    Vectors are dealt into blocks of bounded size and every query is sent to
+    every block, which returns its best ``k``. A task reads a block's vectors,
+    builds one index and lets the queries pass by it, however many there are, so
+    what is shuffled grows with vectors plus queries times blocks. To use more
+    machines on few blocks, a block has up to ``COPIES`` indexes that share its
+    queries.
     """
     v = F.col("v")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).filter("id is not null and v is not null")
@@ -94,30 +110,40 @@ def nearest(vectors: DataFrame, id_col: str, vector_col: str, every: int, k: int
     rows = stage(rows.withColumn("d", F.size("v")), "vectors")
     wanted = rows.filter(F.col("id") % every == 0)
     total = rows.agg(F.count("*").alias("n"), F.max(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)).alias("most"), F.count_if(F.col("id") % every == 0).alias("q")).first()
-    n_blocks, n_chunks = -(-total["n"] // BLOCK_ROWS) or 1, -(-total["q"] // QUERY_ROWS) or 1
+    n_blocks, n_copies = -(-total["n"] // BLOCK_ROWS) or 1, min(COPIES, -(-total["q"] // QUERY_ROWS)) or 1
     largest = float(np.sqrt(total["most"] or 1.0))
     dealt = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    side = rows.select("id", "v", "d", dealt(n_blocks).alias("block"), each(n_chunks).alias("chunk"))
-    asked = wanted.select("id", "v", "d", each(n_blocks).alias("block"), dealt(n_chunks).alias("chunk"))
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[list[np.ndarray]] = [[], [], []]
-        if left.num_rows and right.num_rows:
-            ids, queries = left["id"].to_numpy(), right["id"].to_numpy()
-            order = np.argsort(ids, kind="stable")
-            ids = ids[order]
-            index = CollisionIndex(_matrix(left["v"])[order], largest, lines, seed)
-            for query, vector in zip(queries, _matrix(right["v"]), strict=True):
-                own = np.arange(*np.searchsorted(ids, [query, query + 1]))
-                found, scores = index.search(vector, own, k, growth, need)
-                best = np.lexsort((ids[found], -scores))[:k]
-                for to, values in zip(out, (np.full(len(best), query), ids[found[best]], scores[best]), strict=True):
-                    to.append(values)
-        kinds = (np.int64, np.int64, np.float64)
-        return pa.table({name: np.concatenate([np.zeros(0, kind), *x]) for name, kind, x in zip(("query_id", "id", "score"), kinds, out, strict=True)})
-
-    keys = ["d", "block", "chunk"]
-    found = side.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(run, "query_id long, id long, score double")
+    side = rows.select("id", "v", "d", dealt(n_blocks).alias("block"), each(n_copies).alias("copy"), F.lit(0).alias("asks"))
+    asked = wanted.select("id", "v", "d", each(n_blocks).alias("block"), dealt(n_copies).alias("copy"), F.lit(1).alias("asks"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, index, ids = None, [], None, np.zeros(0, np.int64)
+        for batch in batches:
+            out: list[list[np.ndarray]] = [[], [], []]
+            for (*group, asks), part in _stretches(batch, [*keys, "asks"]):
+                if group != now:
+                    now, held, index = group, [], None
+                if not asks:
+                    held.append((part["id"].to_numpy(), _matrix(part["v"])))
+                    continue
+                if index is None and held:
+                    ids, matrix = (np.concatenate(x) for x in zip(*held, strict=True))
+                    held, order = [], np.argsort(ids, kind="stable")
+                    ids, index = ids[order], CollisionIndex(matrix[order], largest, lines, seed)
+                if index is None:
+                    continue
+                for query, vector in zip(part["id"].to_numpy(), _matrix(part["v"]), strict=True):
+                    own = np.arange(*np.searchsorted(ids, [query, query + 1]))
+                    found, scores = index.search(vector, own, k, growth, need)
+                    best = np.lexsort((ids[found], -scores))[:k]
+                    for to, values in zip(out, (np.full(len(best), query), ids[found[best]], scores[best]), strict=True):
+                        to.append(values)
+            kinds = (np.int64, np.int64, np.float64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, kind), *x])) for kind, x in zip(kinds, out, strict=True)], names=["query_id", "id", "score"])
+
+    keys = ["d", "block", "copy"]
+    dealt_out = side.union(asked).repartition(n_blocks * n_copies, *keys).sortWithinPartitions(*keys, "asks")
+    found = dealt_out.mapInArrow(run, "query_id long, id long, score double")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "id", "score")
