@@ -18,16 +18,21 @@ ends of repeats. One copy of each such dictionary phrase is expanded into its
 suffixes, and the suffixes of all phrases of one trigger are put in order; a
 trigger with very many phrases has its suffixes counted row by row instead.
 
-Order. Suffixes are ordered by (trigger, distance to the trigger, fingerprint of
-the string): all suffixes that agree on their first ``length`` bytes are
-neighbours, which is what the order is used for. The lexicographic order among
-different strings is never needed and not computed.
+Order. A dictionary phrase is kept with the bytes that its strings reach beyond
+it, which is what the parse says about the phrases that follow: two places whose
+phrases agree but whose next phrases differ are two dictionary phrases. So one
+suffix array of the dictionary, sorted byte by byte to the depth of ``length``,
+holds the corpus order of all strings of a trigger, and no order of the whole
+parse is computed. Strings of different triggers are never equal, so arrays of
+different triggers need not be merged. A string repeats if a neighbour in its
+array shares all its bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +45,8 @@ from foldwright.session import stage
 
 #: up to so many rows are named to the readers of texts; more are joined by a shuffle of all texts
 NAMED_ROWS = 1_000_000
-#: phrases of one trigger that one task orders; more are counted suffix by suffix
-CONTEXTS = 4_096
+#: phrases of one trigger that one suffix array holds, some 50 MB of strings; more are counted suffix by suffix
+CONTEXTS = 1_024
 #: starts that one step looks at; longer texts are looked at in pieces that overlap by the string length
 STEP = 1 << 20
 #: bits of a place in a block or piece, which both stay under twice a step
@@ -127,46 +132,44 @@ def _with_text(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return docs.join(rows, ["r1", "r2"])
 
 
-def _suffixes(phrase_texts: DataFrame, length: int) -> DataFrame:
-    """``(key, r1, r2, start, once, gap, prints)``: the fingerprints of all strings of each listed phrase, in order."""
+def _dictionary(phrase_texts: DataFrame, length: int) -> DataFrame:
+    """``(key, r1, r2, start, once, phrase)``: the bytes of each listed phrase with those that its strings reach beyond it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, at = texts.utf8(batch.column(2))
             r1, r2 = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i, spans in enumerate(batch.column(3).to_pylist()):
-                text, prints = data[at[i] : at[i + 1]], []
-                for s in spans:
-                    place = np.arange(s["n"])
-                    prints.append(mix(texts.Rolling(text[s["start"] : s["start"] + s["n"] - 1 + length]).spans(place, place + length)).tobytes())
-                columns = [pa.array([s[k] for s in spans], t) for k, t in (("key", pa.int64()), ("start", pa.int64()), ("once", pa.bool_()), ("gap", pa.int32()))]
-                named = [pa.array([r1[i]] * len(spans), pa.int64()), pa.array([r2[i]] * len(spans), pa.int64())]
-                yield pa.RecordBatch.from_arrays([columns[0], *named, *columns[1:], pa.array(prints, pa.binary())], names=["key", "r1", "r2", "start", "once", "gap", "prints"])
+            rows = [(s["key"], r1[i], r2[i], s["start"], s["once"], data[at[i] + s["start"] : at[i] + s["start"] + s["n"] - 1 + length].tobytes()) for i, spans in enumerate(batch.column(3).to_pylist()) for s in spans]
+            kinds = (pa.int64(),) * 4 + (pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["key", "r1", "r2", "start", "once", "phrase"])
 
-    return phrase_texts.select("r1", "r2", "text", "spans").mapInArrow(run, "key long, r1 long, r2 long, start long, once boolean, gap int, prints binary")
+    return phrase_texts.select("r1", "r2", "text", "spans").mapInArrow(run, "key long, r1 long, r2 long, start long, once boolean, phrase binary")
+
+
+def suffix_array(phrases: list[bytes], depth: int) -> tuple[list[int], list[bool]]:
+    """The starts of all ``depth``-byte strings of the phrases in byte order, numbered through, and whether each equals the one before."""
+    strings = [p[i : i + depth] for p in phrases for i in range(len(p) - depth + 1)]
+    order = sorted(range(len(strings)), key=strings.__getitem__)
+    return order, [False, *(strings[a] == strings[b] for a, b in pairwise(order))]
 
 
-def _in_order(groups: DataFrame) -> DataFrame:
-    """``(r1, r2, start, n)``: repeated runs among the phrases of each trigger, whose suffixes are put in order."""
+def _in_order(groups: DataFrame, length: int) -> DataFrame:
+    """``(r1, r2, start, n)``: repeated runs among the phrases of each trigger, from their suffix array."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple[int, int, int, int]] = []
-            for group in batch.column(0).to_pylist():
-                prints = [np.frombuffer(x["prints"], U64) for x in group]
-                sizes = np.array([len(x) for x in prints])
-                ahead = np.concatenate([x["gap"] - np.arange(n) for x, n in zip(group, sizes, strict=True)])
-                every = np.concatenate(prints)
-                order = np.lexsort((every, ahead))
-                same = (every[order][1:] == every[order][:-1]) & (ahead[order][1:] == ahead[order][:-1])
-                met = np.zeros(len(every) + 2, bool)
-                met[order[1:] + 1] |= same
-                met[order[:-1] + 1] |= same
-                limits = np.concatenate(([0], np.cumsum(sizes)))
-                for x, a, b in zip(group, limits[:-1], limits[1:], strict=True):
+            for group in batch.column(0):
+                group = group.as_py()
+                order, same = (np.array(x) for x in suffix_array([x["phrase"] for x in group], length))
+                met = np.zeros(len(order), bool)
+                met[order[same]] = True
+                met[order[:-1][same[1:]]] = True
+                last = 0
+                for x in group:
+                    first, last = last, last + len(x["phrase"]) - length + 1
                     if x["once"]:
-                        flags = np.concatenate(([False], met[a + 1 : b + 1], [False])).astype(np.int8)
-                        edges = np.diff(flags)
+                        edges = np.diff(np.concatenate(([False], met[first:last], [False])).astype(np.int8))
                         for i, j in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1), strict=True):
                             out.append((x["r1"], x["r2"], x["start"] + int(i), int(j - i)))
             kinds = (pa.int64(),) * 4
@@ -175,6 +178,25 @@ def _in_order(groups: DataFrame) -> DataFrame:
     return groups.mapInArrow(run, "r1 long, r2 long, start long, n long")
 
 
+def _suffixes(phrase_texts: DataFrame, length: int) -> DataFrame:
+    """``(key, r1, r2, start, once, gap, prints)``: the fingerprints of all strings of each listed phrase, for triggers with many phrases."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, at = texts.utf8(batch.column(2))
+            r1, r2 = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for i, spans in enumerate(batch.column(3).to_pylist()):
+                text, prints = data[at[i] : at[i + 1]], []
+                for s in spans:
+                    place = np.arange(s["n"])
+                    prints.append(mix(texts.Rolling(text[s["start"] : s["start"] + s["n"] - 1 + length]).spans(place, place + length)).tobytes())
+                columns = [pa.array([s[k] for s in spans], t) for k, t in (("key", pa.int64()), ("start", pa.int64()), ("once", pa.bool_()), ("gap", pa.int32()))]
+                named = [pa.array([r1[i]] * len(spans), pa.int64()), pa.array([r2[i]] * len(spans), pa.int64())]
+                yield pa.RecordBatch.from_arrays([columns[0], *named, *columns[1:], pa.array(prints, pa.binary())], names=["key", "r1", "r2", "start", "once", "gap", "prints"])
+
+    return phrase_texts.select("r1", "r2", "text", "spans").mapInArrow(run, "key long, r1 long, r2 long, start long, once boolean, gap int, prints binary")
+
+
 def _exploded(suffixes: DataFrame) -> DataFrame:
     """As ``_in_order`` for triggers with too many phrases for one task: a row for each suffix, counted by fingerprint."""
 
@@ -213,9 +235,9 @@ def repeated_spans(docs: DataFrame, length: int, trigger: int) -> DataFrame:
     rows = stage(chosen.join(contexts.select("key", (F.col("contexts") > CONTEXTS).alias("hot")), "key"), "open")
     span = F.struct("start", "n", "gap", "key", "once")
     listed = stage(rows.filter("not hot").groupBy("r1", "r2").agg(F.collect_list(span).alias("spans")), "listed")
-    suffixes = _suffixes(_with_text(docs, listed), length)
-    phrase = F.struct("r1", "r2", "start", "once", "gap", "prints")
-    found = _in_order(suffixes.groupBy("key").agg(F.collect_list(phrase).alias("phrases")).select("phrases"))
+    dictionary = _dictionary(_with_text(docs, listed), length)
+    phrase = F.struct("r1", "r2", "start", "once", "phrase")
+    found = _in_order(dictionary.groupBy("key").agg(F.collect_list(phrase).alias("phrases")).select("phrases"), length)
     hot = stage(rows.filter("hot").groupBy("r1", "r2").agg(F.collect_list(span).alias("spans")), "listed")
     if not hot.isEmpty():
         found = found.union(_exploded(_suffixes(_with_text(docs, hot), length)))

@@ -169,6 +169,16 @@ def test_repeats_beyond_the_limits(docs, small, monkeypatch, name):
         assert found == _repeats([(r.doc_id, r.text) for r in table.collect()], 400)
 
 
+def test_suffix_array_is_in_byte_order():
+    r = np.random.default_rng(2)
+    phrases = [bytes(r.integers(97, 99, n).astype(np.uint8)) for n in (40, 12, 13, 60)]
+    order, same = repeats.suffix_array(phrases, 12)
+    strings = [p[i : i + 12] for p in phrases for i in range(len(p) - 11)]
+    assert sorted(order) == list(range(len(strings))) and [strings[i] for i in order] == sorted(strings)
+    assert same == [k > 0 and strings[order[k]] == strings[order[k - 1]] for k in range(len(order))]
+    assert repeats.suffix_array([], 12) == ([], [False])
+
+
 def test_repeats_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(repeats, "STEP", 5000)
     text = _prose(7, 4000)
