@@ -10,7 +10,7 @@ from foldwright.sources.tables import table
 from foldwright.streaming import encode as stream_encode
 from foldwright.streaming import monitor as stream_monitor
 from foldwright.streaming.previous import previous_stream
-from foldwright.streaming.runner import event_time, parquet_stream, run_available, run_batches
+from foldwright.streaming.runner import event_time, parquet_stream, run_available, run_batches, run_closed
 
 
 def _events(spark, d):
@@ -101,10 +101,10 @@ def r3_stream_target_encode(spark, d):
     "r4_previous_value",
     """SELECT user_id, event_id AS id, lag(value) OVER w AS previous,
        CAST(floor((epoch_us(ts) - epoch_us(lag(ts) OVER w)) / 86400000000) AS BIGINT) AS days_since
-       FROM events WHERE date_trunc('millisecond', ts) < """ + _MARK + " WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)",
+       FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
 )
 def r4_previous_value(spark, d):
-    return run_available(previous_stream(_events(spark, d), "user_id", "ts", "event_id", "value"), "r4")
+    return run_closed(_events(spark, d), "ts", lambda rows: previous_stream(rows, "user_id", "ts", "event_id", "value"), "r4")
 
 
 @query(

@@ -5,7 +5,8 @@ order within the watermark's delay. Each key keeps the rows that the watermark
 has not passed; what it passes is final, so it is put in order and emitted, and
 only the newest of it stays as the previous row of what follows. The result is
 the same however the input is split into files and batches; rows older than the
-watermark are late and are dropped, as by any windowed operator.
+watermark are late and are dropped, as by any windowed operator. Rows without
+a time come last, so they wait for the end of the stream (``runner.run_closed``).
 """
 
 from __future__ import annotations
@@ -18,6 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from foldwright.streaming.runner import END_US
+
+#: stands for no time: after all times, before the end of the stream
+_NEVER = END_US - 10**18
 _DAY_US = 86_400_000_000
 _DAY_MS = 86_400_000
 
@@ -40,7 +45,8 @@ def reorder(key_name: str, expire_ms: int) -> Callable[[tuple, Iterator[pd.DataF
         done = us // 1000 < mark
         if done.any():
             out = pd.DataFrame({"us": us[done], "id": ids[done], "value": values[done]}).sort_values(["us", "id"], kind="stable")
-            before = pd.Series([last_us, *out["us"].iloc[:-1]], dtype="Int64").set_axis(out.index)
+            now = out["us"].astype("Int64").mask(out["us"] == _NEVER)
+            before = pd.Series([last_us, *now.iloc[:-1]], dtype="Int64").set_axis(out.index)
             previous = pd.Series([np.nan if last_value is None else last_value, *out["value"].iloc[:-1]], dtype="float64").set_axis(out.index)
             last_us, last_value = int(out["us"].iloc[-1]), float(out["value"].iloc[-1])
             yield pd.DataFrame(
@@ -48,7 +54,7 @@ def reorder(key_name: str, expire_ms: int) -> Callable[[tuple, Iterator[pd.DataF
                     key_name: [key[0]] * len(out),
                     "id": out["id"],
                     "previous": previous.where(previous.notna(), None),
-                    "days_since": (out["us"].astype("Int64") - before) // _DAY_US,
+                    "days_since": (now - before) // _DAY_US,
                 }
             )
         us, ids, values = us[~done], ids[~done], values[~done]
@@ -69,11 +75,12 @@ def previous_stream(
     """``(key, id, previous, days_since)`` per event in the order of ``(time, id)``, once the watermark has passed it.
 
     A key without rows for ``expire_days`` is forgotten. Rows without a time
-    have no place in the order and are left out.
+    follow all others of their key, by id, without a gap.
     """
-    rows = stream.withWatermark(time, delay).filter(F.col(time).isNotNull()).select(
-        key, time, F.unix_micros(time).alias("us"), F.col(id_col).alias("id"), F.col(value).cast("double").alias("value")
-    )
+    # names the time, so the row that ends the stream is dropped behind the watermark and not before it
+    rows = stream.withWatermark(time, delay).filter(F.col(time).isNull() | (F.col(time) < F.timestamp_micros(F.lit(END_US))))
+    us = F.coalesce(F.unix_micros(time), F.lit(_NEVER))
+    rows = rows.select(key, time, us.alias("us"), F.col(id_col).alias("id"), F.col(value).cast("double").alias("value"))
     kind = dict(stream.dtypes)
     return rows.groupBy(key).applyInPandasWithState(
         reorder(key, expire_days * _DAY_MS),

@@ -28,6 +28,11 @@ def run_available(df: DataFrame, label: str, mode: str = "append") -> DataFrame:
     """Run to the end of the available input and return the result table."""
     spark = df.sparkSession
     path, checkpoint = scratch_path(spark, label), scratch_path(spark, f"{label}-checkpoint")
+    _to_the_end(df, path, checkpoint, mode)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _to_the_end(df: DataFrame, path: str, checkpoint: str, mode: str) -> None:
     query = (
         df.writeStream.format("parquet")
         .outputMode(mode)
@@ -37,6 +42,27 @@ def run_available(df: DataFrame, label: str, mode: str = "append") -> DataFrame:
         .start()
     )
     query.awaitTermination()
+
+
+#: the time of the row that ends a stream, in microseconds: later than any calendar's
+END_US = 6 * 10**18
+
+
+def run_closed(rows: DataFrame, time: str, transform: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+    """``transform`` of a stream that ends with its available input: no row waits for a watermark.
+
+    The input is read to its end first. Then one row at ``END_US`` comes through a
+    second source of the same query, and the watermark that follows it passes
+    everything still held. ``transform`` drops that row behind the watermark.
+    """
+    spark = rows.sparkSession
+    path, checkpoint, ends = (scratch_path(spark, label + x) for x in ("", "-checkpoint", "-end"))
+    end = spark.range(1).select(F.timestamp_micros(F.lit(END_US)).alias(time))
+    end.limit(0).write.parquet(ends)
+    df = transform(rows.unionByName(parquet_stream(spark, ends, end.schema), allowMissingColumns=True))
+    _to_the_end(df, path, checkpoint, "append")
+    end.write.mode("append").parquet(ends)
+    _to_the_end(df, path, checkpoint, "append")
     return spark.read.schema(df.schema).parquet(path)
 
 

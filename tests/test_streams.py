@@ -12,7 +12,7 @@ from foldwright.operators import encode
 from foldwright.streaming import encode as stream_encode
 from foldwright.streaming import monitor as stream_monitor
 from foldwright.streaming.previous import previous_stream
-from foldwright.streaming.runner import event_time, parquet_stream, run_available
+from foldwright.streaming.runner import event_time, parquet_stream, run_available, run_closed
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = "id long, user string, ts timestamp_ntz, value double"
@@ -94,6 +94,23 @@ def test_previous_value_does_not_depend_on_the_split(spark, tmp_path, n_files):
     assert got == want
 
 
+def test_a_closed_stream_emits_every_row(spark, tmp_path):
+    """Rows within the delay of the newest one come too, a key's only row, and rows without a time last."""
+    files = [
+        [(1, "a", at(0), 1.0), (2, "b", at(49.5), 2.0), (8, "a", None, 8.0), (3, None, at(50), 3.0)],
+        [(4, "a", at(49.9), 4.0), (5, "c", at(50), 5.0), (7, "a", None, 7.0), (6, "a", at(49.8), 6.0)],
+    ]
+    for lines in files:
+        spark.createDataFrame(lines, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path))
+    rows = stream(spark, str(tmp_path))
+    out = run_closed(rows, "ts", lambda r: previous_stream(r, "user", "ts", "id", "value"), "t-r4-closed")
+    got = {r["id"]: (r["user"], r["previous"], r["days_since"]) for r in out.collect()}
+    assert got == {
+        1: ("a", None, None), 6: ("a", 1.0, 2), 4: ("a", 6.0, 0), 7: ("a", 4.0, None), 8: ("a", 7.0, None),
+        2: ("b", None, None), 3: (None, None, None), 5: ("c", None, None),
+    }
+
+
 def test_stream_encoding_equals_batch(spark, folder):
     base = spark.read.schema(SCHEMA).parquet(folder).withColumn("y", (F.col("value") > 4).cast("int"))
     state = encode.fit_target(base.filter("user <> 'z'"), "user", "y")
