@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,16 +52,15 @@ def hash_cuts(df: DataFrame, seed: int, ids: Sequence[str], positions: ClassPosi
     cells = cells.withColumn("inside", _within(positions(F.col("n"))))
     # the first cell of a class brings its size
     cells = cells.filter((F.size("inside") > 0) | (F.col("before") == 0))
-    seen = Observation()
-    cells = _kept(cells.observe(seen, F.sum(F.when(F.col("before") == 0, F.col("n"))).alias("total"), F.max("m").alias("most")), by)
+    cells = _kept(cells, by)
+    # no Observation: it leaves a manager in the session that cannot be serialised, and summaries of Spark's models name the session
+    total, most = cells.agg(F.sum(F.when(F.col("before") == 0, F.col("n"))), F.max("m")).first()
     # a sixteenth of the limit, as hashes are even only on average
-    needed = math.ceil(math.log(max(1, 16 * (seen.get["total"] or 0) / BUCKET_ROWS), 16))
-    held, digits, most = cells.filter(F.size("inside") > 0), CELL_DIGITS, seen.get["most"] or 0
-    while digits < min(needed, HASH_DIGITS) and most > BUCKET_ROWS:
-        seen = Observation()
-        finer = _finer(rows, held, digits, digits + CELL_DIGITS)
-        held = _kept(finer.observe(seen, F.max("m").alias("most")), by)
-        digits, most = digits + CELL_DIGITS, seen.get["most"] or 0
+    needed = math.ceil(math.log(max(1, 16 * (total or 0) / BUCKET_ROWS), 16))
+    held, digits = cells.filter(F.size("inside") > 0), CELL_DIGITS
+    while digits < min(needed, HASH_DIGITS) and (most or 0) > BUCKET_ROWS:
+        held = _kept(_finer(rows, held, digits, digits + CELL_DIGITS), by)
+        digits, most = digits + CELL_DIGITS, held.agg(F.max("m")).first()[0]
     found = _finer(rows, held, digits, HASH_DIGITS).select("c", F.lit(None).cast("long").alias("n"), F.explode("inside").alias("w"), "p")
     sizes = cells.filter("before = 0").select("c", "n", F.lit(None).cast("long").alias("w"), F.lit(None).cast("string").alias("p"))
     known = found.union(sizes).groupBy(F.col("c").alias(_CLASS)).agg(

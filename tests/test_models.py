@@ -184,3 +184,11 @@ def test_weight_search_improves(data):
     weights, low = blend.sweep_weights(wide, "y", ["good", "bad"], "rmse", step=0.2, smallest_step=0.1)
     first = blend.score_weights(wide, "y", ["good", "bad"], [[0.5, 0.5]], "rmse")[0]
     assert low < first and weights["good"] > weights["bad"]
+
+
+def test_a_model_with_a_summary_scores_after_folds_were_cut(spark, data):
+    """Counting the cells of folds must leave nothing in the session that a model's summary cannot carry to tasks."""
+    rows = splits.stratified_kfold(splits.kfold(data.drop("fold"), "id", 3, seed=5).withColumnRenamed("fold", "first"), "id", "y", 3)
+    model = logistic().fit(rows)
+    assert model.fitted.hasSummary
+    assert len(model.score(rows, "p").select("id", "p").collect()) == 400
