@@ -22,15 +22,11 @@ from foldwright.llm.texts import GAMMA, U64, mix, salted
 from foldwright.session import stage
 
 ROWS, BANDS = 6, 32
-#: Buckets too large to compare are cut again: so many more signature places in a key, so many keys for each member.
-DEEPER = ((6, 3), (6, 2))
 #: members of a bucket that one task compares, or of one block of a larger bucket
 COLD = 64
 #: texts signed together: permutations take some two hundred times as many bytes meanwhile
 SIGNED_BYTES = 1 << 19
-_MEMBER = ("id", "label", "places", "n_shingles", "major")
-#: a bucket with more members outside its most frequent component is cut by longer keys
-MINORITY = 16_384
+_MEMBER = ("id", "label", "places", "n_shingles", "digests", "major")
 #: up to so many ids (8 bytes each) are named to the readers of texts, so that no text moves; more are joined by a shuffle
 NAMED_ROWS = 1_000_000
 #: rounds of comparing representatives, which only save comparisons of members
@@ -265,21 +261,27 @@ def _in_small(member: DataFrame, places: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for group in batch.column(0):
+            for key, group in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 own = _members(group.values)
-                yield from _pairs(own, own, percent)
+                yield from _pairs(own, own, percent, key)
 
     groups = member.join(places, "id").withColumn("major", F.lit(False)).groupBy("key").agg(F.collect_list(F.struct(*_MEMBER)).alias("members"))
-    return groups.select("members").mapInArrow(run, "a long, b long, x long, y long, agree long")
+    return groups.select("key", "members").mapInArrow(run, "a long, b long, x long, y long, agree long")
 
 
-def _pairs(left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...], percent: int) -> Iterator[pa.RecordBatch]:
-    """Likely pairs of two blocks; of two members that are in both only one order counts, but for majors, which are in one."""
+def _pairs(left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...], percent: int, key: int) -> Iterator[pa.RecordBatch]:
+    """Likely pairs of two blocks of a bucket; of two members that are in both only one order counts, but for majors, which are in one.
+
+    Members that share several buckets are a pair in that of their first common
+    band. Every such bucket holds both their labels, so all of them are compared.
+    """
     found = []
-    id2, label2, marks2, size2, major2 = right
-    for id1, label1, marks1, size1, _ in zip(*left, strict=True):
+    id2, label2, marks2, size2, digests2, major2 = right
+    own = (key & 0xFFFFFFFF) - (1 << 31)
+    for id1, label1, marks1, size1, digests1, _ in zip(*left, strict=True):
         agree = (marks2 == marks1).sum(axis=1)
         j = np.flatnonzero(_enough(agree, size1, size2, marks2.shape[1], percent) & (label2 != label1) & (major2 | (id1 < id2)))
+        j = j[digests1[(digests2[j] == digests1).argmax(axis=1)] == own]
         if len(j):
             first, ones = label1 < label2[j], np.ones(len(j), np.int64)
             a, b, x, y = id1 * ones, id2[j], label1 * ones, label2[j]
@@ -289,31 +291,6 @@ def _pairs(left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...], percent:
         yield pa.RecordBatch.from_arrays([pa.array(rows[:, k]) for k in range(5)], names=["a", "b", "x", "y", "agree"])
 
 
-def _deeper(rows: DataFrame, count: int, keys: int) -> DataFrame:
-    """``(key, id, label)``: ``keys`` new keys for each ``(key, id, label, places)``.
-
-    A new key adds ``count`` places of the signature to the bucket's key; the
-    key itself says which, so all members of a bucket look at the same ones.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            bucket = batch.column(0).to_numpy().view(U64)
-            marks = np.array([np.frombuffer(x, np.uint8) for x in batch.column(3).to_pylist()]).astype(U64)
-            every = np.arange(len(marks))
-            for t in range(keys):
-                cut = mix(bucket + salted(t + 1))
-                key = cut.copy()
-                for j in range(count):
-                    place = (mix(cut + salted(j + 1)) % U64(marks.shape[1])).astype(np.int64)
-                    key = key * texts.MULTIPLIER + marks[every, place] + U64(1)
-                yield pa.RecordBatch.from_arrays([pa.array(mix(key).view(np.int64)), batch.column(1), batch.column(2)], names=["key", "id", "label"])
-
-    return stage(rows.select("key", "id", "label", "places").mapInArrow(run, "key long, id long, label long"), "deeper")
-
-
 def _in_blocks(member: DataFrame, places: DataFrame, percent: int) -> DataFrame:
     """``(a, b, x, y, agree)``: likely pairs of large buckets between the labels ``x < y``, and their agreeing places.
 
@@ -325,7 +302,7 @@ def _in_blocks(member: DataFrame, places: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                yield from _pairs(*(_members(batch.column(c)[r].values) for c in (0, 1)), percent)
+                yield from _pairs(*(_members(batch.column(c)[r].values) for c in (1, 2)), percent, batch.column(0)[r].as_py())
 
     counts = member.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key")
     counts = counts.agg(F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("top"))
@@ -338,33 +315,25 @@ def _in_blocks(member: DataFrame, places: DataFrame, percent: int) -> DataFrame:
         return side.select("key", f"{mine}_block", f"{mine}_members", F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1)).alias(f"{other}_block"))
 
     pairs = blocks(rows.filter("not major"), "left", "right").join(blocks(rows, "right", "left"), ["key", "left_block", "right_block"])
-    return pairs.select("left_members", "right_members").mapInArrow(run, "a long, b long, x long, y long, agree long")
+    return pairs.select("key", "left_members", "right_members").mapInArrow(run, "a long, b long, x long, y long, agree long")
 
 
 def _members(rows: pa.StructArray) -> tuple[np.ndarray, ...]:
-    """Ids, labels, places, set sizes and the mark of the most frequent label of a block."""
+    """Ids, labels, places, set sizes, digests of the band keys and the mark of the most frequent label of a block."""
     marks = np.array([np.frombuffer(x, np.uint8) for x in rows.field("places").to_pylist()])
-    return rows.field("id").to_numpy(), rows.field("label").to_numpy(), marks, rows.field("n_shingles").to_numpy(), rows.field("major").to_numpy(zero_copy_only=False)
+    digests = rows.field("digests").flatten().to_numpy().reshape(-1, BANDS)
+    return rows.field("id").to_numpy(), rows.field("label").to_numpy(), marks, rows.field("n_shingles").to_numpy(), digests, rows.field("major").to_numpy(zero_copy_only=False)
 
 
-def _likely(member: DataFrame, places: DataFrame, percent: int, level: int = 0) -> list[DataFrame]:
+def _likely(member: DataFrame, places: DataFrame, percent: int) -> DataFrame:
     """Likely pairs ``(a, b, x, y, agree)`` of all buckets of ``member(key, id, label)`` between different labels.
 
     Small buckets are compared in one task each, larger ones block against
-    block. Where even a bucket's minority is very large, its members get longer
-    keys first, and the smaller buckets of these are looked at.
+    block; both look at every two members of different labels, whatever the size.
     """
     sizes = member.groupBy("key", "label").agg(F.count("*").alias("m")).groupBy("key").agg(F.sum("m").alias("all"), (F.sum("m") - F.max("m")).alias("minor"))
-    sizes = sizes.filter("minor > 0").select("key", "all", ((F.col("minor") > MINORITY) & F.lit(level < len(DEEPER))).alias("crowded"))
-    rows = stage(member.select("key", "id", "label").join(sizes, "key"), "mixed")
-    found = [_in_small(rows.filter((F.col("all") <= COLD) & ~F.col("crowded")), places, percent)]
-    large = rows.filter(F.col("all") > COLD)
-    crowd = rows.filter("crowded")
-    found.append(_in_blocks(large.filter("not crowded"), places, percent))
-    if not crowd.isEmpty():
-        keyed = _deeper(crowd.join(places, "id"), *DEEPER[level])
-        found += _likely(keyed, places, percent, level + 1)
-    return found
+    rows = stage(member.select("key", "id", "label").join(sizes.filter("minor > 0").select("key", "all"), "key"), "mixed")
+    return _in_small(rows.filter(F.col("all") <= COLD), places, percent).union(_in_blocks(rows.filter(F.col("all") > COLD), places, percent))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, width: int = 5) -> DataFrame:
@@ -392,7 +361,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = _named(stage(member.select("id").distinct(), "wanted"))
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sets = stage(shingle_sets(source.join(wanted, "id", "left_semi"), width), "sets")
-    marks = stage(rows.select("id", "places", "n_shingles").join(wanted, "id", "left_semi"), "places")
+    # 32 bits tell one pair's common bands apart: one in 10^8 pairs at most is taken for common in a band before its first
+    digests = F.transform("keys", lambda k: (k.bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("int"))
+    marks = stage(rows.select("id", "places", "n_shingles", digests.alias("digests")).join(wanted, "id", "left_semi"), "places")
     stars = member.filter("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
     links = stage(verified(stars, sets, percent), "links")
     labels = components(links)
@@ -406,11 +377,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
         labels = _renamed(labels, names)
         member = stage(_relabelled(member, names), "labelled")
-    likely = _likely(member, marks, percent)
-    every = likely[0]
-    for more in likely[1:]:
-        every = every.union(more)
-    every = stage(every.distinct(), "likely")
+    # rows that repeat an id bring a pair for each of their texts
+    every = stage(_likely(member, marks, percent).distinct(), "likely")
     best = stage(_best(every), "best")
     names = _joined_labels(best, sets, percent)
     every = every.join(best.select("a", "b"), ["a", "b"], "left_anti")

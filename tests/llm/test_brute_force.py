@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 import struct
@@ -122,6 +123,35 @@ def test_near_duplicates_with_an_outsider_of_a_tight_group(spark, monkeypatch):
     assert set(found.values()) == {0}
 
 
+@pytest.mark.parametrize("cold", [4, 64])
+def test_likely_pairs_are_all_pairs_of_shared_buckets_once(spark, monkeypatch, cold):
+    """Members of labels of their own, of two labels and of many; a bucket's size decides nothing but the blocks."""
+    monkeypatch.setattr(near, "COLD", cold)
+    monkeypatch.setattr(near, "MINORITY", 2, raising=False)
+    base, r, rows = _prose(5, 150).split(), random.Random(8), []
+    for i in range(60):
+        words = list(base)
+        for _ in range(r.randint(1, 6)):
+            words[r.randrange(len(words))] = f"w{r.random()}"
+        rows.append((i, " ".join(words)))
+    signed = near.signatures(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").cache()
+    digests = F.transform("keys", lambda k: (k.bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("int"))
+    marks = signed.select("id", "places", "n_shingles", digests.alias("digests"))
+    known = {x.id: x for x in signed.collect()}
+    for labels in (60, 2, 9):
+        label = (F.col("id") % labels).alias("label")
+        found = near._likely(signed.select(F.explode("keys").alias("key"), "id", label), marks, 85)
+        got = sorted((x.a, x.b) for x in found.collect())
+        wanted = []
+        for a, b in itertools.combinations(sorted(known), 2):
+            one, two = (np.frombuffer(known[i].places, np.uint8) for i in (a, b))
+            sizes = (np.array([known[i].n_shingles]) for i in (a, b))
+            if a % labels != b % labels and set(known[a]["keys"]) & set(known[b]["keys"]) and near._enough((one == two).sum(keepdims=True), *sizes, 192, 85)[0]:
+                wanted.append((a, b))
+        assert len(wanted) > 100
+        assert got == wanted
+
+
 def test_super_min_hash_estimates_and_is_a_permutation():
     r = np.random.default_rng(1)
     shared, a, b = r.integers(1, 1 << 60, 300), r.integers(1, 1 << 60, 50), r.integers(1, 1 << 60, 50)
