@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 from typing import Any, Protocol
 
 from pyspark.ml import Estimator
@@ -21,7 +22,7 @@ from pyspark.sql import types as T
 
 from foldwright.functions.vectors import argmax_label, one_hot, row_mean
 from foldwright.plans.hot import attach
-from foldwright.session import cut
+from foldwright.session import cut, scratch_path
 
 _X, _Y, _W, _VALID = "__fw_x", "__fw_y", "__fw_w", "__fw_valid"
 
@@ -93,8 +94,21 @@ class SparkModel:
             return [abs(float(v)) for v in self.fitted.coefficients.toArray()]
         return None
 
+    @cached_property
+    def scorer(self) -> Any:
+        """The fitted model, read back without its training summary.
+
+        A summary names the session, and whatever the session holds (any
+        observation, the caller's as well) would have to go to the tasks.
+        """
+        if not getattr(self.fitted, "hasSummary", False):
+            return self.fitted
+        path = scratch_path(self.fitted.summary.predictions.sparkSession, "model")
+        self.fitted.write().save(path)
+        return type(self.fitted).load(path)
+
     def _raw(self, df: DataFrame, column: str) -> DataFrame:
-        model = self.fitted.copy()
+        model = self.scorer.copy()
         for out in ("predictionCol", "probabilityCol", "rawPredictionCol"):
             if model.hasParam(out):
                 model.set(model.getParam(out), f"__fw_{out}" if out == column else "")

@@ -6,7 +6,9 @@ import random
 
 import pytest
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from foldwright.operators import blend, curriculum, distill, metrics, oof, pseudo, splits
@@ -192,3 +194,14 @@ def test_a_model_with_a_summary_scores_after_folds_were_cut(spark, data):
     model = logistic().fit(rows)
     assert model.fitted.hasSummary
     assert len(model.score(rows, "p").select("id", "p").collect()) == 400
+
+
+def test_a_model_scores_in_a_session_with_an_observation(spark, data):
+    """What a caller observes stays in the session; models must not take it to tasks."""
+    seen = Observation()
+    data.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    run = oof.OutOfFold(logistic(), "y", n_folds=3, early_stopping=False)
+    assert run.fit_predict(data, "id").filter("oof is not null").count() == seen.get["n"] == 400
+    scored = run.predict(data)
+    assert scored.count() == 400 and all(m.fitted.hasSummary and not m.scorer.hasSummary for m in run.models)
+    assert all(m.scorer.coefficients == m.fitted.coefficients and m.scorer.intercept == m.fitted.intercept for m in run.models)
