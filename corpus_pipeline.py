@@ -41,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 2048 tokens; workers that served other stages keep fewer encoded words."""
-    return pack.pack(docs, TOKENIZER, capacity=2048, end_id=1, kept=(50_000, 250_000)).withColumnRenamed("id", "doc_id")
+    return pack.pack(docs, TOKENIZER, capacity=2048, end_id=1, kept=(50_000, 120_000)).withColumnRenamed("id", "doc_id")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foldwright.llm import texts
-from foldwright.session import stage
+from foldwright.session import small_batches, stage
 
 #: kept by a Python worker: runs as they stand, and the parts that cost an encoding
 KEPT_RUNS, KEPT_PARTS = 100_000, 600_000
@@ -166,7 +166,8 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     so no length's pieces have to meet in one task. ``kept`` bounds the encoded
     runs and parts that a worker keeps; it decides speed and memory only.
     """
-    pieces = stage(token_pieces(docs, id_col, text_col, tokenizer, capacity, end_id, kept), "pieces")
+    with small_batches(docs.sparkSession):
+        pieces = stage(token_pieces(docs, id_col, text_col, tokenizer, capacity, end_id, kept), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots: dict[int, list[tuple[int, int, int, int]]] = {}
     used, sequence = dict.fromkeys(counts, 0), 0

@@ -479,6 +479,26 @@ def test_pack(docs, empty, small):
     assert sum(r.length for r in pack.pack(docs, TOKENIZER).collect()) == sum(len(tokenizer.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in docs.collect())
 
 
+def test_pack_reads_texts_in_small_batches(spark, monkeypatch):
+    """A batch of ten thousand texts fills an executor and its workers; pieces here have their batch's rows as length."""
+    import pyarrow as pa
+
+    def sizes(docs, *_):
+        def run(batches):
+            for batch in batches:
+                n = batch.num_rows
+                yield pa.RecordBatch.from_pydict({"id": [0], "start": [0], "length": [n], "ids_crc32": [0], "doc_tokens": [n]}, pa.schema([(c, pa.int64()) for c in ("id", "start", "length", "ids_crc32", "doc_tokens")]))
+
+        return docs.mapInArrow(run, "id long, start long, length long, ids_crc32 long, doc_tokens long")
+
+    monkeypatch.setattr(pack, "token_pieces", sizes)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.range(0, 2500, 1, 1).select(F.col("id").alias("doc_id"), F.lit("a").alias("text"))
+    assert sorted(r["length"] for r in pack.pack(docs, TOKENIZER, capacity=4096).collect()) == [500, 1000, 1000]
+    assert spark.conf.get(name) == before
+
+
 def test_fill_is_the_best_filling():
     r = random.Random(4)
     for _ in range(200):
