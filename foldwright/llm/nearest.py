@@ -29,6 +29,10 @@ from foldwright.session import stage
 BLOCK_ROWS = 65_536
 #: queries that are worth an index of their own, and how many copies of one block's index there are at most
 QUERY_ROWS, COPIES = 512, 8
+#: a step that adds over a part of all places in so many counts by ranks instead of places; both count the same
+SPARSE = 16
+#: partitions for each index, as hashes of few indexes meet in a partition otherwise
+SPREAD = 4
 
 
 class CollisionIndex:
@@ -43,6 +47,21 @@ class CollisionIndex:
         projected = (vectors @ self.lines[:, :d].T + np.outer(rest, self.lines[:, d])).T
         self.order = np.argsort(projected, axis=1)
         self.values = np.take_along_axis(projected, self.order, axis=1)
+        kind = np.uint16 if n < 1 << 16 else np.uint32
+        self.ranks = np.empty((lines, n), kind)
+        np.put_along_axis(self.ranks, self.order, np.arange(n, dtype=kind)[None, :], axis=1)
+
+    def collisions(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """In how many windows ``low:high`` of the lines each row lies."""
+        lines, n = self.ranks.shape
+        counts = np.zeros(n, np.uint8 if lines < 256 else np.uint16)
+        past, inside = np.empty(n, self.ranks.dtype), np.empty(n, bool)
+        for ranks, first, width in zip(self.ranks, low.astype(past.dtype), (high - low).astype(past.dtype), strict=True):
+            # below the window the difference wraps round and is larger than any width
+            np.subtract(ranks, first, out=past)
+            np.less(past, width, out=inside)
+            counts += inside.view(np.uint8)
+        return counts
 
     def search(self, query: np.ndarray, own: np.ndarray, k: int, growth: float, need: float) -> tuple[np.ndarray, np.ndarray]:
         """Row numbers and inner products of about the ``k`` nearest rows, ``own`` rows left out."""
@@ -51,26 +70,31 @@ class CollisionIndex:
         at = self.lines[:, :-1] @ (query * (self.largest / length))
         low = np.array([np.searchsorted(v, x) for v, x in zip(self.values, at, strict=True)])
         high = low.copy()
-        counts = np.zeros(n, np.int64)
+        enough = int(np.ceil(need * lines))
+        counts = np.zeros(n, np.uint16)
         open_ = np.ones(n, bool)
         open_[own] = False
         room = int(open_.sum())
         rows, scores = np.zeros(0, np.int64), np.zeros(0)
         radius = 0.6 * np.sqrt(2) * self.largest
         while room:
-            pieces = []
+            pieces, fresh = [], 0
             for j in range(lines):
                 a = np.searchsorted(self.values[j, : low[j]], at[j] - radius, side="left")
                 b = high[j] + np.searchsorted(self.values[j, high[j] :], at[j] + radius, side="right")
                 pieces += [self.order[j, a : low[j]], self.order[j, high[j] : b]]
+                fresh += low[j] - a + b - high[j]
                 low[j], high[j] = a, b
-            counts += np.bincount(np.concatenate(pieces), minlength=n)
+            if fresh * SPARSE < lines * n:
+                counts = counts + np.bincount(np.concatenate(pieces), minlength=n)
+            else:
+                counts = self.collisions(low, high)
             # two lengths apart is the most there is; then everything left is looked at
             done = radius > 2 * self.largest
-            found = np.flatnonzero(open_ if done else open_ & (counts >= need * lines))
+            found = np.flatnonzero(open_ if done else open_ & (counts >= enough))
             open_[found] = False
             rows = np.concatenate((rows, found))
-            scores = np.concatenate((scores, self.vectors[found] @ query))
+            scores = np.concatenate((scores, self.vectors.take(found, axis=0) @ query))
             if done:
                 break
             if len(scores) >= k:
@@ -136,6 +160,10 @@ def nearest(vectors: DataFrame, id_col: str, vector_col: str, every: int, k: int
                 for query, vector in zip(part["id"].to_numpy(), _matrix(part["v"]), strict=True):
                     own = np.arange(*np.searchsorted(ids, [query, query + 1]))
                     found, scores = index.search(vector, own, k, growth, need)
+                    if len(scores) > k:
+                        # all that tie with the k-th best stay for the order by id
+                        near = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+                        found, scores = found[near], scores[near]
                     best = np.lexsort((ids[found], -scores))[:k]
                     for to, values in zip(out, (np.full(len(best), query), ids[found[best]], scores[best]), strict=True):
                         to.append(values)
@@ -143,7 +171,7 @@ def nearest(vectors: DataFrame, id_col: str, vector_col: str, every: int, k: int
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, kind), *x])) for kind, x in zip(kinds, out, strict=True)], names=["query_id", "id", "score"])
 
     keys = ["d", "block", "copy"]
-    dealt_out = side.union(asked).repartition(n_blocks * n_copies, *keys).sortWithinPartitions(*keys, "asks")
+    dealt_out = side.union(asked).repartition(SPREAD * n_blocks * n_copies, *keys).sortWithinPartitions(*keys, "asks")
     found = dealt_out.mapInArrow(run, "query_id long, id long, score double")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "id", "score")

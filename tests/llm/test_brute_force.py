@@ -319,6 +319,25 @@ def test_nearest(spark):
     assert nearest.nearest(table.limit(0), "vec_id", "embedding", every=20, k=20).count() == 0
 
 
+@pytest.mark.parametrize("rows", [700, 66_000])
+def test_collisions_by_ranks_and_by_places_are_the_same(rows, monkeypatch):
+    """Counting by ranks, by places or by either of them gives the same rows, also beyond two bytes of rank."""
+    r = np.random.default_rng(6)
+    vectors = r.standard_normal((rows, 8))
+    index = nearest.CollisionIndex(vectors, float(np.sqrt((vectors**2).sum(axis=1).max())), 12, 7)
+    low, high = r.integers(0, rows // 2, 12), r.integers(rows // 2, rows + 1, 12)
+    low[0], high[0], low[1], high[1] = 0, rows, 5, 5
+    want = np.bincount(np.concatenate([index.order[j, low[j] : high[j]] for j in range(12)]), minlength=rows)
+    assert (index.collisions(low, high) == want).all()
+    for query in (0, 1, 2):
+        found = []
+        for sparse in (0, 16, float("inf")):
+            monkeypatch.setattr(nearest, "SPARSE", sparse)
+            found.append(index.search(vectors[query], np.array([query]), 5, 1.12, 0.618))
+        for rows_found, scores in found[1:]:
+            assert (rows_found == found[0][0]).all() and (scores == found[0][1]).all()
+
+
 def test_nearest_over_blocks(spark, monkeypatch):
     """Many blocks and several indexes a block find what one index finds, up to the recall; batches may cut a block."""
     monkeypatch.setattr(nearest, "BLOCK_ROWS", 150)
