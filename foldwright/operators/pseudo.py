@@ -142,7 +142,7 @@ class Round:
 
 
 def _valid_score(model: Model, valid: DataFrame, label: str, metric: str | Callable) -> float:
-    return metrics.score(model.score(valid, "__fw_s"), label, "__fw_s", metric).first()["score"]
+    return metrics.score(model.score(valid, "__fw_valid_score"), label, "__fw_valid_score", metric).first()["score"]
 
 
 def _slim(df: DataFrame, train: DataFrame) -> DataFrame:

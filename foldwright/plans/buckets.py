@@ -30,10 +30,11 @@ MAX_BUCKETS = 4_096
 #: Bucket limits of a larger table are estimated from about this many of its rows.
 LIMIT_ROWS = 5_000_000
 EXACT_DOUBLE = 2.0**53
-BUCKET = "__fw_b"
-SUB = "__fw_s"
-_ORDER = "__fw_o"
-_TIE = "__fw_t"
+# whatever is ordered may be a score of another operator, so these names are used here only
+BUCKET = "__fw_bucket"
+SUB = "__fw_sub_bucket"
+_ORDER = "__fw_bucket_order"
+_TIE = "__fw_bucket_tie"
 
 
 def as_double(df: DataFrame, name: str) -> Column:
