@@ -29,6 +29,10 @@ BUCKET_ROWS = 10_000
 CONTROLS = re.compile("[\x1c-\x1f]")
 #: Latin letters whose lower case does not depend on their neighbours, and ASCII marks but the apostrophe
 LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: parts of runs: letters that only marks follow, the marks at the end of a run, or the whole run
+PARTS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[!-&(-/:-@\[-`{-~]*+(?!\S))|[!-&(-/:-@\[-`{-~]++(?!\S)|\S+")
+#: what lower case may change otherwise than the tokenizer does: letters beyond Latin-1, and special tokens
+WIDE = re.compile("[^\x00-\xff]|<\\|")
 
 
 class Pieces(dict):
@@ -61,6 +65,10 @@ class WordEncoder:
         tokenizer = Tokenizer.from_file(path)
         self.parts = Pieces(lambda run: array("I", tokenizer.encode(run, add_special_tokens=False).ids).tobytes())
         self.runs = Pieces(self._run)
+        self.tokenizer = tokenizer
+        vocabulary = tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _run(self, run: str) -> bytes:
         plain = LETTERS.fullmatch(run)
@@ -69,12 +77,27 @@ class WordEncoder:
         marks = plain[2]
         return self.parts[plain[1].lower()] + (self.parts[marks] if marks else b"")
 
+    def _learn(self, words: list[str]) -> None:
+        """Encode words of letters as one text; the tokens that end a word tell them apart."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        # else one by one, on first use
+        if len(stops) == len(words) and stops[-1] == 4 * len(ids):
+            whole = ids.tobytes()
+            self.parts.update(zip(words, map(whole.__getitem__, map(slice, [0, *stops], stops))))
+
     def encode(self, text: str) -> bytes:
         for kept, most in zip((self.runs, self.parts), self.most, strict=True):
             if len(kept) > most:
                 kept.clear()
-        runs = re.split("[ \t-\r]+", text.strip(" \t\n\v\f\r")) if CONTROLS.search(text) else text.split()
-        return b"".join(map(self.runs.__getitem__, runs))
+        if CONTROLS.search(text):
+            return b"".join(map(self.runs.__getitem__, re.split("[ \t-\r]+", text.strip(" \t\n\v\f\r"))))
+        # cutting the whole text at once spares a search for each new run
+        found = PARTS.findall(text if WIDE.search(text) else text.lower())
+        new = [part for part in set(found) if part not in self.parts and part.isalpha()]
+        if len(new) > 1:
+            self._learn(new)
+        return b"".join(map(self.parts.__getitem__, found))
 
 
 @lru_cache(maxsize=1)
