@@ -37,11 +37,20 @@ class Learner(Protocol):
     def fit(self, df: DataFrame, valid: Column | None = None) -> Model: ...
 
 
+def _present(name: str) -> Column:
+    """The column as double, null unless it is a finite number."""
+    value = F.col(name).cast("double")
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
 @dataclass(frozen=True)
 class SparkLearner:
     """Any ``pyspark.ml`` classifier or regressor on named columns or one array column.
 
-    ``labels`` lists the class values in order; None means regression.
+    ``labels`` lists the class values in order; None means regression. A missing
+    feature (null, NaN or infinite) counts as the mean of its column over the rows
+    of the fit, 0 if none has a value: estimators refuse it, and a model would
+    score NaN, which compares as greater than any threshold.
     """
 
     estimator: Estimator
@@ -50,10 +59,21 @@ class SparkLearner:
     labels: tuple | None = (0, 1)
     weight: str | None = None
 
-    def vectorised(self, df: DataFrame) -> DataFrame:
+    def fills(self, rows: DataFrame) -> dict[str, float]:
+        """What a missing value of each numeric feature counts as."""
+        names = [f for f in self.features if isinstance(rows.schema[f].dataType, (T.NumericType, T.BooleanType))]
+        if not names:
+            return {}
+        means = rows.agg(*[F.avg(_present(f)).alias(f"__fw_f{i}") for i, f in enumerate(names)]).first()
+        return {f: 0.0 if mean is None else mean for f, mean in zip(names, means, strict=True)}
+
+    def vectorised(self, df: DataFrame, fills: dict[str, float]) -> DataFrame:
         if len(self.features) == 1 and isinstance(df.schema[self.features[0]].dataType, T.ArrayType):
             return df.withColumn(_X, array_to_vector(F.col(self.features[0]).cast("array<double>")))
-        return VectorAssembler(inputCols=list(self.features), outputCol=_X, handleInvalid="keep").transform(df)
+        whole = {f: f"__fw_f{i}" for i, f in enumerate(fills)}
+        out = df.withColumns({name: F.coalesce(_present(f), F.lit(fills[f])) for f, name in whole.items()})
+        inputs = [whole.get(f, f) for f in self.features]
+        return VectorAssembler(inputCols=inputs, outputCol=_X, handleInvalid="keep").transform(out).drop(*whole.values())
 
     def fit(self, df: DataFrame, valid: Column | None = None) -> SparkModel:
         """``valid`` marks rows for early stopping where the estimator can use them."""
@@ -61,7 +81,9 @@ class SparkLearner:
         if self.labels is not None and tuple(self.labels) != tuple(range(len(self.labels))):
             known = F.array(*[F.lit(v) for v in self.labels])
             y = (F.array_position(known, F.col(self.label)) - 1).cast("double")
-        rows = self.vectorised(df).withColumn(_Y, y).filter(F.col(_Y).isNotNull())
+        rows = df.withColumn(_Y, y).filter(F.col(_Y).isNotNull())
+        fills = self.fills(rows if valid is None else rows.filter(~valid))
+        rows = self.vectorised(rows, fills)
         keep = [_X, _Y]
         # early stopping may set parameters, so work on a copy
         estimator = self.estimator.copy()
@@ -77,13 +99,14 @@ class SparkLearner:
                 keep.append(_VALID)
             else:
                 rows = rows.filter(~valid)
-        return SparkModel(self, estimator.fit(rows.select(*keep)))
+        return SparkModel(self, estimator.fit(rows.select(*keep)), fills)
 
 
 @dataclass(frozen=True)
 class SparkModel:
     learner: SparkLearner
     fitted: Any
+    fills: dict[str, float] = field(default_factory=dict)
 
     @property
     def importances(self) -> list[float] | None:
@@ -112,7 +135,7 @@ class SparkModel:
         for out in ("predictionCol", "probabilityCol", "rawPredictionCol"):
             if model.hasParam(out):
                 model.set(model.getParam(out), f"__fw_{out}" if out == column else "")
-        return model.transform(self.learner.vectorised(df)).drop(_X)
+        return model.transform(self.learner.vectorised(df, self.fills)).drop(_X)
 
     def probabilities(self, df: DataFrame, name: str) -> DataFrame:
         if not self.fitted.hasParam("probabilityCol"):
