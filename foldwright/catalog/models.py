@@ -304,13 +304,15 @@ def t4_easiest_prefix(spark, d):
 
 
 def _documents(spark, d):
-    """Labelled and unlabelled documents with simple whole-text features."""
+    """Labelled and unlabelled documents with simple whole-text features; a null text counts as empty."""
+    text = F.coalesce("text", F.lit(""))
+    n = F.coalesce("n_chars", F.length(text))
     docs = table(spark, d, "documents").select(
         "doc_id",
-        F.ln(F.col("n_chars") + 1.0).alias("log_chars"),
-        (F.size(F.split("text", " ")) / (F.col("n_chars") + 1.0)).alias("word_share"),
-        (F.size(F.split("text", "\n")) / (F.col("n_chars") + 1.0)).alias("line_share"),
-        (F.length(F.regexp_replace("text", "[^0-9]", "")) / (F.col("n_chars") + 1.0)).alias("digit_share"),
+        F.ln(n + 1.0).alias("log_chars"),
+        (F.size(F.split(text, " ")) / (n + 1.0)).alias("word_share"),
+        (F.size(F.split(text, "\n")) / (n + 1.0)).alias("line_share"),
+        (F.length(F.regexp_replace(text, "[^0-9]", "")) / (n + 1.0)).alias("digit_share"),
     )
     labels = table(spark, d, "labels").select("doc_id", F.col("quality").alias("y"))
     return docs.join(labels, "doc_id", "inner"), docs.join(labels, "doc_id", "left_anti")
