@@ -82,9 +82,7 @@ class SparkLearner:
             known = F.array(*[F.lit(v) for v in self.labels])
             y = (F.array_position(known, F.col(self.label)) - 1).cast("double")
         rows = df.withColumn(_Y, y).filter(F.col(_Y).isNotNull())
-        fills = self.fills(rows if valid is None else rows.filter(~valid))
-        rows = self.vectorised(rows, fills)
-        keep = [_X, _Y]
+        keep = [_Y]
         # early stopping may set parameters, so work on a copy
         estimator = self.estimator.copy()
         estimator = estimator.setFeaturesCol(_X).setLabelCol(_Y)
@@ -92,14 +90,22 @@ class SparkLearner:
             estimator = estimator.setWeightCol(_W)
             rows = rows.withColumn(_W, F.col(self.weight).cast("double"))
             keep.append(_W)
+        known = F.lit(True)
         if valid is not None:
             if estimator.hasParam("validationIndicatorCol"):
                 estimator = estimator.setValidationIndicatorCol(_VALID)
                 rows = rows.withColumn(_VALID, valid)
                 keep.append(_VALID)
+                known = ~F.col(_VALID)
             else:
                 rows = rows.filter(~valid)
-        return SparkModel(self, estimator.fit(rows.select(*keep)), fills)
+        # the means and the fit read what may be costly to derive
+        rows = rows.select(*self.features, *keep).persist()
+        try:
+            fills = self.fills(rows.filter(known))
+            return SparkModel(self, estimator.fit(self.vectorised(rows, fills).select(_X, *keep)), fills)
+        finally:
+            rows.unpersist()
 
 
 @dataclass(frozen=True)
