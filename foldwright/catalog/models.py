@@ -28,7 +28,7 @@ def _tree(features, label, **options):
 
 def _scored_folds(spark, d, k=3):
     """Scored lines with group folds: lines of one order stay together."""
-    return splits.group_kfold(scored(spark, d), "l_orderkey", k)
+    return splits.group_kfold(scored(spark, d), "l_orderkey", k).select(*_IDS, "y", *MODELS, splits.FOLD)
 
 
 # ------------------------------------------------------- out-of-fold, stacking

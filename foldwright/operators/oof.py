@@ -1,8 +1,8 @@
 """Out-of-fold predictions, stacking and adversarial validation.
 
-The fold frame is persisted while the k (times M) fits read it. Predictions are
-materialised with a reliable checkpoint, so they outlive the cache and the loss
-of an executor; the driver holds models and scores only.
+The fold frame is written once, so that the k (times M) fits read the columns they
+need and leave the memory to the models; predictions are written as well, and
+outlive the loss of an executor. The driver holds models and scores only.
 """
 
 from __future__ import annotations
@@ -21,7 +21,10 @@ from foldwright.functions.names import as_list
 from foldwright.operators import metrics
 from foldwright.operators.learners import Learner, Model
 from foldwright.operators.splits import FOLD, kfold
-from foldwright.session import cut
+from foldwright.session import cut, stage
+
+#: Fits on more rows than this keep the machines busy one by one, and several would share the memory.
+ROWS_AT_ONCE = 20_000_000
 
 _AVERAGES: dict[str, Callable] = {
     "mean": vectors.row_mean,
@@ -35,6 +38,15 @@ def _fit_all(jobs: Sequence[Callable[[], Model]], parallelism: int) -> list[Mode
         return [f.result() for f in [pool.submit(j) for j in jobs]]
 
 
+def _fit(learner: Learner, rows: DataFrame, **options: Any) -> Model:
+    """Fit on rows of a written table, which need no copy where a learner knows how to do without."""
+    return getattr(learner, "fit_written", learner.fit)(rows, **options)
+
+
+def _at_once(rows: DataFrame, parallelism: int) -> int:
+    return parallelism if rows.count() <= ROWS_AT_ONCE else 1
+
+
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
     out = parts[0]
     for part in parts[1:]:
@@ -88,21 +100,19 @@ class OutOfFold:
 
     def fit_predict(self, df: DataFrame, id_cols: str | Sequence[str], name: str = "oof") -> DataFrame:
         """Fit on the other folds, predict the held-out one: ``(ids, label, fold, oof)``."""
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        df = stage(df, "fold-rows")
         sides = [_sides(self.fold, self.role, k) for k in range(self.n_folds)]
-        try:
-            def job(train: Column, test: Column) -> Callable[[], Model]:
-                if self.early_stopping:
-                    return lambda: self.learner.fit(df.filter(train | test), valid=test)
-                return lambda: self.learner.fit(df.filter(train))
-
-            # a fresh list: fitting again never mixes with earlier models
-            self.models = _fit_all([job(*s) for s in sides], self.parallelism)
-            parts = [m.score(df.filter(test), name) for m, (_, test) in zip(self.models, sides)]
-            slim = [p.select(*as_list(id_cols), self.label, self.fold, name) for p in parts]
-            self.predictions = cut(_union(slim))
-        finally:
-            df.unpersist()
+
+        def job(train: Column, test: Column) -> Callable[[], Model]:
+            if self.early_stopping:
+                return lambda: _fit(self.learner, df.filter(train | test), valid=test)
+            return lambda: _fit(self.learner, df.filter(train))
+
+        # a fresh list: fitting again never mixes with earlier models
+        self.models = _fit_all([job(*s) for s in sides], _at_once(df, self.parallelism))
+        parts = [m.score(df.filter(test), name) for m, (_, test) in zip(self.models, sides)]
+        slim = [p.select(*as_list(id_cols), self.label, self.fold, name) for p in parts]
+        self.predictions = stage(_union(slim), "oof")
         return self.predictions
 
     def scores(self, name: str = "oof", n_classes: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -164,31 +174,28 @@ class Stack:
         projection, so the wide table needs no pivot and no shuffle. Group folds
         in ``fold`` are honoured because every learner uses the same column.
         """
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        df = stage(df, "fold-rows")
         sides = [_sides(self.fold, self.role, k) for k in range(self.n_folds)]
-        try:
-            jobs = [
-                (lambda learner=learner, k=k: learner.fit(df.filter(sides[k][0])))
-                for learner in self.base.values()
-                for k in range(self.n_folds)
-            ]
-            fitted = _fit_all(jobs, self.parallelism)
-            k = self.n_folds
-            self.base_models = {n: fitted[i * k : (i + 1) * k] for i, n in enumerate(self.base)}
-            names = [f"meta_{n}" for n in self.base]
-            parts = []
-            for f in range(k):
-                part = df.filter(sides[f][1])
-                for n, meta in zip(self.base, names):
-                    part = self.base_models[n][f].score(part, meta)
-                parts.append(part)
-            whole, names = self._widen(_union(parts), names)
-            keep = [*as_list(id_cols), self.label, self.fold, *names, *self.passthrough]
-            table = cut(whole.select(*dict.fromkeys(keep)))
-        finally:
-            df.unpersist()
+        jobs = [
+            (lambda learner=learner, k=k: _fit(learner, df.filter(sides[k][0])))
+            for learner in self.base.values()
+            for k in range(self.n_folds)
+        ]
+        fitted = _fit_all(jobs, _at_once(df, self.parallelism))
+        k = self.n_folds
+        self.base_models = {n: fitted[i * k : (i + 1) * k] for i, n in enumerate(self.base)}
+        names = [f"meta_{n}" for n in self.base]
+        parts = []
+        for f in range(k):
+            part = df.filter(sides[f][1])
+            for n, meta in zip(self.base, names):
+                part = self.base_models[n][f].score(part, meta)
+            parts.append(part)
+        whole, names = self._widen(_union(parts), names)
+        keep = [*as_list(id_cols), self.label, self.fold, *names, *self.passthrough]
+        table = stage(whole.select(*dict.fromkeys(keep)), "meta-rows")
         self.meta_features = [*names, *self.passthrough]
-        self.meta_model = self.meta(self.meta_features).fit(table)
+        self.meta_model = _fit(self.meta(self.meta_features), table)
         return table
 
     def meta_table(self, df: DataFrame, averaging: str = "mean") -> DataFrame:

@@ -102,13 +102,18 @@ def group_kfold(df: DataFrame, group: str, n_folds: int = 5, id_cols: str | Sequ
     folds = ranked.select(
         group, F.when(turn < n_folds, turn).otherwise(2 * n_folds - 1 - turn).cast("int").alias(FOLD)
     )
-    return _fill_folds(attach(df, folds, [group], sizes=sizes), group, n_folds, id_cols, seed)
+    return _with_folds(df, folds, sizes, group, n_folds, id_cols, seed)
 
 
-def _fill_folds(df: DataFrame, group: str, n_folds: int, id_cols: str | Sequence[str] | None, seed: int) -> DataFrame:
-    """Folds of rows whose group is null."""
-    own = hash_fold(as_list(id_cols), n_folds, seed) if id_cols is not None else spread(df.drop(FOLD), n_folds) - 1
-    return df.withColumn(FOLD, F.when(F.col(group).isNull(), own).otherwise(F.col(FOLD)))
+def _with_folds(
+    df: DataFrame, folds: DataFrame, sizes: DataFrame, group: str, n_folds: int, id_cols: str | Sequence[str] | None, seed: int
+) -> DataFrame:
+    """The folds of the groups, and of rows whose group is null."""
+    own = hash_fold(as_list(id_cols), n_folds, seed) if id_cols is not None else spread(df, n_folds) - 1
+    # known before the join, which then moves no column that only a hash of all columns reads
+    rows = df.withColumn("__fw_own", F.when(F.col(group).isNull(), own))
+    out = attach(rows, folds, [group], sizes=sizes)
+    return out.withColumn(FOLD, F.when(F.col(group).isNull(), F.col("__fw_own")).otherwise(F.col(FOLD))).drop("__fw_own")
 
 
 def stratified_group_kfold(
@@ -132,7 +137,7 @@ def stratified_group_kfold(
     ranked = ordered_index(known.select(group, "__fw_rank"), "__fw_rank", group, name="__fw_at")
     folds = ranked.select(group, F.pmod(F.col("__fw_at"), F.lit(n_folds)).cast("int").alias(FOLD))
     sizes = majority.select(group, F.col("n_rows").alias("__fw_n"))
-    return _fill_folds(attach(df, folds, [group], sizes=sizes), group, n_folds, id_cols, seed)
+    return _with_folds(df, folds, sizes, group, n_folds, id_cols, seed)
 
 
 # ---------------------------------------------------------------- time splits
