@@ -12,6 +12,7 @@ from foldwright.functions.scalars import clip_probability, decision
 from foldwright.plans.buckets import ROWS_PER_BUCKET, order_buckets
 from foldwright.plans.hot import attach
 from foldwright.plans.ranks import prefix_sums
+from foldwright.session import stage
 
 Aggregate = Callable[[Column, Column], Column]
 
@@ -26,14 +27,16 @@ def auc(
     """Area under the ROC curve, ties counted half; null if only one class occurs.
 
     One row per ``by`` value with ``auc``, ``n_pos``, ``n_neg``. Rows collapse to
-    one per distinct score before anything is ordered.
+    one per distinct score, written once, before anything is ordered: the scores
+    may be costly to derive.
     """
-    rows = _scored(df, label, score).select(*by, score, F.col(label).cast("long").alias("__fw_y"))
-    limits = order_buckets(rows, score, rows_per_bucket=rows_per_bucket)
+    rows = df.select(*by, score, F.col(label).cast("long").alias("__fw_y"))
     counts = rows.groupBy(*by, score).agg(
         F.sum("__fw_y").alias("__fw_pos"), F.sum(1 - F.col("__fw_y")).alias("__fw_neg")
     )
-    below = prefix_sums(counts, score, {"__fw_below": F.col("__fw_neg")}, by, limits=limits)
+    # a filter before would go down to the table, where it derives every score a second time
+    counts = stage(counts, "score-counts").filter(F.col(score).isNotNull() & F.col("__fw_pos").isNotNull())
+    below = prefix_sums(counts, score, {"__fw_below": F.col("__fw_neg")}, by, rows_per_bucket=rows_per_bucket)
     won = F.sum(F.col("__fw_pos") * (F.col("__fw_below") + F.col("__fw_neg") / 2.0))
     made = [
         F.try_divide(won, F.sum("__fw_pos").cast("double") * F.sum("__fw_neg")).alias("auc"),
