@@ -31,7 +31,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldwright.functions.scalars import numbers
 from foldwright.functions.vectors import argmax_label, one_hot, row_mean
 from foldwright.plans.hot import attach
 from foldwright.session import cut, scratch_path
@@ -39,8 +38,8 @@ from foldwright.session import cut, scratch_path
 _X, _Y, _W, _VALID = "__fw_x", "__fw_y", "__fw_w", "__fw_valid"
 #: Trees are fitted on counts by bin where there can be no more combinations of bins than this.
 MOST_CELLS = 2**21
-#: quantiles of a feature from which its bins are chosen
-QUANTILES = 4_096
+#: Spark's trees choose their bins from so many rows, or the square of their number if that is more.
+BIN_ROWS = 10_000
 #: Trees of more nodes than this are walked by the model, as generated code has its limits.
 MOST_NODES = 64
 
@@ -108,12 +107,17 @@ class SparkLearner:
         unlike = len(set(self.features)) == len(self.features)
         return numeric and not named and unlike and tree.getMaxBins() ** len(self.features) <= MOST_CELLS
 
-    def limits(self, rows: DataFrame, fills: dict[str, float], bins: int) -> dict[str, list[float]]:
-        """The ends of each feature's bins, from its quantiles: one pass over the rows."""
-        shares = numbers([i / QUANTILES for i in range(QUANTILES + 1)])
-        values = [F.coalesce(_present(f), F.lit(fills[f])) for f in self.features]
-        found = rows.agg(*[F.percentile_approx(v, shares, 10_000).alias(f"__fw_f{i}") for i, v in enumerate(values)]).first()
-        return {f: _between(found[i] or [], bins) for i, f in enumerate(self.features)}
+    def limits(self, rows: DataFrame, fills: dict[str, float]) -> dict[str, list[float]]:
+        """The ends of each feature's bins, from the rows that the estimator would choose them from."""
+        spark, n, bins = rows.sparkSession, rows.count(), self.estimator.getMaxBins()
+        whole = rows.select(*[F.coalesce(_present(f), F.lit(fills[f])).alias(f"__fw_f{i}") for i, f in enumerate(self.features)])
+        share = min(1.0, max(bins * bins, BIN_ROWS) / max(n, 1))
+        if share < 1.0:
+            seed = spark._jvm.org.apache.spark.util.random.XORShiftRandom(self.estimator.getSeed()).nextInt()
+            chosen = whole._jdf.toJavaRDD().sample(False, share, seed)
+            whole = DataFrame(spark._jsparkSession.createDataFrame(chosen, whole._jdf.schema()), spark)
+        seen = list(zip(*whole.collect())) or [()] * len(self.features)
+        return {f: _between(values, min(bins, n), share * n) for f, values in zip(self.features, seen, strict=True)}
 
     def _counted(self, rows: DataFrame, fills: dict[str, float], limits: dict[str, list[float]], keep: list[str]) -> DataFrame:
         """A row for each label and combination of bins, with the number of rows as its weight."""
@@ -172,7 +176,7 @@ class SparkLearner:
         fills = self.fills(seen)
         if not self.counts_do(rows):
             return SparkModel(self, estimator.fit(self.vectorised(rows, fills).select(_X, *keep)), fills)
-        limits = self.limits(seen, fills, estimator.getMaxBins())
+        limits = self.limits(seen, fills)
         cells = self._counted(rows, fills, limits, keep).persist()
         try:
             # the estimator looks for bins in maxBins x maxBins rows at most; they are found already, so it shall see all
@@ -183,13 +187,21 @@ class SparkLearner:
             cells.unpersist()
 
 
-def _between(values: Sequence[float], bins: int) -> list[float]:
-    """Limits half-way between neighbouring values: all, or the ``bins - 1`` nearest to even shares, as Spark's trees choose them."""
-    counts = sorted(Counter(values).items())
+def _between(values: Sequence[float], bins: int, rows: float | None = None) -> list[float]:
+    """Limits half-way between neighbouring values: all, or the ``bins - 1`` nearest to even shares, as Spark's trees choose them.
+
+    They count what is missing from ``rows``, the rows to be expected, as zeros.
+    """
+    rows = len(values) if rows is None else rows
+    found = Counter(v for v in values if v != 0.0)
+    zeros = rows - found.total()
+    if found and zeros > 100 * len(values) * 2.0**-52:
+        found[0.0] = zeros
+    counts = sorted(found.items())
     if len(counts) <= bins:
         return [(a + b) / 2 for (a, _), (b, _) in pairwise(counts)]
     out: list[float] = []
-    share = len(values) / bins
+    share = rows / bins
     passed, wanted = counts[0][1], share
     for (a, _), (b, n) in pairwise(counts):
         before, passed = passed, passed + n
